@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference workloads are batch jobs over a finished transaction log and a
+finished point set: no watermark, event-time window, stateful operator or
+late-data rule exists in them, so none is built here. Every operator in this
+package is a plain DataFrame transformation and can be applied inside
+``foreachBatch`` of a Structured Streaming query when a micro-batch view of a
+growing input is wanted.
+"""
