@@ -79,11 +79,11 @@ class KCenterResult:
     n_rows: int
 
 
-def _window_radius(wpoints: DataFrame, m: int) -> tuple[float | None, float | None, list[float] | None]:
-    """Half the smallest distance, and half the smallest positive distance,
-    among the first m points in idx order; also the first point. The window
-    is bounded by m = k+z+1 rows; its pairs are scanned with higher-order
-    functions on one row."""
+def window_radius_frame(wpoints: DataFrame, m: int) -> DataFrame:
+    """One row: ``dmin`` / ``dpos`` (smallest and smallest positive distance
+    among the first m points in idx order), ``initial_guess`` = dmin / 2 and
+    the first point ``p0``. The window is bounded by m = k+z+1 rows and its
+    pairs are scanned with higher-order functions on a single row."""
     head = wpoints.orderBy("idx").limit(m)
     w = F.col("w")
 
@@ -91,12 +91,16 @@ def _window_radius(wpoints: DataFrame, m: int) -> tuple[float | None, float | No
         return F.transform(F.slice(w, i + 2, F.size(w)), lambda b: euclidean(w[i], b))
 
     all_d = F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 2, F.lit(0))), dists))
-    row = (head.agg(F.sort_array(F.collect_list(F.struct("idx", "features"))).alias("ws"))
-               .select(F.col("ws.features").alias("w"))
-               .select(F.array_min(all_d).alias("dmin"),
-                       F.array_min(F.filter(all_d, lambda d: d > 0)).alias("dpos"),
-                       w[0].alias("p0"))
-               .first())
+    return (head.agg(F.sort_array(F.collect_list(F.struct("idx", "features"))).alias("ws"))
+                .select(F.col("ws.features").alias("w"))
+                .select(F.array_min(all_d).alias("dmin"),
+                        F.array_min(F.filter(all_d, lambda d: d > 0)).alias("dpos"),
+                        w[0].alias("p0"))
+                .withColumn("initial_guess", F.coalesce(F.col("dmin") / 2, F.lit(0.0))))
+
+
+def _window_radius(wpoints: DataFrame, m: int) -> tuple[float | None, float | None, list[float] | None]:
+    row = window_radius_frame(wpoints, m).first()
     if row is None or row["p0"] is None:
         return None, None, None
     return row["dmin"], row["dpos"], list(row["p0"])
