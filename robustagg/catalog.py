@@ -166,7 +166,7 @@ def q_coreset_total_weight(spark, sf):
 def _solver_start(spark, sf):
     w = kc.coreset_weighted(_core(spark, sf), CORE_M)
     prep = kc.prepare(w, CORE_K, CORE_Z, CORE_ALPHA)
-    return w, prep, kc.initial_state(w, prep.guesses)
+    return w, prep, kc.initial_state(w, prep.guesses, prep.n_rows)
 
 
 def _ball_weights(w, prep, state):
@@ -386,10 +386,11 @@ def _solver_ctes(t_sql: str, k: int, z: int, alpha: float) -> list[str]:
         f"t AS ({t_sql})",
         f"win AS (SELECT i, e FROM t ORDER BY i LIMIT {m})",
         "r0 AS (SELECT min(list_distance(a.e, b.e)) / 2 AS r FROM win a JOIN win b ON a.i < b.i)",
-        "p0 AS (SELECT e FROM t ORDER BY i LIMIT 1)",
-        "far AS (SELECT max(list_distance(t.e, p0.e)) AS far FROM t, p0)",
-        f"""ng AS (SELECT CAST(1 + greatest(0, ceil(log2(2.0 * far * (1 + 1e-9) / ({rem} * r))))
-                 AS INTEGER) AS g FROM r0, far)""",
+        """coords AS (SELECT unnest(range(len(e))) AS j, unnest(e) AS x FROM t)""",
+        """bb AS (SELECT sqrt(sum(span * span)) AS diag
+       FROM (SELECT j, max(x) - min(x) AS span FROM coords GROUP BY j) s)""",
+        f"""ng AS (SELECT CAST(1 + greatest(0, ceil(log2(diag * (1 + 1e-9) / ({rem} * r))))
+                 AS INTEGER) AS g FROM r0, bb)""",
         """gs AS (SELECT CAST(q.guess AS INTEGER) AS guess, r0.r * pow(2, q.guess) AS r
         FROM r0, ng, range(0, 64) q(guess) WHERE q.guess < ng.g)""",
         "dm AS (SELECT a.i AS a, b.i AS b, list_distance(a.e, b.e) AS d FROM t a, t b)",

@@ -21,13 +21,13 @@ Spark design:
   ``checkpoint()`` (reliable storage, ``spark.checkpoint.dir``) so the plan
   does not grow with k.
 * Ball weights need, for each uncovered candidate, the uncovered weight
-  within a radius: a range join. The uncovered points of a guess are packed
-  into member blocks of ``block_rows`` (``collect_list`` per (guess, block));
-  each candidate row is joined to the blocks of its guess and filters /
-  sums them with higher-order functions in the JVM. No pair rows are ever
-  materialised. When all blocks fit the broadcast budget they are broadcast
-  (no shuffle of the candidates); otherwise candidates are fanned out to the
-  blocks and both sides are shuffled on (guess, block).
+  within a radius: a range self-join. It is evaluated on bounded blocks
+  (``robustagg.operators.balls``): a numpy kernel per (guess, candidate
+  block, member block) cogroup, partial sums added by a ``groupBy``. No
+  pair rows are materialised and no task holds more than two blocks.
+* Picking the heaviest ball (``max_by`` per guess) and removing the covered
+  points (a join with the new centers, broadcast: one row per guess) are
+  plain DataFrame operators.
 * The solver is quadratic in the number of weighted points: run it on a
   coreset (``robustagg.operators.coreset``), whose size m * L does not grow
   with the data. ``kcenter_exact`` on raw points is the reference's
@@ -43,11 +43,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from robustagg.functions.distance import euclidean
+from robustagg.operators.balls import DEFAULT_BLOCK_ROWS, ball_weights_blocked
 from robustagg.params import check_alpha, check_k_z
 from robustagg.session import ensure_checkpoint_dir
 
-DEFAULT_BLOCK_ROWS = 2048
-DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def selection_factor(alpha: float) -> float:
@@ -99,58 +98,76 @@ def window_radius_frame(wpoints: DataFrame, m: int) -> DataFrame:
                 .withColumn("initial_guess", F.coalesce(F.col("dmin") / 2, F.lit(0.0))))
 
 
-def _window_radius(wpoints: DataFrame, m: int) -> tuple[float | None, float | None, list[float] | None]:
-    row = window_radius_frame(wpoints, m).first()
-    if row is None or row["p0"] is None:
-        return None, None, None
-    return row["dmin"], row["dpos"], list(row["p0"])
+def spread_frame(wpoints: DataFrame) -> DataFrame:
+    """One row: row count, smallest and largest dimension, and the diagonal
+    of the bounding box (an upper bound on every pair distance). Partial
+    aggregates per coordinate, so the shuffle is tiny."""
+    coords = (wpoints.select(F.posexplode("features").alias("pos", "x"))
+                     .groupBy("pos").agg((F.max("x") - F.min("x")).alias("span")))
+    diag = coords.agg(F.sqrt(F.sum(F.col("span") * F.col("span"))).alias("diag"))
+    sizes = wpoints.agg(F.count(F.lit(1)).alias("n"),
+                        F.min(F.size("features")).alias("dim_lo"),
+                        F.max(F.size("features")).alias("dim_hi"))
+    return sizes.unionByName(diag, allowMissingColumns=True)
 
 
-def _spread_from(wpoints: DataFrame, p0: list[float]) -> tuple[int, int, int, float, float | None]:
-    """Row count, min/max dimension, largest distance to ``p0`` and smallest
-    positive one: a single aggregate pass."""
+def _nearest_positive(wpoints: DataFrame, p0: list[float]) -> float | None:
     d = euclidean(F.col("features"), F.lit(p0).cast("array<double>"))
-    row = wpoints.agg(F.count(F.lit(1)).alias("n"),
-                      F.min(F.size("features")).alias("dmin"),
-                      F.max(F.size("features")).alias("dmax"),
-                      F.max(d).alias("far"),
-                      F.min(F.when(d > 0, d)).alias("near")).first()
-    return row["n"], row["dmin"], row["dmax"], row["far"] or 0.0, row["near"]
+    return wpoints.agg(F.min(F.when(d > 0, d)).alias("near")).first()["near"]
 
 
-def prepare(wpoints: DataFrame, k: int, z: int, alpha: float) -> SolverInput:
-    """r0, the guess series and input checks (two small jobs)."""
-    check_k_z(k, z)
-    check_alpha(alpha)
-    dmin, dpos, p0 = _window_radius(wpoints, k + z + 1)
-    if p0 is None:
-        raise ValueError("k-center of an empty point set")
-    n, lo, hi, far, near = _spread_from(wpoints, p0)
-    if lo != hi:
-        raise ValueError(f"points of unequal dimension ({lo} and {hi})")
-    r0 = dmin / 2 if dmin is not None else 0.0
+def guess_series(r0: float, positive: float | None, diag: float, alpha: float) -> list[float]:
+    """r0, 2 r0, 4 r0, ... up to the first radius whose removal ball spans the
+    diameter bound. With r0 = 0 (copies in the window) the series is 0, then
+    doubling from half the smallest positive distance (the reference would
+    double 0 forever)."""
     if r0 > 0:
         base, guesses = r0, []
     else:
-        # Copies inside the window (or a single point): radius 0 first, then
-        # doubling from the smallest positive distance (the reference would
-        # double 0 forever).
-        positive = dpos if dpos is not None else near
-        base, guesses = (positive / 2 if positive is not None else None), [0.0]
+        base, guesses = (positive / 2 if positive else None), [0.0]
     if base is not None:
-        # (3+4a) r >= 2 * far covers every point with the first ball.
-        reach = 2.0 * far * (1 + 1e-9) / (removal_factor(alpha) * base)
+        reach = diag * (1 + 1e-9) / (removal_factor(alpha) * base)
         count = 1 + max(0, math.ceil(math.log2(reach))) if reach > 0 else 1
         r = base
         for _ in range(count):
             guesses.append(r)
             r *= 2
-    return SolverInput(n_rows=n, dim=hi, initial_guess=r0, guesses=guesses)
+    return guesses
+
+
+def prepare(wpoints: DataFrame, k: int, z: int, alpha: float) -> SolverInput:
+    """r0, the guess series and input checks: one job (a second one only when
+    the window holds nothing but copies of one point)."""
+    check_k_z(k, z)
+    check_alpha(alpha)
+    window = window_radius_frame(wpoints, k + z + 1)
+    rows = window.unionByName(spread_frame(wpoints), allowMissingColumns=True).collect()
+    win = next((r for r in rows if r["p0"] is not None), None)
+    if win is None:
+        raise ValueError("k-center of an empty point set")
+    sizes = next(r for r in rows if r["n"] is not None)
+    diag = next((r["diag"] for r in rows if r["diag"] is not None), 0.0)
+    if sizes["dim_lo"] != sizes["dim_hi"]:
+        raise ValueError(f"points of unequal dimension ({sizes['dim_lo']} and {sizes['dim_hi']})")
+    r0 = win["dmin"] / 2 if win["dmin"] is not None else 0.0
+    positive = win["dpos"]
+    if r0 == 0 and positive is None and diag > 0:
+        positive = _nearest_positive(wpoints, list(win["p0"]))
+    return SolverInput(n_rows=sizes["n"], dim=sizes["dim_hi"], initial_guess=r0,
+                       guesses=guess_series(r0, positive, diag, alpha))
 
 
-def initial_state(wpoints: DataFrame, guesses: list[float]) -> DataFrame:
-    """One row per (guess, point): everything uncovered, no center yet."""
+STATE_ROWS_PER_PARTITION = 200_000
+
+
+def initial_state(wpoints: DataFrame, guesses: list[float], n_rows: int | None = None) -> DataFrame:
+    """One row per (guess, point): everything uncovered, no center yet. With
+    ``n_rows`` known, the state gets a number of partitions sized to it (a
+    small coreset state is one task per stage, not one per shuffle slot)."""
     radii = F.array(*[F.lit(float(r)) for r in guesses])
+    if n_rows is not None:
+        parts = max(1, math.ceil(n_rows * len(guesses) / STATE_ROWS_PER_PARTITION))
+        wpoints = wpoints.repartition(parts)
     return (wpoints
             .select("idx", "point_id", "features", "weight",
                     F.posexplode(radii).alias("guess", "radius"))
@@ -158,58 +175,53 @@ def initial_state(wpoints: DataFrame, guesses: list[float]) -> DataFrame:
             .withColumn("center_step", F.lit(None).cast("int")))
 
 
-def _member_blocks(unc: DataFrame, n_blocks: int) -> DataFrame:
-    # idx need not be dense, so blocks are formed by a hash of it.
-    blk = (F.pmod(F.xxhash64("idx"), F.lit(n_blocks)) if n_blocks > 1 else F.lit(0)).cast("long")
-    return (unc.groupBy("guess", blk.alias("blk"))
-               .agg(F.collect_list(F.struct("features", "weight")).alias("members")))
-
-
-def _broadcastable(n_rows: int, n_guesses: int, dim: int, budget: int) -> bool:
-    return n_rows * n_guesses * (dim + 3) * 8 <= budget
-
-
 def ball_weights(state: DataFrame, alpha: float, n_rows: int, dim: int, n_guesses: int,
-                 block_rows: int = DEFAULT_BLOCK_ROWS,
-                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """``(guess, idx, point_id, ball_weight)`` for every uncovered point: the
-    uncovered weight within (1+2a) * radius of it, itself included."""
+    uncovered weight within (1+2a) * radius of it, itself included
+    (``robustagg.operators.balls``: numpy on bounded blocks, Spark shuffles
+    and sums)."""
     unc = state.where("uncovered")
-    small = _broadcastable(n_rows, n_guesses, dim, broadcast_bytes)
-    cand = unc.select("guess", "radius", "idx", "point_id", F.col("features").alias("cf"))
-    limit = F.lit(selection_factor(alpha)) * F.col("radius")
+    return ball_weights_blocked(unc, selection_factor(alpha), n_rows, block_rows)
 
-    def within(ms: Column) -> Column:
-        return F.aggregate(F.filter(ms, lambda mb: euclidean(mb["features"], F.col("cf")) <= limit),
-                           F.lit(0).cast("long"), lambda acc, mb: acc + mb["weight"])
 
-    if small:
-        blocks = _member_blocks(unc, 1).drop("blk")
-        joined = cand.join(F.broadcast(blocks), "guess")
-        return joined.select("guess", "idx", "point_id", within(F.col("members")).alias("ball_weight"))
-    n_blocks = max(1, math.ceil(n_rows / block_rows))
-    blocks = _member_blocks(unc, n_blocks)
-    fanned = cand.withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                         F.lit(n_blocks - 1).cast("long"))))
-    partial = fanned.join(blocks, ["guess", "blk"]).select(
-        "guess", "idx", "point_id", within(F.col("members")).alias("w"))
-    return partial.groupBy("guess", "idx", "point_id").agg(F.sum("w").cast("long").alias("ball_weight"))
+def ball_weights_expr(state: DataFrame, alpha: float) -> DataFrame:
+    """The same ball weights with Spark higher-order functions only (one
+    broadcast member array per guess). Interpreted, about a microsecond per
+    pair and the member arrays are broadcast whole: a cross-check for small
+    inputs, not the production path."""
+    unc = state.where("uncovered")
+    members = (unc.groupBy("guess")
+                  .agg(F.collect_list(F.struct("features", "weight")).alias("members")))
+    cand = unc.select("guess", "radius", "idx", "point_id", F.col("features").alias("cf"))
+    limit = F.lit(selection_factor(alpha)) * F.col("radius")
+    within = F.aggregate(
+        F.filter("members", lambda mb: euclidean(mb["features"], F.col("cf")) <= limit),
+        F.lit(0).cast("long"), lambda acc, mb: acc + mb["weight"])
+    return (cand.join(F.broadcast(members), "guess")
+                .select("guess", "idx", "point_id", within.alias("ball_weight")))
 
 
 def best_ball(weights: DataFrame) -> DataFrame:
     """``(guess, c_idx)``: the heaviest ball per guess, ties to the smaller
     idx; guesses whose uncovered weight is 0 get no row."""
-    return (weights.where(F.col("ball_weight") > 0)
-                   .groupBy("guess")
-                   .agg(F.max_by("idx", F.struct(F.col("ball_weight"), -F.col("idx"))).alias("c_idx")))
+    # The positivity test is applied after the aggregate so that Catalyst does
+    # not push it below the ball-weight projection and evaluate that twice.
+    return (weights.groupBy("guess")
+                   .agg(F.max_by("idx", F.struct(F.col("ball_weight"), -F.col("idx"))).alias("c_idx"),
+                        F.max("ball_weight").alias("top"))
+                   .where(F.col("top") > 0)
+                   .select("guess", "c_idx"))
 
 
 def cover_step(state: DataFrame, best: DataFrame, alpha: float, step: int) -> DataFrame:
     """Mark the new centers and remove their (3+4a) * radius balls from the
     uncovered set; guesses without a new center keep their state."""
-    centers = (best.join(state.select("guess", F.col("idx").alias("c_idx"),
-                                      F.col("features").alias("c_features")),
-                         ["guess", "c_idx"]))
+    # Look the new centers up by streaming the state past the broadcast
+    # winners (one row per guess), never the other way round.
+    centers = (state.select("guess", F.col("idx").alias("c_idx"),
+                            F.col("features").alias("c_features"))
+                    .join(F.broadcast(best), ["guess", "c_idx"]))
     joined = state.join(F.broadcast(centers), "guess", "left")
     reach = F.lit(removal_factor(alpha)) * F.col("radius")
     still = F.col("uncovered") & (F.col("c_idx").isNull() |
@@ -223,7 +235,6 @@ def cover_step(state: DataFrame, best: DataFrame, alpha: float, step: int) -> Da
 
 def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int, dim: int,
                  n_guesses: int, block_rows: int = DEFAULT_BLOCK_ROWS,
-                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                  steps: int | None = None) -> DataFrame:
     """Run up to k greedy steps for every guess; returns the checkpointed
     final state. Stops early once no guess has uncovered weight left."""
@@ -231,8 +242,7 @@ def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int, dim: int,
     ensure_checkpoint_dir(spark)
     state = state.checkpoint()
     for step in range(1, (steps or k) + 1):
-        weights = ball_weights(state, alpha, n_rows, dim, n_guesses, block_rows,
-                               broadcast_bytes)
+        weights = ball_weights(state, alpha, n_rows, dim, n_guesses, block_rows)
         state = cover_step(state, best_ball(weights), alpha, step).checkpoint()
         if step < (steps or k) and state.where("uncovered AND weight > 0").limit(1).count() == 0:
             break
@@ -250,24 +260,25 @@ def radius_search(state: DataFrame, z: int) -> DataFrame:
 
 
 def weighted_kcenter(wpoints: DataFrame, k: int, z: int, alpha: float,
-                     block_rows: int = DEFAULT_BLOCK_ROWS,
-                     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> KCenterResult:
+                     block_rows: int = DEFAULT_BLOCK_ROWS) -> KCenterResult:
     """Solve weighted k-center with z outliers on ``(idx, point_id, features,
     weight)``. Quadratic in the number of rows: pass a coreset."""
     prep = prepare(wpoints, k, z, alpha)
-    state = greedy_cover(initial_state(wpoints, prep.guesses), k, alpha, prep.n_rows,
-                         prep.dim, len(prep.guesses), block_rows, broadcast_bytes)
-    per_guess = radius_search(state, z).checkpoint()
-    win = per_guess.where("ok").agg(F.min("guess").alias("g")).first()["g"]
+    state = greedy_cover(initial_state(wpoints, prep.guesses, prep.n_rows), k, alpha,
+                         prep.n_rows, prep.dim, len(prep.guesses), block_rows)
+    per_guess = radius_search(state, z)
+    # One row per guess (a handful): the driver picks the smallest good one.
+    rows = sorted(per_guess.collect(), key=lambda r: r["guess"])
+    win = next((r for r in rows if r["ok"]), None)
     if win is None:
         raise RuntimeError("no radius guess covered the points; the diameter bound failed")
-    solution = (state.where((F.col("guess") == F.lit(win)) & F.col("center_step").isNotNull())
+    g = win["guess"]
+    solution = (state.where((F.col("guess") == F.lit(g)) & F.col("center_step").isNotNull())
                      .select(F.col("center_step").alias("step"), "point_id", "features")
                      .orderBy("step"))
-    size = solution.count()
     return KCenterResult(state=state, per_guess=per_guess, solution=solution,
-                         initial_guess=prep.initial_guess, final_guess=prep.guesses[win],
-                         guesses=win + 1, solution_size=size, n_rows=prep.n_rows)
+                         initial_guess=prep.initial_guess, final_guess=prep.guesses[g],
+                         guesses=g + 1, solution_size=int(win["centers"]), n_rows=prep.n_rows)
 
 
 def unit_weighted(points: DataFrame) -> DataFrame:
