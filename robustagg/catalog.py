@@ -18,6 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from robustagg.operators import balls
 from robustagg.operators import coreset as cs
 from robustagg.operators import kcenter as kc
 from robustagg.operators import popularity as pop
@@ -137,6 +138,12 @@ def q_nearest_center(spark, sf):
     return near.select("point_id", "center_id", _r(F.col("distance")).alias("distance"))
 
 
+def q_pairwise_distances(spark, sf):
+    summary = balls.pair_distance_summary(pts.embedding_points(spark, sf))
+    return summary.select("pairs", _r(F.col("min_distance")).alias("min_distance"),
+                          _r(F.col("max_distance")).alias("max_distance"))
+
+
 def q_farthest_first_centers(spark, sf):
     return cs.farthest_first_centers(pts.customer_points(spark, sf), CORE_M, CORE_L)
 
@@ -274,6 +281,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "points_parse": q_points_parse,
     "point_count": q_point_count,
     "nearest_center": q_nearest_center,
+    "pairwise_distances": q_pairwise_distances,
     "initial_radius": q_initial_radius,
     "ball_weights": q_ball_weights,
     "best_ball": q_best_ball,
@@ -490,6 +498,9 @@ SELECT p.v AS point_id,
        arg_min(c.v, (list_distance(p.e, c.e), c.pick)) AS center_id,
        round(min(list_distance(p.e, c.e)), 6) AS distance
 FROM pts p JOIN cpt c ON c.part = p.part GROUP BY p.v"""
+    o["pairwise_distances"] = (_with(f"p AS ({_POINTS['embeddings']})") + """
+SELECT count(*) AS pairs, round(min(d), 6) AS min_distance, round(max(d), 6) AS max_distance
+FROM (SELECT list_distance(a.e, b.e) AS d FROM p a JOIN p b ON a.v < b.v) s""")
     o["farthest_first_centers"] = (_with(*_fft_ctes("customer", CORE_L, CORE_M))
                                    + "SELECT part, pick, v AS point_id FROM cpt")
     o["farthest_first_embeddings"] = (_with(*_fft_ctes("embeddings", 1, FF_PICKS))

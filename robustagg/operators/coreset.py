@@ -97,7 +97,7 @@ def farthest_first(x: np.ndarray, m: int) -> tuple[list[int], np.ndarray]:
     return picks, assign
 
 
-def _coreset_of_part(m: int):
+def _coreset_of_part(m: int, weighted: bool):
     def run(table: pa.Table) -> pa.Table:
         n = table.num_rows
         part = table.column("part")[0].as_py()
@@ -116,7 +116,14 @@ def _coreset_of_part(m: int):
             raise ValueError(f"part {part}: a coordinate is null or NaN")
         x = np.asfortranarray(flat.reshape(n, dim)[order])
         picks, assign = farthest_first(x, m)
-        weights = np.bincount(assign, minlength=len(picks))
+        if weighted:
+            # Compressing a weighted coreset: the picks carry the summed
+            # weight of the rows nearest to them.
+            w = table.column("weight").to_numpy().astype(np.int64)
+            weights = np.zeros(len(picks), dtype=np.int64)
+            np.add.at(weights, assign, w)
+        else:
+            weights = np.bincount(assign, minlength=len(picks))
         pick_rows = order[np.asarray(picks)]
         return pa.table({
             "part": pa.array(np.full(len(picks), part, dtype=np.int32)),
@@ -129,16 +136,37 @@ def _coreset_of_part(m: int):
 
 
 def coreset(points: DataFrame, m: int, parts: int, by: str = "mod",
-            part_col: str | None = None) -> DataFrame:
+            part_col: str | None = None, weight_col: str | None = None) -> DataFrame:
     """Weighted coreset ``(part, pick, point_id, features, weight)``: per part,
     ``m`` farthest-first picks and the number of the part's points nearest to
     each. Weights sum to the number of points. ``part_col`` names an existing
-    part column to use instead of ``part_column(parts, by)``."""
+    part column to use instead of ``part_column(parts, by)``; with
+    ``weight_col`` the input is itself weighted and weights are summed."""
     if m < 1:
         raise ValueError(f"the number of picks must be >= 1, got {m}")
     part = F.col(part_col).cast("int") if part_col else part_column(parts, by)
-    keyed = points.select(part.alias("part"), "point_id", "features")
-    return keyed.groupBy("part").applyInArrow(_coreset_of_part(int(m)), CORESET_SCHEMA)
+    cols = [part.alias("part"), "point_id", "features"]
+    if weight_col:
+        cols.append(F.col(weight_col).cast("long").alias("weight"))
+    keyed = points.select(*cols)
+    return keyed.groupBy("part").applyInArrow(_coreset_of_part(int(m), bool(weight_col)),
+                                              CORESET_SCHEMA)
+
+
+def compress(core: DataFrame, m: int, max_rows: int, rows: int, by: str = "hash") -> tuple[DataFrame, int]:
+    """Shrink a weighted coreset of ``rows`` rows below ``max_rows`` by more
+    farthest-first levels over parts of it (weights summed). Each level keeps
+    m picks per part, so ``max_rows // m`` parts bring it under the bound.
+    Returns the final coreset and its number of parts."""
+    parts = None
+    while rows > max_rows:
+        parts = max(1, max_rows // m)
+        if rows <= parts * m:       # parts too small to drop anything
+            break
+        core = coreset(core.select("point_id", "features", "weight"), m, parts, by,
+                       weight_col="weight").checkpoint()
+        rows = parts * m
+    return core, parts
 
 
 def farthest_first_centers(points: DataFrame, m: int, parts: int = 1, by: str = "mod") -> DataFrame:

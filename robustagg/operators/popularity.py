@@ -51,7 +51,13 @@ def transaction_predicate(df: DataFrame, country: str | None = None) -> Column:
     q = _quantity(df)
     if is_all_countries(country):
         return q > 0
-    return F.when(q > 0, F.lower(_country(df)) == F.lit(country.lower())).otherwise(F.lit(False))
+    same = F.lower(_country(df)) == F.lit(country.lower())
+    if not _is_text(df):
+        # Typed records always have a country: a plain conjunction lets
+        # Catalyst push each side of it to its own table (the country test
+        # reaches the dimension before the join).
+        return (q > 0) & same
+    return F.when(q > 0, same).otherwise(F.lit(False))
 
 
 def keep_transactions(df: DataFrame, country: str | None = None) -> DataFrame:

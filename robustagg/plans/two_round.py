@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from robustagg.operators.coreset import coreset
+from robustagg.operators.coreset import compress, coreset, parts_for
 from robustagg.operators.kcenter import (
     KCenterResult, coreset_weighted, kcenter_exact, weighted_kcenter,
 )
@@ -28,6 +28,9 @@ from robustagg.params import check_k_z, check_parts
 from robustagg.session import ensure_checkpoint_dir
 
 
+DEFAULT_MAX_CORESET_ROWS = 50_000
+
+
 @dataclass
 class TwoRoundResult:
     core: DataFrame
@@ -36,18 +39,35 @@ class TwoRoundResult:
     parts: int
     k: int
     z: int
-
-
-def two_round_kcenter(points: DataFrame, k: int, z: int, parts: int, alpha: float = 2.0,
-                      by: str = "mod", **solver_kw) -> TwoRoundResult:
+    levels: int = 1
+
+
+def two_round_kcenter(points: DataFrame, k: int, z: int, parts: int | None = None,
+                      alpha: float = 2.0, by: str = "mod",
+                      max_part_rows: int = 2_000_000,
+                      max_coreset_rows: int = DEFAULT_MAX_CORESET_ROWS,
+                      **solver_kw) -> TwoRoundResult:
+    """Round 1 (coreset over ``parts`` parts; chosen from the point count when
+    ``None`` so that no part exceeds ``max_part_rows``), then round 2 on the
+    coreset. A coreset above ``max_coreset_rows`` rows is compressed by
+    further farthest-first levels first (bounded solver input; the
+    approximation loosens by a constant per level). Below that bound the
+    result is exactly the two-round algorithm."""
     check_k_z(k, z)
-    check_parts(parts)
     ensure_checkpoint_dir(points.sparkSession)
     m = k + z + 1
+    if parts is None:
+        parts = parts_for(points.count(), k, z, max_part_rows)
+    check_parts(parts)
     core = coreset(points, m, parts, by).checkpoint()
+    levels = 1
+    if m * parts > max_coreset_rows:
+        core, _ = compress(core, m, max_coreset_rows, m * parts)
+        levels = 2
     solve = weighted_kcenter(coreset_weighted(core, m), k, z, alpha, **solver_kw)
     obj = objective(points, solve.solution, z)
-    return TwoRoundResult(core=core, solve=solve, objective=obj, parts=parts, k=k, z=z)
+    return TwoRoundResult(core=core, solve=solve, objective=obj, parts=parts, k=k, z=z,
+                          levels=levels)
 
 
 def summary_frame(solve: KCenterResult, obj: DataFrame, n: int, k: int, z: int,

@@ -93,3 +93,25 @@ def test_points_text_source(spark, tmp_path):
     f2.write_text("1.5,x\n")
     with pytest.raises(Exception):
         pts.read_points(spark, str(f2)).collect()
+
+
+def test_pair_summary_blocked_equals_single(spark):
+    from robustagg.operators.balls import pair_distance_summary
+    p = pts.embedding_points(spark, SF01)
+    one = pair_distance_summary(p).first()
+    many = pair_distance_summary(p, block_rows=64).first()
+    assert one.pairs == many.pairs == 124750
+    assert round(one.min_distance, 6) == round(many.min_distance, 6) == 0.98708
+    assert round(one.max_distance, 6) == round(many.max_distance, 6) == 1.759898
+
+
+def test_compress_keeps_total_weight(spark):
+    p = pts.customer_points(spark, SF01)
+    core = cs.coreset(p, 10, 8).checkpoint()
+    small, parts = cs.compress(core, 10, 30, 80)
+    assert parts == 3
+    rows = small.collect()
+    assert len(rows) <= 30 and sum(r.weight for r in rows) == 1500
+    # compressed picks are original points
+    ids = {r.point_id for r in core.collect()}
+    assert {r.point_id for r in rows} <= ids

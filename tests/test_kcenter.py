@@ -164,3 +164,14 @@ def test_kth_largest_both_paths(spark, monkeypatch):
     assert kth_largest(df, "v", 100).first()[0] == 4901.0
     assert kth_largest(df, "v", 5000).first()[0] == 1.0
     assert kth_largest(df, "v", 5001).first()[0] is None
+
+
+def test_two_round_auto_parts_and_compression(spark):
+    p = pts.customer_points(spark, SF01)
+    res = two_round_kcenter(p, 4, 5, parts=None, max_part_rows=200, max_coreset_rows=40)
+    assert res.parts >= 8 and res.levels == 2
+    assert res.core.agg(F.sum("weight")).first()[0] == 1500
+    assert 1 <= res.solve.solution_size <= 4
+    per = {r.guess: r for r in res.solve.per_guess.collect()}
+    assert per[res.solve.guesses - 1].ok
+    assert res.objective.first()[0] is not None
