@@ -192,14 +192,14 @@ def q_ball_weights(spark, sf):
 
 def q_best_ball(spark, sf):
     w, prep, state = _solver_start(spark, sf)
-    best = kc.best_ball(_ball_weights(w, prep, state))
+    best = kc.best_ball(_ball_weights(w, prep, state), state)
     return best.join(w.select(F.col("idx").alias("c_idx"), "point_id"), "c_idx").select(
         "guess", "point_id")
 
 
 def q_cover_step(spark, sf):
     w, prep, state = _solver_start(spark, sf)
-    best = kc.best_ball(_ball_weights(w, prep, state))
+    best = kc.best_ball(_ball_weights(w, prep, state), state)
     return kc.cover_step(state, best, CORE_ALPHA, 1).select("guess", "point_id", "uncovered")
 
 

@@ -65,7 +65,8 @@ def _single_block(factor: float):
         bw = ball_sums(x, r, x, w)
         return pa.table({"guess": t.column("guess"), "idx": t.column("idx"),
                          "point_id": t.column("point_id"),
-                         "ball_weight": pa.array(bw, type=pa.int64())})
+                         "ball_weight": pa.array(bw, type=pa.int64()),
+                         "features": t.column("features")})
     return run
 
 
@@ -97,7 +98,10 @@ def ball_weights_blocked(unc: DataFrame, factor: float, n_rows: int,
     cols = ["guess", "radius", "idx", "point_id", "features", "weight"]
     nb = max(1, math.ceil(n_rows / block_rows))
     if nb == 1:
-        return unc.select(*cols).groupBy("guess").applyInArrow(_single_block(factor), _OUT_SCHEMA)
+        # One block per guess: the kernel also passes the coordinates through,
+        # so the heaviest ball needs no lookup afterwards.
+        return unc.select(*cols).groupBy("guess").applyInArrow(
+            _single_block(factor), _OUT_SCHEMA + ", features array<double>")
     blk = F.pmod(F.xxhash64("idx"), F.lit(nb)).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
     cand = unc.select(*cols, blk.alias("cblk"), others.alias("mblk"))

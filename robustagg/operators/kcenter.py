@@ -39,7 +39,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from robustagg.functions.distance import euclidean
@@ -202,27 +202,34 @@ def ball_weights_expr(state: DataFrame, alpha: float) -> DataFrame:
                 .select("guess", "idx", "point_id", within.alias("ball_weight")))
 
 
-def best_ball(weights: DataFrame) -> DataFrame:
-    """``(guess, c_idx)``: the heaviest ball per guess, ties to the smaller
-    idx; guesses whose uncovered weight is 0 get no row."""
+def best_ball(weights: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """``(guess, c_idx, c_features)``: the heaviest ball per guess, ties to the
+    smaller idx; guesses whose uncovered weight is 0 get no row. When the
+    weights carry no coordinates they are looked up in ``state`` by streaming
+    it past the winners (one row per guess, broadcast)."""
+    order = F.struct(F.col("ball_weight"), -F.col("idx"))
+    has_features = "features" in weights.columns
+    pick = F.struct("idx", "features") if has_features else F.struct("idx")
     # The positivity test is applied after the aggregate so that Catalyst does
     # not push it below the ball-weight projection and evaluate that twice.
-    return (weights.groupBy("guess")
-                   .agg(F.max_by("idx", F.struct(F.col("ball_weight"), -F.col("idx"))).alias("c_idx"),
-                        F.max("ball_weight").alias("top"))
-                   .where(F.col("top") > 0)
-                   .select("guess", "c_idx"))
+    best = (weights.groupBy("guess")
+                   .agg(F.max_by(pick, order).alias("c"), F.max("ball_weight").alias("top"))
+                   .where(F.col("top") > 0))
+    if has_features:
+        return best.select("guess", F.col("c.idx").alias("c_idx"),
+                           F.col("c.features").alias("c_features"))
+    if state is None:
+        raise ValueError("best_ball needs the state to look the centers up")
+    winners = best.select("guess", F.col("c.idx").alias("c_idx"))
+    return (state.select("guess", F.col("idx").alias("c_idx"), F.col("features").alias("c_features"))
+                 .join(F.broadcast(winners), ["guess", "c_idx"]))
 
 
 def cover_step(state: DataFrame, best: DataFrame, alpha: float, step: int) -> DataFrame:
-    """Mark the new centers and remove their (3+4a) * radius balls from the
+    """Mark the new centers (``best``: guess, c_idx, c_features; one row per
+    guess, broadcast) and remove their (3+4a) * radius balls from the
     uncovered set; guesses without a new center keep their state."""
-    # Look the new centers up by streaming the state past the broadcast
-    # winners (one row per guess), never the other way round.
-    centers = (state.select("guess", F.col("idx").alias("c_idx"),
-                            F.col("features").alias("c_features"))
-                    .join(F.broadcast(best), ["guess", "c_idx"]))
-    joined = state.join(F.broadcast(centers), "guess", "left")
+    joined = state.join(F.broadcast(best), "guess", "left")
     reach = F.lit(removal_factor(alpha)) * F.col("radius")
     still = F.col("uncovered") & (F.col("c_idx").isNull() |
                                   (euclidean(F.col("features"), F.col("c_features")) > reach))
@@ -237,14 +244,19 @@ def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int, dim: int,
                  n_guesses: int, block_rows: int = DEFAULT_BLOCK_ROWS,
                  steps: int | None = None) -> DataFrame:
     """Run up to k greedy steps for every guess; returns the checkpointed
-    final state. Stops early once no guess has uncovered weight left."""
+    final state. Stops early once no guess has uncovered weight left (an
+    observed metric of the checkpoint job itself, no extra job)."""
     spark = state.sparkSession
     ensure_checkpoint_dir(spark)
     state = state.checkpoint()
-    for step in range(1, (steps or k) + 1):
+    last = steps or k
+    for step in range(1, last + 1):
         weights = ball_weights(state, alpha, n_rows, dim, n_guesses, block_rows)
-        state = cover_step(state, best_ball(weights), alpha, step).checkpoint()
-        if step < (steps or k) and state.where("uncovered AND weight > 0").limit(1).count() == 0:
+        nxt = cover_step(state, best_ball(weights, state), alpha, step)
+        left = Observation(f"uncovered_weight_{step}")
+        state = nxt.observe(left, F.sum(F.when(F.col("uncovered"), F.col("weight"))
+                                         .otherwise(F.lit(0))).alias("w")).checkpoint()
+        if step < last and not left.get.get("w"):
             break
     return state
 

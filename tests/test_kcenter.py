@@ -93,9 +93,11 @@ def test_blocked_and_expression_paths_agree(spark):
     w = kc.unit_weighted(p)
     prep = kc.prepare(w, 3, 5, 0.0)
     st = kc.initial_state(w, prep.guesses, prep.n_rows)
-    a = kc.ball_weights(st, 0.0, prep.n_rows, prep.dim, len(prep.guesses))
-    b = kc.ball_weights(st, 0.0, prep.n_rows, prep.dim, len(prep.guesses), block_rows=16)
-    c = kc.ball_weights_expr(st, 0.0)
+    cols = ["guess", "idx", "point_id", "ball_weight"]
+    a = kc.ball_weights(st, 0.0, prep.n_rows, prep.dim, len(prep.guesses)).select(cols)
+    b = kc.ball_weights(st, 0.0, prep.n_rows, prep.dim, len(prep.guesses),
+                        block_rows=16).select(cols)
+    c = kc.ball_weights_expr(st, 0.0).select(cols)
     for other in (b, c):
         assert a.exceptAll(other).count() == 0 and other.exceptAll(a).count() == 0
     full = kc.kcenter_exact(p, 3, 5, 0.0, block_rows=16)
