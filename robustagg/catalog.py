@@ -200,7 +200,7 @@ def q_best_ball(spark, sf):
 def q_cover_step(spark, sf):
     w, prep, state = _solver_start(spark, sf)
     best = kc.best_ball(_ball_weights(w, prep, state), state)
-    return kc.cover_step(state, best, CORE_ALPHA, 1).select("guess", "point_id", "uncovered")
+    return kc.cover_step(state, best, CORE_ALPHA).select("guess", "point_id", "uncovered")
 
 
 def _greedy(spark, sf):

@@ -172,7 +172,8 @@ def initial_state(wpoints: DataFrame, guesses: list[float], n_rows: int | None =
             .select("idx", "point_id", "features", "weight",
                     F.posexplode(radii).alias("guess", "radius"))
             .withColumn("uncovered", F.lit(True))
-            .withColumn("center_step", F.lit(None).cast("int")))
+            .withColumn("center_step", F.lit(None).cast("int"))
+            .withColumn("steps_done", F.lit(0)))
 
 
 def ball_weights(state: DataFrame, alpha: float, n_rows: int, dim: int, n_guesses: int,
@@ -225,19 +226,23 @@ def best_ball(weights: DataFrame, state: DataFrame | None = None) -> DataFrame:
                  .join(F.broadcast(winners), ["guess", "c_idx"]))
 
 
-def cover_step(state: DataFrame, best: DataFrame, alpha: float, step: int) -> DataFrame:
-    """Mark the new centers (``best``: guess, c_idx, c_features; one row per
-    guess, broadcast) and remove their (3+4a) * radius balls from the
-    uncovered set; guesses without a new center keep their state."""
+def cover_step(state: DataFrame, best: DataFrame, alpha: float) -> DataFrame:
+    """One greedy step: mark the new centers (``best``: guess, c_idx,
+    c_features; one row per guess, broadcast) and remove their (3+4a) *
+    radius balls from the uncovered set; guesses without a new center keep
+    their state. The step counter is a column, so every step compiles to the
+    same generated code."""
     joined = state.join(F.broadcast(best), "guess", "left")
     reach = F.lit(removal_factor(alpha)) * F.col("radius")
     still = F.col("uncovered") & (F.col("c_idx").isNull() |
                                   (euclidean(F.col("features"), F.col("c_features")) > reach))
+    step = F.col("steps_done") + F.lit(1)
     return joined.select(
         "idx", "point_id", "features", "weight", "guess", "radius",
         still.alias("uncovered"),
-        F.when(F.col("idx") == F.col("c_idx"), F.lit(step)).otherwise(F.col("center_step"))
-         .cast("int").alias("center_step"))
+        F.when(F.col("idx") == F.col("c_idx"), step).otherwise(F.col("center_step"))
+         .cast("int").alias("center_step"),
+        step.cast("int").alias("steps_done"))
 
 
 def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int, dim: int,
@@ -252,7 +257,7 @@ def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int, dim: int,
     last = steps or k
     for step in range(1, last + 1):
         weights = ball_weights(state, alpha, n_rows, dim, n_guesses, block_rows)
-        nxt = cover_step(state, best_ball(weights, state), alpha, step)
+        nxt = cover_step(state, best_ball(weights, state), alpha)
         left = Observation(f"uncovered_weight_{step}")
         state = nxt.observe(left, F.sum(F.when(F.col("uncovered"), F.col("weight"))
                                          .otherwise(F.lit(0))).alias("w")).checkpoint()
