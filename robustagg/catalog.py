@@ -37,6 +37,7 @@ CORE_K, CORE_Z, CORE_L, CORE_ALPHA = 8, 40, 4, 2.0    # two-round, customer
 CORE_M = CORE_K + CORE_Z + 1
 EXACT_K, EXACT_Z, EXACT_ALPHA = 3, 5, 0.0             # sequential, supplier
 FF_PICKS = 6                                          # farthest-first, embeddings
+EMBED_DIM = 64                                        # width of an embedding
 
 ROUND = 6
 
@@ -134,7 +135,7 @@ def q_point_count(spark, sf):
 def q_nearest_center(spark, sf):
     emb = pts.embedding_points(spark, sf)
     picks = cs.coreset(emb, FF_PICKS, 1)
-    near = cs.nearest_pick(emb, picks, 1)
+    near = cs.nearest_pick(emb, picks, 1, m=FF_PICKS, dim=EMBED_DIM)
     return near.select("point_id", "center_id", _r(F.col("distance")).alias("distance"))
 
 

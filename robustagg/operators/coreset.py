@@ -183,13 +183,19 @@ def total_weight(core: DataFrame) -> DataFrame:
     return core.agg(F.sum("weight").cast("long").alias("total_weight"))
 
 
-def nearest_pick(points: DataFrame, core: DataFrame, parts: int, by: str = "mod") -> DataFrame:
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def nearest_pick(points: DataFrame, core: DataFrame, parts: int, by: str = "mod",
+                 m: int | None = None, dim: int | None = None) -> DataFrame:
     """Every point with its nearest pick of its own part (ties to the earlier
     pick) and the distance: ``(point_id, part, center_id, distance)``.
 
     The picks of a part (at most m rows) are gathered into one array row per
-    part and joined on ``part``; that side is bounded by m * L rows and is
-    broadcast, so the points are never shuffled."""
+    part and joined on ``part``. With ``m`` and ``dim`` given, that side
+    (at most m * L picks) is broadcast when it fits ``BROADCAST_BYTES``, so the
+    points are not shuffled; otherwise (or when its size is unknown) it is an
+    ordinary shuffle join on ``part``, one small row per part."""
     from robustagg.functions.distance import nearest_with_id
     per_part = (core.groupBy("part")
                     .agg(F.sort_array(F.collect_list(F.struct("pick", "point_id", "features")))
@@ -198,7 +204,8 @@ def nearest_pick(points: DataFrame, core: DataFrame, parts: int, by: str = "mod"
                             F.col("picks.features").alias("c_features"),
                             F.col("picks.point_id").alias("c_ids")))
     keyed = points.select(part_column(parts, by).alias("part"), "point_id", "features")
-    joined = keyed.join(F.broadcast(per_part), "part")
+    small = m is not None and dim is not None and m * parts * (dim + 2) * 8 <= BROADCAST_BYTES
+    joined = keyed.join(F.broadcast(per_part) if small else per_part, "part")
     near = nearest_with_id(F.col("features"), F.col("c_features"), F.col("c_ids"))
     return joined.select("point_id", "part", near["center_id"].alias("center_id"),
                          near["distance"].alias("distance"))

@@ -43,7 +43,7 @@ class TwoRoundResult:
 
 
 def two_round_kcenter(points: DataFrame, k: int, z: int, parts: int | None = None,
-                      alpha: float = 2.0, by: str = "mod",
+                      alpha: float = 2.0, by: str | None = None,
                       max_part_rows: int = 2_000_000,
                       max_coreset_rows: int = DEFAULT_MAX_CORESET_ROWS,
                       **solver_kw) -> TwoRoundResult:
@@ -52,12 +52,16 @@ def two_round_kcenter(points: DataFrame, k: int, z: int, parts: int | None = Non
     coreset. A coreset above ``max_coreset_rows`` rows is compressed by
     further farthest-first levels first (bounded solver input; the
     approximation loosens by a constant per level). Below that bound the
-    result is exactly the two-round algorithm."""
+    result is exactly the two-round algorithm. Parts are ``pmod(point_id, L)``
+    when ``parts`` is given and a hash of the id when it is chosen here
+    (balanced whatever the id pattern); ``by`` overrides either."""
     check_k_z(k, z)
     ensure_checkpoint_dir(points.sparkSession)
     m = k + z + 1
     if parts is None:
         parts = parts_for(points.count(), k, z, max_part_rows)
+        by = by or "hash"
+    by = by or "mod"
     check_parts(parts)
     core = coreset(points, m, parts, by).checkpoint()
     levels = 1

@@ -177,3 +177,44 @@ def test_two_round_auto_parts_and_compression(spark):
     per = {r.guess: r for r in res.solve.per_guess.collect()}
     assert per[res.solve.guesses - 1].ok
     assert res.objective.first()[0] is not None
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_solver_step_plan_has_no_pair_join(spark):
+    p = pts.supplier_points(spark, SF01)
+    w = kc.unit_weighted(p)
+    prep = kc.prepare(w, 3, 5, 0.0)
+    st = kc.initial_state(w, prep.guesses, prep.n_rows).checkpoint()
+    for block_rows in (4096, 16):
+        bw = kc.ball_weights(st, 0.0, prep.n_rows, prep.dim, len(prep.guesses), block_rows)
+        step = kc.cover_step(st, kc.best_ball(bw, st), 0.0)
+        plan = _plan(step)
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+        assert "FlatMapGroupsInArrow" in plan or "FlatMapCoGroupsInArrow" in plan
+
+
+def test_objective_plan_is_map_only_before_top(spark):
+    p = pts.supplier_points(spark, SF01)
+    res = kc.kcenter_exact(p, 3, 5, 0.0)
+    plan = _plan(objective(p, res.solution, 5))
+    assert "TakeOrderedAndProject" in plan
+    assert "Join" not in plan
+
+
+def test_nearest_pick_broadcast_only_when_sized(spark):
+    from robustagg.operators import coreset as cs
+    e = pts.embedding_points(spark, SF01)
+    picks = cs.coreset(e, 6, 2)
+    sized = _plan(cs.nearest_pick(e, picks, 2, m=6, dim=64))
+    assert "BroadcastExchange" in sized
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        unsized = _plan(cs.nearest_pick(e, picks, 2))
+        assert "BroadcastExchange" not in unsized and "SortMergeJoin" in unsized
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
