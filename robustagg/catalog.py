@@ -38,6 +38,8 @@ CORE_M = CORE_K + CORE_Z + 1
 EXACT_K, EXACT_Z, EXACT_ALPHA = 3, 5, 0.0             # sequential, supplier
 FF_PICKS = 6                                          # farthest-first, embeddings
 EMBED_DIM = 64                                        # width of an embedding
+WIDE_KZ = (5, 10)                                     # sequential, supplier, second setup
+EMB_KZL = (4, 10, 2)                                  # two-round on embeddings (k, z, L)
 
 ROUND = 6
 
@@ -225,6 +227,22 @@ def q_kcenter_exact(spark, sf):
     return res.solution.select("step", "point_id")
 
 
+def q_kcenter_exact_wide(spark, sf):
+    res = kc.kcenter_exact(pts.supplier_points(spark, sf), *WIDE_KZ, 0.0)
+    return res.solution.select("step", "point_id")
+
+
+def q_kcenter_coreset_alpha0(spark, sf):
+    res = two_round_kcenter(pts.customer_points(spark, sf), CORE_K, CORE_Z, CORE_L, 0.0)
+    return res.solve.solution.select("step", "point_id")
+
+
+def q_kcenter_embeddings_summary(spark, sf):
+    k, z, parts = EMB_KZL
+    res = two_round_kcenter(pts.embedding_points(spark, sf), k, z, parts, CORE_ALPHA)
+    return _rounded_summary(two_round_summary(res))
+
+
 def q_kcenter_coreset(spark, sf):
     res = two_round_kcenter(pts.customer_points(spark, sf), CORE_K, CORE_Z, CORE_L, CORE_ALPHA)
     return res.solve.solution.select("step", "point_id")
@@ -295,7 +313,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coreset_total_weight": q_coreset_total_weight,
     "coreset": q_coreset,
     "kcenter_exact": q_kcenter_exact,
+    "kcenter_exact_wide": q_kcenter_exact_wide,
     "kcenter_coreset": q_kcenter_coreset,
+    "kcenter_coreset_alpha0": q_kcenter_coreset_alpha0,
+    "kcenter_embeddings_summary": q_kcenter_embeddings_summary,
     "kcenter_objective": q_kcenter_objective,
     "kcenter_assignment": q_kcenter_assignment,
     "kcenter_summary": q_kcenter_summary,
@@ -437,17 +458,19 @@ def _objective_ctes(table: str, z: int) -> list[str]:
     ]
 
 
-_CORE_T = f"SELECT CAST(part AS BIGINT) * {CORE_M} + pick AS i, v, e, w FROM core"
 _EXACT_T = "SELECT v AS i, v, e, CAST(1 AS BIGINT) AS w FROM allp_t"
 
 
-def _core_solver() -> list[str]:
-    return _fft_ctes("customer", CORE_L, CORE_M) + _solver_ctes(_CORE_T, CORE_K, CORE_Z, CORE_ALPHA)
+def _core_solver(table: str = "customer", k: int = CORE_K, z: int = CORE_Z,
+                 parts: int = CORE_L, alpha: float = CORE_ALPHA) -> list[str]:
+    m = k + z + 1
+    core_t = f"SELECT CAST(part AS BIGINT) * {m} + pick AS i, v, e, w FROM core"
+    return _fft_ctes(table, parts, m) + _solver_ctes(core_t, k, z, alpha)
 
 
-def _exact_solver() -> list[str]:
+def _exact_solver(k: int = EXACT_K, z: int = EXACT_Z, alpha: float = EXACT_ALPHA) -> list[str]:
     return ([f"allp_t AS ({_POINTS['supplier']})"]
-            + _solver_ctes(_EXACT_T, EXACT_K, EXACT_Z, EXACT_ALPHA))
+            + _solver_ctes(_EXACT_T, k, z, alpha))
 
 
 def _summary_select(n_sql: str, l_sql: str, k: int, z: int) -> str:
@@ -527,6 +550,14 @@ FROM gs JOIN nc1 ON nc1.guess = gs.guess JOIN dm ON dm.a = nc1.c JOIN t ON t.i =
                           + f"SELECT guess, round(r, 6) AS radius, uw AS uncovered_weight, centers, "
                             f"uw <= {CORE_Z} AS ok FROM per_guess")
     o["kcenter_exact"] = _with(*_exact_solver()) + "SELECT step, point_id FROM sol"
+    o["kcenter_exact_wide"] = (_with(*_exact_solver(*WIDE_KZ, 0.0))
+                               + "SELECT step, point_id FROM sol")
+    o["kcenter_coreset_alpha0"] = (_with(*_core_solver(alpha=0.0))
+                                   + "SELECT step, point_id FROM sol")
+    o["kcenter_embeddings_summary"] = (
+        _with(*_core_solver("embeddings", *EMB_KZL, CORE_ALPHA),
+              *_objective_ctes("embeddings", EMB_KZL[1]))
+        + _summary_select("SELECT sum(w) FROM core", str(EMB_KZL[2]), EMB_KZL[0], EMB_KZL[1]))
     o["kcenter_coreset"] = _with(*_core_solver()) + "SELECT step, point_id FROM sol"
     o["kcenter_objective"] = (_with(*_core_solver(), *_objective_ctes("customer", CORE_Z))
                               + "SELECT round(objective, 6) AS objective FROM obj")
