@@ -180,7 +180,7 @@ def _solver_start(spark, sf):
 
 
 def _ball_weights(w, prep, state):
-    return kc.ball_weights(state, CORE_ALPHA, prep.n_rows, prep.dim, len(prep.guesses))
+    return kc.ball_weights(state, CORE_ALPHA, prep.n_rows)
 
 
 def q_initial_radius(spark, sf):
@@ -208,7 +208,7 @@ def q_cover_step(spark, sf):
 
 def _greedy(spark, sf):
     w, prep, state = _solver_start(spark, sf)
-    return kc.greedy_cover(state, CORE_K, CORE_ALPHA, prep.n_rows, prep.dim, len(prep.guesses))
+    return kc.greedy_cover(state, CORE_K, CORE_ALPHA, prep.n_rows)
 
 
 def q_greedy_cover(spark, sf):

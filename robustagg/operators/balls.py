@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DEFAULT_BLOCK_ROWS = 4096
-_CHUNK = 512
+_CELLS = 1 << 17
 _OUT_SCHEMA = "guess int, idx long, point_id long, ball_weight long"
 
 
@@ -41,18 +41,36 @@ def _matrix(col: pa.ChunkedArray, n: int) -> np.ndarray:
     return flat.reshape(n, -1) if n else np.zeros((0, 0))
 
 
+def _distance_chunks(cand: np.ndarray, members: np.ndarray):
+    """Yield ``(lo, d)``: distances of candidate rows lo.. to every member,
+    a few rows at a time so the temporaries stay cache-sized (about 1 MB)."""
+    n, m = cand.shape[0], members.shape[0]
+    chunk = max(1, _CELLS // max(m, 1))
+    mt = np.ascontiguousarray(members.T)
+    acc = np.empty((min(chunk, n), m))
+    diff = np.empty_like(acc)
+    for lo in range(0, n, chunk):
+        c = cand[lo:lo + chunk]
+        a, d = acc[:c.shape[0]], diff[:c.shape[0]]
+        a.fill(0.0)
+        for j in range(members.shape[1]):
+            np.subtract(c[:, j][:, None], mt[j][None, :], out=d)
+            np.multiply(d, d, out=d)
+            a += d
+        np.sqrt(a, out=a)
+        yield lo, a
+
+
 def ball_sums(cand: np.ndarray, radius: np.ndarray, members: np.ndarray,
               weights: np.ndarray) -> np.ndarray:
     """For each candidate row, the sum of member weights within its radius."""
     out = np.zeros(cand.shape[0], dtype=np.int64)
-    for lo in range(0, cand.shape[0], _CHUNK):
-        c = cand[lo:lo + _CHUNK]
-        acc = np.zeros((c.shape[0], members.shape[0]))
-        for j in range(members.shape[1]):
-            diff = c[:, j][:, None] - members[:, j][None, :]
-            acc += diff * diff
-        inside = np.sqrt(acc) <= radius[lo:lo + _CHUNK][:, None]
-        out[lo:lo + _CHUNK] = inside.astype(np.int64) @ weights
+    if cand.shape[0] == 0 or members.shape[0] == 0:
+        return out
+    wf = weights.astype(np.float64)   # exact: weights stay far below 2**53
+    for lo, d in _distance_chunks(cand, members):
+        inside = d <= radius[lo:lo + d.shape[0]][:, None]
+        out[lo:lo + d.shape[0]] = np.rint(inside @ wf).astype(np.int64)
     return out
 
 
@@ -130,14 +148,9 @@ def _pair_block(c: pa.Table, m: pa.Table) -> pa.Table:
     xi = c.column("point_id").to_numpy()
     yi = m.column("point_id").to_numpy()
     count, lo, hi = 0, np.inf, -np.inf
-    for s in range(0, x.shape[0], _CHUNK):
-        acc = np.zeros((min(_CHUNK, x.shape[0] - s), y.shape[0]))
-        for j in range(x.shape[1]):
-            diff = x[s:s + _CHUNK, j][:, None] - y[:, j][None, :]
-            acc += diff * diff
-        d = np.sqrt(acc)
+    for s0, d in _distance_chunks(x, y):
         if same:
-            d = d[xi[s:s + _CHUNK][:, None] < yi[None, :]]
+            d = d[xi[s0:s0 + d.shape[0]][:, None] < yi[None, :]]
         if d.size:
             count += d.size
             lo, hi = min(lo, d.min()), max(hi, d.max())

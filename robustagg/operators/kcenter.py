@@ -48,7 +48,6 @@ from robustagg.params import check_alpha, check_k_z
 from robustagg.session import ensure_checkpoint_dir
 
 
-
 def selection_factor(alpha: float) -> float:
     return 1 + 2 * alpha
 
@@ -176,7 +175,7 @@ def initial_state(wpoints: DataFrame, guesses: list[float], n_rows: int | None =
             .withColumn("steps_done", F.lit(0)))
 
 
-def ball_weights(state: DataFrame, alpha: float, n_rows: int, dim: int, n_guesses: int,
+def ball_weights(state: DataFrame, alpha: float, n_rows: int,
                  block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """``(guess, idx, point_id, ball_weight)`` for every uncovered point: the
     uncovered weight within (1+2a) * radius of it, itself included
@@ -245,9 +244,8 @@ def cover_step(state: DataFrame, best: DataFrame, alpha: float) -> DataFrame:
         step.cast("int").alias("steps_done"))
 
 
-def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int, dim: int,
-                 n_guesses: int, block_rows: int = DEFAULT_BLOCK_ROWS,
-                 steps: int | None = None) -> DataFrame:
+def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int,
+                 block_rows: int = DEFAULT_BLOCK_ROWS, steps: int | None = None) -> DataFrame:
     """Run up to k greedy steps for every guess; returns the checkpointed
     final state. Stops early once no guess has uncovered weight left (an
     observed metric of the checkpoint job itself, no extra job)."""
@@ -256,7 +254,7 @@ def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int, dim: int,
     state = state.checkpoint()
     last = steps or k
     for step in range(1, last + 1):
-        weights = ball_weights(state, alpha, n_rows, dim, n_guesses, block_rows)
+        weights = ball_weights(state, alpha, n_rows, block_rows)
         nxt = cover_step(state, best_ball(weights, state), alpha)
         left = Observation(f"uncovered_weight_{step}")
         state = nxt.observe(left, F.sum(F.when(F.col("uncovered"), F.col("weight"))
@@ -282,7 +280,7 @@ def weighted_kcenter(wpoints: DataFrame, k: int, z: int, alpha: float,
     weight)``. Quadratic in the number of rows: pass a coreset."""
     prep = prepare(wpoints, k, z, alpha)
     state = greedy_cover(initial_state(wpoints, prep.guesses, prep.n_rows), k, alpha,
-                         prep.n_rows, prep.dim, len(prep.guesses), block_rows)
+                         prep.n_rows, block_rows)
     per_guess = radius_search(state, z)
     # One row per guess (a handful): the driver picks the smallest good one.
     rows = sorted(per_guess.collect(), key=lambda r: r["guess"])

@@ -94,9 +94,8 @@ def test_blocked_and_expression_paths_agree(spark):
     prep = kc.prepare(w, 3, 5, 0.0)
     st = kc.initial_state(w, prep.guesses, prep.n_rows)
     cols = ["guess", "idx", "point_id", "ball_weight"]
-    a = kc.ball_weights(st, 0.0, prep.n_rows, prep.dim, len(prep.guesses)).select(cols)
-    b = kc.ball_weights(st, 0.0, prep.n_rows, prep.dim, len(prep.guesses),
-                        block_rows=16).select(cols)
+    a = kc.ball_weights(st, 0.0, prep.n_rows).select(cols)
+    b = kc.ball_weights(st, 0.0, prep.n_rows, block_rows=16).select(cols)
     c = kc.ball_weights_expr(st, 0.0).select(cols)
     for other in (b, c):
         assert a.exceptAll(other).count() == 0 and other.exceptAll(a).count() == 0
@@ -189,7 +188,7 @@ def test_solver_step_plan_has_no_pair_join(spark):
     prep = kc.prepare(w, 3, 5, 0.0)
     st = kc.initial_state(w, prep.guesses, prep.n_rows).checkpoint()
     for block_rows in (4096, 16):
-        bw = kc.ball_weights(st, 0.0, prep.n_rows, prep.dim, len(prep.guesses), block_rows)
+        bw = kc.ball_weights(st, 0.0, prep.n_rows, block_rows)
         step = kc.cover_step(st, kc.best_ball(bw, st), 0.0)
         plan = _plan(step)
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
