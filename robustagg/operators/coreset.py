@@ -56,6 +56,15 @@ def part_column(parts: int, by: str = "mod") -> Column:
     return F.pmod(key, F.lit(int(parts))).cast("int")
 
 
+PART_BYTES = 256 * 1024 * 1024
+
+
+def rows_per_part(dim: int, part_bytes: int = PART_BYTES) -> int:
+    """Points a part may hold: the Arrow input, its numpy copy and the
+    running distances fit ``part_bytes`` (about three doubles per coordinate)."""
+    return max(1, part_bytes // (24 * max(dim, 1) + 32))
+
+
 def parts_for(n_points: int, k: int, z: int, max_part_rows: int = 2_000_000) -> int:
     """A number of parts that keeps every part under ``max_part_rows`` and,
     when that allows, balances part size against coreset size
@@ -153,20 +162,24 @@ def coreset(points: DataFrame, m: int, parts: int, by: str = "mod",
                                               CORESET_SCHEMA)
 
 
-def compress(core: DataFrame, m: int, max_rows: int, rows: int, by: str = "hash") -> tuple[DataFrame, int]:
+def compress(core: DataFrame, m: int, max_rows: int, rows: int, by: str = "hash",
+             max_part_rows: int | None = None) -> tuple[DataFrame, int, int]:
     """Shrink a weighted coreset of ``rows`` rows below ``max_rows`` by more
-    farthest-first levels over parts of it (weights summed). Each level keeps
-    m picks per part, so ``max_rows // m`` parts bring it under the bound.
-    Returns the final coreset and its number of parts."""
-    parts = None
+    farthest-first levels over parts of it (weights summed). A level keeps m
+    picks per part; parts never exceed ``max_part_rows``, so a very large
+    coreset takes several levels. Returns the coreset, its number of parts
+    and the number of levels added."""
+    parts, levels = None, 0
     while rows > max_rows:
         parts = max(1, max_rows // m)
+        if max_part_rows and math.ceil(rows / parts) > max_part_rows:
+            parts = math.ceil(rows / max_part_rows)
         if rows <= parts * m:       # parts too small to drop anything
             break
         core = coreset(core.select("point_id", "features", "weight"), m, parts, by,
                        weight_col="weight").checkpoint()
-        rows = parts * m
-    return core, parts
+        rows, levels = parts * m, levels + 1
+    return core, parts, levels
 
 
 def farthest_first_centers(points: DataFrame, m: int, parts: int = 1, by: str = "mod") -> DataFrame:

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from robustagg.operators.coreset import compress, coreset, parts_for
+from robustagg.operators.coreset import compress, coreset, parts_for, rows_per_part
 from robustagg.operators.kcenter import (
     KCenterResult, coreset_weighted, kcenter_exact, weighted_kcenter,
 )
@@ -44,11 +44,12 @@ class TwoRoundResult:
 
 def two_round_kcenter(points: DataFrame, k: int, z: int, parts: int | None = None,
                       alpha: float = 2.0, by: str | None = None,
-                      max_part_rows: int = 2_000_000,
+                      max_part_rows: int | None = None,
                       max_coreset_rows: int = DEFAULT_MAX_CORESET_ROWS,
                       **solver_kw) -> TwoRoundResult:
     """Round 1 (coreset over ``parts`` parts; chosen from the point count when
-    ``None`` so that no part exceeds ``max_part_rows``), then round 2 on the
+    ``None`` so that no part exceeds ``max_part_rows``, by default what a
+    256 MB part holds at the data's dimension), then round 2 on the
     coreset. A coreset above ``max_coreset_rows`` rows is compressed by
     further farthest-first levels first (bounded solver input; the
     approximation loosens by a constant per level). Below that bound the
@@ -59,15 +60,18 @@ def two_round_kcenter(points: DataFrame, k: int, z: int, parts: int | None = Non
     ensure_checkpoint_dir(points.sparkSession)
     m = k + z + 1
     if parts is None:
-        parts = parts_for(points.count(), k, z, max_part_rows)
+        size = points.agg(F.count(F.lit(1)).alias("n"),
+                          F.max(F.size("features")).alias("dim")).first()
+        max_part_rows = max_part_rows or rows_per_part(size["dim"] or 1)
+        parts = parts_for(size["n"], k, z, max_part_rows)
         by = by or "hash"
     by = by or "mod"
     check_parts(parts)
     core = coreset(points, m, parts, by).checkpoint()
     levels = 1
     if m * parts > max_coreset_rows:
-        core, _ = compress(core, m, max_coreset_rows, m * parts)
-        levels = 2
+        core, _, extra = compress(core, m, max_coreset_rows, m * parts, max_part_rows=max_part_rows)
+        levels += extra
     solve = weighted_kcenter(coreset_weighted(core, m), k, z, alpha, **solver_kw)
     obj = objective(points, solve.solution, z)
     return TwoRoundResult(core=core, solve=solve, objective=obj, parts=parts, k=k, z=z,

@@ -108,10 +108,19 @@ def test_pair_summary_blocked_equals_single(spark):
 def test_compress_keeps_total_weight(spark):
     p = pts.customer_points(spark, SF01)
     core = cs.coreset(p, 10, 8).checkpoint()
-    small, parts = cs.compress(core, 10, 30, 80)
-    assert parts == 3
+    small, parts, levels = cs.compress(core, 10, 30, 80)
+    assert parts == 3 and levels == 1
     rows = small.collect()
     assert len(rows) <= 30 and sum(r.weight for r in rows) == 1500
     # compressed picks are original points
     ids = {r.point_id for r in core.collect()}
     assert {r.point_id for r in rows} <= ids
+
+
+def test_compress_respects_part_bound(spark):
+    p = pts.customer_points(spark, SF01)
+    core = cs.coreset(p, 10, 30).checkpoint()           # 300 rows
+    small, parts, levels = cs.compress(core, 10, 20, 300, max_part_rows=40)
+    assert levels == 2                                  # 300 -> 80 -> 20
+    rows = small.collect()
+    assert len(rows) <= 20 and sum(r.weight for r in rows) == 1500
