@@ -32,7 +32,9 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from robustagg.functions.distance import euclidean, nearest_with_id
 from robustagg.params import check_parts
+from robustagg.session import ensure_checkpoint_dir
 
 # The per-part function travels to the Python workers by value, so executors
 # do not need this package installed.
@@ -145,12 +147,19 @@ def _coreset_of_part(m: int, weighted: bool):
 
 
 def coreset(points: DataFrame, m: int, parts: int, by: str = "mod",
-            part_col: str | None = None, weight_col: str | None = None) -> DataFrame:
+            part_col: str | None = None, weight_col: str | None = None,
+            max_part_rows: int | str | None = "auto") -> DataFrame:
     """Weighted coreset ``(part, pick, point_id, features, weight)``: per part,
     ``m`` farthest-first picks and the number of the part's points nearest to
     each. Weights sum to the number of points. ``part_col`` names an existing
     part column to use instead of ``part_column(parts, by)``; with
-    ``weight_col`` the input is itself weighted and weights are summed."""
+    ``weight_col`` the input is itself weighted and weights are summed.
+
+    With ``max_part_rows`` (default "auto": what ``PART_BYTES`` holds at the
+    data's dimension) the parts are counted first (a scan of the ids only);
+    parts within the bound run in memory, larger ones through
+    ``farthest_first_distributed``, which gives the same picks and weights
+    without ever holding a part in one task. ``None`` skips the count."""
     if m < 1:
         raise ValueError(f"the number of picks must be >= 1, got {m}")
     part = F.col(part_col).cast("int") if part_col else part_column(parts, by)
@@ -158,8 +167,71 @@ def coreset(points: DataFrame, m: int, parts: int, by: str = "mod",
     if weight_col:
         cols.append(F.col(weight_col).cast("long").alias("weight"))
     keyed = points.select(*cols)
-    return keyed.groupBy("part").applyInArrow(_coreset_of_part(int(m), bool(weight_col)),
-                                              CORESET_SCHEMA)
+    in_memory = _coreset_of_part(int(m), bool(weight_col))
+    if max_part_rows is None:
+        return keyed.groupBy("part").applyInArrow(in_memory, CORESET_SCHEMA)
+    if max_part_rows == "auto":
+        first = keyed.select(F.size("features").alias("d")).first()
+        max_part_rows = rows_per_part(first["d"] if first else 1)
+    # One row per part (at most L rows reach the driver).
+    big = [r["part"] for r in keyed.groupBy("part").count()
+                                   .where(F.col("count") > F.lit(int(max_part_rows))).collect()]
+    if not big:
+        return keyed.groupBy("part").applyInArrow(in_memory, CORESET_SCHEMA)
+    small = keyed.where(~F.col("part").isin(big)).groupBy("part").applyInArrow(
+        in_memory, CORESET_SCHEMA)
+    large = farthest_first_distributed(keyed.where(F.col("part").isin(big)), int(m),
+                                       bool(weight_col))
+    return small.unionByName(large)
+
+
+def farthest_first_distributed(keyed: DataFrame, m: int, weighted: bool = False) -> DataFrame:
+    """The per-part traversal and weights as DataFrame jobs, for parts too
+    large for one task: each pick is one pass that updates every point's
+    distance to its nearest pick so far (checkpointed state) and one ``max_by``
+    per part for the next pick (ties to the smaller id). Same results as the
+    in-memory traversal, O(m) passes over the parts."""
+    ensure_checkpoint_dir(keyed.sparkSession)
+    w = F.col("weight") if weighted else F.lit(1).cast("long")
+    state = keyed.select("part", "point_id", "features", w.alias("weight"),
+                         F.lit(float("inf")).alias("mind"),
+                         F.lit(0).alias("assign")).checkpoint()
+    first = state.groupBy("part").agg(F.min_by(F.struct("point_id", "features"), "point_id")
+                                       .alias("c"))
+    last = first.select("part", F.lit(0).alias("pick"), F.col("c.point_id").alias("point_id"),
+                        F.col("c.features").alias("features")).checkpoint()
+    picks = [last]
+    for t in range(m):
+        cur = last.select("part", F.col("pick").alias("lp"), F.col("features").alias("cf"))
+        upd = state.join(F.broadcast(cur), "part", "left")
+        d = euclidean(F.col("features"), F.col("cf"))
+        closer = F.col("cf").isNotNull() & (d < F.col("mind"))
+        state = upd.select("part", "point_id", "features", "weight",
+                           F.when(closer, d).otherwise(F.col("mind")).alias("mind"),
+                           F.when(closer, F.col("lp")).otherwise(F.col("assign")).alias("assign")
+                           ).checkpoint()
+        if t == m - 1:
+            break
+        nxt = (state.groupBy("part")
+                    .agg(F.max_by(F.struct("point_id", "features"),
+                                  F.struct(F.col("mind"), -F.col("point_id"))).alias("c"),
+                         F.max("mind").alias("md"))
+                    .where(F.col("md") > 0)
+                    .select("part", F.lit(t + 1).alias("pick"),
+                            F.col("c.point_id").alias("point_id"),
+                            F.col("c.features").alias("features"))).checkpoint()
+        if nxt.isEmpty():
+            break
+        last = nxt
+        picks.append(nxt)
+    chosen = picks[0]
+    for more in picks[1:]:
+        chosen = chosen.unionByName(more)
+    weights = state.groupBy("part", F.col("assign").alias("pick")).agg(
+        F.sum("weight").cast("long").alias("weight"))
+    return (chosen.join(weights, ["part", "pick"], "left")
+                  .select("part", F.col("pick").cast("int").alias("pick"), "point_id", "features",
+                          F.coalesce("weight", F.lit(0)).cast("long").alias("weight")))
 
 
 def compress(core: DataFrame, m: int, max_rows: int, rows: int, by: str = "hash",
@@ -209,7 +281,6 @@ def nearest_pick(points: DataFrame, core: DataFrame, parts: int, by: str = "mod"
     (at most m * L picks) is broadcast when it fits ``BROADCAST_BYTES``, so the
     points are not shuffled; otherwise (or when its size is unknown) it is an
     ordinary shuffle join on ``part``, one small row per part."""
-    from robustagg.functions.distance import nearest_with_id
     per_part = (core.groupBy("part")
                     .agg(F.sort_array(F.collect_list(F.struct("pick", "point_id", "features")))
                          .alias("picks"))

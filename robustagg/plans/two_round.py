@@ -67,7 +67,7 @@ def two_round_kcenter(points: DataFrame, k: int, z: int, parts: int | None = Non
         by = by or "hash"
     by = by or "mod"
     check_parts(parts)
-    core = coreset(points, m, parts, by).checkpoint()
+    core = coreset(points, m, parts, by, max_part_rows=max_part_rows or "auto").checkpoint()
     levels = 1
     if m * parts > max_coreset_rows:
         core, _, extra = compress(core, m, max_coreset_rows, m * parts, max_part_rows=max_part_rows)

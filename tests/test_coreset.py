@@ -124,3 +124,28 @@ def test_compress_respects_part_bound(spark):
     assert levels == 2                                  # 300 -> 80 -> 20
     rows = small.collect()
     assert len(rows) <= 20 and sum(r.weight for r in rows) == 1500
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_distributed_traversal_equals_in_memory(spark, weighted):
+    p = pts.customer_points(spark, SF01)
+    if weighted:
+        p = p.withColumn("w", (F.col("point_id") % 3 + 1).cast("long"))
+    wc = "w" if weighted else None
+    mem = cs.coreset(p, 12, 3, weight_col=wc, max_part_rows=None)
+    dist = cs.coreset(p, 12, 3, weight_col=wc, max_part_rows=100)    # every part is larger
+    mixed = cs.coreset(p, 12, 3, by="hash", weight_col=wc, max_part_rows=None)
+    assert {tuple(r) for r in mem.select("part", "pick", "point_id", "weight").collect()} == \
+           {tuple(r) for r in dist.select("part", "pick", "point_id", "weight").collect()}
+    total = p.agg(F.sum("w")).first()[0] if weighted else 1500
+    assert mixed.agg(F.sum("weight")).first()[0] == total
+    assert dist.agg(F.sum("weight")).first()[0] == total
+
+
+def test_distributed_traversal_stops_on_copies(spark):
+    rows = [(i, [float(i % 3), 0.0]) for i in range(30)]
+    df = point_frame(spark, rows)
+    a = cs.coreset(df, 6, 2, max_part_rows=None).orderBy("part", "pick").collect()
+    b = cs.coreset(df, 6, 2, max_part_rows=4).orderBy("part", "pick").collect()
+    assert [tuple(r[:3]) + (r[4],) for r in a] == [tuple(r[:3]) + (r[4],) for r in b]
+    assert len(a) == 6
