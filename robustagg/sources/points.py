@@ -12,12 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from robustagg.sources.tables import read_table
+
 # How the test tables map onto points (see FIXTURES.md).
 NATION_SCALE = 400.0
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 def customer_points(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from robustagg.sources.tables import read_table
+
 # Positions of the fields the reference reads.
 PRODUCT_FIELD = 1
 QUANTITY_FIELD = 3
@@ -30,7 +32,7 @@ COUNTRY_FIELD = 7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
