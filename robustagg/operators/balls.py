@@ -88,6 +88,38 @@ def _single_block(factor: float):
     return run
 
 
+_BEST_SCHEMA = "guess int, c_idx long, c_features array<double>, top long"
+
+
+def _single_block_best(factor: float):
+    def run(t: pa.Table) -> pa.Table:
+        n = t.num_rows
+        x = _matrix(t.column("features"), n)
+        r = t.column("radius").to_numpy() * factor
+        bw = ball_sums(x, r, x, t.column("weight").to_numpy().astype(np.int64))
+        idx = t.column("idx").to_numpy()
+        top = bw.max() if n else 0
+        if top <= 0:
+            return pa.table({"guess": pa.array([], pa.int32()), "c_idx": pa.array([], pa.int64()),
+                             "c_features": pa.array([], pa.list_(pa.float64())),
+                             "top": pa.array([], pa.int64())})
+        best = int(np.flatnonzero(bw == top)[np.argmin(idx[bw == top])])   # ties: smaller idx
+        return pa.table({"guess": t.column("guess").take([best]),
+                         "c_idx": t.column("idx").take([best]),
+                         "c_features": t.column("features").take([best]),
+                         "top": pa.array([int(top)], pa.int64())})
+    return run
+
+
+def best_ball_single_block(unc: DataFrame, factor: float) -> DataFrame:
+    """``(guess, c_idx, c_features, top)``: the heaviest ball of each guess
+    whose uncovered points form one block (no partial sums to add), chosen
+    inside the kernel; guesses without uncovered weight give no row."""
+    cols = ["guess", "radius", "idx", "point_id", "features", "weight"]
+    return unc.select(*cols).groupBy("guess").applyInArrow(_single_block_best(factor),
+                                                           _BEST_SCHEMA)
+
+
 def _block_pair(factor: float):
     def run(c: pa.Table, m: pa.Table) -> pa.Table:
         n = c.num_rows

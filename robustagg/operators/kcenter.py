@@ -43,7 +43,9 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from robustagg.functions.distance import euclidean
-from robustagg.operators.balls import DEFAULT_BLOCK_ROWS, ball_weights_blocked
+from robustagg.operators.balls import (
+    DEFAULT_BLOCK_ROWS, ball_weights_blocked, best_ball_single_block,
+)
 from robustagg.params import check_alpha, check_k_z
 from robustagg.session import ensure_checkpoint_dir
 
@@ -254,8 +256,13 @@ def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int,
     state = state.checkpoint()
     last = steps or k
     for step in range(1, last + 1):
-        weights = ball_weights(state, alpha, n_rows, block_rows)
-        nxt = cover_step(state, best_ball(weights, state), alpha)
+        if n_rows <= block_rows:
+            # One block per guess: the kernel picks the heaviest ball itself.
+            best = best_ball_single_block(state.where("uncovered"), selection_factor(alpha))
+            best = best.select("guess", "c_idx", "c_features")
+        else:
+            best = best_ball(ball_weights(state, alpha, n_rows, block_rows), state)
+        nxt = cover_step(state, best, alpha)
         left = Observation(f"uncovered_weight_{step}")
         state = nxt.observe(left, F.sum(F.when(F.col("uncovered"), F.col("weight"))
                                          .otherwise(F.lit(0))).alias("w")).checkpoint()
