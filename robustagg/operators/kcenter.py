@@ -251,10 +251,31 @@ def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int,
     """Run up to k greedy steps for every guess; returns the checkpointed
     final state. Stops early once no guess has uncovered weight left (an
     observed metric of the checkpoint job itself, no extra job)."""
+    return greedy_cover_observed(state, k, alpha, n_rows, block_rows, steps)[0]
+
+
+def _step_metrics(n_guesses: int) -> list[Column]:
+    unc = F.when(F.col("uncovered"), F.col("weight")).otherwise(F.lit(0))
+    cols = [F.sum(unc).alias("w")]
+    for g in range(n_guesses):
+        mine = F.col("guess") == F.lit(g)
+        cols.append(F.sum(F.when(mine, unc).otherwise(F.lit(0))).alias(f"w{g}"))
+        cols.append(F.count(F.when(mine, F.col("center_step"))).alias(f"c{g}"))
+    return cols
+
+
+def greedy_cover_observed(state: DataFrame, k: int, alpha: float, n_rows: int,
+                          block_rows: int = DEFAULT_BLOCK_ROWS, steps: int | None = None,
+                          n_guesses: int = 0) -> tuple[DataFrame, dict]:
+    """``greedy_cover`` that also returns the metrics observed on the last
+    checkpoint job: total uncovered weight ``w`` and, for each of the first
+    ``n_guesses`` guesses, its uncovered weight ``w<g>`` and number of centers
+    ``c<g>`` (the radius search without another job)."""
     spark = state.sparkSession
     ensure_checkpoint_dir(spark)
     state = state.checkpoint()
     last = steps or k
+    metrics: dict = {}
     for step in range(1, last + 1):
         if n_rows <= block_rows:
             # One block per guess: the kernel picks the heaviest ball itself.
@@ -263,12 +284,12 @@ def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int,
         else:
             best = best_ball(ball_weights(state, alpha, n_rows, block_rows), state)
         nxt = cover_step(state, best, alpha)
-        left = Observation(f"uncovered_weight_{step}")
-        state = nxt.observe(left, F.sum(F.when(F.col("uncovered"), F.col("weight"))
-                                         .otherwise(F.lit(0))).alias("w")).checkpoint()
-        if step < last and not left.get.get("w"):
+        seen = Observation(f"greedy_step_{step}")
+        state = nxt.observe(seen, *_step_metrics(n_guesses)).checkpoint()
+        metrics = seen.get
+        if step < last and not metrics.get("w"):
             break
-    return state
+    return state, metrics
 
 
 def radius_search(state: DataFrame, z: int) -> DataFrame:
@@ -286,21 +307,22 @@ def weighted_kcenter(wpoints: DataFrame, k: int, z: int, alpha: float,
     """Solve weighted k-center with z outliers on ``(idx, point_id, features,
     weight)``. Quadratic in the number of rows: pass a coreset."""
     prep = prepare(wpoints, k, z, alpha)
-    state = greedy_cover(initial_state(wpoints, prep.guesses, prep.n_rows), k, alpha,
-                         prep.n_rows, block_rows)
+    n_guesses = len(prep.guesses)
+    state, seen = greedy_cover_observed(initial_state(wpoints, prep.guesses, prep.n_rows), k,
+                                        alpha, prep.n_rows, block_rows, n_guesses=n_guesses)
     per_guess = radius_search(state, z)
-    # One row per guess (a handful): the driver picks the smallest good one.
-    rows = sorted(per_guess.collect(), key=lambda r: r["guess"])
-    win = next((r for r in rows if r["ok"]), None)
-    if win is None:
+    # Per-guess uncovered weight and center count were observed on the last
+    # step's job: the driver picks the smallest guess that leaves <= z.
+    g = next((g for g in range(n_guesses) if (seen.get(f"w{g}") or 0) <= z), None)
+    if g is None:
         raise RuntimeError("no radius guess covered the points; the diameter bound failed")
-    g = win["guess"]
     solution = (state.where((F.col("guess") == F.lit(g)) & F.col("center_step").isNotNull())
                      .select(F.col("center_step").alias("step"), "point_id", "features")
                      .orderBy("step"))
     return KCenterResult(state=state, per_guess=per_guess, solution=solution,
                          initial_guess=prep.initial_guess, final_guess=prep.guesses[g],
-                         guesses=g + 1, solution_size=int(win["centers"]), n_rows=prep.n_rows)
+                         guesses=g + 1, solution_size=int(seen.get(f"c{g}") or 0),
+                         n_rows=prep.n_rows)
 
 
 def unit_weighted(points: DataFrame) -> DataFrame:
