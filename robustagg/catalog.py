@@ -256,7 +256,7 @@ def q_kcenter_objective(spark, sf):
 def q_kcenter_assignment(spark, sf):
     customers = pts.customer_points(spark, sf)
     res = two_round_kcenter(customers, CORE_K, CORE_Z, CORE_L, CORE_ALPHA)
-    a = assign_to_centers(customers, res.solve.solution)
+    a = assign_to_centers(customers, res.solve.solution, res.solve.centers)
     return a.select("point_id", "center_id", _r(F.col("distance")).alias("distance"))
 
 
@@ -279,7 +279,8 @@ def q_kcenter_exact_summary(spark, sf):
 def q_exact_objective(spark, sf):
     sup = pts.supplier_points(spark, sf)
     res = kc.kcenter_exact(sup, EXACT_K, EXACT_Z, EXACT_ALPHA)
-    return objective(sup, res.solution, EXACT_Z).select(_r(F.col("objective")).alias("objective"))
+    return objective(sup, res.solution, EXACT_Z, res.centers).select(
+        _r(F.col("objective")).alias("objective"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

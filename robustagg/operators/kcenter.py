@@ -77,6 +77,7 @@ class KCenterResult:
     guesses: int                 # number of guesses the doubling search makes
     solution_size: int
     n_rows: int
+    centers: tuple[list[int], list[list[float]]] | None = None   # ids, coordinates by step
 
 
 def window_radius_frame(wpoints: DataFrame, m: int) -> DataFrame:
@@ -261,6 +262,11 @@ def _step_metrics(n_guesses: int) -> list[Column]:
         mine = F.col("guess") == F.lit(g)
         cols.append(F.sum(F.when(mine, unc).otherwise(F.lit(0))).alias(f"w{g}"))
         cols.append(F.count(F.when(mine, F.col("center_step"))).alias(f"c{g}"))
+    if n_guesses:
+        # The chosen centers of every guess: at most k per guess.
+        picked = F.struct("guess", "center_step", "point_id", "features")
+        cols.append(F.collect_list(F.when(F.col("center_step").isNotNull(), picked))
+                     .alias("centers"))
     return cols
 
 
@@ -319,10 +325,13 @@ def weighted_kcenter(wpoints: DataFrame, k: int, z: int, alpha: float,
     solution = (state.where((F.col("guess") == F.lit(g)) & F.col("center_step").isNotNull())
                      .select(F.col("center_step").alias("step"), "point_id", "features")
                      .orderBy("step"))
+    chosen = sorted((c for c in seen.get("centers") or [] if c["guess"] == g),
+                    key=lambda c: c["center_step"])
+    centers = ([c["point_id"] for c in chosen], [list(c["features"]) for c in chosen])
     return KCenterResult(state=state, per_guess=per_guess, solution=solution,
                          initial_guess=prep.initial_guess, final_guess=prep.guesses[g],
                          guesses=g + 1, solution_size=int(seen.get(f"c{g}") or 0),
-                         n_rows=prep.n_rows)
+                         n_rows=prep.n_rows, centers=centers)
 
 
 def unit_weighted(points: DataFrame) -> DataFrame:

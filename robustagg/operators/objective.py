@@ -21,8 +21,14 @@ from robustagg.functions.distance import nearest
 TAKE_LIMIT = 10_000
 
 
-def centers_of(solution: DataFrame) -> tuple[list[int], list[list[float]]]:
-    """Point ids and coordinates of a solution (at most k rows), in step order."""
+Centers = tuple[list[int], list[list[float]]]
+
+
+def centers_of(solution: DataFrame, known: Centers | None = None) -> Centers:
+    """Point ids and coordinates of a solution (at most k rows), in step order:
+    ``known`` when the solver already observed them, else one small collect."""
+    if known is not None:
+        return known
     rows = solution.select("step", "point_id", "features").orderBy("step").collect()
     return [r["point_id"] for r in rows], [list(r["features"]) for r in rows]
 
@@ -34,10 +40,11 @@ def nearest_distance(features: Column, centers: list[list[float]]) -> Column:
     return nearest(features, lit, F.lit(list(range(len(centers)))))["distance"]
 
 
-def assign_to_centers(points: DataFrame, solution: DataFrame) -> DataFrame:
+def assign_to_centers(points: DataFrame, solution: DataFrame,
+                      centers: Centers | None = None) -> DataFrame:
     """``(point_id, center_id, distance)`` for every point: its nearest center
     of the solution (ties to the earlier step)."""
-    ids, feats = centers_of(solution)
+    ids, feats = centers_of(solution, centers)
     n = nearest(F.col("features"), F.lit(feats).cast("array<array<double>>"), F.lit(ids))
     return points.select("point_id",
                          F.element_at(F.lit(ids).cast("array<long>"), n["pos"] + 1).alias("center_id"),
@@ -65,9 +72,10 @@ def kth_largest(values: DataFrame, col: str, k: int, name: str = "value") -> Dat
     return top.agg(F.when(F.count(F.lit(1)) == F.lit(int(k)), F.min("v")).alias(name))
 
 
-def objective(points: DataFrame, solution: DataFrame, z: int) -> DataFrame:
+def objective(points: DataFrame, solution: DataFrame, z: int,
+              centers: Centers | None = None) -> DataFrame:
     """One row ``objective``: the largest nearest-center distance once the z
     farthest points are ignored."""
-    _, feats = centers_of(solution)
+    _, feats = centers_of(solution, centers)
     dist = points.select(nearest_distance(F.col("features"), feats).alias("d"))
     return kth_largest(dist, "d", int(z) + 1, "objective")

@@ -73,7 +73,7 @@ def two_round_kcenter(points: DataFrame, k: int, z: int, parts: int | None = Non
         core, _, extra = compress(core, m, max_coreset_rows, m * parts, max_part_rows=max_part_rows)
         levels += extra
     solve = weighted_kcenter(coreset_weighted(core, m), k, z, alpha, **solver_kw)
-    obj = objective(points, solve.solution, z)
+    obj = objective(points, solve.solution, z, solve.centers)
     return TwoRoundResult(core=core, solve=solve, objective=obj, parts=parts, k=k, z=z,
                           levels=levels)
 
@@ -102,5 +102,5 @@ def two_round_summary(res: TwoRoundResult) -> DataFrame:
 
 def exact_summary(points: DataFrame, k: int, z: int, alpha: float = 0.0) -> DataFrame:
     solve = kcenter_exact(points, k, z, alpha)
-    obj = objective(points, solve.solution, z)
+    obj = objective(points, solve.solution, z, solve.centers)
     return summary_frame(solve, obj, solve.n_rows, k, z, None)

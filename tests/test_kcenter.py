@@ -27,6 +27,9 @@ def test_fixture_two_round(spark, alpha, r0, final, guesses, centers, obj):
     assert round(res.solve.final_guess, 6) == final
     assert res.solve.guesses == guesses
     assert _ids(res.solve) == centers
+    # the centers observed on the last step's job are the solution's
+    assert res.solve.centers[0] == centers
+    assert res.solve.centers[1] == [list(r.features) for r in res.solve.solution.collect()]
     assert round(res.objective.first()[0], 6) == obj
 
 
