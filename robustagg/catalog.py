@@ -193,6 +193,15 @@ def q_ball_weights(spark, sf):
     return _ball_weights(w, prep, state).select("guess", "point_id", "ball_weight")
 
 
+def q_ball_members(spark, sf):
+    # The range join of J3 as its member count: uncovered points within
+    # (1+2a) * radius of each candidate (unit weights through the same kernel).
+    w, prep, state = _solver_start(spark, sf)
+    unit = state.withColumn("weight", F.lit(1).cast("long"))
+    return kc.ball_weights(unit, CORE_ALPHA, prep.n_rows).select(
+        "guess", "point_id", F.col("ball_weight").alias("members"))
+
+
 def q_best_ball(spark, sf):
     w, prep, state = _solver_start(spark, sf)
     best = kc.best_ball(_ball_weights(w, prep, state), state)
@@ -304,6 +313,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pairwise_distances": q_pairwise_distances,
     "initial_radius": q_initial_radius,
     "ball_weights": q_ball_weights,
+    "ball_members": q_ball_members,
     "best_ball": q_best_ball,
     "cover_step": q_cover_step,
     "greedy_cover": q_greedy_cover,
@@ -539,6 +549,10 @@ FROM (SELECT list_distance(a.e, b.e) AS d FROM p a JOIN p b ON a.v < b.v) s""")
     o["ball_weights"] = (_with(*_step1_ctes())
                          + "SELECT bw1.guess, t.v AS point_id, CAST(ball_weight AS BIGINT) AS "
                            "ball_weight FROM bw1 JOIN t USING (i)")
+    o["ball_members"] = (_with(*_step1_ctes())
+                         + f"""SELECT gs.guess, a.v AS point_id, count(*) AS members
+FROM gs, t a JOIN dm ON dm.a = a.i
+WHERE dm.d <= {float(1 + 2 * CORE_ALPHA)} * gs.r GROUP BY gs.guess, a.v""")
     o["best_ball"] = (_with(*_step1_ctes())
                       + "SELECT nc1.guess, t.v AS point_id FROM nc1 JOIN t ON t.i = nc1.c")
     o["cover_step"] = _with(*_step1_ctes()) + f"""
