@@ -279,7 +279,9 @@ def greedy_cover_observed(state: DataFrame, k: int, alpha: float, n_rows: int,
     ``c<g>`` (the radius search without another job)."""
     spark = state.sparkSession
     ensure_checkpoint_dir(spark)
-    state = state.checkpoint()
+    # The starting state is a cheap projection of its input (a checkpointed
+    # coreset, or one exchange Spark reuses within the step): the first step's
+    # checkpoint is the first cut.
     last = steps or k
     metrics: dict = {}
     for step in range(1, last + 1):
