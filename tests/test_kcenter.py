@@ -220,3 +220,23 @@ def test_nearest_pick_broadcast_only_when_sized(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_results_do_not_depend_on_shuffle_partitions(spark):
+    from robustagg.operators import popularity as pop
+    from robustagg.sources import transactions as tx
+    p = pts.customer_points(spark, SF01)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for n in ("3", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            res = two_round_kcenter(p.repartition(int(n)), 8, 40, 4, 2.0)
+            top = pop.popularity_top_h(pop.product_popularity(
+                pop.product_customer_pairs(tx.transactions_from_tables(spark, SF01))), 5)
+            results.append((_ids(res.solve), round(res.objective.first()[0], 9),
+                            [tuple(r) for r in top.orderBy("rank").collect()]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1]
+    assert results[0][0] == [1337, 604, 1368, 380]
