@@ -59,6 +59,8 @@ def part_column(parts: int, by: str = "mod") -> Column:
 
 
 PART_BYTES = 256 * 1024 * 1024
+BROADCAST_PART_IDS = 1_000_000     # part ids (ints) broadcast to split parts
+BROADCAST_BYTES = 64 * 1024 * 1024  # per-part pick rows broadcast when below
 
 
 def rows_per_part(dim: int, part_bytes: int = PART_BYTES) -> int:
@@ -173,19 +175,23 @@ def coreset(points: DataFrame, m: int, parts: int, by: str = "mod",
     if max_part_rows == "auto":
         first = keyed.select(F.size("features").alias("d")).first()
         max_part_rows = rows_per_part(first["d"] if first else 1)
-    # One row per part (at most L rows reach the driver).
-    big = [r["part"] for r in keyed.groupBy("part").count()
-                                   .where(F.col("count") > F.lit(int(max_part_rows))).collect()]
-    if not big:
+    # Parts over the bound (their ids only; the id column is all this reads).
+    big = (keyed.groupBy("part").count()
+                .where(F.col("count") > F.lit(int(max_part_rows)))
+                .select("part").checkpoint())
+    n_big = big.count()
+    if not n_big:
         return keyed.groupBy("part").applyInArrow(in_memory, CORESET_SCHEMA)
-    small = keyed.where(~F.col("part").isin(big)).groupBy("part").applyInArrow(
+    marks = F.broadcast(big) if n_big <= BROADCAST_PART_IDS else big
+    small = keyed.join(marks, "part", "left_anti").groupBy("part").applyInArrow(
         in_memory, CORESET_SCHEMA)
-    large = farthest_first_distributed(keyed.where(F.col("part").isin(big)), int(m),
-                                       bool(weight_col))
+    large = farthest_first_distributed(keyed.join(marks, "part", "left_semi"), int(m),
+                                       bool(weight_col), n_parts=n_big)
     return small.unionByName(large)
 
 
-def farthest_first_distributed(keyed: DataFrame, m: int, weighted: bool = False) -> DataFrame:
+def farthest_first_distributed(keyed: DataFrame, m: int, weighted: bool = False,
+                               n_parts: int | None = None) -> DataFrame:
     """The per-part traversal and weights as DataFrame jobs, for parts too
     large for one task: each pick is one pass that updates every point's
     distance to its nearest pick so far (checkpointed state) and one ``max_by``
@@ -201,9 +207,12 @@ def farthest_first_distributed(keyed: DataFrame, m: int, weighted: bool = False)
     last = first.select("part", F.lit(0).alias("pick"), F.col("c.point_id").alias("point_id"),
                         F.col("c.features").alias("features")).checkpoint()
     picks = [last]
+    # One pick row per part: broadcast when that many coordinates are small.
+    dim = len(last.first()["features"])
+    small_side = n_parts is not None and n_parts * (dim + 3) * 8 <= BROADCAST_BYTES
     for t in range(m):
         cur = last.select("part", F.col("pick").alias("lp"), F.col("features").alias("cf"))
-        upd = state.join(F.broadcast(cur), "part", "left")
+        upd = state.join(F.broadcast(cur) if small_side else cur, "part", "left")
         d = euclidean(F.col("features"), F.col("cf"))
         closer = F.col("cf").isNotNull() & (d < F.col("mind"))
         state = upd.select("part", "point_id", "features", "weight",
@@ -268,9 +277,6 @@ def total_weight(core: DataFrame) -> DataFrame:
     return core.agg(F.sum("weight").cast("long").alias("total_weight"))
 
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
 def nearest_pick(points: DataFrame, core: DataFrame, parts: int, by: str = "mod",
                  m: int | None = None, dim: int | None = None) -> DataFrame:
     """Every point with its nearest pick of its own part (ties to the earlier
