@@ -15,19 +15,21 @@ Spark design:
 * All radius guesses are independent, so they run side by side as a
   ``guess`` column: one job per greedy step for every guess, instead of one
   job per step per guess. The number of guesses comes from an upper bound on
-  the diameter (twice the largest distance to the first point): once
-  (3+4a)r reaches it one ball covers everything.
+  the diameter (the diagonal of the bounding box): once (3+4a)r reaches it
+  one ball covers everything.
 * The state (T points x G guesses) is cut from its lineage each step with
   ``checkpoint()`` (reliable storage, ``spark.checkpoint.dir``) so the plan
-  does not grow with k.
+  does not grow with k. The stop test, the per-guess uncovered weight and the
+  chosen centers are observed metrics of that same job.
 * Ball weights need, for each uncovered candidate, the uncovered weight
   within a radius: a range self-join. It is evaluated on bounded blocks
   (``robustagg.operators.balls``): a numpy kernel per (guess, candidate
   block, member block) cogroup, partial sums added by a ``groupBy``. No
   pair rows are materialised and no task holds more than two blocks.
-* Picking the heaviest ball (``max_by`` per guess) and removing the covered
-  points (a join with the new centers, broadcast: one row per guess) are
-  plain DataFrame operators.
+* Picking the heaviest ball (``max_by`` per guess, or inside the kernel when
+  a guess's uncovered points form one block) and removing the covered points
+  (a join with the new centers, broadcast: one row per guess) are plain
+  DataFrame operators.
 * The solver is quadratic in the number of weighted points: run it on a
   coreset (``robustagg.operators.coreset``), whose size m * L does not grow
   with the data. ``kcenter_exact`` on raw points is the reference's
@@ -60,7 +62,7 @@ def removal_factor(alpha: float) -> float:
 
 @dataclass
 class SolverInput:
-    """Scalars a solve needs, gathered with two small aggregate jobs."""
+    """Scalars a solve needs, gathered with one small aggregate job."""
     n_rows: int
     dim: int
     initial_guess: float
