@@ -12,8 +12,11 @@ The traversal is inherently sequential inside a part (each pick depends on the
 previous one), so it runs as one ``applyInArrow`` function per part: numpy
 over the Arrow buffers, a running-minimum update per pick, O(n_part * m * d)
 work and O(n_part * d) memory. L is the knob that bounds a part; choose it so
-that n / L points fit in a task (``parts_for``). The output has at most m * L
-rows, whatever the input size.
+that n / L points fit in a task (``parts_for``). Parts are counted first, and
+a part over the memory bound is traversed by DataFrame jobs instead
+(``farthest_first_distributed``: one pass per pick, same result), so no task
+ever holds an unbounded part. The output has at most m * L rows, whatever the
+input size.
 
 When a part runs out of distinct points (every remaining point coincides with
 a pick), the traversal stops early instead of repeating its first point with
@@ -178,8 +181,8 @@ def coreset(points: DataFrame, m: int, parts: int, by: str = "mod",
     # Parts over the bound (their ids only; the id column is all this reads).
     big = (keyed.groupBy("part").count()
                 .where(F.col("count") > F.lit(int(max_part_rows)))
-                .select("part").checkpoint())
-    n_big = big.count()
+                .select("part"))
+    n_big = big.count()   # one id-only job; recomputed below only if non-zero
     if not n_big:
         return keyed.groupBy("part").applyInArrow(in_memory, CORESET_SCHEMA)
     marks = F.broadcast(big) if n_big <= BROADCAST_PART_IDS else big
