@@ -103,7 +103,8 @@ def window_radius_frame(wpoints: DataFrame, m: int) -> DataFrame:
 
 
 def spread_frame(wpoints: DataFrame) -> DataFrame:
-    """One row: row count, smallest and largest dimension, and the diagonal
+    """One row: row count, smallest and largest dimension, smallest weight,
+    and the diagonal
     of the bounding box (an upper bound on every pair distance). Partial
     aggregates per coordinate, so the shuffle is tiny."""
     coords = (wpoints.select(F.posexplode("features").alias("pos", "x"))
@@ -111,7 +112,8 @@ def spread_frame(wpoints: DataFrame) -> DataFrame:
     diag = coords.agg(F.sqrt(F.sum(F.col("span") * F.col("span"))).alias("diag"))
     sizes = wpoints.agg(F.count(F.lit(1)).alias("n"),
                         F.min(F.size("features")).alias("dim_lo"),
-                        F.max(F.size("features")).alias("dim_hi"))
+                        F.max(F.size("features")).alias("dim_hi"),
+                        F.min("weight").alias("w_lo"))
     return sizes.unionByName(diag, allowMissingColumns=True)
 
 
@@ -153,6 +155,8 @@ def prepare(wpoints: DataFrame, k: int, z: int, alpha: float) -> SolverInput:
     diag = next((r["diag"] for r in rows if r["diag"] is not None), 0.0)
     if sizes["dim_lo"] != sizes["dim_hi"]:
         raise ValueError(f"points of unequal dimension ({sizes['dim_lo']} and {sizes['dim_hi']})")
+    if sizes["w_lo"] is None or sizes["w_lo"] < 0:
+        raise ValueError("weights must be non-negative and not null")
     r0 = win["dmin"] / 2 if win["dmin"] is not None else 0.0
     positive = win["dpos"]
     if r0 == 0 and positive is None and diag > 0:

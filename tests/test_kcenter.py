@@ -158,6 +158,9 @@ def test_bad_arguments(spark):
     bad = point_frame(spark, [(1, [0.0, 1.0]), (2, [1.0])])
     with pytest.raises(ValueError):
         kc.kcenter_exact(bad, 1, 0)
+    negative = kc.unit_weighted(df).withColumn("weight", F.lit(-1).cast("long"))
+    with pytest.raises(ValueError):
+        kc.weighted_kcenter(negative, 1, 0, 0.0)
 
 
 def test_kth_largest_both_paths(spark, monkeypatch):
