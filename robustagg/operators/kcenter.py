@@ -113,7 +113,8 @@ def spread_frame(wpoints: DataFrame) -> DataFrame:
     sizes = wpoints.agg(F.count(F.lit(1)).alias("n"),
                         F.min(F.size("features")).alias("dim_lo"),
                         F.max(F.size("features")).alias("dim_hi"),
-                        F.min("weight").alias("w_lo"))
+                        F.min("weight").alias("w_lo"),
+                        F.count(F.when(F.col("weight").isNull(), F.lit(1))).alias("w_null"))
     return sizes.unionByName(diag, allowMissingColumns=True)
 
 
@@ -155,7 +156,7 @@ def prepare(wpoints: DataFrame, k: int, z: int, alpha: float) -> SolverInput:
     diag = next((r["diag"] for r in rows if r["diag"] is not None), 0.0)
     if sizes["dim_lo"] != sizes["dim_hi"]:
         raise ValueError(f"points of unequal dimension ({sizes['dim_lo']} and {sizes['dim_hi']})")
-    if sizes["w_lo"] is None or sizes["w_lo"] < 0:
+    if sizes["w_null"] or sizes["w_lo"] is None or sizes["w_lo"] < 0:
         raise ValueError("weights must be non-negative and not null")
     r0 = win["dmin"] / 2 if win["dmin"] is not None else 0.0
     positive = win["dpos"]
