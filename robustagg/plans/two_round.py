@@ -60,10 +60,11 @@ def two_round_kcenter(points: DataFrame, k: int, z: int, parts: int | None = Non
     ensure_checkpoint_dir(points.sparkSession)
     m = k + z + 1
     if parts is None:
-        size = points.agg(F.count(F.lit(1)).alias("n"),
-                          F.max(F.size("features")).alias("dim")).first()
-        max_part_rows = max_part_rows or rows_per_part(size["dim"] or 1)
-        parts = parts_for(size["n"], k, z, max_part_rows)
+        # A row count (no column read) and the dimension of one row: sizing
+        # never scans the coordinates.
+        first = points.select(F.size("features").alias("d")).first()
+        max_part_rows = max_part_rows or rows_per_part((first["d"] if first else 1) or 1)
+        parts = parts_for(points.count(), k, z, max_part_rows)
         by = by or "hash"
     by = by or "mod"
     check_parts(parts)
