@@ -195,23 +195,6 @@ def ball_weights(state: DataFrame, alpha: float, n_rows: int,
     return ball_weights_blocked(unc, selection_factor(alpha), n_rows, block_rows)
 
 
-def ball_weights_expr(state: DataFrame, alpha: float) -> DataFrame:
-    """The same ball weights with Spark higher-order functions only (one
-    broadcast member array per guess). Interpreted, about a microsecond per
-    pair and the member arrays are broadcast whole: a cross-check for small
-    inputs, not the production path."""
-    unc = state.where("uncovered")
-    members = (unc.groupBy("guess")
-                  .agg(F.collect_list(F.struct("features", "weight")).alias("members")))
-    cand = unc.select("guess", "radius", "idx", "point_id", F.col("features").alias("cf"))
-    limit = F.lit(selection_factor(alpha)) * F.col("radius")
-    within = F.aggregate(
-        F.filter("members", lambda mb: euclidean(mb["features"], F.col("cf")) <= limit),
-        F.lit(0).cast("long"), lambda acc, mb: acc + mb["weight"])
-    return (cand.join(F.broadcast(members), "guess")
-                .select("guess", "idx", "point_id", within.alias("ball_weight")))
-
-
 def best_ball(weights: DataFrame, state: DataFrame | None = None) -> DataFrame:
     """``(guess, c_idx, c_features)``: the heaviest ball per guess, ties to the
     smaller idx; guesses whose uncovered weight is 0 get no row. When the
