@@ -145,3 +145,33 @@ def test_plans(txn):
     # partial aggregation before the shuffle for both the distinct and the count
     pp = _plan(pop.product_popularity(pop.product_customer_pairs(txn)))
     assert pp.count("HashAggregate") >= 4
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+_COUNTRIES = ["Italy", "italy", "ITALY", "France", "Spain"]
+_ROW = st.tuples(st.sampled_from(["P1", "P2", "P10", "P3"]), st.integers(-3, 5),
+                 st.integers(100, 104), st.sampled_from(_COUNTRIES))
+
+
+@settings(max_examples=15, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(_ROW, min_size=1, max_size=40),
+       country=st.sampled_from([None, "all", "iTaLy", "france"]),
+       salts=st.integers(1, 5), h=st.integers(1, 4))
+def test_random_logs_against_python(spark, rows, country, salts, h):
+    lines = [f"{i},{p},x,{q},d,1.0,{c},{n}" for i, (p, q, c, n) in enumerate(rows)]
+    df = tx.split_transactions(spark.createDataFrame([(v,) for v in lines], "value string"))
+    keep = [(p, c) for p, q, c, n in rows
+            if q > 0 and (country in (None, "all") or n.lower() == country.lower())]
+    want = {}
+    for p, c in set(keep):
+        want[p] = want.get(p, 0) + 1
+    pairs = pop.product_customer_pairs(df, country)
+    plain = {r["product_id"]: r["popularity"] for r in pop.product_popularity(pairs).collect()}
+    salted = {r["product_id"]: r["popularity"]
+              for r in pop.product_popularity_salted(pairs, salts).collect()}
+    assert plain == want and salted == want
+    top = [(r["product_id"], r["popularity"])
+           for r in popularity_report(df, h, country).orderBy("rank").collect()]
+    assert top == sorted(want.items(), key=lambda kv: (-kv[1], kv[0]))[:h]
