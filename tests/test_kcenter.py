@@ -259,3 +259,18 @@ def test_results_do_not_depend_on_shuffle_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1]
     assert results[0][0] == [1337, 604, 1368, 380]
+
+
+@pytest.mark.parametrize("seed,alpha", [(4, 0.0), (5, 2.0), (6, 2.0)])
+def test_weighted_random_against_definition(spark, seed, alpha):
+    rng = np.random.default_rng(seed)
+    x = np.round(rng.uniform(0, 10, size=(14, 2)), 3)
+    w = rng.integers(1, 6, size=len(x))
+    df = spark.createDataFrame(
+        [(int(i), int(i), [float(v) for v in x[i]], int(w[i])) for i in range(len(x))],
+        "idx long, point_id long, features array<double>, weight long")
+    k, z = 3, 4
+    res = kc.weighted_kcenter(df, k, z, alpha)
+    want, r = _numpy_greedy(x, w.astype(np.int64), k, z, alpha)
+    assert _ids(res) == want
+    assert res.final_guess == pytest.approx(r)
