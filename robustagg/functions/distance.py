@@ -25,6 +25,13 @@ def euclidean(a: Column, b: Column) -> Column:
     return F.sqrt(sqdist(a, b))
 
 
+def euclidean_sql(a: str, b: str) -> str:
+    """``euclidean`` as SQL text over two column names (one JVM-side parse
+    instead of building the lambdas call by call)."""
+    return (f"sqrt(aggregate(zip_with({a}, {b}, (x, y) -> (x - y) * (x - y)), 0D, "
+            f"(acc, v) -> acc + v))")
+
+
 def nearest(point: Column, center_features: Column, center_ids: Column) -> Column:
     """``struct(distance, center)`` of the closest center.
 

@@ -44,7 +44,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from robustagg.functions.distance import euclidean
+from robustagg.functions.distance import euclidean, euclidean_sql
 from robustagg.operators.balls import (
     DEFAULT_BLOCK_ROWS, ball_weights_blocked, best_ball_single_block,
 )
@@ -218,23 +218,26 @@ def best_ball(weights: DataFrame, state: DataFrame | None = None) -> DataFrame:
                  .join(F.broadcast(winners), ["guess", "c_idx"]))
 
 
+def _double(x: float) -> str:
+    return f"{float(x)!r}D"
+
+
 def cover_step(state: DataFrame, best: DataFrame, alpha: float) -> DataFrame:
     """One greedy step: mark the new centers (``best``: guess, c_idx,
     c_features; one row per guess, broadcast) and remove their (3+4a) *
     radius balls from the uncovered set; guesses without a new center keep
     their state. The step counter is a column, so every step compiles to the
-    same generated code."""
+    same generated code; the projection is SQL text, parsed once in the JVM
+    (the same expressions as ``robustagg.functions.distance``)."""
     joined = state.join(F.broadcast(best), "guess", "left")
-    reach = F.lit(removal_factor(alpha)) * F.col("radius")
-    still = F.col("uncovered") & (F.col("c_idx").isNull() |
-                                  (euclidean(F.col("features"), F.col("c_features")) > reach))
-    step = F.col("steps_done") + F.lit(1)
-    return joined.select(
+    dist = euclidean_sql("features", "c_features")
+    reach = f"{_double(removal_factor(alpha))} * radius"
+    return joined.selectExpr(
         "idx", "point_id", "features", "weight", "guess", "radius",
-        still.alias("uncovered"),
-        F.when(F.col("idx") == F.col("c_idx"), step).otherwise(F.col("center_step"))
-         .cast("int").alias("center_step"),
-        step.cast("int").alias("steps_done"))
+        f"uncovered AND (c_idx IS NULL OR {dist} > {reach}) AS uncovered",
+        "CAST(CASE WHEN idx = c_idx THEN steps_done + 1 ELSE center_step END AS INT)"
+        " AS center_step",
+        "CAST(steps_done + 1 AS INT) AS steps_done")
 
 
 def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int,
@@ -246,17 +249,15 @@ def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int,
 
 
 def _step_metrics(n_guesses: int) -> list[Column]:
-    unc = F.when(F.col("uncovered"), F.col("weight")).otherwise(F.lit(0))
-    cols = [F.sum(unc).alias("w")]
+    unc = "CASE WHEN uncovered THEN weight ELSE 0 END"
+    cols = [F.expr(f"sum({unc}) AS w")]
     for g in range(n_guesses):
-        mine = F.col("guess") == F.lit(g)
-        cols.append(F.sum(F.when(mine, unc).otherwise(F.lit(0))).alias(f"w{g}"))
-        cols.append(F.count(F.when(mine, F.col("center_step"))).alias(f"c{g}"))
+        cols.append(F.expr(f"sum(CASE WHEN guess = {g} THEN {unc} ELSE 0 END) AS w{g}"))
+        cols.append(F.expr(f"count(CASE WHEN guess = {g} THEN center_step END) AS c{g}"))
     if n_guesses:
         # The chosen centers of every guess: at most k per guess.
-        picked = F.struct("guess", "center_step", "point_id", "features")
-        cols.append(F.collect_list(F.when(F.col("center_step").isNotNull(), picked))
-                     .alias("centers"))
+        cols.append(F.expr("collect_list(CASE WHEN center_step IS NOT NULL THEN "
+                           "struct(guess, center_step, point_id, features) END) AS centers"))
     return cols
 
 
