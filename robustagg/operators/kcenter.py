@@ -88,33 +88,26 @@ def window_radius_frame(wpoints: DataFrame, m: int) -> DataFrame:
     the first point ``p0``. The window is bounded by m = k+z+1 rows and its
     pairs are scanned with higher-order functions on a single row."""
     head = wpoints.orderBy("idx").limit(m)
-    w = F.col("w")
-
-    def dists(i: Column) -> Column:
-        return F.transform(F.slice(w, i + 2, F.size(w)), lambda b: euclidean(w[i], b))
-
-    all_d = F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 2, F.lit(0))), dists))
+    dist = euclidean_sql("w[i]", "b")
+    all_d = (f"flatten(transform(sequence(0, greatest(size(w) - 2, 0)), "
+             f"i -> transform(slice(w, i + 2, size(w)), b -> {dist})))")
     return (head.agg(F.sort_array(F.collect_list(F.struct("idx", "features"))).alias("ws"))
-                .select(F.col("ws.features").alias("w"))
-                .select(F.array_min(all_d).alias("dmin"),
-                        F.array_min(F.filter(all_d, lambda d: d > 0)).alias("dpos"),
-                        w[0].alias("p0"))
-                .withColumn("initial_guess", F.coalesce(F.col("dmin") / 2, F.lit(0.0))))
+                .selectExpr("ws.features AS w")
+                .selectExpr(f"array_min({all_d}) AS dmin",
+                            f"array_min(filter({all_d}, d -> d > 0)) AS dpos", "w[0] AS p0")
+                .selectExpr("dmin", "dpos", "p0", "coalesce(dmin / 2, 0D) AS initial_guess"))
 
 
 def spread_frame(wpoints: DataFrame) -> DataFrame:
     """One row: row count, smallest and largest dimension, smallest weight,
-    and the diagonal
-    of the bounding box (an upper bound on every pair distance). Partial
-    aggregates per coordinate, so the shuffle is tiny."""
-    coords = (wpoints.select(F.posexplode("features").alias("pos", "x"))
-                     .groupBy("pos").agg((F.max("x") - F.min("x")).alias("span")))
-    diag = coords.agg(F.sqrt(F.sum(F.col("span") * F.col("span"))).alias("diag"))
-    sizes = wpoints.agg(F.count(F.lit(1)).alias("n"),
-                        F.min(F.size("features")).alias("dim_lo"),
-                        F.max(F.size("features")).alias("dim_hi"),
-                        F.min("weight").alias("w_lo"),
-                        F.count(F.when(F.col("weight").isNull(), F.lit(1))).alias("w_null"))
+    and the diagonal of the bounding box (an upper bound on every pair
+    distance). Partial aggregates per coordinate, so the shuffle is tiny."""
+    coords = (wpoints.selectExpr("posexplode(features) AS (pos, x)")
+                     .groupBy("pos").agg(F.expr("max(x) - min(x) AS span")))
+    diag = coords.agg(F.expr("sqrt(sum(span * span)) AS diag"))
+    sizes = wpoints.agg(F.expr("count(1) AS n"), F.expr("min(size(features)) AS dim_lo"),
+                        F.expr("max(size(features)) AS dim_hi"), F.expr("min(weight) AS w_lo"),
+                        F.expr("count(CASE WHEN weight IS NULL THEN 1 END) AS w_null"))
     return sizes.unionByName(diag, allowMissingColumns=True)
 
 
