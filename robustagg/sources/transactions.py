@@ -42,15 +42,14 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Catalyst prunes unused columns at the scans; sides are broadcast only
     # when their measured size is under the broadcast threshold (AQE), and the
     # big join is otherwise a sort-merge join with skew splitting.
-    li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_linestatus",
-        "l_quantity", "l_returnflag")
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    # The declared schemas (robustagg.sources.tables) list exactly the
+    # columns read, so no projection is needed before the joins.
+    li = _table(spark, sf_dir, "lineitem")
+    orders = _table(spark, sf_dir, "orders")
+    customer = _table(spark, sf_dir, "customer")
+    nation = _table(spark, sf_dir, "nation")
     buyers = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-                    .join(nation, customer.c_nationkey == nation.n_nationkey)
-                    .select("o_orderkey", "o_custkey", "n_name"))
+                    .join(nation, customer.c_nationkey == nation.n_nationkey))
     return li.join(buyers, li.l_orderkey == buyers.o_orderkey)
 
 
