@@ -75,9 +75,11 @@ def rows_per_part(dim: int, part_bytes: int = PART_BYTES) -> int:
 def parts_for(n_points: int, k: int, z: int, max_part_rows: int = 2_000_000) -> int:
     """A number of parts that keeps every part under ``max_part_rows`` and,
     when that allows, balances part size against coreset size
-    (L ~ sqrt(n / (k + z + 1)))."""
+    (L ~ sqrt(n / (k + z + 1))). Parts average at most half the bound, so the
+    spread of a hash split never pushes one over it (which would send that
+    part down the slower distributed traversal)."""
     m = k + z + 1
-    by_memory = math.ceil(n_points / max_part_rows)
+    by_memory = math.ceil(2 * n_points / max_part_rows)
     balanced = math.ceil(math.sqrt(n_points / m)) if n_points > 0 else 1
     return max(1, by_memory, min(balanced, max(1, n_points // max(m, 1))))
 

@@ -81,7 +81,16 @@ def test_nearest_pick_matches_weights(spark):
 
 def test_parts_for():
     assert cs.parts_for(10, 2, 1) >= 1
-    assert cs.parts_for(10_000_000, 8, 40, max_part_rows=1_000_000) >= 10
+    assert cs.parts_for(10_000_000, 8, 40, max_part_rows=1_000_000) >= 20
+
+
+def test_auto_parts_stay_under_the_bound(spark):
+    p = pts.customer_points(spark, SF01)
+    bound = 100
+    parts = cs.parts_for(1500, 4, 5, bound)
+    sizes = (p.select(cs.part_column(parts, "hash").alias("part")).groupBy("part").count()
+              .agg(F.max("count")).first()[0])
+    assert sizes <= bound
 
 
 def test_points_text_source(spark, tmp_path):
