@@ -258,8 +258,10 @@ def compress(core: DataFrame, m: int, max_rows: int, rows: int, by: str = "hash"
     parts, levels = None, 0
     while rows > max_rows:
         parts = max(1, max_rows // m)
-        if max_part_rows and math.ceil(rows / parts) > max_part_rows:
-            parts = math.ceil(rows / max_part_rows)
+        if max_part_rows and math.ceil(rows / parts) > max_part_rows // 2:
+            # Average half the bound, as parts_for does, so no part spills
+            # into the distributed traversal.
+            parts = math.ceil(2 * rows / max_part_rows)
         if rows <= parts * m:       # parts too small to drop anything
             break
         core = coreset(core.select("point_id", "features", "weight"), m, parts, by,
