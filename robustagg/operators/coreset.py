@@ -180,6 +180,9 @@ def coreset(points: DataFrame, m: int, parts: int, by: str = "mod",
     if max_part_rows == "auto":
         first = keyed.select(F.size("features").alias("d")).first()
         max_part_rows = rows_per_part(first["d"] if first else 1)
+    if keyed.count() <= max_part_rows:
+        # No part can exceed the bound (a row count reads no column data).
+        return keyed.groupBy("part").applyInArrow(in_memory, CORESET_SCHEMA)
     # Parts over the bound (their ids only; the id column is all this reads).
     big = (keyed.groupBy("part").count()
                 .where(F.col("count") > F.lit(int(max_part_rows)))
