@@ -10,18 +10,45 @@ machine-local folder would not survive the loss of an executor.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
+PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
+    """Partitioning settings for an input of ``input_bytes``: scan splits and
+    post-shuffle partitions of about ``partition_bytes`` (AQE coalesces small
+    ones and splits skewed join partitions), so a task's share fits executor
+    memory and spills rather than fails. 100 TB gives about 400,000 shuffle
+    partitions of 256 MB."""
+    parts = max(8, math.ceil(input_bytes / partition_bytes))
+    size = str(partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "robustagg") -> SparkSession:
-    """A session with AQE on and the UI off (for tests, bench and examples)."""
+                  app_name: str = "robustagg", input_bytes: int | None = None) -> SparkSession:
+    """A session with AQE on and the UI off (for tests, bench and examples).
+    With ``input_bytes`` the partitioning follows ``scale_conf``."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if input_bytes is not None:
+        for key, value in scale_conf(input_bytes).items():
+            builder = builder.config(key, value)
+        shuffle_partitions = int(scale_conf(input_bytes)["spark.sql.shuffle.partitions"])
     return (
         builder
         .config("spark.ui.enabled", "false")

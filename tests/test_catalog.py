@@ -36,3 +36,11 @@ def test_query_matches_oracle_sf0001(spark, con, name):
     cur = con.execute(entry.oracle_sql()[name])
     err = compare(rows, df.columns, cur.fetchall(), [d[0] for d in cur.description])
     assert err is None, err
+
+
+def test_scale_conf():
+    from robustagg.session import scale_conf
+    conf = scale_conf(100 * 10**12)
+    assert 350_000 < int(conf["spark.sql.shuffle.partitions"]) < 400_000
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert scale_conf(1)["spark.sql.shuffle.partitions"] == "8"
