@@ -179,7 +179,7 @@ def _solver_start(spark, sf):
     return w, prep, kc.initial_state(w, prep.guesses, prep.n_rows)
 
 
-def _ball_weights(w, prep, state):
+def _ball_weights(prep, state):
     return kc.ball_weights(state, CORE_ALPHA, prep.n_rows)
 
 
@@ -190,7 +190,7 @@ def q_initial_radius(spark, sf):
 
 def q_ball_weights(spark, sf):
     w, prep, state = _solver_start(spark, sf)
-    return _ball_weights(w, prep, state).select("guess", "point_id", "ball_weight")
+    return _ball_weights(prep, state).select("guess", "point_id", "ball_weight")
 
 
 def q_ball_members(spark, sf):
@@ -204,14 +204,14 @@ def q_ball_members(spark, sf):
 
 def q_best_ball(spark, sf):
     w, prep, state = _solver_start(spark, sf)
-    best = kc.best_ball(_ball_weights(w, prep, state), state)
+    best = kc.best_ball(_ball_weights(prep, state), state)
     return best.join(w.select(F.col("idx").alias("c_idx"), "point_id"), "c_idx").select(
         "guess", "point_id")
 
 
 def q_cover_step(spark, sf):
     w, prep, state = _solver_start(spark, sf)
-    best = kc.best_ball(_ball_weights(w, prep, state), state)
+    best = kc.best_ball(_ball_weights(prep, state), state)
     return kc.cover_step(state, best, CORE_ALPHA).select("guess", "point_id", "uncovered")
 
 

@@ -64,7 +64,7 @@ def removal_factor(alpha: float) -> float:
 class SolverInput:
     """Scalars a solve needs, gathered with one small aggregate job."""
     n_rows: int
-    dim: int
+    dim: int                     # common dimension of the points
     initial_guess: float
     guesses: list[float]
 
