@@ -36,8 +36,10 @@ _CELLS = 1 << 17
 _OUT_SCHEMA = "guess int, idx long, point_id long, ball_weight long"
 
 
-def _matrix(col: pa.ChunkedArray, n: int) -> np.ndarray:
-    flat = col.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+def _matrix(col: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    flat = col.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(n, -1) if n else np.zeros((0, 0))
 
 
@@ -216,3 +218,33 @@ def pair_distance_summary(points: DataFrame, block_rows: int = DEFAULT_BLOCK_ROW
     return partial.agg(F.sum("pairs").cast("long").alias("pairs"),
                        F.min("min_distance").alias("min_distance"),
                        F.max("max_distance").alias("max_distance"))
+
+
+_NEAREST_SCHEMA = "point_id long, pos int, distance double"
+
+
+def _nearest_kernel(centers: np.ndarray):
+    def run(batches):
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            x = _matrix(b.column("features"), n)
+            pos = np.empty(n, dtype=np.int32)
+            dist = np.empty(n)
+            for lo, d in _distance_chunks(x, centers):
+                k = d.shape[0]
+                pos[lo:lo + k] = np.argmin(d, axis=1)     # first minimum: earlier center
+                dist[lo:lo + k] = d[np.arange(k), pos[lo:lo + k]]
+            yield pa.record_batch({"point_id": b.column("point_id"),
+                                   "pos": pa.array(pos), "distance": pa.array(dist)})
+    return run
+
+
+def nearest_centers_arrow(points: DataFrame, centers: list[list[float]]) -> DataFrame:
+    """``(point_id, pos, distance)``: each point's nearest center (ties to the
+    earlier one), map-only over Arrow batches. For center lists too large to
+    travel as a plan literal; the centers ride in the task closure, so their
+    size is bounded by k * dim."""
+    c = np.asarray(centers, dtype=np.float64)
+    return points.select("point_id", "features").mapInArrow(_nearest_kernel(c), _NEAREST_SCHEMA)

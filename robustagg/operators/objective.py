@@ -13,10 +13,11 @@ still exact.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from robustagg.functions.distance import nearest
+from robustagg.operators.balls import nearest_centers_arrow
 
 TAKE_LIMIT = 10_000
 
@@ -33,11 +34,22 @@ def centers_of(solution: DataFrame, known: Centers | None = None) -> Centers:
     return [r["point_id"] for r in rows], [list(r["features"]) for r in rows]
 
 
-def nearest_distance(features: Column, centers: list[list[float]]) -> Column:
-    if not centers:
+LITERAL_VALUES = 100_000   # centers * dim carried as a plan literal at most
+
+
+def nearest_frame(points: DataFrame, feats: list[list[float]]) -> DataFrame:
+    """``(point_id, pos, distance)`` of every point's nearest center (ties to
+    the earlier center). A few centers travel as one literal array and the
+    distance is a JVM expression; beyond ``LITERAL_VALUES`` coordinates a
+    map-only Arrow kernel does the same sums (same order, same bits)."""
+    if not feats:
         raise ValueError("a solution needs at least one center")
-    lit = F.lit(centers).cast("array<array<double>>")
-    return nearest(features, lit, F.lit(list(range(len(centers)))))["distance"]
+    if len(feats) * len(feats[0]) > LITERAL_VALUES:
+        return nearest_centers_arrow(points, feats)
+    n = nearest(F.col("features"), F.lit(feats).cast("array<array<double>>"),
+                F.lit(list(range(len(feats)))))
+    return points.select("point_id", n["pos"].cast("int").alias("pos"),
+                         n["distance"].alias("distance"))
 
 
 def assign_to_centers(points: DataFrame, solution: DataFrame,
@@ -45,10 +57,11 @@ def assign_to_centers(points: DataFrame, solution: DataFrame,
     """``(point_id, center_id, distance)`` for every point: its nearest center
     of the solution (ties to the earlier step)."""
     ids, feats = centers_of(solution, centers)
-    n = nearest(F.col("features"), F.lit(feats).cast("array<array<double>>"), F.lit(ids))
-    return points.select("point_id",
-                         F.element_at(F.lit(ids).cast("array<long>"), n["pos"] + 1).alias("center_id"),
-                         n["distance"].alias("distance"))
+    near = nearest_frame(points, feats)
+    return near.select("point_id",
+                       F.element_at(F.lit(ids).cast("array<long>"), F.col("pos") + 1)
+                        .alias("center_id"),
+                       "distance")
 
 
 def kth_largest(values: DataFrame, col: str, k: int, name: str = "value") -> DataFrame:
@@ -77,5 +90,4 @@ def objective(points: DataFrame, solution: DataFrame, z: int,
     """One row ``objective``: the largest nearest-center distance once the z
     farthest points are ignored."""
     _, feats = centers_of(solution, centers)
-    dist = points.select(nearest_distance(F.col("features"), feats).alias("d"))
-    return kth_largest(dist, "d", int(z) + 1, "objective")
+    return kth_largest(nearest_frame(points, feats), "distance", int(z) + 1, "objective")

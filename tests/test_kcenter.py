@@ -274,3 +274,15 @@ def test_weighted_random_against_definition(spark, seed, alpha):
     want, r = _numpy_greedy(x, w.astype(np.int64), k, z, alpha)
     assert _ids(res) == want
     assert res.final_guess == pytest.approx(r)
+
+
+def test_large_center_lists_use_the_arrow_path(spark, monkeypatch):
+    from robustagg.operators.objective import assign_to_centers
+    p = pts.supplier_points(spark, SF01)
+    res = kc.kcenter_exact(p, 5, 10, 0.0)
+    expr_obj = objective(p, res.solution, 10, res.centers).first()[0]
+    expr_asg = {tuple(r) for r in assign_to_centers(p, res.solution, res.centers).collect()}
+    monkeypatch.setattr(objmod, "LITERAL_VALUES", 0)
+    assert objective(p, res.solution, 10, res.centers).first()[0] == expr_obj
+    assert {tuple(r) for r in assign_to_centers(p, res.solution, res.centers).collect()} == expr_asg
+    assert round(expr_obj, 6) == 3324.80616
