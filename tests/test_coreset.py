@@ -160,3 +160,71 @@ def test_distributed_traversal_stops_on_copies(spark):
     b = cs.coreset(df, 6, 2, max_part_rows=4).orderBy("part", "pick").collect()
     assert [tuple(r[:3]) + (r[4],) for r in a] == [tuple(r[:3]) + (r[4],) for r in b]
     assert len(a) == 6
+
+
+from hypothesis import given, settings, strategies as st
+
+
+def _naive_traversal(x, m):
+    """Direct loops over the definition: strict comparisons, ties to the
+    earlier row / pick, stop when every remaining distance is 0."""
+    def dist(a, b):
+        acc = 0.0
+        for p, q in zip(a, b):
+            acc += (p - q) * (p - q)
+        return acc ** 0.5
+    n = len(x)
+    mind = [float("inf")] * n
+    picks = [0]
+    while True:
+        for i in range(n):
+            mind[i] = min(mind[i], dist(x[i], x[picks[-1]]))
+        if len(picks) >= m:
+            break
+        best, far = 0, 0.0
+        for i in range(n):
+            if mind[i] > far:
+                best, far = i, mind[i]
+        if far == 0.0:
+            break
+        picks.append(best)
+    assign = []
+    for i in range(n):
+        j_best, d_best = 0, dist(x[i], x[picks[0]])
+        for j in range(1, len(picks)):
+            d = dist(x[i], x[picks[j]])
+            if d < d_best:
+                j_best, d_best = j, d
+        assign.append(j_best)
+    return picks, assign
+
+
+@settings(max_examples=200, deadline=None)
+@given(pts_=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3)), min_size=1, max_size=25),
+       m=st.integers(1, 8))
+def test_traversal_matches_definition_on_grids(pts_, m):
+    x = np.array(pts_, dtype=np.float64)
+    picks, assign = cs.farthest_first(x, m)
+    want_picks, want_assign = _naive_traversal([list(p) for p in x], m)
+    assert picks == want_picks
+    assert assign.tolist() == want_assign
+
+
+@settings(max_examples=200, deadline=None)
+@given(pts_=st.lists(st.tuples(st.integers(0, 4), st.integers(0, 4), st.integers(1, 5)),
+                     min_size=1, max_size=30),
+       r=st.sampled_from([0.0, 1.0, 2.0 ** 0.5, 2.0, 5.0 ** 0.5, 3.0]))
+def test_ball_sums_match_definition_on_grids(pts_, r):
+    from robustagg.operators.balls import ball_sums
+    x = np.array([p[:2] for p in pts_], dtype=np.float64)
+    w = np.array([p[2] for p in pts_], dtype=np.int64)
+    got = ball_sums(x, np.full(len(x), r), x, w)
+    want = []
+    for a in x:
+        total = 0
+        for b, wb in zip(x, w):
+            d = ((a[0] - b[0]) * (a[0] - b[0]) + (a[1] - b[1]) * (a[1] - b[1])) ** 0.5
+            if d <= r:
+                total += int(wb)
+        want.append(total)
+    assert got.tolist() == want
