@@ -35,6 +35,9 @@ def scale_conf(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> dict
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Iterative operators checkpoint a new state every step; let the
+        # context cleaner delete checkpoint files nothing refers to any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
@@ -58,6 +61,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
