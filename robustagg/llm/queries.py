@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, secrets, shards, urls
+from . import chat, decontam, secrets, shards, urls
 from .common import read_table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -48,7 +48,17 @@ def op8_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.balanced_shards(read_table(spark, sf_dir, "documents"), shards=16)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_leaks(docs, read_table(spark, sf_dir, "benchmark"), n=10)
+    n_hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return found.select("doc_id", F.col("_words").alias("n_words"), n_hit.alias("n_hit"),
+                        F.size("_items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
+                        (F.size("_spans") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_secret_scan, op5_url_filter, op7_chat_trees, op8_balanced_shards)}
+    f.__name__: f for f in (op3_secret_scan, op5_url_filter, op7_chat_trees, op8_balanced_shards, op9_decontaminate)}
 
 ORACLES: dict[str, str] = {}
