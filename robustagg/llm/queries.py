@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, secrets, shards, urls
+from . import chat, decontam, recompress, secrets, shards, urls
 from .common import read_table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -24,6 +24,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size(F.filter("spans", lambda s: s["specific"])).cast("long").alias("n_specific"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = recompress.substring_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(read_table(spark, sf_dir, "pages"), URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict")
@@ -59,6 +64,6 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_secret_scan, op5_url_filter, op7_chat_trees, op8_balanced_shards, op9_decontaminate)}
+    f.__name__: f for f in (op3_secret_scan, op4_substring_dedup, op5_url_filter, op7_chat_trees, op8_balanced_shards, op9_decontaminate)}
 
 ORACLES: dict[str, str] = {}

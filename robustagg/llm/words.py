@@ -146,3 +146,27 @@ def ragged(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Arra
     """A list column from flat values and the length of each list."""
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+def range_hashes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of hashes[begin:end] for each pair; equal content and length, equal hash."""
+    up, down = _WORDS.get(len(hashes) + 1)
+    total = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up[:-1], out=total[1:])
+    return mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
+
+
+def pairs_in(keys: np.ndarray, owners: np.ndarray, in_keys: np.ndarray, in_owners: np.ndarray, n: int) -> np.ndarray:
+    """Which (key, owner) occur among (in_keys, in_owners); owners are 0..n-1."""
+    known = np.unique(in_keys)
+    if not len(known) or not len(keys):
+        return np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    allowed = np.unique(np.searchsorted(known, in_keys) * n + in_owners)
+    return (known[at] == keys) & np.isin(at * n + owners, allowed)
+
+
+def flat_list(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column of longs and the row of each; null lists are empty."""
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(column)), lengths)
