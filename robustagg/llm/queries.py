@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, recompress, secrets, shards, urls
+from . import chat, decontam, recompress, secrets, setjoin, shards, urls
 from .common import read_table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.jaccard_join(read_table(spark, sf_dir, "documents"), k=3, threshold=90)
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != "token")
@@ -64,6 +68,6 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_secret_scan, op4_substring_dedup, op5_url_filter, op7_chat_trees, op8_balanced_shards, op9_decontaminate)}
+    f.__name__: f for f in (op1_ngram_join, op3_secret_scan, op4_substring_dedup, op5_url_filter, op7_chat_trees, op8_balanced_shards, op9_decontaminate)}
 
 ORACLES: dict[str, str] = {}
