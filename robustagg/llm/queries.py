@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, recompress, secrets, setjoin, shards, urls
+from . import chat, decontam, lines, recompress, secrets, setjoin, shards, urls
 from .common import read_table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -67,7 +67,14 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.size("_spans") > 0).alias("contaminated"))
 
 
+def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line with a word: its class (named by the line that is kept) and whether it stays."""
+    out = lines.line_classes(read_table(spark, sf_dir, "documents"))
+    return out.withColumn("kept", (F.col("doc_id") == F.col("class_doc_id"))
+                          & (F.col("line_no") == F.col("class_line_no")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op3_secret_scan, op4_substring_dedup, op5_url_filter, op7_chat_trees, op8_balanced_shards, op9_decontaminate)}
+    f.__name__: f for f in (op1_ngram_join, op3_secret_scan, op4_substring_dedup, op5_url_filter, op7_chat_trees, op8_balanced_shards, op9_decontaminate, op10_fuzzy_lines)}
 
 ORACLES: dict[str, str] = {}
