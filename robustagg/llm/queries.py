@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, lines, recompress, secrets, setjoin, shards, urls
+from . import chat, decontam, lines, packing, recompress, secrets, setjoin, shards, urls
 from .common import read_table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -18,6 +18,18 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.jaccard_join(read_table(spark, sf_dir, "documents"), k=3, threshold=90)
 
 
+def tokenizer_path(name: str) -> str:
+    """Path of a public vocabulary file; the package is where the cluster keeps them."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                  size=1024, end_id=2)
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != "token")
@@ -75,6 +87,6 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op3_secret_scan, op4_substring_dedup, op5_url_filter, op7_chat_trees, op8_balanced_shards, op9_decontaminate, op10_fuzzy_lines)}
+    f.__name__: f for f in (op1_ngram_join, op2_pattern_packing, op3_secret_scan, op4_substring_dedup, op5_url_filter, op7_chat_trees, op8_balanced_shards, op9_decontaminate, op10_fuzzy_lines)}
 
 ORACLES: dict[str, str] = {}
