@@ -242,6 +242,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_chars:
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """docs without the leaked passages: the text from the first to the last word
     of each removal span goes; a document with no other word goes whole."""
+    columns = docs.columns
+
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SHARD_BYTES):
             w, spans = find_words(batch.column("text"), ALNUM), batch.column("_spans").to_pylist()
@@ -258,6 +260,6 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFram
                 texts[d] = b"".join(parts).decode("utf-8")
             k = batch.schema.get_field_index("text")
             out = batch.set_column(k, "text", pa.array(texts, pa.string())).filter(pa.array(keep))
-            yield out.select(docs.columns)
+            yield out.select(columns)
 
     return find_leaks(docs, benchmark, n, keep_text=True).mapInArrow(clean, docs.schema)

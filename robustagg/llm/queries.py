@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, lines, packing, recompress, secrets, setjoin, shards, urls
+from . import chat, decontam, lines, packing, quality, recompress, secrets, setjoin, shards, urls
 from .common import read_table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -50,6 +50,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op6_token_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                 tokenizer_path("piece_bpe_32k.model")).drop("lang")
+
+
 def op7_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -87,6 +92,6 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op2_pattern_packing, op3_secret_scan, op4_substring_dedup, op5_url_filter, op7_chat_trees, op8_balanced_shards, op9_decontaminate, op10_fuzzy_lines)}
+    f.__name__: f for f in (op1_ngram_join, op2_pattern_packing, op3_secret_scan, op4_substring_dedup, op5_url_filter, op6_token_fertility, op7_chat_trees, op8_balanced_shards, op9_decontaminate, op10_fuzzy_lines)}
 
 ORACLES: dict[str, str] = {}
