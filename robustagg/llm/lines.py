@@ -38,9 +38,11 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, h1, h2) of all lines with a word."""
-    return _lines(docs).select("doc_id", "line_no", F.xxhash64(F.lit(1), "line").alias("h1"),
-                               F.xxhash64(F.lit(2), "line").alias("h2")).distinct()
+    """(doc_id, line_no, id) of all lines with a word; ``id``: the first (doc_id, line_no) of the equal lines."""
+    table = _lines(docs).select("doc_id", "line_no", F.xxhash64(F.lit(1), "line").alias("h1"),
+                                F.xxhash64(F.lit(2), "line").alias("h2"))
+    first = table.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("id"))
+    return table.join(first, ["h1", "h2"]).select("doc_id", "line_no", "id").distinct()
 
 
 def _chosen_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -80,7 +82,7 @@ def _candidates(signed: DataFrame) -> DataFrame:
     band = lambda k: bins[k * ROWS:(k + 1) * ROWS]
     keyed = F.array(*(F.struct(
         F.when(F.coalesce(*band(k)).isNotNull(), F.xxhash64(F.lit(k), *band(k))).alias("key"),
-        F.coalesce(F.col(bins[(k + 1) * ROWS % BINS]), F.lit(0)).alias("next")) for k in range(BANDS)))
+        F.shiftright(F.coalesce(F.col(bins[(k + 1) * ROWS % BINS]), F.lit(0)), 48).alias("next")) for k in range(BANDS)))
     rows = (signed.select(F.struct("doc_id", "line_no").alias("id"), F.inline(keyed))
             .where("key is not null"))
     bucket = Window.partitionBy("key").orderBy("next", "id")
@@ -94,23 +96,20 @@ def line_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(doc_id, line_no, class_doc_id, class_line_no) of all lines with a word:
     the class of a line is named by its first line, the one that is kept."""
     table = cut(line_table(docs))
-    first = F.min(F.struct("doc_id", "line_no")).alias("id")
-    distinct = table.groupBy("h1", "h2").agg(first)
-    wanted = distinct.select("id.doc_id", "id.line_no")
+    distinct = table.where((F.col("doc_id") == F.col("id.doc_id")) & (F.col("line_no") == F.col("id.line_no")))
     texts = docs.select("doc_id", "text")
     smallest = [F.min(F.when(F.pmod("h", F.lit(BINS)) == i, F.col("h"))).alias(f"m{i}") for i in range(BINS)]
-    signed = _shingle_rows(_chosen_lines(texts, wanted)).groupBy("doc_id", "line_no").agg(*smallest)
-    pairs = cut(_candidates(signed))
-    ends = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().select("a.*")
+    signed = _shingle_rows(_chosen_lines(texts, distinct)).groupBy("doc_id", "line_no").agg(*smallest)
+    # One job from here to the links: signatures and verification read one exchange of the texts.
+    pairs = _candidates(signed)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id.*")
     sets = _chosen_lines(texts, ends).select(F.struct("doc_id", "line_no").alias("id"), _shingle_set(F.col("w")).alias("s"))
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"))
     shared = F.size(F.array_intersect("sa", "sb"))
     links = both.where(shared >= threshold * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
-    united = components(links)
-    named = (distinct.join(united.withColumnRenamed("component", "class"), "id", "left")
-             .select("h1", "h2", F.coalesce("class", "id").alias("class")))
-    return table.join(named, ["h1", "h2"]).select(
+    united = components(links).withColumnRenamed("component", "class")
+    return table.join(united, "id", "left").withColumn("class", F.coalesce("class", "id")).select(
         "doc_id", "line_no", F.col("class.doc_id").alias("class_doc_id"), F.col("class.line_no").alias("class_line_no"))
 
 
