@@ -16,7 +16,8 @@ of each component stays: the first by (doc_id, line number).
 Defined cases: null text has no lines and stays null; an empty text or a blank
 line is kept; rows with the same doc_id are one document here (equal lines at
 equal places share their fate); rows with a null doc_id lose nothing; an empty
-table gives no rows; other columns stay.
+table gives no rows; other columns stay (names with a leading underscore are
+reserved).
 """
 
 from __future__ import annotations

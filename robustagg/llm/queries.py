@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, lines, packing, quality, recompress, secrets, setjoin, shards, urls
+from . import chat, decontam, lines, oracles, packing, quality, recompress, secrets, setjoin, shards, urls
 from .common import read_table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -58,7 +58,9 @@ def op6_token_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
-    extra = rows.sparkSession.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     out = chat.format_paths(chat.reply_paths(chat.conversation_nodes(rows.unionByName(extra)), top=1))
     turns = chat.parse_turns(F.col("formatted"))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
@@ -94,4 +96,4 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_ngram_join, op2_pattern_packing, op3_secret_scan, op4_substring_dedup, op5_url_filter, op6_token_fertility, op7_chat_trees, op8_balanced_shards, op9_decontaminate, op10_fuzzy_lines)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES

@@ -26,7 +26,8 @@ Names and hashes have 64 bits.
 Defined cases: null or empty texts have no words and keep the empty string;
 documents with fewer words than a window lose nothing; rows with the same doc_id
 do not dedupe each other; a null doc_id is never compared and loses nothing; an
-empty table gives no rows; other columns stay (``n_words``, ``n_removed`` and
+empty table gives no rows; other columns stay (names with a leading underscore
+are reserved; ``n_words``, ``n_removed`` and
 ``kept`` are replaced).
 """
 
@@ -169,7 +170,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch, ids = _ids(batch)
         w = find_words(batch.column("text"), PLAIN)
         p = Parse(w)
-        keys, rows = flat_list(batch.column("names"))
+        keys, rows = flat_list(batch.column("_names"))
         keys = keys.astype(np.int64).view(np.uint64)
         begin, end = _proven(p, keys, rows, batch.num_rows)
         settled = _inside(len(w.hashes), begin, np.maximum(begin, end - WINDOW + 1))
@@ -183,9 +184,9 @@ def _remove(out: list[str]):
         for batch in slices(batches, "text", SLICE_BYTES):
             w = find_words(batch.column("text"), PLAIN)
             p = Parse(w)
-            keys, rows = flat_list(batch.column("names"))
+            keys, rows = flat_list(batch.column("_names"))
             begin, end = _proven(p, keys.astype(np.int64).view(np.uint64), rows, batch.num_rows)
-            keys, rows = flat_list(batch.column("repeats"))
+            keys, rows = flat_list(batch.column("_repeats"))
             hit = pairs_in(windows(w.hashes, WINDOW)[p.start] | _ODD, p.window_owner,
                            keys.astype(np.int64).view(np.uint64), rows, batch.num_rows)
             gone = _inside(len(w.hashes), np.concatenate([begin, p.start[hit]]),
@@ -241,11 +242,11 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     """docs plus n_words, n_removed and ``kept``: the words that no repeated
     window of 13 covers, joined by one space."""
     columns = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
-    names = _answers(docs.select("doc_id", "text").mapInArrow(_index, PAIRS), "names")
+    names = _answers(docs.select("doc_id", "text").mapInArrow(_index, PAIRS), "_names")
     base = docs.select(*columns)
     with_names = base.join(names, "doc_id", "left")
     # No filter here: the exchange of the texts is then the same as below, and made once.
-    repeats = _answers(with_names.select("doc_id", "text", "names").mapInArrow(_compare, PAIRS), "repeats")
+    repeats = _answers(with_names.select("doc_id", "text", "_names").mapInArrow(_compare, PAIRS), "_repeats")
     out = [*columns, "n_words", "n_removed", "kept"]
     schema = base.withColumns({"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"),
                                "kept": F.lit("")}).schema
