@@ -35,7 +35,7 @@ SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: measure and least width of its band
-MEASURES = {"chars_per_token": 0.1, "byte_share": 0.02, "token_entropy": 0.5}
+MEASURES = {"chars_per_token": 0.3, "byte_share": 0.02, "token_entropy": 0.5}
 
 _FALLBACK: dict[str, Pieces] = {}
 
