@@ -6,13 +6,16 @@ A document's set is its distinct word shingles. Two sets link when
 Index: of every distinct set only a prefix goes into index lists, the first
 ``n - ceil(t n) + 1`` shingles in one global order (shingles common in some
 slice of the corpus last, by their summed counts; the rest by hash), so linked
-sets share a list. A list is sorted by set size and read in blocks: where the
-next size is too large for the one before, everything behind is skipped. What
-remains chained joins candidate cells (connected components of list
-neighbours), which hold every link. No pair of sets is ever a row.
+sets share a list. Sets alone in their lists are done. A list is sorted by set size:
+a set is compared with those behind it until one is too large, and the block
+from there on is skipped. Comparing takes a fixed bitmap per set (parity of its
+shingles per bit), whose distance never exceeds the sets' difference, so no
+link is lost. What can link is joined to candidate cells (connected
+components), each list giving a spanning set of its candidates only. No pair of sets is
+ever a row.
 
 Cells: each set comes once (``cell_shingles`` bounds a task; a larger cell is
-cut into blocks and every two blocks meet in a task of their own). Inside, sets
+cut by size and, if need be, into blocks that meet two by two). Inside, sets
 go by size. A set that differs little from one just answered takes that set's
 intersections and corrects them only by the lists of the shingles in which the
 two differ; otherwise it reads its prefix lists, skipping by size and by
@@ -37,11 +40,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, cut
-from .words import LOWERED, find_words, range_hashes, slices, windows
+from .words import LOWERED, find_words, mix, range_hashes, slices, windows
 
 SLICE_BYTES = 6 << 20
-HOT_IN_SLICE = 4
-HOT_KEPT = 1 << 17  # bound of the list of common shingles; it only shapes the order
+HOT_IN_SLICE = 2
+BITS = 512
+LONG_LIST = 4096
+HOT_KEPT = 1 << 20  # bound of the list of common shingles; it only shapes the order
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -62,7 +67,7 @@ def prefix_length(n: int, t: int) -> int:
 
 def _common(k: int):
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE_BYTES):
+        for batch in slices(batches, "text", 2 * SLICE_BYTES):
             sets = shingle_sets(batch.column("text"), k)
             values, counts = np.unique(np.concatenate(sets), return_counts=True)
             often = counts >= HOT_IN_SLICE
@@ -75,16 +80,18 @@ def _prefixes(k: int, t: int, hot: np.ndarray):
     """``hot``: common shingles, most common first."""
     by_value = np.argsort(hot)
     values, rank = hot[by_value], len(hot) - by_value  # larger rank: more common, later in the order
-    maybe = np.zeros(1 << 20, bool)
+    maybe = np.zeros(1 << 23, bool)
     maybe[hot & np.uint64(len(maybe) - 1)] = True
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_BYTES):
-            sizes, fp, tokens = [], [], []
+            sizes, fp, tokens, bits = [], [], [], []
             for s in shingle_sets(batch.column("text"), k):
                 digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                 fp.append(np.frombuffer(digest, np.int64))
                 sizes.append(len(s))
+                places = np.bincount((mix(s) >> np.uint64(64 - 9)).astype(np.int64), minlength=BITS)
+                bits.append(np.packbits((places & 1).astype(np.uint8)).tobytes())
                 late = np.zeros(len(s), np.int64)
                 check = np.flatnonzero(maybe[s & np.uint64(len(maybe) - 1)])
                 if len(check) and len(values):
@@ -99,26 +106,101 @@ def _prefixes(k: int, t: int, hot: np.ndarray):
             fp = np.array(fp, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(np.ascontiguousarray(fp[:, 0])),
-                 pa.array(np.ascontiguousarray(fp[:, 1])), pa.array(tokens, pa.list_(pa.int64()))],
-                ["doc_id", "n", "c1", "c2", "tokens"])
+                 pa.array(np.ascontiguousarray(fp[:, 1])), pa.array(tokens, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                ["doc_id", "n", "c1", "c2", "tokens", "bits"])
     return prefixes
 
 
+def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by token: those whose token has another row."""
+    last, given = None, False  # the row before, and whether it was given
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        token = batch.column("token").to_numpy(zero_copy_only=False)
+        same = token[1:] == token[:-1]
+        goes_on = last is not None and last.column("token")[0].as_py() == token[0]
+        if goes_on and not given:
+            yield last
+        keep = np.concatenate([[goes_on], same]) | np.concatenate([same, [False]])
+        yield batch.filter(pa.array(keep))
+        last, given = batch.slice(batch.num_rows - 1), bool(keep[-1])
+
+
+def _close(bits: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, t: int) -> np.ndarray:
+    """Whether sets i and j can link by size and by the parity of their shingles per bit."""
+    total = n[i] + n[j]
+    apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1)
+    return apart <= total - 2 * -(-t * total // (100 + t))
+
+
 def _list_links(t: int):
-    """Links (a, b) of neighbours in index lists sorted by token, size and class;
-    where the sizes part, the block behind is skipped."""
+    """Links (a, b) that span the candidates of each index list. A list comes sorted
+    by size; each set is compared with those behind it until a size is too large,
+    and the block from there on is skipped. Lists longer than LONG_LIST are chained
+    whole, which only makes cells larger."""
+    def chain(token: np.ndarray, n: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        near = (token[1:] == token[:-1]) & (100 * n[:-1] >= t * n[1:])
+        return c[:-1][near], c[1:][near]
+
+    def span(token: np.ndarray, n: np.ndarray, c: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        label, at, step = np.arange(len(token)), np.arange(len(token)), 1
+        ends: list[tuple[np.ndarray, np.ndarray]] = []
+        while True:
+            at = at[at + step < len(token)]
+            at = at[(token[at + step] == token[at]) & (100 * n[at] >= t * n[at + step])]
+            if not len(at):
+                break
+            near = at[_close(bits, n, at, at + step, t)]
+            ends.append((near, near + step))
+            step += 1
+        if not ends:
+            return c[:0], c[:0]
+        i, j = (np.concatenate(x) for x in zip(*ends, strict=True))
+        while True:  # smallest place of each component
+            before = label.copy()
+            low = np.minimum(label[i], label[j])
+            np.minimum.at(label, i, low)
+            np.minimum.at(label, j, low)
+            label = label[label]
+            if (label == before).all():
+                break
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        return c[label[moved]], c[moved]
+
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        held, long_token = None, None
+
+        def give(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+        def columns(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+            return tuple(batch.column(x).to_numpy(zero_copy_only=False) for x in ("token", "n", "c1"))
+
+        def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
+            raw = b"".join(batch.column("bits").to_pylist())
+            return give(*span(*columns(batch), np.frombuffer(raw, np.uint64).reshape(-1, BITS // 64)))
+
         for batch in batches:
-            token, n, c = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("token", "n", "c1"))
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            token, n, c = columns(batch)
             if not len(token):
                 continue
-            if last is not None:
-                token, n, c = np.append(last[0], token), np.append(last[1], n), np.append(last[2], c)
-            last = token[-1], n[-1], c[-1]
-            near = (token[1:] == token[:-1]) & (100 * n[:-1] >= t * n[1:]) & (c[1:] != c[:-1])
-            pairs = np.unique(np.stack([np.minimum(c[1:], c[:-1])[near], np.maximum(c[1:], c[:-1])[near]]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+            first = int(np.searchsorted(token, token[-1]))  # rows of the token that may go on
+            begin = int(np.searchsorted(token, long_token, "right")) if long_token is not None else 0
+            if begin:
+                yield give(*chain(token[:begin], n[:begin], c[:begin]))
+            if first > begin:
+                yield whole(batch.slice(begin, first - begin))
+            held, long_token = batch.slice(max(first, begin)), None
+            if begin == len(token) or held.num_rows > LONG_LIST:
+                tail = slice(max(first, begin) if begin < len(token) else len(token), None)
+                yield give(*chain(token[tail], n[tail], c[tail]))
+                held, long_token = batch.slice(len(token) - 1), token[-1]
+        if held is not None and long_token is None and held.num_rows:
+            yield whole(held)
     return links
 
 
@@ -205,7 +287,7 @@ class _Cell:
 
 def _join_cell(rows: list[tuple], sets: list[np.ndarray], t: int) -> list[tuple[int, int, int]]:
     """(doc_id, component, links) of one task's share of a cell. rows: (doc_id,
-    copies, block, first block, second block); a pair counts only where its blocks meet."""
+    copies, size class, block, task's size class, its two blocks); a pair counts in one task only."""
     order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), rows[i][0]))
     rows, sets = [rows[i] for i in order], [sets[i] for i in order]
     parent, links = list(range(len(sets))), [0] * len(sets)
@@ -215,9 +297,10 @@ def _join_cell(rows: list[tuple], sets: list[np.ndarray], t: int) -> list[tuple[
             parent[i] = i = parent[parent[i]]
         return i
 
-    copies, block = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
-    first, second = rows[0][3], rows[0][4]
+    copies, size_class, block = (np.array([r[i] for r in rows]) for i in (1, 2, 3))
+    own_class, first, second = rows[0][4:7]
     for x, linked in _Cell(sets, t).links():
+        linked = linked[np.minimum(size_class[linked], size_class[x]) == own_class]
         if first != second:
             linked = linked[block[linked] != block[x]]
         for y in linked.tolist():
@@ -242,7 +325,7 @@ def _cells(k: int, t: int):
                                               ["doc_id", "component", "links"])
 
         for batch in slices(batches, "text", SLICE_BYTES):
-            columns = [batch.column(c).to_pylist() for c in ("part", "doc_id", "copies", "block", "i", "j")]
+            columns = [batch.column(c).to_pylist() for c in ("part", "doc_id", "copies", "size_class", "block", "own", "i", "j")]
             for one, own in zip(zip(*columns, strict=True), shingle_sets(batch.column("text"), k), strict=True):
                 if one[0] != part and rows:
                     yield flush()
@@ -260,29 +343,40 @@ def jaccard_join(docs: DataFrame, k: int = 3, threshold: int = 90, cell_shingles
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links,
     itself included) and n_links, one row per row of docs."""
     texts = docs.select("doc_id", "text")
-    hot = [r[0] for r in texts.mapInArrow(_common(k), "shingle long, n long").groupBy("shingle")
-           .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(HOT_KEPT).collect()]
-    each = cut(texts.mapInArrow(_prefixes(k, threshold, np.array(hot, np.int64).view(np.uint64)),
-                                "doc_id long, n long, c1 long, c2 long, tokens array<long>"))
+    hot = (texts.mapInArrow(_common(k), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+           .orderBy(F.desc("n"), "shingle").limit(HOT_KEPT).select("shingle").toArrow()["shingle"].to_numpy())
+    each = cut(texts.mapInArrow(_prefixes(k, threshold, np.ascontiguousarray(hot, np.int64).view(np.uint64)),
+                                "doc_id long, n long, c1 long, c2 long, tokens array<long>, bits binary"))
     classes = cut(each.where("n > 0").groupBy("c1", "c2").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"),
-        F.first("tokens").alias("tokens")))
+        F.first("tokens").alias("tokens"), F.first("bits").alias("bits")))
     lists = classes.select("c1", "n", F.explode("tokens").alias("token"))
-    near = (lists.repartition("token").sortWithinPartitions("token", "n", "c1")
+    shared = (lists.repartition("token").sortWithinPartitions("token")
+              .mapInArrow(_several, lists.schema).join(classes.select("c1", "bits"), "c1"))
+    near = (shared.repartition("token").sortWithinPartitions("token", "n", "c1")
             .mapInArrow(_list_links(threshold), "a long, b long"))
     cells = components(near)
     members = (classes.select("c1", "rep", "n", "copies").where("rep is not null")
                .join(cells.select(F.col("id").alias("c1"), F.col("component").alias("cell")), "c1"))
+    # A cell too large for a task is cut by size: linked sets are in one class of
+    # sizes or in neighbouring ones, and a task gets two classes; what is still too
+    # large is cut into blocks, and every two blocks meet in a task.
     weight = members.groupBy("cell").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    blocks = F.ceil(F.col("w") / (cell_shingles / 2)).cast("int")  # two blocks meet in a task
+    size_class = F.floor(F.log("n") / F.log(F.lit(100.1 / threshold))).cast("int")
+    members = (members.join(weight, "cell")
+               .withColumn("size_class", F.when(F.col("w") <= cell_shingles, 0).otherwise(size_class))
+               .withColumn("own", F.explode(F.when(F.col("w") <= cell_shingles, F.array(F.lit(0)))
+                                            .otherwise(F.array(F.col("size_class") - 1, "size_class")))).drop("w", "m"))
+    weight = members.groupBy("cell", "own").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    blocks = F.ceil(F.col("w") / (cell_shingles / 2)).cast("int")
     blocks = F.when(F.col("w") <= cell_shingles, 1).otherwise(blocks)
-    members = (members.join(weight.select("cell", blocks.alias("blocks")), "cell")
+    members = (members.join(weight.select("cell", "own", blocks.alias("blocks")), ["cell", "own"])
                .withColumn("block", F.expr("cast(pmod(xxhash64(c1, 17), blocks) as int)"))
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-               .select(F.col("rep").alias("doc_id"), "cell", "copies", "block",
+               .select(F.col("rep").alias("doc_id"), "cell", "copies", "size_class", "block", "own",
                        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-    part = F.concat_ws("/", "cell", "i", "j").alias("part")
-    found = cut(texts.join(members, "doc_id").select(part, "doc_id", "copies", "block", "i", "j", "text")
+    part = F.concat_ws("/", "cell", "own", "i", "j").alias("part")
+    found = cut(texts.join(members, "doc_id").select(part, "doc_id", "copies", "size_class", "block", "own", "i", "j", "text")
                 .repartition("part").sortWithinPartitions("part")
                 .mapInArrow(_cells(k, threshold), "doc_id long, component long, links long"))
     joined = components(found.select(F.col("doc_id").alias("a"), F.col("component").alias("b")))
