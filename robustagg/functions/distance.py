@@ -1,7 +1,8 @@
 """Distance expressions over ``array<double>`` columns.
 
-All built from Spark's higher-order functions, so they stay in the JVM and
-inside whole-stage code generation. Squared differences are summed in
+All built from Spark's higher-order functions: they stay in the JVM but are
+interpreted per element, so passes over all points use the Arrow kernels of
+``robustagg.operators.balls`` instead. Squared differences are summed in
 coordinate order starting from 0.0; every other engine used to check results
 (DuckDB's ``list_distance``, numpy column loops in the farthest-first
 traversal) sums in the same order, so equal inputs give bit-equal distances

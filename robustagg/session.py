@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -79,7 +80,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):  # local-cluster is a cluster
         raise RuntimeError(
             "spark.checkpoint.dir is not set: configure a shared folder (HDFS, "
             "object store) for iterative operators on a cluster")
