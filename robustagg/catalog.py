@@ -37,6 +37,9 @@ CORE_K, CORE_Z, CORE_L, CORE_ALPHA = 8, 40, 4, 2.0    # two-round, customer
 CORE_M = CORE_K + CORE_Z + 1
 EXACT_K, EXACT_Z, EXACT_ALPHA = 3, 5, 0.0             # sequential, supplier
 FF_PICKS = 6                                          # farthest-first, embeddings
+EMB_L = 4                                             # parts of the embeddings
+LARGE_M, LARGE_Z = 9, 100                             # forced large-part and large-z branches
+PART_KEY = "{} * 7919 + 13"                           # a part key of the caller
 EMBED_DIM = 64                                        # width of an embedding
 WIDE_KZ = (5, 10)                                     # sequential, supplier, second setup
 EMB_KZL = (4, 10, 2)                                  # two-round on embeddings (k, z, L)
@@ -136,8 +139,8 @@ def q_point_count(spark, sf):
 
 def q_nearest_center(spark, sf):
     emb = pts.embedding_points(spark, sf)
-    picks = cs.coreset(emb, FF_PICKS, 1)
-    near = cs.nearest_pick(emb, picks, 1, m=FF_PICKS, dim=EMBED_DIM)
+    picks = cs.coreset(emb, FF_PICKS, EMB_L)
+    near = cs.nearest_pick(emb, picks, EMB_L, m=FF_PICKS, dim=EMBED_DIM)
     return near.select("point_id", "center_id", _r(F.col("distance")).alias("distance"))
 
 
@@ -152,7 +155,7 @@ def q_farthest_first_centers(spark, sf):
 
 
 def q_farthest_first_embeddings(spark, sf):
-    return cs.farthest_first_centers(pts.embedding_points(spark, sf), FF_PICKS, 1)
+    return cs.farthest_first_centers(pts.embedding_points(spark, sf), FF_PICKS, EMB_L)
 
 
 def _core(spark, sf):
@@ -269,6 +272,41 @@ def q_kcenter_assignment(spark, sf):
     return a.select("point_id", "center_id", _r(F.col("distance")).alias("distance"))
 
 
+def q_ball_weights_blocked(spark, sf):
+    """Ball weights over many small blocks, as a solver input beyond one block takes them."""
+    w, prep, state = _solver_start(spark, sf)
+    return balls.ball_weights_blocked(state.where("uncovered"), kc.selection_factor(CORE_ALPHA), prep.n_rows,
+                                      block_rows=64).select("guess", "point_id", "ball_weight")
+
+
+def q_coreset_large_parts(spark, sf):
+    """Every part over the memory bound: the traversal as DataFrame jobs."""
+    return cs.coreset(pts.customer_points(spark, sf), LARGE_M, CORE_L, max_part_rows=100).select(
+        "part", "pick", "point_id", "weight")
+
+
+def q_coreset_key_parts(spark, sf):
+    """Parts from a column of the caller."""
+    keyed = pts.customer_points(spark, sf).withColumn("own", F.expr(f"({PART_KEY.format('point_id')}) % {CORE_L}"))
+    return cs.coreset(keyed, CORE_M, CORE_L, part_col="own").select("part", "pick", "point_id", "weight")
+
+
+def q_objective_large_z(spark, sf):
+    """A large z: the value is narrowed down by bucket counts."""
+    customers = pts.customer_points(spark, sf)
+    res = two_round_kcenter(customers, CORE_K, CORE_Z, CORE_L, CORE_ALPHA)
+    return objective(customers, res.solve.solution, LARGE_Z, res.solve.centers, take_limit=20).select(
+        _r(F.col("objective")).alias("objective"))
+
+
+def q_nearest_center_blocks(spark, sf):
+    """Nearest centers with two centers to a block."""
+    customers = pts.customer_points(spark, sf)
+    res = two_round_kcenter(customers, CORE_K, CORE_Z, CORE_L, CORE_ALPHA)
+    a = assign_to_centers(customers, res.solve.solution, res.solve.centers, center_bytes=2 * 2 * 8)
+    return a.select("point_id", "center_id", _r(F.col("distance")).alias("distance"))
+
+
 def _rounded_summary(df):
     return df.select("n", "k", "z", "l", _r(F.col("initial_guess")).alias("initial_guess"),
                      _r(F.col("final_guess")).alias("final_guess"), "guesses", "solution_size",
@@ -333,6 +371,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kcenter_summary": q_kcenter_summary,
     "kcenter_exact_summary": q_kcenter_exact_summary,
     "exact_objective": q_exact_objective,
+    "ball_weights_blocked": q_ball_weights_blocked,
+    "coreset_large_parts": q_coreset_large_parts,
+    "coreset_key_parts": q_coreset_key_parts,
+    "objective_large_z": q_objective_large_z,
+    "nearest_center_blocks": q_nearest_center_blocks,
 }
 
 
@@ -393,11 +436,11 @@ _POINTS = {
 }
 
 
-def _fft_ctes(table: str, parts: int, m: int) -> list[str]:
+def _fft_ctes(table: str, parts: int, m: int, key: str = "v") -> list[str]:
     """pts(v, part, e); ff: one recursion row set per pick; cpt(part, pick,
     v, e): the picks; core(part, pick, v, e, w): picks with weights."""
     return [
-        f"pts AS (SELECT v, CAST(v % {parts} AS INTEGER) AS part, e FROM ({_POINTS[table]}) p)",
+        f"pts AS (SELECT v, CAST({key} % {parts} AS INTEGER) AS part, e FROM ({_POINTS[table]}) p)",
         f"""ff(it, part, v, e, d, cid) AS (
   SELECT 1, part, v, e, CAST('infinity' AS DOUBLE), min(v) OVER (PARTITION BY part) FROM pts
   UNION ALL
@@ -424,7 +467,7 @@ def _solver_ctes(t_sql: str, k: int, z: int, alpha: float) -> list[str]:
     sel = float(1 + 2 * alpha)
     rem = float(3 + 4 * alpha)
     return [
-        f"t AS ({t_sql})",
+        f"t AS MATERIALIZED ({t_sql})",
         f"win AS (SELECT i, e FROM t ORDER BY i LIMIT {m})",
         "r0 AS (SELECT min(list_distance(a.e, b.e)) / 2 AS r FROM win a JOIN win b ON a.i < b.i)",
         """coords AS (SELECT unnest(range(len(e))) AS j, unnest(e) AS x FROM t)""",
@@ -434,7 +477,7 @@ def _solver_ctes(t_sql: str, k: int, z: int, alpha: float) -> list[str]:
                  AS INTEGER) AS g FROM r0, bb)""",
         """gs AS (SELECT CAST(q.guess AS INTEGER) AS guess, r0.r * pow(2, q.guess) AS r
         FROM r0, ng, range(0, 64) q(guess) WHERE q.guess < ng.g)""",
-        "dm AS (SELECT a.i AS a, b.i AS b, list_distance(a.e, b.e) AS d FROM t a, t b)",
+        "dm AS MATERIALIZED (SELECT a.i AS a, b.i AS b, list_distance(a.e, b.e) AS d FROM t a, t b)",
         f"""g(guess, r, step, i, w, unc, cstep) AS (
   SELECT gs.guess, gs.r, 0, t.i, t.w, true, CAST(NULL AS INTEGER) FROM gs, t
   UNION ALL
@@ -496,10 +539,10 @@ def _summary_select(n_sql: str, l_sql: str, k: int, z: int) -> str:
 
 def _step1_ctes() -> list[str]:
     return _core_solver()[:-5] + [
-        f"""bw1 AS (SELECT gs.guess, a.i, sum(b.w) AS ball_weight
+        f"""bw1 AS MATERIALIZED (SELECT gs.guess, a.i, sum(b.w) AS ball_weight
          FROM gs, t a JOIN dm ON dm.a = a.i JOIN t b ON b.i = dm.b
          WHERE dm.d <= {float(1 + 2 * CORE_ALPHA)} * gs.r GROUP BY gs.guess, a.i)""",
-        "nc1 AS (SELECT guess, arg_max(i, (ball_weight, -i)) AS c FROM bw1 GROUP BY guess)",
+        "nc1 AS MATERIALIZED (SELECT guess, arg_max(i, (ball_weight, -i)) AS c FROM bw1 GROUP BY guess)",
     ]
 
 
@@ -528,7 +571,7 @@ def _oracles() -> dict[str, str]:
                          "CAST(printf('%.2f', c_nationkey * CAST(400.0 AS DOUBLE)) AS DOUBLE) AS x1 "
                          "FROM customer")
     o["point_count"] = "SELECT count(*) AS n_points FROM customer"
-    o["nearest_center"] = _with(*_fft_ctes("embeddings", 1, FF_PICKS)) + """
+    o["nearest_center"] = _with(*_fft_ctes("embeddings", EMB_L, FF_PICKS)) + """
 SELECT p.v AS point_id,
        arg_min(c.v, (list_distance(p.e, c.e), c.pick)) AS center_id,
        round(min(list_distance(p.e, c.e)), 6) AS distance
@@ -538,7 +581,7 @@ SELECT count(*) AS pairs, round(min(d), 6) AS min_distance, round(max(d), 6) AS
 FROM (SELECT list_distance(a.e, b.e) AS d FROM p a JOIN p b ON a.v < b.v) s""")
     o["farthest_first_centers"] = (_with(*_fft_ctes("customer", CORE_L, CORE_M))
                                    + "SELECT part, pick, v AS point_id FROM cpt")
-    o["farthest_first_embeddings"] = (_with(*_fft_ctes("embeddings", 1, FF_PICKS))
+    o["farthest_first_embeddings"] = (_with(*_fft_ctes("embeddings", EMB_L, FF_PICKS))
                                       + "SELECT part, pick, v AS point_id FROM cpt")
     core = _fft_ctes("customer", CORE_L, CORE_M)
     o["coreset"] = _with(*core) + "SELECT part, pick, v AS point_id, w AS weight FROM core"
@@ -556,8 +599,8 @@ WHERE dm.d <= {float(1 + 2 * CORE_ALPHA)} * gs.r GROUP BY gs.guess, a.v""")
     o["best_ball"] = (_with(*_step1_ctes())
                       + "SELECT nc1.guess, t.v AS point_id FROM nc1 JOIN t ON t.i = nc1.c")
     o["cover_step"] = _with(*_step1_ctes()) + f"""
-SELECT gs.guess, t.v AS point_id, dm.d > {float(3 + 4 * CORE_ALPHA)} * gs.r AS uncovered
-FROM gs JOIN nc1 ON nc1.guess = gs.guess JOIN dm ON dm.a = nc1.c JOIN t ON t.i = dm.b"""
+SELECT gs.guess, t.v AS point_id, list_distance(c.e, t.e) > {float(3 + 4 * CORE_ALPHA)} * gs.r AS uncovered
+FROM gs JOIN nc1 ON nc1.guess = gs.guess JOIN t c ON c.i = nc1.c, t"""
     o["greedy_cover"] = (_with(*_core_solver())
                          + "SELECT fin.guess, fin.cstep AS step, t.v AS point_id "
                            "FROM fin JOIN t USING (i) WHERE fin.cstep IS NOT NULL")
@@ -588,6 +631,15 @@ FROM allp a, sol s GROUP BY a.v"""
                                                     EXACT_K, EXACT_Z))
     o["exact_objective"] = (_with(*_exact_solver(), *_objective_ctes("supplier", EXACT_Z))
                             + "SELECT round(objective, 6) AS objective FROM obj")
+    # The branches that run at scale, forced by parameters.
+    o["ball_weights_blocked"] = o["ball_weights"]
+    o["coreset_large_parts"] = (_with(*_fft_ctes("customer", CORE_L, LARGE_M))
+                                + "SELECT part, pick, v AS point_id, w AS weight FROM core")
+    o["coreset_key_parts"] = (_with(*_fft_ctes("customer", CORE_L, CORE_M, f"({PART_KEY.format('v')})"))
+                              + "SELECT part, pick, v AS point_id, w AS weight FROM core")
+    o["objective_large_z"] = (_with(*_core_solver(), *_objective_ctes("customer", LARGE_Z))
+                              + "SELECT round(objective, 6) AS objective FROM obj")
+    o["nearest_center_blocks"] = o["kcenter_assignment"]
     return o
 
 

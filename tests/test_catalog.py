@@ -5,6 +5,7 @@ import pytest
 
 from conftest import ROOT, SF001
 import __spark_entry__ as entry
+from robustagg import catalog
 from tools.check_oracles import TABLES, compare
 
 
@@ -16,7 +17,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.oracles())
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(catalog.oracles()) <= set(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -29,11 +31,11 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle_sf0001(spark, con, name):
-    df = entry.queries()[name](spark, SF001)
+    df = catalog.QUERIES[name](spark, SF001)
     rows = df.collect()
-    cur = con.execute(entry.oracle_sql()[name])
+    cur = con.execute(catalog.oracles()[name])
     err = compare(rows, df.columns, cur.fetchall(), [d[0] for d in cur.description])
     assert err is None, err
 

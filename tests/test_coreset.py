@@ -116,25 +116,45 @@ def test_pair_summary_blocked_equals_single(spark):
 
 def test_compress_keeps_total_weight(spark):
     p = pts.customer_points(spark, SF01)
-    core = cs.coreset(p, 10, 8).checkpoint()
-    small, parts, levels = cs.compress(core, 10, 30, 80)
-    assert parts == 3 and levels == 1
+    core = cs.coreset(p, 10, 30).checkpoint()           # 300 rows
+    small, parts = cs.compress(core, 10, 30, levels=3)
+    assert parts == [8, 2, 2]                           # a quarter each, two at least
     rows = small.collect()
-    assert len(rows) <= 30 and sum(r.weight for r in rows) == 1500
+    assert len(rows) == 20 and sum(r.weight for r in rows) == 1500
     # compressed picks are original points
     ids = {r.point_id for r in core.collect()}
     assert {r.point_id for r in rows} <= ids
 
 
-def test_compress_respects_part_bound(spark):
-    p = pts.customer_points(spark, SF01)
-    core = cs.coreset(p, 10, 30).checkpoint()           # 300 rows
-    small, parts, levels = cs.compress(core, 10, 20, 300, max_part_rows=40)
-    # parts average at most half the bound (20 rows here), so each level
-    # keeps 10 of every 20 rows: 300 -> 150 -> 80 -> 40 -> 20
-    assert levels == 4
-    rows = small.collect()
-    assert len(rows) <= 20 and sum(r.weight for r in rows) == 1500
+@pytest.mark.parametrize("bad", [[float("nan"), 1.0], None, [1.0, 2.0, 3.0], [1.0, None]])
+def test_bad_points_fail_at_every_size(spark, bad):
+    """The same error whether a part fits in memory or not, and in the objective."""
+    rows = [(i, [float(i), float(i % 7)]) for i in range(40)]
+    rows[17] = (17, bad)
+    df = spark.createDataFrame(rows, "point_id long, features array<double>")
+    for bound in (None, 4):
+        with pytest.raises(Exception, match="dimension|no features|NaN"):
+            cs.coreset(df, 5, 2, max_part_rows=bound).collect()
+    from robustagg.operators.objective import nearest_frame
+    with pytest.raises(Exception, match="dimension|no features|NaN"):
+        nearest_frame(df, [[0.0, 0.0], [5.0, 1.0]]).collect()
+
+
+def test_text_points_keep_their_position(spark, tmp_path):
+    """Ids are line numbers over the files in order, however the files are split."""
+    for f, lo in (("a.txt", 0), ("b.txt", 3000)):
+        (tmp_path / f).write_text("".join(f"{i}.5,{i % 13}\n" for i in range(lo, lo + 3000)))
+    key, old = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    seen = []
+    try:
+        for size in ("128m", "4k"):
+            spark.conf.set(key, size)
+            df = pts.read_points(spark, str(tmp_path))
+            seen.append(df.rdd.getNumPartitions())
+            assert all(r.point_id == int(r.features[0]) for r in df.collect())
+            assert df.count() == 6000
+    finally:
+        spark.conf.set(key, old)
 
 
 @pytest.mark.parametrize("weighted", [False, True])
@@ -166,36 +186,20 @@ from hypothesis import given, settings, strategies as st
 
 
 def _naive_traversal(x, m):
-    """Direct loops over the definition: strict comparisons, ties to the
-    earlier row / pick, stop when every remaining distance is 0."""
+    """The definition as orderings: the next pick is the row of largest (distance
+    to the picks, -row); a row belongs to the pick of smallest (distance, pick)."""
     def dist(a, b):
         acc = 0.0
         for p, q in zip(a, b):
             acc += (p - q) * (p - q)
         return acc ** 0.5
-    n = len(x)
-    mind = [float("inf")] * n
     picks = [0]
-    while True:
-        for i in range(n):
-            mind[i] = min(mind[i], dist(x[i], x[picks[-1]]))
-        if len(picks) >= m:
-            break
-        best, far = 0, 0.0
-        for i in range(n):
-            if mind[i] > far:
-                best, far = i, mind[i]
-        if far == 0.0:
+    while len(picks) < m:
+        gap, row = max((min(dist(a, x[p]) for p in picks), -i) for i, a in enumerate(x))
+        if gap == 0.0:
             break
-        picks.append(best)
-    assign = []
-    for i in range(n):
-        j_best, d_best = 0, dist(x[i], x[picks[0]])
-        for j in range(1, len(picks)):
-            d = dist(x[i], x[picks[j]])
-            if d < d_best:
-                j_best, d_best = j, d
-        assign.append(j_best)
+        picks.append(-row)
+    assign = [min((dist(a, x[p]), j) for j, p in enumerate(picks))[1] for a in x]
     return picks, assign
 
 

@@ -189,15 +189,33 @@ def test_kth_largest_both_paths(spark, monkeypatch):
     assert kth_largest(df, "v", 5001).first()[0] is None
 
 
-def test_two_round_auto_parts_and_compression(spark):
+def test_kth_largest_ties_nulls_and_close_values(spark):
+    rows = [3.0] * 50 + [None] * 5 + [1.0 + i * 2.0 ** -52 for i in range(40)] + [float(i) for i in range(10)]
+    df = spark.createDataFrame([(v,) for v in rows], "v double")
+    want = sorted((v for v in rows if v is not None), reverse=True)
+    for k in (1, 7, 8, 30, 56, 57, 70, 97, 98, 100):
+        assert kth_largest(df, "v", k, take_limit=3).first()[0] == want[k - 1]
+    assert kth_largest(df, "v", 101, take_limit=3).first()[0] is None
+
+
+def test_two_round_auto_parts_equal_given_parts(spark):
+    p = pts.customer_points(spark, SF01)
+    auto = two_round_kcenter(p, 4, 5, parts=None, max_part_rows=200)
+    given = two_round_kcenter(p, 4, 5, parts=auto.parts)
+    assert auto.parts >= 8 and auto.levels == given.levels == 1
+    assert [r.point_id for r in auto.solve.solution.orderBy("step").collect()] == \
+        [r.point_id for r in given.solve.solution.orderBy("step").collect()]
+    assert auto.objective.first() == given.objective.first()
+
+
+def test_two_round_levels_on_request(spark):
     p = pts.customer_points(spark, SF01)
-    res = two_round_kcenter(p, 4, 5, parts=None, max_part_rows=200, max_coreset_rows=40)
-    assert res.parts >= 8 and res.levels == 2
+    res = two_round_kcenter(p, 4, 5, parts=16, levels=2)
+    assert res.levels == 2 and res.core.count() <= 4 * 10
     assert res.core.agg(F.sum("weight")).first()[0] == 1500
-    assert 1 <= res.solve.solution_size <= 4
-    per = {r.guess: r for r in res.solve.per_guess.collect()}
-    assert per[res.solve.guesses - 1].ok
-    assert res.objective.first()[0] is not None
+    assert 1 <= res.solve.solution_size <= 4 and res.objective.first()[0] is not None
+    with pytest.raises(ValueError):
+        two_round_kcenter(p, 4, 5, parts=16, levels=0)
 
 
 def _plan(df):
@@ -276,13 +294,11 @@ def test_weighted_random_against_definition(spark, seed, alpha):
     assert res.final_guess == pytest.approx(r)
 
 
-def test_large_center_lists_use_the_arrow_path(spark, monkeypatch):
+def test_centers_in_blocks(spark):
     from robustagg.operators.objective import assign_to_centers
     p = pts.supplier_points(spark, SF01)
     res = kc.kcenter_exact(p, 5, 10, 0.0)
-    expr_obj = objective(p, res.solution, 10, res.centers).first()[0]
-    expr_asg = {tuple(r) for r in assign_to_centers(p, res.solution, res.centers).collect()}
-    monkeypatch.setattr(objmod, "LITERAL_VALUES", 0)
-    assert objective(p, res.solution, 10, res.centers).first()[0] == expr_obj
-    assert {tuple(r) for r in assign_to_centers(p, res.solution, res.centers).collect()} == expr_asg
-    assert round(expr_obj, 6) == 3324.80616
+    one = {tuple(r) for r in assign_to_centers(p, res.solution, res.centers).collect()}
+    blocks = {tuple(r) for r in assign_to_centers(p, res.solution, res.centers, center_bytes=16).collect()}
+    assert blocks == one
+    assert round(objective(p, res.solution, 10, res.centers).first()[0], 6) == 3324.80616
