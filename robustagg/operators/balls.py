@@ -220,31 +220,49 @@ def pair_distance_summary(points: DataFrame, block_rows: int = DEFAULT_BLOCK_ROW
                        F.max("max_distance").alias("max_distance"))
 
 
-_NEAREST_SCHEMA = "point_id long, pos int, distance double"
+_NEAREST_SCHEMA = "point_id long, features array<double>, pos int, distance double"
+CENTER_BYTES = 16 * 1024 * 1024   # coordinates of centers in one task closure
 
 
-def _nearest_kernel(centers: np.ndarray):
+def _nearest_kernel(centers: np.ndarray, first: int):
+    dim = centers.shape[1]
+
     def run(batches):
         for b in batches:
             n = b.num_rows
             if n == 0:
                 continue
-            x = _matrix(b.column("features"), n)
-            pos = np.empty(n, dtype=np.int32)
-            dist = np.empty(n)
+            feats = b.column("features")
+            lengths = np.diff(feats.offsets.to_numpy())
+            if feats.null_count or (lengths != dim).any():
+                raise ValueError(f"a point has no features or a dimension other than {dim}")
+            x = _matrix(feats, n)
+            if np.isnan(x).any():
+                raise ValueError("a coordinate is null or NaN")
+            pos = b.column("pos").to_numpy().copy()
+            dist = b.column("distance").to_numpy().copy()
             for lo, d in _distance_chunks(x, centers):
                 k = d.shape[0]
-                pos[lo:lo + k] = np.argmin(d, axis=1)     # first minimum: earlier center
-                dist[lo:lo + k] = d[np.arange(k), pos[lo:lo + k]]
-            yield pa.record_batch({"point_id": b.column("point_id"),
-                                   "pos": pa.array(pos), "distance": pa.array(dist)})
+                near = np.argmin(d, axis=1)               # first minimum: earlier center
+                best = d[np.arange(k), near]
+                closer = best < dist[lo:lo + k]           # ties stay with the earlier block
+                pos[lo:lo + k][closer] = near[closer] + first
+                dist[lo:lo + k][closer] = best[closer]
+            yield pa.RecordBatch.from_arrays([b.column("point_id"), feats, pa.array(pos), pa.array(dist)],
+                                             ["point_id", "features", "pos", "distance"])
     return run
 
 
-def nearest_centers_arrow(points: DataFrame, centers: list[list[float]]) -> DataFrame:
+def nearest_centers_arrow(points: DataFrame, centers: list[list[float]],
+                          center_bytes: int = CENTER_BYTES) -> DataFrame:
     """``(point_id, pos, distance)``: each point's nearest center (ties to the
-    earlier one), map-only over Arrow batches. For center lists too large to
-    travel as a plan literal; the centers ride in the task closure, so their
-    size is bounded by k * dim."""
+    earlier one), map-only over Arrow batches. The centers go to the tasks in
+    blocks of at most ``center_bytes`` (one block as a rule); the best so far is
+    carried from block to block. Points without features, with a null or NaN
+    coordinate or of another dimension than the centers fail the job."""
     c = np.asarray(centers, dtype=np.float64)
-    return points.select("point_id", "features").mapInArrow(_nearest_kernel(c), _NEAREST_SCHEMA)
+    rows = max(1, center_bytes // (8 * c.shape[1]))
+    out = points.select("point_id", "features", F.lit(-1).alias("pos"), F.lit(float("inf")).alias("distance"))
+    for first in range(0, len(c), rows):
+        out = out.mapInArrow(_nearest_kernel(c[first:first + rows], first), _NEAREST_SCHEMA)
+    return out.select("point_id", "pos", "distance")

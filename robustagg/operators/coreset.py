@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from robustagg.functions.distance import euclidean, nearest_with_id
 from robustagg.params import check_parts
+from robustagg.sources.points import checked_features, dimension
 from robustagg.session import ensure_checkpoint_dir
 
 # The per-part function travels to the Python workers by value, so executors
@@ -115,7 +116,7 @@ def farthest_first(x: np.ndarray, m: int) -> tuple[list[int], np.ndarray]:
     return picks, assign
 
 
-def _coreset_of_part(m: int, weighted: bool):
+def _coreset_of_part(m: int, weighted: bool, dim: int):
     def run(table: pa.Table) -> pa.Table:
         n = table.num_rows
         part = table.column("part")[0].as_py()
@@ -124,10 +125,9 @@ def _coreset_of_part(m: int, weighted: bool):
         if feats.null_count:
             raise ValueError(f"part {part}: a point has no features")
         lengths = np.diff(feats.offsets.to_numpy())
-        dim = int(lengths[0])
         if (lengths != dim).any():
             raise ValueError(f"part {part}: points of unequal dimension "
-                             f"({int(lengths.min())} and {int(lengths.max())})")
+                             f"({int(lengths.min())} to {int(lengths.max())}, not {dim})")
         order = np.argsort(ids, kind="stable")
         flat = feats.flatten().to_numpy(zero_copy_only=False)
         if np.isnan(flat).any():
@@ -174,12 +174,13 @@ def coreset(points: DataFrame, m: int, parts: int, by: str = "mod",
     if weight_col:
         cols.append(F.col(weight_col).cast("long").alias("weight"))
     keyed = points.select(*cols)
-    in_memory = _coreset_of_part(int(m), bool(weight_col))
+    # One dimension for every part and either traversal; both reject bad points.
+    dim = dimension(points)
+    in_memory = _coreset_of_part(int(m), bool(weight_col), dim)
     if max_part_rows is None:
         return keyed.groupBy("part").applyInArrow(in_memory, CORESET_SCHEMA)
     if max_part_rows == "auto":
-        first = keyed.select(F.size("features").alias("d")).first()
-        max_part_rows = rows_per_part(first["d"] if first else 1)
+        max_part_rows = rows_per_part(dim)
     if keyed.count() <= max_part_rows:
         # No part can exceed the bound (a row count reads no column data).
         return keyed.groupBy("part").applyInArrow(in_memory, CORESET_SCHEMA)
@@ -194,12 +195,12 @@ def coreset(points: DataFrame, m: int, parts: int, by: str = "mod",
     small = keyed.join(marks, "part", "left_anti").groupBy("part").applyInArrow(
         in_memory, CORESET_SCHEMA)
     large = farthest_first_distributed(keyed.join(marks, "part", "left_semi"), int(m),
-                                       bool(weight_col), n_parts=n_big)
+                                       bool(weight_col), n_parts=n_big, dim=dim)
     return small.unionByName(large)
 
 
 def farthest_first_distributed(keyed: DataFrame, m: int, weighted: bool = False,
-                               n_parts: int | None = None) -> DataFrame:
+                               n_parts: int | None = None, dim: int | None = None) -> DataFrame:
     """The per-part traversal and weights as DataFrame jobs, for parts too
     large for one task: each pick is one pass that updates every point's
     distance to its nearest pick so far (checkpointed state) and one ``max_by``
@@ -207,7 +208,8 @@ def farthest_first_distributed(keyed: DataFrame, m: int, weighted: bool = False,
     in-memory traversal, O(m) passes over the parts."""
     ensure_checkpoint_dir(keyed.sparkSession)
     w = F.col("weight") if weighted else F.lit(1).cast("long")
-    state = keyed.select("part", "point_id", "features", w.alias("weight"),
+    dim = dimension(keyed) if dim is None else dim
+    state = keyed.select("part", "point_id", checked_features(dim), w.alias("weight"),
                          F.lit(float("inf")).alias("mind"),
                          F.lit(0).alias("assign")).checkpoint()
     first = state.groupBy("part").agg(F.min_by(F.struct("point_id", "features"), "point_id")
@@ -216,7 +218,6 @@ def farthest_first_distributed(keyed: DataFrame, m: int, weighted: bool = False,
                         F.col("c.features").alias("features")).checkpoint()
     picks = [last]
     # One pick row per part: broadcast when that many coordinates are small.
-    dim = len(last.first()["features"])
     small_side = n_parts is not None and n_parts * (dim + 3) * 8 <= BROADCAST_BYTES
     for t in range(m):
         cur = last.select("part", F.col("pick").alias("lp"), F.col("features").alias("cf"))
@@ -251,26 +252,19 @@ def farthest_first_distributed(keyed: DataFrame, m: int, weighted: bool = False,
                           F.coalesce("weight", F.lit(0)).cast("long").alias("weight")))
 
 
-def compress(core: DataFrame, m: int, max_rows: int, rows: int, by: str = "hash",
-             max_part_rows: int | None = None) -> tuple[DataFrame, int, int]:
-    """Shrink a weighted coreset of ``rows`` rows below ``max_rows`` by more
-    farthest-first levels over parts of it (weights summed). A level keeps m
-    picks per part; parts never exceed ``max_part_rows``, so a very large
-    coreset takes several levels. Returns the coreset, its number of parts
-    and the number of levels added."""
-    parts, levels = None, 0
-    while rows > max_rows:
-        parts = max(1, max_rows // m)
-        if max_part_rows and math.ceil(rows / parts) > max_part_rows // 2:
-            # Average half the bound, as parts_for does, so no part spills
-            # into the distributed traversal.
-            parts = math.ceil(2 * rows / max_part_rows)
-        if rows <= parts * m:       # parts too small to drop anything
-            break
-        core = coreset(core.select("point_id", "features", "weight"), m, parts, by,
-                       weight_col="weight").checkpoint()
-        rows, levels = parts * m, levels + 1
-    return core, parts, levels
+def compress(core: DataFrame, m: int, parts: int, levels: int = 1, by: str = "hash",
+             max_part_rows: int | str | None = "auto") -> tuple[DataFrame, list[int]]:
+    """``levels`` more farthest-first levels over a weighted coreset of ``parts``
+    parts (weights summed): each level has a quarter of the parts before it, at
+    least two, and keeps m picks per part. Returns the coreset and each
+    level's number of parts. The caller asks for levels; size never does."""
+    used = []
+    for _ in range(levels):
+        parts = max(2, -(-parts // 4))
+        core = coreset(core.select("point_id", "features", "weight"), m, parts, by, weight_col="weight",
+                       max_part_rows=max_part_rows).checkpoint()
+        used.append(parts)
+    return core, used
 
 
 def farthest_first_centers(points: DataFrame, m: int, parts: int = 1, by: str = "mod") -> DataFrame:

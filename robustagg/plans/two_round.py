@@ -8,7 +8,7 @@ solver several times and must not recompute the scan.
 Round 2: the weighted greedy cover with radius search on the coreset
 (``alpha`` = 2 by default), run as Spark jobs over the checkpointed coreset.
 
-Objective: a second pass over all points with the centers as a literal.
+Objective: a second, map-only pass over all points (Arrow kernel).
 Nothing but scalars and the k centers reaches the driver.
 """
 
@@ -26,9 +26,7 @@ from robustagg.operators.kcenter import (
 from robustagg.operators.objective import objective
 from robustagg.params import check_k_z, check_parts
 from robustagg.session import ensure_checkpoint_dir
-
-
-DEFAULT_MAX_CORESET_ROWS = 50_000
+from robustagg.sources.points import dimension
 
 
 @dataclass
@@ -43,36 +41,30 @@ class TwoRoundResult:
 
 
 def two_round_kcenter(points: DataFrame, k: int, z: int, parts: int | None = None,
-                      alpha: float = 2.0, by: str | None = None,
-                      max_part_rows: int | None = None,
-                      max_coreset_rows: int = DEFAULT_MAX_CORESET_ROWS,
+                      alpha: float = 2.0, by: str = "mod",
+                      max_part_rows: int | None = None, levels: int = 1,
                       **solver_kw) -> TwoRoundResult:
     """Round 1 (coreset over ``parts`` parts; chosen from the point count when
     ``None`` so that no part exceeds ``max_part_rows``, by default what a
     256 MB part holds at the data's dimension), then round 2 on the
-    coreset. A coreset above ``max_coreset_rows`` rows is compressed by
-    further farthest-first levels first (bounded solver input; the
-    approximation loosens by a constant per level). Below that bound the
-    result is exactly the two-round algorithm. Parts are ``pmod(point_id, L)``
-    when ``parts`` is given and a hash of the id when it is chosen here
-    (balanced whatever the id pattern); ``by`` overrides either."""
+    coreset. The same L gives the same result whether it was given or chosen.
+    ``levels`` > 1 asks for further farthest-first levels over the coreset
+    before round 2 (a smaller solver input; the approximation loosens by a
+    constant per level); nothing adds levels by itself."""
     check_k_z(k, z)
+    if levels < 1:
+        raise ValueError(f"levels must be >= 1, got {levels}")
     ensure_checkpoint_dir(points.sparkSession)
     m = k + z + 1
     if parts is None:
         # A row count (no column read) and the dimension of one row: sizing
         # never scans the coordinates.
-        first = points.select(F.size("features").alias("d")).first()
-        max_part_rows = max_part_rows or rows_per_part((first["d"] if first else 1) or 1)
+        max_part_rows = max_part_rows or rows_per_part(dimension(points))
         parts = parts_for(points.count(), k, z, max_part_rows)
-        by = by or "hash"
-    by = by or "mod"
     check_parts(parts)
     core = coreset(points, m, parts, by, max_part_rows=max_part_rows or "auto").checkpoint()
-    levels = 1
-    if m * parts > max_coreset_rows:
-        core, _, extra = compress(core, m, max_coreset_rows, m * parts, max_part_rows=max_part_rows)
-        levels += extra
+    if levels > 1:
+        core, _ = compress(core, m, parts, levels - 1, max_part_rows=max_part_rows or "auto")
     solve = weighted_kcenter(coreset_weighted(core, m), k, z, alpha, **solver_kw)
     obj = objective(points, solve.solution, z, solve.centers)
     return TwoRoundResult(core=core, solve=solve, objective=obj, parts=parts, k=k, z=z,
