@@ -43,7 +43,9 @@ def line_table(docs: DataFrame) -> DataFrame:
     table = _lines(docs).select("doc_id", "line_no", F.xxhash64(F.lit(1), "line").alias("h1"),
                                 F.xxhash64(F.lit(2), "line").alias("h2"))
     first = table.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("id"))
-    return table.join(first, ["h1", "h2"]).select("doc_id", "line_no", "id").distinct()
+    # Rows that share doc_id, line number and text are dropped where the join left them.
+    return table.join(first, ["h1", "h2"]).dropDuplicates(["h1", "h2", "doc_id", "line_no"]).select(
+        "doc_id", "line_no", "id")
 
 
 def _chosen_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -68,12 +70,12 @@ def _shingle_rows(lines: DataFrame) -> DataFrame:
 
 
 def _shingle_set(w: Column) -> Column:
-    """The same shingles as one sorted set, for the few lines that are compared."""
+    """The same shingles as one set of 32-bit hashes, for the few lines that are compared."""
     pair = F.zip_with(w, F.slice(w, 2, F.size(w)), lambda a, b: F.struct(
         a.alias("a"), F.when(b.isNull(), a).otherwise(F.concat(a, F.lit(" "), b)).alias("p")))
     runs = F.transform(F.filter(pair, lambda x: x["a"] != ""), lambda x: F.transform(
         F.sequence(F.lit(1), F.char_length(x["a"]), F.lit(STEP)),
-        lambda o: F.xxhash64(F.substr(x["p"], o, F.lit(K)))))
+        lambda o: F.hash(F.substr(x["p"], o, F.lit(K)))))
     return F.array_distinct(F.flatten(runs))
 
 
@@ -84,10 +86,9 @@ def _candidates(signed: DataFrame) -> DataFrame:
     keyed = F.array(*(F.struct(
         F.when(F.coalesce(*band(k)).isNotNull(), F.xxhash64(F.lit(k), *band(k))).alias("key"),
         F.shiftright(F.coalesce(F.col(bins[(k + 1) * ROWS % BINS]), F.lit(0)), 48).alias("next")) for k in range(BANDS)))
-    rows = (signed.select(F.struct("doc_id", "line_no").alias("id"), F.inline(keyed))
-            .where("key is not null"))
-    bucket = Window.partitionBy("key").orderBy("next", "id")
-    return (rows.select("id", F.lag("id").over(bucket).alias("before"), F.first("id").over(bucket).alias("head"))
+    rows = signed.select("doc_id", "line_no", F.inline(keyed)).where("key is not null")
+    bucket, line = Window.partitionBy("key").orderBy("next", "doc_id", "line_no"), F.struct("doc_id", "line_no")
+    return (rows.select(line.alias("id"), F.lag(line).over(bucket).alias("before"), F.first(line).over(bucket).alias("head"))
             .where("before is not null")
             .select(F.explode(F.array_distinct(F.array("before", "head"))).alias("a"), F.col("id").alias("b"))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
