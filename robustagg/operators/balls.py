@@ -165,39 +165,42 @@ def ball_weights_blocked(unc: DataFrame, factor: float, n_rows: int,
                    .agg(F.sum("ball_weight").cast("long").alias("ball_weight")))
 
 
-_PAIR_SCHEMA = "pairs long, min_distance double, max_distance double"
+_PAIR_SCHEMA = "pairs long, min_distance double, min_positive double, max_distance double"
 
 
 def _pair_block(c: pa.Table, m: pa.Table) -> pa.Table:
-    """Count, min and max of the distances between two blocks (within one
-    block: each unordered pair once, by point id)."""
+    """Count, min, smallest positive and max of the distances between two blocks
+    (within one block: each unordered pair once, by point id)."""
     empty = pa.table({"pairs": pa.array([0], pa.int64()),
                       "min_distance": pa.array([None], pa.float64()),
+                      "min_positive": pa.array([None], pa.float64()),
                       "max_distance": pa.array([None], pa.float64())})
     if c.num_rows == 0 or m.num_rows == 0:
         return empty
     same = c.column("ablk")[0].as_py() == c.column("bblk")[0].as_py()
     x = _matrix(c.column("features"), c.num_rows)
-    y = _matrix(m.column("features"), m.num_rows)
+    y = _matrix(m.column("other"), m.num_rows)
     xi = c.column("point_id").to_numpy()
-    yi = m.column("point_id").to_numpy()
-    count, lo, hi = 0, np.inf, -np.inf
+    yi = m.column("other_id").to_numpy()
+    count, lo, above, hi = 0, np.inf, np.inf, -np.inf
     for s0, d in _distance_chunks(x, y):
         if same:
             d = d[xi[s0:s0 + d.shape[0]][:, None] < yi[None, :]]
         if d.size:
             count += d.size
             lo, hi = min(lo, d.min()), max(hi, d.max())
+            above = min(above, d[d > 0].min(initial=np.inf))
     if not count:
         return empty
     return pa.table({"pairs": pa.array([count], pa.int64()),
                      "min_distance": pa.array([lo], pa.float64()),
+                     "min_positive": pa.array([None if np.isinf(above) else above], pa.float64()),
                      "max_distance": pa.array([hi], pa.float64())})
 
 
 def pair_distance_summary(points: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS,
                           n_rows: int | None = None) -> DataFrame:
-    """One row ``(pairs, min_distance, max_distance)`` over all unordered pairs
+    """One row ``(pairs, min_distance, min_positive, max_distance)`` over all unordered pairs
     of distinct points. The n^2/2 distances are evaluated block against block
     (cogroup on (a block, b block), a <= b) and reduced inside the kernel; no
     pair row is ever produced and a task holds two blocks at most."""
@@ -212,11 +215,13 @@ def pair_distance_summary(points: DataFrame, block_rows: int = DEFAULT_BLOCK_ROW
                 .select("point_id", "features", F.col("blk").alias("ablk"), F.col("o").alias("bblk")))
     right = (base.select("point_id", "features", "blk", other)
                  .where(F.col("o") <= F.col("blk"))
-                 .select("point_id", "features", F.col("o").alias("ablk"), F.col("blk").alias("bblk")))
+                 .select(F.col("point_id").alias("other_id"), F.col("features").alias("other"),
+                         F.col("o").alias("ablk"), F.col("blk").alias("bblk")))
     partial = (left.groupBy("ablk", "bblk").cogroup(right.groupBy("ablk", "bblk"))
                    .applyInArrow(_pair_block, _PAIR_SCHEMA))
     return partial.agg(F.sum("pairs").cast("long").alias("pairs"),
                        F.min("min_distance").alias("min_distance"),
+                       F.min("min_positive").alias("min_positive"),
                        F.max("max_distance").alias("max_distance"))
 
 

@@ -19,8 +19,8 @@ Spark design:
   one ball covers everything.
 * The state (T points x G guesses) is cut from its lineage each step with
   ``checkpoint()`` (reliable storage, ``spark.checkpoint.dir``) so the plan
-  does not grow with k. The stop test, the per-guess uncovered weight and the
-  chosen centers are observed metrics of that same job.
+  does not grow with k. The stop test, the per-guess uncovered weight and
+  the number of centers are observed metrics of that same job.
 * Ball weights need, for each uncovered candidate, the uncovered weight
   within a radius: a range self-join. It is evaluated on bounded blocks
   (``robustagg.operators.balls``): a numpy kernel per (guess, candidate
@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from robustagg.functions.distance import euclidean, euclidean_sql
 from robustagg.operators.balls import (
-    DEFAULT_BLOCK_ROWS, ball_weights_blocked, best_ball_single_block,
+    DEFAULT_BLOCK_ROWS, ball_weights_blocked, best_ball_single_block, pair_distance_summary,
 )
 from robustagg.params import check_alpha, check_k_z
 from robustagg.session import ensure_checkpoint_dir
@@ -84,30 +84,25 @@ class KCenterResult:
 
 def window_radius_frame(wpoints: DataFrame, m: int) -> DataFrame:
     """One row: ``dmin`` / ``dpos`` (smallest and smallest positive distance
-    among the first m points in idx order), ``initial_guess`` = dmin / 2 and
-    the first point ``p0``. The window is bounded by m = k+z+1 rows and its
-    pairs are scanned with higher-order functions on a single row."""
-    head = wpoints.orderBy("idx").limit(m)
-    dist = euclidean_sql("w[i]", "b")
-    all_d = (f"flatten(transform(sequence(0, greatest(size(w) - 2, 0)), "
-             f"i -> transform(slice(w, i + 2, size(w)), b -> {dist})))")
-    return (head.agg(F.sort_array(F.collect_list(F.struct("idx", "features"))).alias("ws"))
-                .selectExpr("ws.features AS w")
-                .selectExpr(f"array_min({all_d}) AS dmin",
-                            f"array_min(filter({all_d}, d -> d > 0)) AS dpos", "w[0] AS p0")
-                .selectExpr("dmin", "dpos", "p0", "coalesce(dmin / 2, 0D) AS initial_guess"))
+    among the first m points in idx order) and ``initial_guess`` = dmin / 2. The
+    window is bounded by m = k+z+1 rows; its pairs are taken block by block."""
+    head = wpoints.orderBy("idx").limit(m).select(F.col("idx").alias("point_id"), "features")
+    return pair_distance_summary(head, n_rows=m).select(
+        F.col("min_distance").alias("dmin"), F.col("min_positive").alias("dpos"),
+        F.expr("coalesce(min_distance / 2, 0D)").alias("initial_guess"))
 
 
 def spread_frame(wpoints: DataFrame) -> DataFrame:
-    """One row: row count, smallest and largest dimension, smallest weight,
-    and the diagonal of the bounding box (an upper bound on every pair
+    """One row: row count, number of ids, first point, smallest and largest
+    dimension, smallest weight, and the diagonal of the bounding box (an upper bound on every pair
     distance). Partial aggregates per coordinate, so the shuffle is tiny."""
     coords = (wpoints.selectExpr("posexplode(features) AS (pos, x)")
                      .groupBy("pos").agg(F.expr("max(x) - min(x) AS span")))
     diag = coords.agg(F.expr("sqrt(sum(span * span)) AS diag"))
     sizes = wpoints.agg(F.expr("count(1) AS n"), F.expr("min(size(features)) AS dim_lo"),
                         F.expr("max(size(features)) AS dim_hi"), F.expr("min(weight) AS w_lo"),
-                        F.expr("count(CASE WHEN weight IS NULL THEN 1 END) AS w_null"))
+                        F.expr("count(CASE WHEN weight IS NULL THEN 1 END) AS w_null"),
+                        F.expr("count(DISTINCT idx) AS n_idx"), F.expr("min_by(features, idx) AS p0"))
     return sizes.unionByName(diag, allowMissingColumns=True)
 
 
@@ -136,25 +131,26 @@ def guess_series(r0: float, positive: float | None, diag: float, alpha: float) -
 
 
 def prepare(wpoints: DataFrame, k: int, z: int, alpha: float) -> SolverInput:
-    """r0, the guess series and input checks: one job (a second one only when
-    the window holds nothing but copies of one point)."""
+    """Input checks, then r0 and the guess series: two small jobs (a third one
+    only when the window holds nothing but copies of one point)."""
     check_k_z(k, z)
     check_alpha(alpha)
-    window = window_radius_frame(wpoints, k + z + 1)
-    rows = window.unionByName(spread_frame(wpoints), allowMissingColumns=True).collect()
-    win = next((r for r in rows if r["p0"] is not None), None)
-    if win is None:
-        raise ValueError("k-center of an empty point set")
+    rows = spread_frame(wpoints).collect()
     sizes = next(r for r in rows if r["n"] is not None)
+    if not sizes["n"]:
+        raise ValueError("k-center of an empty point set")
+    if sizes["n_idx"] != sizes["n"]:
+        raise ValueError(f"{sizes['n']} points share {sizes['n_idx']} ids")
     diag = next((r["diag"] for r in rows if r["diag"] is not None), 0.0)
     if sizes["dim_lo"] != sizes["dim_hi"]:
         raise ValueError(f"points of unequal dimension ({sizes['dim_lo']} and {sizes['dim_hi']})")
     if sizes["w_null"] or sizes["w_lo"] is None or sizes["w_lo"] < 0:
         raise ValueError("weights must be non-negative and not null")
+    win = window_radius_frame(wpoints, k + z + 1).first()
     r0 = win["dmin"] / 2 if win["dmin"] is not None else 0.0
     positive = win["dpos"]
     if r0 == 0 and positive is None and diag > 0:
-        positive = _nearest_positive(wpoints, list(win["p0"]))
+        positive = _nearest_positive(wpoints, list(sizes["p0"]))
     return SolverInput(n_rows=sizes["n"], dim=sizes["dim_hi"], initial_guess=r0,
                        guesses=guess_series(r0, positive, diag, alpha))
 
@@ -247,20 +243,17 @@ def _step_metrics(n_guesses: int) -> list[Column]:
     for g in range(n_guesses):
         cols.append(F.expr(f"sum(CASE WHEN guess = {g} THEN {unc} ELSE 0 END) AS w{g}"))
         cols.append(F.expr(f"count(CASE WHEN guess = {g} THEN center_step END) AS c{g}"))
-    if n_guesses:
-        # The chosen centers of every guess: at most k per guess.
-        cols.append(F.expr("collect_list(CASE WHEN center_step IS NOT NULL THEN "
-                           "struct(guess, center_step, point_id, features) END) AS centers"))
     return cols
 
 
 def greedy_cover_observed(state: DataFrame, k: int, alpha: float, n_rows: int,
                           block_rows: int = DEFAULT_BLOCK_ROWS, steps: int | None = None,
-                          n_guesses: int = 0) -> tuple[DataFrame, dict]:
+                          n_guesses: int = 0, z: int | None = None) -> tuple[DataFrame, dict]:
     """``greedy_cover`` that also returns the metrics observed on the last
     checkpoint job: total uncovered weight ``w`` and, for each of the first
     ``n_guesses`` guesses, its uncovered weight ``w<g>`` and number of centers
-    ``c<g>`` (the radius search without another job)."""
+    ``c<g>`` (the radius search without another job). With ``z`` given, guesses
+    above one that already leaves at most z are dropped: they cannot win."""
     spark = state.sparkSession
     ensure_checkpoint_dir(spark)
     # The starting state is a cheap projection of its input (a checkpointed
@@ -281,6 +274,10 @@ def greedy_cover_observed(state: DataFrame, k: int, alpha: float, n_rows: int,
         metrics = seen.get
         if step < last and not metrics.get("w"):
             break
+        if z is not None and step < last:
+            good = next((g for g in range(n_guesses) if (metrics.get(f"w{g}") or 0) <= z), n_guesses)
+            if good < n_guesses - 1:
+                state, n_guesses = state.where(F.col("guess") <= F.lit(good)), good + 1
     return state, metrics
 
 
@@ -301,7 +298,7 @@ def weighted_kcenter(wpoints: DataFrame, k: int, z: int, alpha: float,
     prep = prepare(wpoints, k, z, alpha)
     n_guesses = len(prep.guesses)
     state, seen = greedy_cover_observed(initial_state(wpoints, prep.guesses, prep.n_rows), k,
-                                        alpha, prep.n_rows, block_rows, n_guesses=n_guesses)
+                                        alpha, prep.n_rows, block_rows, n_guesses=n_guesses, z=z)
     per_guess = radius_search(state, z)
     # Per-guess uncovered weight and center count were observed on the last
     # step's job: the driver picks the smallest guess that leaves <= z.
@@ -311,8 +308,7 @@ def weighted_kcenter(wpoints: DataFrame, k: int, z: int, alpha: float,
     solution = (state.where((F.col("guess") == F.lit(g)) & F.col("center_step").isNotNull())
                      .select(F.col("center_step").alias("step"), "point_id", "features")
                      .orderBy("step"))
-    chosen = sorted((c for c in seen.get("centers") or [] if c["guess"] == g),
-                    key=lambda c: c["center_step"])
+    chosen = solution.collect()  # at most k rows, once
     centers = ([c["point_id"] for c in chosen], [list(c["features"]) for c in chosen])
     return KCenterResult(state=state, per_guess=per_guess, solution=solution,
                          initial_guess=prep.initial_guess, final_guess=prep.guesses[g],
