@@ -44,7 +44,8 @@ from .words import LOWERED, find_words, mix, range_hashes, slices, windows
 
 SLICE_BYTES = 6 << 20
 HOT_IN_SLICE = 2
-BITS = 512
+SMALL_SET = 1500  # larger sets get the long bitmap
+SHORT, LONG = 512, 4096  # bits
 LONG_LIST = 4096
 HOT_KEPT = 1 << 20  # bound of the list of common shingles; it only shapes the order
 
@@ -90,8 +91,10 @@ def _prefixes(k: int, t: int, hot: np.ndarray):
                 digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                 fp.append(np.frombuffer(digest, np.int64))
                 sizes.append(len(s))
-                places = np.bincount((mix(s) >> np.uint64(64 - 9)).astype(np.int64), minlength=BITS)
-                bits.append(np.packbits((places & 1).astype(np.uint8)).tobytes())
+                odd = np.bincount((mix(s) >> np.uint64(64 - 12)).astype(np.int64), minlength=LONG) & 1
+                if len(s) <= SMALL_SET:
+                    odd = odd.reshape(SHORT, -1).sum(axis=1) & 1
+                bits.append(np.packbits(odd.astype(np.uint8)).tobytes())
                 late = np.zeros(len(s), np.int64)
                 check = np.flatnonzero(maybe[s & np.uint64(len(maybe) - 1)])
                 if len(check) and len(values):
@@ -127,11 +130,32 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, given = batch.slice(batch.num_rows - 1), bool(keep[-1])
 
 
-def _close(bits: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, t: int) -> np.ndarray:
-    """Whether sets i and j can link by size and by the parity of their shingles per bit."""
-    total = n[i] + n[j]
-    apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1)
-    return apart <= total - 2 * -(-t * total // (100 + t))
+class _Bitmaps:
+    """Parity of the shingles per bit: the distance of two bitmaps is at most the
+    difference of the sets. A long bitmap's bytes fold to the bits of a short one."""
+
+    def __init__(self, bits: list[bytes]):
+        long = np.array([len(b) * 8 == LONG for b in bits], bool)
+        self.long_at = np.cumsum(long) - 1
+        self.long_at[~long] = -1
+        raw = np.frombuffer(b"".join(b for b, x in zip(bits, long, strict=True) if x), np.uint8).reshape(-1, LONG // 8)
+        self.long = raw.view(np.uint64)
+        short = np.empty((len(bits), SHORT // 8), np.uint8)
+        short[long] = np.packbits(np.bitwise_count(raw) & 1, axis=1)
+        short[~long] = np.frombuffer(b"".join(b for b, x in zip(bits, long, strict=True) if not x),
+                                     np.uint8).reshape(-1, SHORT // 8)
+        self.short = short.view(np.uint64)
+
+    def close(self, n: np.ndarray, i: np.ndarray, j: np.ndarray, t: int) -> np.ndarray:
+        """Whether sets i and j can link."""
+        total = n[i] + n[j]
+        most = total - 2 * -(-t * total // (100 + t))  # largest difference of linked sets
+        out = np.bitwise_count(self.short[i] ^ self.short[j]).sum(axis=1) <= most
+        both = np.flatnonzero(out & (self.long_at[i] >= 0) & (self.long_at[j] >= 0))
+        for part in np.array_split(both, 1 + len(both) // 20_000):
+            a, b = self.long_at[i[part]], self.long_at[j[part]]
+            out[part] = np.bitwise_count(self.long[a] ^ self.long[b]).sum(axis=1, dtype=np.int64) <= most[part]
+        return out
 
 
 def _list_links(t: int):
@@ -143,7 +167,7 @@ def _list_links(t: int):
         near = (token[1:] == token[:-1]) & (100 * n[:-1] >= t * n[1:])
         return c[:-1][near], c[1:][near]
 
-    def span(token: np.ndarray, n: np.ndarray, c: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def span(token: np.ndarray, n: np.ndarray, c: np.ndarray, bits: _Bitmaps) -> tuple[np.ndarray, np.ndarray]:
         label, at, step = np.arange(len(token)), np.arange(len(token)), 1
         ends: list[tuple[np.ndarray, np.ndarray]] = []
         while True:
@@ -151,7 +175,7 @@ def _list_links(t: int):
             at = at[(token[at + step] == token[at]) & (100 * n[at] >= t * n[at + step])]
             if not len(at):
                 break
-            near = at[_close(bits, n, at, at + step, t)]
+            near = at[bits.close(n, at, at + step, t)]
             ends.append((near, near + step))
             step += 1
         if not ends:
@@ -179,8 +203,7 @@ def _list_links(t: int):
             return tuple(batch.column(x).to_numpy(zero_copy_only=False) for x in ("token", "n", "c1"))
 
         def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
-            raw = b"".join(batch.column("bits").to_pylist())
-            return give(*span(*columns(batch), np.frombuffer(raw, np.uint64).reshape(-1, BITS // 64)))
+            return give(*span(*columns(batch), _Bitmaps(batch.column("bits").to_pylist())))
 
         for batch in batches:
             if held is not None:
@@ -211,8 +234,9 @@ class _Cell:
 
     def __init__(self, sets: list[np.ndarray], t: int):
         self.t, self.sizes = t, np.array([len(s) for s in sets])
-        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)
         values, local, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        local = local.astype(np.int32)
         ends = np.cumsum(self.sizes)
         self.tokens = [local[e - n:e] for e, n in zip(ends, self.sizes, strict=True)]
         self.lists, self.list_at = owner[np.argsort(local, kind="stable")], np.concatenate([[0], np.cumsum(df)])
@@ -339,7 +363,7 @@ def _cells(k: int, t: int):
     return cells
 
 
-def jaccard_join(docs: DataFrame, k: int = 3, threshold: int = 90, cell_shingles: int = 4_000_000) -> DataFrame:
+def jaccard_join(docs: DataFrame, k: int = 3, threshold: int = 90, cell_shingles: int = 1_500_000) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links,
     itself included) and n_links, one row per row of docs."""
     texts = docs.select("doc_id", "text")

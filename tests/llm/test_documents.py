@@ -67,7 +67,7 @@ def tuples(df):
     return sorted(map(tuple, df.collect()), key=str)
 
 
-@pytest.mark.parametrize(("k", "t", "cell"), [(3, 90, 4_000_000), (5, 80, 4_000_000), (3, 90, 600)])
+@pytest.mark.parametrize(("k", "t", "cell"), [(3, 90, 1_500_000), (5, 80, 1_500_000), (3, 90, 600)])
 def test_jaccard_join(docs, pairs, k, t, cell):
     """Also with cells so small that they are cut into blocks."""
     assert tuples(setjoin.jaccard_join(docs, k, t, cell)) == sorted(brute.jaccard_classes(pairs, k, t), key=str)
