@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +19,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package (once per application), so that the Arrow
+    functions can be imported there, with their per-worker tables."""
+    context = spark.sparkContext
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if context.applicationId in _SHIPPED or not os.path.isdir(package):
+        return
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="package-"))
+    name = os.path.basename(package)
+    context.addPyFile(shutil.make_archive(os.path.join(folder, name), "zip", os.path.dirname(package), name))
+    _SHIPPED.add(context.applicationId)
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z only, as the contracts ask (``lower`` also maps other scripts)."""
     return F.translate(col, UPPER, LOWER)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, ship_package
 from .words import ALNUM, Words, find_words, slices, spans_of
 
 SHARD_BYTES = 3 << 20
@@ -228,6 +228,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_chars:
     hit words by start: start, end exclusive) and _items (ids of the items with
     occurring windows, sorted as strings). A column of docs with such a name is
     replaced."""
+    ship_package(docs.sparkSession)
     found = docs.withColumns({"_words": F.lit(0).cast("long"),
                               "_spans": F.array().cast("array<struct<start:long,end:long>>"),
                               "_items": F.array().cast("array<string>")})

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, ship_package
 from .pieces import byte_tokens
 from .words import ragged, slices
 
@@ -189,6 +189,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: in
                    bucket_rows: int = 100_000) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids): one
     row per piece. ``tokenizer``: path of a byte-level vocabulary file."""
+    ship_package(docs.sparkSession)
     kind = "doc_id long, n_ids long, crcs array<long>" + (", ids array<array<int>>" if keep_ids else "")
     rows = cut(docs.select("doc_id", "text").mapInArrow(_tokenize(tokenizer, end_id, size, keep_ids), kind))
     short = F.when(F.col("n_ids") < size, F.col("n_ids")).otherwise(F.col("n_ids") % size)

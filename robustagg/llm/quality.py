@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, ship_package
 from .pieces import Pieces, byte_tokens, code_points
 from .words import PLAIN, find_words, mix, slices, windows
 
@@ -126,6 +126,7 @@ def _measure(byte_path: str, fallback_path: str, keep: list[str]):
 
 def measure_quality(docs: DataFrame, byte_path: str, fallback_path: str, keep: list[str]) -> DataFrame:
     """Columns ``keep`` plus the counts and the tokeniser measures of each row's text."""
+    ship_package(docs.sparkSession)
     kept = docs.select(*keep)
     schema = kept.withColumns({**{c: F.lit(0).cast("long") for c in COUNTS},
                                **{c: F.lit(0.0) for c in MEASURES}}).schema

@@ -41,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship_package
 from .words import PLAIN, Words, find_words, flat_list, mix, pairs_in, range_hashes, slices, windows
 
 WINDOW = 13
@@ -241,6 +242,7 @@ def _answers(pairs: DataFrame, name: str) -> DataFrame:
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """docs plus n_words, n_removed and ``kept``: the words that no repeated
     window of 13 covers, joined by one space."""
+    ship_package(docs.sparkSession)
     columns = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
     names = _answers(docs.select("doc_id", "text").mapInArrow(_index, PAIRS), "_names")
     base = docs.select(*columns)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut
+from .common import components, cut, ship_package
 from .words import LOWERED, find_words, mix, range_hashes, slices, windows
 
 SLICE_BYTES = 6 << 20
@@ -366,6 +366,7 @@ def _cells(k: int, t: int):
 def jaccard_join(docs: DataFrame, k: int = 3, threshold: int = 90, cell_shingles: int = 1_500_000) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links,
     itself included) and n_links, one row per row of docs."""
+    ship_package(docs.sparkSession)
     texts = docs.select("doc_id", "text")
     hot = (texts.mapInArrow(_common(k), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "shingle").limit(HOT_KEPT).select("shingle").toArrow()["shingle"].to_numpy())
