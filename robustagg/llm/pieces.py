@@ -82,7 +82,7 @@ def pretoken_starts(points: np.ndarray, texts: np.ndarray) -> np.ndarray:
 class Pieces:
     """Ids of distinct strings, kept from batch to batch."""
 
-    def __init__(self, encode: Callable[[str], list[int]], limit: int = 1_000_000):
+    def __init__(self, encode: Callable[[str], list[int]], limit: int = 250_000):
         self.encode, self.limit = encode, limit
         self._reset()
 
