@@ -76,7 +76,7 @@ def reply_paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
         step = (walk.join(jumps[k], ["tree", "node"])
                 .select("tree", "leaf", "rank", "path_score", F.col("up").alias("node"),
                         (F.col("depth") - (1 << k)).alias("depth")))
-        walk = walk.unionByName(step)
+        walk = cut(walk.unionByName(step))  # else the plan doubles with every jump
     return walk.join(base.select("tree", "node", "role", "text"), ["tree", "node"])
 
 
