@@ -3,14 +3,15 @@
 Lines are what ``\\n`` separates; lines without a word are left alone. Equal
 lines are one from the start (128 bits of hash). A line's shingles are its
 character runs of ``K`` at every ``STEP``-th character of each word, running on
-to the end of the next word at most: anchored at words, so that an insertion
-only touches the shingles around it, and every character is in one.
+to the end of the next word at most. Similarity is the exact Jaccard of these sets.
 
 Signature: one hash per shingle, the smallest per bin (one-permutation
-MinHash), bins joined into bands. In every band bucket, sorted by a further bin, a
-line is compared with the line before it and with the first; no bucket is ever
-paired out. Compared pairs are verified by the exact Jaccard similarity of the
-whole shingle sets, and linked lines are united (connected components). One line
+MinHash), bins joined into bands. In a band bucket of up to ``SMALL`` lines all pairs are verified. In a larger one each line
+is verified against the one before it (sorted by a further bin) and the first,
+and all its lines then take an exact way together: each is listed under its
+rarest shingles (prefix filter, so that every linked pair shares a list), and all
+pairs of a list that sizes and places allow, and that are not united already, are
+verified. Linked lines are united (connected components). One line
 of each component stays: the first by (doc_id, line number).
 
 Defined cases: null text has no lines and stays null; an empty text or a blank
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from .common import components, cut
 
 K, STEP = 8, 3
+SMALL = 16  # lines of a bucket that are compared in full
+COMMON = 8  # lines with a shingle, from which on it is put back in the lists' order
 BANDS, ROWS = 6, 3
 BINS = BANDS * ROWS
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -48,6 +51,11 @@ def line_table(docs: DataFrame) -> DataFrame:
         "doc_id", "line_no", "id")
 
 
+def _starts(word: Column) -> Column:
+    """Characters of a word (from 1) at which shingles start."""
+    return F.sequence(F.lit(1), F.char_length(word), F.lit(STEP))
+
+
 def _chosen_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(doc_id, line_no, w): the words (cut at blanks) of the ``wanted`` (doc_id,
     line_no). Both uses in one job share the exchange of the texts by doc_id."""
@@ -65,22 +73,22 @@ def _shingle_rows(lines: DataFrame) -> DataFrame:
             .where("a <> ''")
             .select("doc_id", "line_no", F.when(F.col("b").isNull(), F.col("a"))
                     .otherwise(F.concat("a", F.lit(" "), "b")).alias("p"),
-                    F.explode(F.sequence(F.lit(1), F.char_length("a"), F.lit(STEP))).alias("o"))
+                    F.explode(_starts(F.col("a"))).alias("o"))
             .select("doc_id", "line_no", F.xxhash64(F.substr("p", F.col("o"), F.lit(K))).alias("h")))
 
 
 def _shingle_set(w: Column) -> Column:
-    """The same shingles as one set of 32-bit hashes, for the few lines that are compared."""
+    """The same shingles as one set of 32-bit hashes, for the lines that are compared."""
     pair = F.zip_with(w, F.slice(w, 2, F.size(w)), lambda a, b: F.struct(
         a.alias("a"), F.when(b.isNull(), a).otherwise(F.concat(a, F.lit(" "), b)).alias("p")))
     runs = F.transform(F.filter(pair, lambda x: x["a"] != ""), lambda x: F.transform(
-        F.sequence(F.lit(1), F.char_length(x["a"]), F.lit(STEP)),
-        lambda o: F.hash(F.substr(x["p"], o, F.lit(K)))))
+        _starts(x["a"]), lambda o: F.hash(F.substr(x["p"], o, F.lit(K)))))
     return F.array_distinct(F.flatten(runs))
 
 
 def _candidates(signed: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of line ids, from neighbours in band buckets."""
+    """Distinct pairs (a, b) of line ids from band buckets, and (a, null) for each
+    line of a bucket that is too large to be compared in full."""
     bins = [f"m{i}" for i in range(BINS)]
     band = lambda k: bins[k * ROWS:(k + 1) * ROWS]
     keyed = F.array(*(F.struct(
@@ -88,10 +96,45 @@ def _candidates(signed: DataFrame) -> DataFrame:
         F.shiftright(F.coalesce(F.col(bins[(k + 1) * ROWS % BINS]), F.lit(0)), 48).alias("next")) for k in range(BANDS)))
     rows = signed.select("doc_id", "line_no", F.inline(keyed)).where("key is not null")
     bucket, line = Window.partitionBy("key").orderBy("next", "doc_id", "line_no"), F.struct("doc_id", "line_no")
-    return (rows.select(line.alias("id"), F.lag(line).over(bucket).alias("before"), F.first(line).over(bucket).alias("head"))
-            .where("before is not null")
-            .select(F.explode(F.array_distinct(F.array("before", "head"))).alias("a"), F.col("id").alias("b"))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    near = F.collect_list(line).over(bucket.rowsBetween(1 - SMALL, -1))
+    none = F.lit(None).cast("struct<doc_id:long,line_no:int>")
+    large = F.array(F.get("near", F.size("near") - 1), F.when(F.col("head") != F.col("id"), F.col("head")), none)
+    pairs = (rows.select(line.alias("id"), near.alias("near"), F.first(line).over(bucket).alias("head"),
+                         F.count(F.lit(1)).over(Window.partitionBy("key")).alias("n"))
+             .where("n > 1")
+             .select("id", F.explode(F.array_distinct(F.when(F.col("n") <= SMALL, F.col("near")).otherwise(large))).alias("to")))
+    return pairs.select(F.when(F.col("to").isNull(), F.col("id")).otherwise(F.least("id", "to")).alias("a"),
+                        F.when(F.col("to").isNotNull(), F.greatest("id", "to")).alias("b")).distinct()
+
+
+def _similar(threshold: float) -> Column:
+    shared = F.size(F.array_intersect("sa", "sb"))
+    return shared >= threshold * (F.size("sa") + F.size("sb") - shared)
+
+
+def _hot_links(hot: DataFrame, united: DataFrame, threshold: float) -> DataFrame:
+    """All links (a, b) between the ``hot`` lines (id, s) that ``united`` (id, class) leaves apart."""
+    hot = hot.withColumn("v", F.xxhash64("id", "s"))
+    shingles = hot.select("v", F.explode("s").alias("h"))
+    common = shingles.groupBy("h").agg(F.count(F.lit(1)).alias("often")).where(F.col("often") >= COMMON)
+    # Any one order of the shingles is right; with the rare ones first the lists are short.
+    size = F.size("all")
+    prefix = F.slice("all", 1, (size - F.ceil(threshold * size - 1e-9) + 1).cast("int"))
+    lists = (shingles.join(common, "h", "left").groupBy("v")
+             .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "h"))).alias("all"))
+             .select("v", size.alias("n"), F.posexplode(F.transform(prefix, lambda x: x["h"])).alias("at", "h")))
+    classes = hot.select("v", "id").join(united, "id", "left").select("v", F.xxhash64(F.coalesce("class", "id")).alias("c"))
+    lists = cut(lists.join(classes, "v"))
+    mixed = lists.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
+    lists = lists.join(mixed, "h", "left_semi")
+    a, b = (lists.select("h", *(F.col(x).alias(f"{x}_{side}") for x in ("v", "c", "n", "at"))) for side in "ab")
+    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    # What a pair shares lies at or behind the first shingle that both lists of it have.
+    most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    fits = (small >= threshold * large - 1e-9) & ((1 + threshold) * most >= threshold * (F.col("n_a") + F.col("n_b")) - 1e-6)
+    pairs = a.join(b, (a["h"] == b["h"]) & (F.col("c_a") < F.col("c_b")) & fits).select("v_a", "v_b").distinct()
+    end = lambda side: hot.select(F.col("v").alias(f"v_{side}"), F.col("id").alias(side), F.col("s").alias(f"s{side}"))
+    return pairs.join(end("a"), "v_a").join(end("b"), "v_b").where(_similar(threshold)).select("a", "b")
 
 
 def line_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -103,14 +146,19 @@ def line_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     smallest = [F.min(F.when(F.pmod("h", F.lit(BINS)) == i, F.col("h"))).alias(f"m{i}") for i in range(BINS)]
     signed = _shingle_rows(_chosen_lines(texts, distinct)).groupBy("doc_id", "line_no").agg(*smallest)
     # One job from here to the links: signatures and verification read one exchange of the texts.
-    pairs = _candidates(signed)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id.*")
+    found = _candidates(signed)
+    ends = found.select(F.explode(F.array("a", "b")).alias("id")).where("id is not null").distinct().select("id.*")
     sets = _chosen_lines(texts, ends).select(F.struct("doc_id", "line_no").alias("id"), _shingle_set(F.col("w")).alias("s"))
-    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
+    both = (found.where("b is not null").join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"))
-    shared = F.size(F.array_intersect("sa", "sb"))
-    links = both.where(shared >= threshold * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
-    united = components(links).withColumnRenamed("component", "class")
+    large = found.where("b is null").join(sets.select(F.col("id").alias("a"), "s"), "a").select("a", "b", "s")
+    found = cut(both.where(_similar(threshold)).select("a", "b").unionByName(large, allowMissingColumns=True))
+    united = components(found.where("b is not null")).withColumnRenamed("component", "class")
+    hot = found.where("b is null").select(F.col("a").alias("id"), "s")
+    if not hot.isEmpty():
+        more = _hot_links(hot, united, threshold)
+        united = components(united.select(F.col("id").alias("a"), F.col("class").alias("b")).unionByName(more)) \
+            .withColumnRenamed("component", "class")
     return table.join(united, "id", "left").withColumn("class", F.coalesce("class", "id")).select(
         "doc_id", "line_no", F.col("class.doc_id").alias("class_doc_id"), F.col("class.line_no").alias("class_line_no"))
 
