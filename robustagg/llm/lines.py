@@ -2,8 +2,11 @@
 
 Lines are what ``\\n`` separates; lines without a word are left alone. Equal
 lines are one from the start (128 bits of hash). A line's shingles are its
-character runs of ``K`` at every ``STEP``-th character of each word, running on
-to the end of the next word at most. Similarity is the exact Jaccard of these sets.
+character runs of ``K``, running on to the end of the next word at most: from
+every ``STEP``-th character of a word of up to ``LONG`` characters (anchored at
+words, so that an insertion only touches the shingles around it), and from every
+character of a longer one (a line without blanks is one word). Similarity is the
+exact Jaccard of these sets.
 
 Signature: one hash per shingle, the smallest per bin (one-permutation
 MinHash), bins joined into bands. In a band bucket of up to ``SMALL`` lines all pairs are verified. In a larger one each line
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import components, cut
 
-K, STEP = 8, 3
+K, STEP, LONG = 8, 3, 16
 SMALL = 16  # lines of a bucket that are compared in full
 COMMON = 8  # lines with a shingle, from which on it is put back in the lists' order
 BANDS, ROWS = 6, 3
@@ -53,7 +56,7 @@ def line_table(docs: DataFrame) -> DataFrame:
 
 def _starts(word: Column) -> Column:
     """Characters of a word (from 1) at which shingles start."""
-    return F.sequence(F.lit(1), F.char_length(word), F.lit(STEP))
+    return F.sequence(F.lit(1), F.char_length(word), F.when(F.char_length(word) > LONG, 1).otherwise(STEP))
 
 
 def _chosen_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:

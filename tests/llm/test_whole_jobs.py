@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import brute
+import pytest
 
 from robustagg.llm import lines
 
@@ -69,3 +70,19 @@ def test_hot_lines_against_all_pairs(spark):
     assert len(set(want.values())) > 10
     assert sum(got[d] == want[d] for d in keys) >= 0.99 * len(keys)
     assert all(want[got[d]] == want[d] for d in keys)
+
+
+@pytest.mark.parametrize("kind", ["chinese", "tabs", "url"])
+def test_lines_without_blanks(spark, kind):
+    """One character put in near the start leaves the line a near copy."""
+    r, rows = random.Random(kind), []
+    for i in range(60):
+        if kind == "chinese":
+            x = "".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(r.choice([120, 300, 1000])))
+        elif kind == "tabs":
+            x = "\t".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(40))
+        else:
+            x = "https://" + "/".join("".join(r.choice("abcdefgh0123") for _ in range(9)) for _ in range(20))
+        rows += [(i, x), (1000 + i, x[:3] + "z" + x[3:])]
+    got = classes(spread(spark, rows))
+    assert sum(got[i] == got[1000 + i] == i for i in range(60)) >= 59
