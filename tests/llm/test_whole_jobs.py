@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import base64
 import random
 from collections import Counter
 
 import brute
 import pytest
 
-from robustagg.llm import lines
+from robustagg.llm import lines, quality
+from robustagg.llm.queries import tokenizer_path
 
 
 def line_shingles(line, k=8, step=3, long=16):
@@ -86,3 +88,26 @@ def test_lines_without_blanks(spark, kind):
         rows += [(i, x), (1000 + i, x[:3] + "z" + x[3:])]
     got = classes(spread(spark, rows))
     assert sum(got[i] == got[1000 + i] == i for i in range(60)) >= 59
+
+
+def noise(r):
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(3, 8)))
+    return {"letters": " ".join(word("abcdefghijklmnopqrstuvwxyz") for _ in range(200)),
+            "base64": " ".join(base64.b64encode(r.randbytes(24)).decode() for _ in range(80)),
+            "symbols": " ".join(word("#*$%&|<>") for _ in range(200)),
+            "numbers": " ".join(str(r.randrange(10 ** r.randint(2, 7))) for _ in range(200))}
+
+
+@pytest.mark.parametrize(("size", "langs"), [("sf0.01", ["en", "de", "fr", "es"])])
+def test_bands_reject_noise(spark, size, langs):
+    """Noise goes at every size and under any language code, clean documents stay."""
+    r = random.Random(2)
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").selectExpr("cast(doc_id as string) doc_id", "lang", "text")
+    rows = [(f"{kind} {lang}", lang, text) for lang in langs for kind, text in noise(r).items()]
+    out = quality.quality_rules(docs.unionByName(spark.createDataFrame(rows, docs.schema)),
+                                tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")).collect()
+    added = {x[0] for x in rows}
+    assert [x.doc_id for x in out if x.doc_id in added and (x.base_failed or x.kept)] == []
+    clean = Counter((x.lang, x.kept) for x in out if x.doc_id not in added and not x.base_failed)
+    for lang in {k for k, _ in clean}:
+        assert clean[lang, False] <= 0.01 * clean[lang, True]
