@@ -7,15 +7,16 @@ falls back to bytes. Longer texts have more entropy, so it is taken against
 the logarithm of the number of tokens. Each language
 (or script) has its own rejection band per measure, from the corpus itself: the
 quartiles over all documents that pass the base rules, widened by ``width`` times
-their distance, or by the measure's least reach if that is more.
+their distance, or by the measure's least reach if that is more. A language's
+quartiles are blended with the whole corpus's, which weigh as ``least`` documents
+do (the distance of a few documents counts little), so every row that passes the base rules is judged, at every size.
 
 One pass computes all measures; the bands are one pre-aggregated row per
 language.
 
 Defined cases: null text has no words and fails the base rules, as does an
 empty one; a null language is a language of its own; equal rows are judged
-alike; a language with fewer than ``least`` base-passing documents has no band
-(its documents are judged by the base rules); an empty table gives no rows.
+alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -144,15 +145,16 @@ def judge(measured: DataFrame, by: str = "lang", width: float = 3.0, least: int
             .withColumn("_doublings", F.when(F.col("chars_per_token") > 0, F.log2(F.greatest(tokens, F.lit(1.0)))).otherwise(0.0)))
     value = {m: F.col(m) for m in MEASURES}
     value["token_entropy"] = F.col("token_entropy") - DOUBLING * F.col("_doublings")
-    quartiles = [F.percentile_approx(value[m], [0.25, 0.75], 1000).alias(f"_q_{m}") for m in MEASURES]
-    bands = (rows.where("not base_failed").groupBy("_by").agg(F.count(F.lit(1)).alias("_n"), *quartiles)
-             .where(F.col("_n") >= least))
+    passed = rows.where("not base_failed")
+    quartiles = lambda name: [F.percentile_approx(value[m], [0.25, 0.75], 1000).alias(f"_{name}_{m}") for m in MEASURES]
+    bands = passed.groupBy("_by").agg(F.count(F.lit(1)).alias("_n"), *quartiles("q")).crossJoin(
+        F.broadcast(passed.agg(*quartiles("all"))))
     inside = F.lit(True)
     for m, (below, above) in MEASURES.items():
-        low, high = F.col(f"_q_{m}")[0], F.col(f"_q_{m}")[1]
-        reach = width * (high - low)
-        fits = value[m].between(low - F.greatest(reach, F.lit(below)), high + F.greatest(reach, F.lit(above)))
-        inside = inside & F.coalesce(fits, F.lit(True))
+        low, high = ((F.col("_n") * F.col(f"_q_{m}")[i] + least * F.col(f"_all_{m}")[i]) / (F.col("_n") + least) for i in (0, 1))
+        own = F.col(f"_q_{m}")
+        reach = width * (own[1] - own[0]) * F.pow(F.col("_n") / (F.col("_n") + least), F.lit(2))  # few say little on spread
+        inside = inside & value[m].between(low - F.greatest(reach, F.lit(below)), high + F.greatest(reach, F.lit(above)))
     return (rows.join(bands, "_by", "left").withColumn("kept", ~F.col("base_failed") & inside)
             .select(*measured.columns, "base_failed", "kept"))
 

@@ -98,7 +98,7 @@ def noise(r):
             "numbers": " ".join(str(r.randrange(10 ** r.randint(2, 7))) for _ in range(200))}
 
 
-@pytest.mark.parametrize(("size", "langs"), [("sf0.01", ["en", "de", "fr", "es"])])
+@pytest.mark.parametrize(("size", "langs"), [("sf0.01", ["en", "de", "fr", "es"]), ("sf0.001", ["xx", None])])
 def test_bands_reject_noise(spark, size, langs):
     """Noise goes at every size and under any language code, clean documents stay."""
     r = random.Random(2)
