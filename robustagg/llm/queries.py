@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, lines, oracles, packing, quality, recompress, secrets, setjoin, shards, urls
-from .common import read_table
+from . import (chat, decontam, licences, lines, merkle, oracles, packing, quality, recompress, repair, secrets, setjoin,
+               shards, urls)
+from .common import ascii_lower, read_table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -93,7 +94,29 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                           & (F.col("line_no") == F.col("class_line_no")))
 
 
+def op11_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    out = merkle.document_manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"],
+                                   F.when(hit, ascii_lower(F.col("text"))))
+    folded = merkle.fold(F.coalesce("changed_leaf", "leaf"), F.col("proof"))
+    return out.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+                      folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(repair.damage(read_table(spark, sf_dir, "conversations"))).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op2_pattern_packing, op3_secret_scan, op4_substring_dedup, op5_url_filter, op6_token_fertility, op7_chat_trees, op8_balanced_shards, op9_decontaminate, op10_fuzzy_lines)}
+    f.__name__: f for f in (op1_ngram_join, op2_pattern_packing, op3_secret_scan, op4_substring_dedup, op5_url_filter, op6_token_fertility, op7_chat_trees, op8_balanced_shards, op9_decontaminate, op10_fuzzy_lines,
+                               op11_licence_scan, op12_merkle_manifest, op13_repair_conversations)}
 
 ORACLES: dict[str, str] = oracles.ORACLES
