@@ -26,8 +26,10 @@ from robustagg.operators.objective import assign_to_centers, objective
 from robustagg.plans.popularity_report import popularity_report
 from robustagg.plans.two_round import exact_summary, two_round_kcenter, two_round_summary
 from robustagg.session import ensure_checkpoint_dir
+from robustagg.operators.closest import closest_pair
 from robustagg.sources import points as pts
 from robustagg.sources import transactions as tx
+from robustagg.sources.text import write_lines
 
 # Fixed parameters of the registered queries.
 SALTS = 4            # K of the salted popularity
@@ -40,7 +42,7 @@ FF_PICKS = 6                                          # farthest-first, embeddin
 EMB_L = 4                                             # parts of the embeddings
 LARGE_M, LARGE_Z = 9, 100                             # forced large-part and large-z branches
 PART_KEY = "{} * 7919 + 13"                           # a part key of the caller
-EMBED_DIM = 64                                        # width of an embedding
+LEVEL_L, LEVEL_M = 8, 6                                # parts and picks of a coreset of two levels
 WIDE_KZ = (5, 10)                                     # sequential, supplier, second setup
 EMB_KZL = (4, 10, 2)                                  # two-round on embeddings (k, z, L)
 
@@ -140,7 +142,7 @@ def q_point_count(spark, sf):
 def q_nearest_center(spark, sf):
     emb = pts.embedding_points(spark, sf)
     picks = cs.coreset(emb, FF_PICKS, EMB_L)
-    near = cs.nearest_pick(emb, picks, EMB_L, m=FF_PICKS, dim=EMBED_DIM)
+    near = cs.nearest_pick(emb, picks, EMB_L)
     return near.select("point_id", "center_id", _r(F.col("distance")).alias("distance"))
 
 
@@ -307,6 +309,57 @@ def q_nearest_center_blocks(spark, sf):
     return a.select("point_id", "center_id", _r(F.col("distance")).alias("distance"))
 
 
+def q_txn_file_scan(spark, sf):
+    """Transactions read from text files."""
+    return tx.parse_transactions(tx.read_transaction_lines(spark, write_lines(_lines(spark, sf))))
+
+
+def q_points_file_scan(spark, sf):
+    """Points read from text files, numbered by position."""
+    p = pts.read_points(spark, write_lines(pts.customer_point_lines(spark, sf), order="point_id"))
+    return p.select("point_id", F.col("features")[0].alias("x0"), F.col("features")[1].alias("x1"))
+
+
+def q_kcenter_text_summary(spark, sf):
+    """The two-round plan on points from text files."""
+    p = pts.read_points(spark, write_lines(pts.customer_point_lines(spark, sf), order="point_id"))
+    return _rounded_summary(two_round_summary(two_round_kcenter(p, CORE_K, CORE_Z, CORE_L, CORE_ALPHA)))
+
+
+def q_coreset_rank_parts(spark, sf):
+    """Ids that are all multiples of L still give even parts: rank modulo L."""
+    spread = pts.customer_points(spark, sf).withColumn("point_id", F.col("point_id") * CORE_L)
+    return cs.coreset(spread, CORE_M, CORE_L).select("part", "pick", "point_id", "weight")
+
+
+def q_coreset_levels(spark, sf):
+    """A second, weighted farthest-first level over the coreset."""
+    core = cs.coreset(pts.customer_points(spark, sf), LEVEL_M, LEVEL_L)
+    core, _ = cs.compress(core, LEVEL_M, LEVEL_L)
+    return core.select("part", "pick", "point_id", "weight")
+
+
+def q_greedy_cover_cells(spark, sf):
+    """Greedy steps over cells of few points, with ball weights carried from step to step."""
+    w, prep, state = _solver_start(spark, sf)
+    done = kc.greedy_cover(state, CORE_K, CORE_ALPHA, prep.n_rows, block_rows=64)
+    return done.where(F.col("center_step").isNotNull()).select("guess", F.col("center_step").alias("step"), "point_id")
+
+
+def q_closest_pair_cells(spark, sf):
+    """Smallest distance of all customers, by cells."""
+    customers = pts.customer_points(spark, sf)
+    found = closest_pair(customers, customers.count(), block_rows=100, cell_rows=20)
+    return found.select(_r(F.col("min_distance")).alias("min_distance"), _r(F.col("min_positive")).alias("min_positive"))
+
+
+def q_nearest_center_stream(spark, sf):
+    """Nearest picks with picks and points brought together by part."""
+    emb = pts.embedding_points(spark, sf)
+    near = cs.nearest_pick(emb, cs.coreset(emb, FF_PICKS, EMB_L), EMB_L, closure_bytes=1)
+    return near.select("point_id", "center_id", _r(F.col("distance")).alias("distance"))
+
+
 def _rounded_summary(df):
     return df.select("n", "k", "z", "l", _r(F.col("initial_guess")).alias("initial_guess"),
                      _r(F.col("final_guess")).alias("final_guess"), "guesses", "solution_size",
@@ -376,6 +429,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coreset_key_parts": q_coreset_key_parts,
     "objective_large_z": q_objective_large_z,
     "nearest_center_blocks": q_nearest_center_blocks,
+    "txn_file_scan": q_txn_file_scan,
+    "points_file_scan": q_points_file_scan,
+    "kcenter_text_summary": q_kcenter_text_summary,
+    "coreset_rank_parts": q_coreset_rank_parts,
+    "coreset_levels": q_coreset_levels,
+    "greedy_cover_cells": q_greedy_cover_cells,
+    "closest_pair_cells": q_closest_pair_cells,
+    "nearest_center_stream": q_nearest_center_stream,
 }
 
 
@@ -460,6 +521,27 @@ def _fft_ctes(table: str, parts: int, m: int, key: str = "v") -> list[str]:
     ]
 
 
+def _second_level_ctes(parts: int, m: int) -> list[str]:
+    """core2 of ``core``: the same traversal over its rows by rank, weights summed."""
+    return [
+        f"p2 AS (SELECT v, e, w, CAST((row_number() OVER (ORDER BY v) - 1) % {parts} AS INTEGER) AS part FROM core)",
+        f"""f2(it, part, v, e, d, cid) AS (
+  SELECT 1, part, v, e, CAST('infinity' AS DOUBLE), min(v) OVER (PARTITION BY part) FROM p2
+  UNION ALL
+  SELECT it + 1, part, v, e, d, nxt FROM (
+    SELECT s.*, arg_max(v, (d, -v)) OVER (PARTITION BY part) AS nxt, max(d) OVER (PARTITION BY part) AS md
+    FROM (SELECT f.it, f.part, f.v, f.e, least(f.d, list_distance(f.e, c.e)) AS d
+          FROM f2 f JOIN p2 c ON c.v = f.cid WHERE f.it < {m}) s) s2
+  WHERE md > 0)""",
+        """c2 AS (SELECT DISTINCT f2.part, CAST(f2.it - 1 AS INTEGER) AS pick, f2.cid AS v, p2.e
+        FROM f2 JOIN p2 ON p2.v = f2.cid)""",
+        """a2 AS (SELECT p2.part, p2.v, any_value(p2.w) AS w, arg_min(c.v, (list_distance(p2.e, c.e), c.pick)) AS cv
+        FROM p2 JOIN c2 c ON c.part = p2.part GROUP BY p2.part, p2.v)""",
+        """core2 AS (SELECT c.part, c.pick, c.v, CAST(sum(a.w) AS BIGINT) AS w
+         FROM c2 c JOIN a2 a ON a.part = c.part AND a.cv = c.v GROUP BY c.part, c.pick, c.v)""",
+    ]
+
+
 def _solver_ctes(t_sql: str, k: int, z: int, alpha: float) -> list[str]:
     """t(i, v, e, w) -> gs(guess, r); g: recursive greedy state; fin; per_guess;
     winner; sol(step, point_id, e). Assumes the window radius is positive."""
@@ -640,6 +722,20 @@ FROM allp a, sol s GROUP BY a.v"""
     o["objective_large_z"] = (_with(*_core_solver(), *_objective_ctes("customer", LARGE_Z))
                               + "SELECT round(objective, 6) AS objective FROM obj")
     o["nearest_center_blocks"] = o["kcenter_assignment"]
+    o["txn_file_scan"] = o["txn_parse"]
+    o["points_file_scan"] = ("SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS point_id, "
+                             "CAST(printf('%.2f', c_acctbal) AS DOUBLE) AS x0, "
+                             "CAST(printf('%.2f', c_nationkey * CAST(400.0 AS DOUBLE)) AS DOUBLE) AS x1 FROM customer")
+    o["kcenter_text_summary"] = o["kcenter_summary"]
+    o["coreset_rank_parts"] = (_with(*_fft_ctes("customer", CORE_L, CORE_M, "(row_number() OVER (ORDER BY v) - 1)"))
+                               + f"SELECT part, pick, v * {CORE_L} AS point_id, w AS weight FROM core")
+    o["coreset_levels"] = (_with(*_fft_ctes("customer", LEVEL_L, LEVEL_M), *_second_level_ctes(max(2, -(-LEVEL_L // 4)), LEVEL_M))
+                           + "SELECT part, pick, v AS point_id, w AS weight FROM core2")
+    o["greedy_cover_cells"] = o["greedy_cover"]
+    o["closest_pair_cells"] = (_with(f"p AS ({_POINTS['customer']})") + """
+SELECT round(min(d), 6) AS min_distance, round(min(CASE WHEN d > 0 THEN d END), 6) AS min_positive
+FROM (SELECT list_distance(a.e, b.e) AS d FROM p a JOIN p b ON a.v < b.v) s""")
+    o["nearest_center_stream"] = o["nearest_center"]
     return o
 
 

@@ -6,13 +6,14 @@ Spark's higher-order functions would express this, but they run interpreted
 is what we must not do. So the pairs are evaluated by a small numpy kernel on
 bounded blocks, while Spark does the partitioning, shuffling and summing:
 
-* the uncovered points of each guess are spread over ``nb`` blocks by a hash
-  of ``idx``;
-* a candidate block meets each member block of its guess in one cogroup
-  ``(guess, cblk, mblk)``, so a task holds at most two blocks
-  (``block_rows`` points each) whatever the input size;
-* the kernel returns a partial weight per candidate, and a ``groupBy`` sums
-  the ``nb`` partials. With one block per guess there is nothing to sum.
+* the uncovered points of each guess are stored as cells of at most
+  ``block_rows`` points (``operators.cells``);
+* pairs of cells that are too far apart by the triangle inequality are never
+  met, pairs that lie wholly within the radius add a cell's weight, and for the
+  rest the kernel compares the points of two cells (``ball_weights_cells``);
+* the partial weights per candidate are summed by a ``groupBy``. With one block
+  per guess there is nothing to sum, and all greedy steps run in that block's
+  task (``cover_single_blocks``).
 
 Distances are summed in coordinate order from 0.0, as the SQL expressions do,
 so a point exactly on the radius is counted the same way everywhere.
@@ -29,18 +30,18 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from robustagg.operators.cells import SLACK, build_cells, distances, matrix, summary
+from robustagg.sources.store import features_column, stored
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DEFAULT_BLOCK_ROWS = 4096
 _CELLS = 1 << 17
+PLAIN = pa.list_(pa.float64())  # whatever the nullability and width of the input's elements
 _OUT_SCHEMA = "guess int, idx long, point_id long, ball_weight long"
 
 
-def _matrix(col: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    flat = col.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(n, -1) if n else np.zeros((0, 0))
+_matrix = matrix
 
 
 def _distance_chunks(cand: np.ndarray, members: np.ndarray):
@@ -86,83 +87,171 @@ def _single_block(factor: float):
         return pa.table({"guess": t.column("guess"), "idx": t.column("idx"),
                          "point_id": t.column("point_id"),
                          "ball_weight": pa.array(bw, type=pa.int64()),
-                         "features": t.column("features")})
+                         "features": t.column("features").combine_chunks().cast(PLAIN)})
     return run
 
 
-_BEST_SCHEMA = "guess int, c_idx long, c_features array<double>, top long"
-
-
-def _single_block_best(factor: float):
+_COVER_SCHEMA = ("idx long, point_id long, features array<double>, weight long, guess int, radius double, "
+                 "uncovered boolean, center_step int, steps_done int")
+
+
+def cover_block(x: np.ndarray, idx: np.ndarray, w: np.ndarray, radius: float, steps: int, select: float, remove: float,
+                uncovered: np.ndarray, counted: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Greedy steps on one block: which rows stay uncovered and, per row, the step
+    (from 1) that made it a center, or 0. Ball weights are computed once; a step
+    subtracts the balls around the points that it newly covers, so a pair's
+    distance is computed at most twice in all steps."""
+    step_of = np.zeros(len(x), np.int64)
+    uncovered = uncovered.copy()
+    live = np.flatnonzero(uncovered)
+    r = np.full(len(x), radius * select)
+    balls = np.zeros(len(x), np.int64)
+    balls[live] = ball_sums(x[live], r[live], x[live], w[live])
+    pairs = len(live) ** 2
+    for step in range(1, steps + 1):
+        top = balls[live].max(initial=0)
+        if top <= 0:
+            break
+        best = live[balls[live] == top]
+        center = best[np.argmin(idx[best])]  # ties: smaller idx
+        step_of[center] = step
+        gone = live[distances(x[live], x[center]) <= remove * radius]
+        uncovered[gone] = False
+        live = np.flatnonzero(uncovered)
+        balls[live] -= ball_sums(x[live], r[live], x[gone], w[gone])
+        pairs += len(live) * len(gone)
+    if counted is not None:
+        counted.append(pairs)
+    return uncovered, step_of
+
+
+def _cover(steps: int, select: float, remove: float):
     def run(t: pa.Table) -> pa.Table:
         n = t.num_rows
-        x = _matrix(t.column("features"), n)
-        r = t.column("radius").to_numpy() * factor
-        bw = ball_sums(x, r, x, t.column("weight").to_numpy().astype(np.int64))
-        idx = t.column("idx").to_numpy()
-        top = bw.max() if n else 0
-        if top <= 0:
-            return pa.table({"guess": pa.array([], pa.int32()), "c_idx": pa.array([], pa.int64()),
-                             "c_features": pa.array([], pa.list_(pa.float64())),
-                             "top": pa.array([], pa.int64())})
-        best = int(np.flatnonzero(bw == top)[np.argmin(idx[bw == top])])   # ties: smaller idx
-        return pa.table({"guess": t.column("guess").take([best]),
-                         "c_idx": t.column("idx").take([best]),
-                         "c_features": t.column("features").take([best]),
-                         "top": pa.array([int(top)], pa.int64())})
+        features = t.column("features").combine_chunks().cast(PLAIN)
+        x = _matrix(features, n)
+        radius = t.column("radius")[0].as_py()
+        left, step_of = cover_block(x, t.column("idx").to_numpy(), t.column("weight").to_numpy().astype(np.int64), radius,
+                                    steps, select, remove, t.column("uncovered").to_numpy(zero_copy_only=False))
+        return pa.table({
+            "idx": t.column("idx"), "point_id": t.column("point_id"), "features": features,
+            "weight": t.column("weight").cast(pa.int64()), "guess": t.column("guess"), "radius": t.column("radius"),
+            "uncovered": pa.array(left), "center_step": pa.array(step_of, pa.int32(), mask=step_of == 0),
+            "steps_done": pa.array(np.full(n, steps, np.int32))})
     return run
 
 
-def best_ball_single_block(unc: DataFrame, factor: float) -> DataFrame:
-    """``(guess, c_idx, c_features, top)``: the heaviest ball of each guess
-    whose uncovered points form one block (no partial sums to add), chosen
-    inside the kernel; guesses without uncovered weight give no row."""
-    cols = ["guess", "radius", "idx", "point_id", "features", "weight"]
-    return unc.select(*cols).groupBy("guess").applyInArrow(_single_block_best(factor),
-                                                           _BEST_SCHEMA)
-
-
-def _block_pair(factor: float):
-    def run(c: pa.Table, m: pa.Table) -> pa.Table:
-        n = c.num_rows
-        if n == 0:
-            return pa.table({"guess": pa.array([], pa.int32()), "idx": pa.array([], pa.int64()),
-                             "point_id": pa.array([], pa.int64()),
-                             "ball_weight": pa.array([], pa.int64())})
-        x = _matrix(c.column("features"), n)
-        r = c.column("radius").to_numpy() * factor
-        if m.num_rows:
-            y = _matrix(m.column("features"), m.num_rows)
-            bw = ball_sums(x, r, y, m.column("weight").to_numpy().astype(np.int64))
-        else:
-            bw = np.zeros(n, dtype=np.int64)
-        return pa.table({"guess": c.column("guess"), "idx": c.column("idx"),
-                         "point_id": c.column("point_id"),
-                         "ball_weight": pa.array(bw, type=pa.int64())})
-    return run
+def cover_single_blocks(state: DataFrame, steps: int, select: float, remove: float) -> DataFrame:
+    """All greedy steps of every guess whose points form one block: one task per
+    guess, one job. ``state`` is a starting state (no centers yet)."""
+    return state.select(*(c.split()[0] for c in _COVER_SCHEMA.split(", "))).groupBy("guess").applyInArrow(
+        _cover(steps, select, remove), _COVER_SCHEMA)
+
+
+def _cell_pairs(cells: DataFrame, reach: DataFrame) -> DataFrame:
+    """(grp, a, b, r, inside) of the pairs of cells of a guess whose points may lie
+    within ``r`` of each other (``reach``: grp, r); ``inside``: all of them do.
+
+    Cells are listed in buckets of distance to the origin, a bucket as wide as the
+    radius or the mean cell; a pair meets in the buckets that both ranges, one of
+    them widened by r, touch, and counts in the first."""
+    s = summary(cells).join(reach, "grp").select("grp", "cell", "center", "radius", "low", "high", "r")
+    width = s.groupBy("grp").agg(F.greatest(F.max("r"), F.avg(F.col("high") - F.col("low")), F.lit(1e-300)).alias("width"))
+    s = s.join(width, "grp")
+
+    def listed(side: str, more) -> DataFrame:
+        at = lambda v: F.floor(v / F.col("width"))
+        first, last = at(F.col("low") - more), at(F.col("high") + more)
+        return s.select("grp", F.explode(F.sequence(first, last)).alias("bucket"), first.alias(f"first_{side}"),
+                        *(F.col(c).alias(f"{c}_{side}") for c in ("cell", "center", "radius")),
+                        *(["r"] if side == "a" else []))
+    margin = F.col("r") * (1 + SLACK) + SLACK * F.abs("high")
+    both = listed("a", margin).join(listed("b", F.lit(0.0)), ["grp", "bucket"])
+    both = both.where(F.col("bucket") == F.greatest("first_a", "first_b"))
+    d = F.sqrt(F.aggregate(F.zip_with("center_a", "center_b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, v: t + v))
+    both = both.withColumn("d", d).withColumn("spread", F.col("radius_a") + F.col("radius_b"))
+    slack = F.lit(SLACK) * (F.col("d") + F.col("spread") + F.col("r"))
+    return (both.where(F.col("d") - F.col("spread") <= F.col("r") + slack)
+            .select("grp", F.col("cell_a").alias("a"), F.col("cell_b").alias("b"), "r",
+                    (F.col("d") + F.col("spread") + slack <= F.col("r")).alias("inside")))
+
+
+def _pair_sums(batches):
+    """Pairs of cells -> partial ball weights of the first cell's points."""
+    for batch in batches:
+        col = {c: batch.column(c) for c in batch.schema.names}
+        grp, ids, sums = [], [], []
+        for i in range(batch.num_rows):
+            mine, r = col["ids_a"][i].values.to_numpy(), col["r"][i].as_py()
+            x = col["x_a"][i].values.to_numpy().reshape(len(mine), -1)
+            w = col["w_b"][i].values.to_numpy()
+            y = col["x_b"][i].values.to_numpy().reshape(len(w), -1)
+            part = ball_sums(x, np.full(len(x), r), y, w)
+            hit = np.flatnonzero(part)
+            grp.append(np.full(len(hit), col["grp"][i].as_py(), np.int32))
+            ids.append(mine[hit])
+            sums.append(part[hit])
+        if grp:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (grp, ids, sums)], ["grp", "id", "part"])
+
+
+def ball_weights_cells(members: DataFrame, candidates: DataFrame | None, reach: DataFrame, origin: list[float],
+                       cell_rows: int = DEFAULT_BLOCK_ROWS, seen: dict | None = None) -> DataFrame:
+    """``(grp, id, ball_weight)``: weight of the ``members`` (grp, id, features,
+    weight) within the radius of their group (``reach``: grp, r) of every
+    candidate (the members themselves, or ``candidates`` of the same columns).
+    Candidates with no member near have no row.
+
+    A metric range index: points are stored as cells; pairs of cells too far apart
+    by their ranges and centers are never met, pairs wholly inside the radius add
+    the cell's weight, and only the rest compares points (two cells at a time).
+    ``seen`` receives ``distances``, the point pairs compared, and ``pairs``."""
+    cells = build_cells(members, origin, cell_rows)
+    if candidates is None:
+        pairs = stored(_cell_pairs(cells, reach))
+        mine = cells
+    else:
+        mine = build_cells(candidates, origin, cell_rows)
+        # Both sides in one list; a candidate cell meets member cells only.
+        tagged = mine.withColumn("cell", -F.col("cell") - 1).unionByName(cells)
+        pairs = stored(_cell_pairs(tagged, reach).where("a < 0 and b >= 0").withColumn("a", -F.col("a") - 1))
+    a = mine.select("grp", F.col("cell").alias("a"), F.col("ids").alias("ids_a"), F.col("x").alias("x_a"))
+    b = cells.select("grp", F.col("cell").alias("b"), F.col("x").alias("x_b"), F.col("w").alias("w_b"))
+    partly = pairs.where("not inside").join(a, ["grp", "a"]).join(b, ["grp", "b"]).select(
+        "grp", "r", "ids_a", "x_a", "x_b", "w_b")
+    partial = partly.mapInArrow(_pair_sums, "grp int, id long, part long")
+    whole = (pairs.where("inside").join(cells.select("grp", F.col("cell").alias("b"), "weight"), ["grp", "b"])
+             .groupBy("grp", "a").agg(F.sum("weight").alias("part"))
+             .join(a.select("grp", "a", "ids_a"), ["grp", "a"]).select("grp", F.explode("ids_a").alias("id"), "part"))
+    if seen is not None:
+        n = mine.select("grp", F.col("cell").alias("a"), F.col("n").alias("na"))
+        m = cells.select("grp", F.col("cell").alias("b"), F.col("n").alias("nb"))
+        sizes = pairs.where("not inside").join(n, ["grp", "a"]).join(m, ["grp", "b"])
+        seen["distances"] = sizes.agg(F.sum(F.col("na").cast("long") * F.col("nb"))).first()[0] or 0
+        seen["pairs"] = pairs.count()
+    return partial.unionByName(whole).groupBy("grp", "id").agg(F.sum("part").cast("long").alias("ball_weight"))
 
 
 def ball_weights_blocked(unc: DataFrame, factor: float, n_rows: int,
-                         block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                         block_rows: int = DEFAULT_BLOCK_ROWS, seen: dict | None = None) -> DataFrame:
     """``(guess, idx, point_id, ball_weight)`` of the uncovered rows ``unc``
     (columns guess, radius, idx, point_id, features, weight): weight of the
     uncovered rows of the same guess within ``factor * radius``."""
     cols = ["guess", "radius", "idx", "point_id", "features", "weight"]
-    nb = max(1, math.ceil(n_rows / block_rows))
-    if nb == 1:
+    if n_rows <= block_rows:
         # One block per guess: the kernel also passes the coordinates through,
         # so the heaviest ball needs no lookup afterwards.
         return unc.select(*cols).groupBy("guess").applyInArrow(
             _single_block(factor), _OUT_SCHEMA + ", features array<double>")
-    blk = F.pmod(F.xxhash64("idx"), F.lit(nb)).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
-    cand = unc.select(*cols, blk.alias("cblk"), others.alias("mblk"))
-    memb = unc.select("guess", "features", "weight", others.alias("cblk"), blk.alias("mblk"))
-    partial = (cand.groupBy("guess", "cblk", "mblk")
-                   .cogroup(memb.groupBy("guess", "cblk", "mblk"))
-                   .applyInArrow(_block_pair(factor), _OUT_SCHEMA))
-    return (partial.groupBy("guess", "idx", "point_id")
-                   .agg(F.sum("ball_weight").cast("long").alias("ball_weight")))
+    first = unc.select("features").first()
+    if first is None:
+        return unc.select("guess", "idx", "point_id", F.lit(0).cast("long").alias("ball_weight"))
+    rows = unc.select(F.col("guess").alias("grp"), F.col("idx").alias("id"), "features", "weight")
+    reach = unc.groupBy(F.col("guess").alias("grp")).agg((F.max("radius") * factor).alias("r"))
+    sums = ball_weights_cells(rows, None, reach, list(first["features"]), block_rows, seen)
+    sums = sums.select(F.col("grp").alias("guess"), F.col("id").alias("idx"), "ball_weight")
+    return (unc.select("guess", "idx", "point_id").join(sums, ["guess", "idx"], "left")
+            .select("guess", "idx", "point_id", F.coalesce("ball_weight", F.lit(0)).cast("long").alias("ball_weight")))
 
 
 _PAIR_SCHEMA = "pairs long, min_distance double, min_positive double, max_distance double"
@@ -229,30 +318,104 @@ _NEAREST_SCHEMA = "point_id long, features array<double>, pos int, distance doub
 CENTER_BYTES = 16 * 1024 * 1024   # coordinates of centers in one task closure
 
 
+PLAIN_CENTERS = 64  # centers that are compared one by one
+
+
+class CenterIndex:
+    """Centers in groups around pivots, each sorted by distance to its pivot, so
+    that most centers are ruled out by |d(x, pivot) - d(c, pivot)| alone."""
+
+    def __init__(self, centers: np.ndarray):
+        self.centers = centers
+        n = max(1, int(np.sqrt(len(centers))))
+        near = np.full(len(centers), np.inf)
+        group = np.zeros(len(centers), np.int64)
+        pivots = [0]
+        while True:  # farthest-first pivots
+            d = distances(centers, centers[pivots[-1]])
+            closer = d < near
+            near[closer], group[closer] = d[closer], len(pivots) - 1
+            if len(pivots) == n or not near.max() > 0:
+                break
+            pivots.append(int(np.argmax(near)))
+        self.pivots = centers[pivots]
+        order = np.lexsort((near, group))
+        bounds = np.searchsorted(group[order], np.arange(len(pivots) + 1))
+        self.members = [order[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        self.keys = [near[m] for m in self.members]
+
+    def nearest(self, x: np.ndarray, counted: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Position of and distance to the nearest center of each row (ties: the earlier one)."""
+        n = len(x)
+        pos, best = np.full(n, len(self.centers), np.int64), np.full(n, np.inf)
+        to = np.empty((n, len(self.pivots)))
+        for lo, d in _distance_chunks(x, self.pivots):
+            to[lo:lo + len(d)] = d
+        total = to.size
+        own = to.argmin(1)
+        for first in (True, False):
+            for g, (members, keys) in enumerate(zip(self.members, self.keys, strict=True)):
+                d = to[:, g]
+                slack = SLACK * (d + keys[-1])
+                rows = np.flatnonzero(own == g) if first else np.flatnonzero(
+                    (own != g) & (d - keys[-1] - slack <= best) & (keys[0] - d - slack <= best))
+                # Rows that look at much the same stretch of the sorted centers go together.
+                rows = rows[np.argsort(d[rows], kind="stable")]
+                for i in range(0, len(rows), 64):
+                    some = rows[i:i + 64]
+                    if first:
+                        a, b = 0, len(members)
+                    else:
+                        a = int(np.searchsorted(keys, (d[some] - best[some] - slack[some]).min()))
+                        b = int(np.searchsorted(keys, (d[some] + best[some] + slack[some]).max(), "right"))
+                    some_members = np.sort(members[a:b])
+                    if not len(some_members):
+                        continue
+                    total += len(some) * len(some_members)
+                    for lo, dist in _distance_chunks(x[some], self.centers[some_members]):
+                        at = some[lo:lo + len(dist)]
+                        k = dist.argmin(1)
+                        found, which = dist[np.arange(len(at)), k], some_members[k]
+                        closer = (found < best[at]) | (found == best[at]) & (which < pos[at])
+                        best[at[closer]], pos[at[closer]] = found[closer], which[closer]
+        if counted is not None:
+            counted.append(total)
+        return pos, best
+
+
+def nearest_of(x: np.ndarray, centers: np.ndarray, index: CenterIndex | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Position of and distance to the nearest center of each row (ties: the earlier one)."""
+    if index is not None:
+        return index.nearest(x)
+    pos, dist = np.empty(len(x), np.int64), np.empty(len(x))
+    for lo, d in _distance_chunks(x, centers):
+        near = np.argmin(d, axis=1)  # first minimum: earlier center
+        pos[lo:lo + len(d)], dist[lo:lo + len(d)] = near, d[np.arange(len(d)), near]
+    return pos, dist
+
+
 def _nearest_kernel(centers: np.ndarray, first: int):
     dim = centers.shape[1]
 
     def run(batches):
+        index = CenterIndex(centers) if len(centers) > PLAIN_CENTERS else None
         for b in batches:
             n = b.num_rows
             if n == 0:
                 continue
-            feats = b.column("features")
+            feats = b.column("features").cast(PLAIN)
             lengths = np.diff(feats.offsets.to_numpy())
             if feats.null_count or (lengths != dim).any():
                 raise ValueError(f"a point has no features or a dimension other than {dim}")
             x = _matrix(feats, n)
             if np.isnan(x).any():
                 raise ValueError("a coordinate is null or NaN")
+            near, best = nearest_of(x, centers, index)
             pos = b.column("pos").to_numpy().copy()
             dist = b.column("distance").to_numpy().copy()
-            for lo, d in _distance_chunks(x, centers):
-                k = d.shape[0]
-                near = np.argmin(d, axis=1)               # first minimum: earlier center
-                best = d[np.arange(k), near]
-                closer = best < dist[lo:lo + k]           # ties stay with the earlier block
-                pos[lo:lo + k][closer] = near[closer] + first
-                dist[lo:lo + k][closer] = best[closer]
+            closer = best < dist  # ties stay with the earlier block
+            pos[closer] = near[closer] + first
+            dist[closer] = best[closer]
             yield pa.RecordBatch.from_arrays([b.column("point_id"), feats, pa.array(pos), pa.array(dist)],
                                              ["point_id", "features", "pos", "distance"])
     return run
@@ -267,7 +430,7 @@ def nearest_centers_arrow(points: DataFrame, centers: list[list[float]],
     coordinate or of another dimension than the centers fail the job."""
     c = np.asarray(centers, dtype=np.float64)
     rows = max(1, center_bytes // (8 * c.shape[1]))
-    out = points.select("point_id", "features", F.lit(-1).alias("pos"), F.lit(float("inf")).alias("distance"))
+    out = points.select("point_id", features_column(), F.lit(-1).alias("pos"), F.lit(float("inf")).alias("distance"))
     for first in range(0, len(c), rows):
         out = out.mapInArrow(_nearest_kernel(c[first:first + rows], first), _NEAREST_SCHEMA)
     return out.select("point_id", "pos", "distance")

@@ -1,10 +1,11 @@
 """Farthest-first traversal and weighted coresets (round 1 of the two-round
 k-center).
 
-Points are spread over L parts by ``part = pmod(point_id, L)`` (or a hash of
-it), one shuffle. In each part a farthest-first traversal picks up to m points:
-the first is the smallest ``point_id``; each next one is the point farthest
-from those already picked (ties to the smaller id). Every point of the part is
+Points are spread over L parts by ``part = rank mod L`` of their ids in order
+(``with_parts``; or by the id itself or a hash of it), one shuffle. In each
+part a farthest-first traversal picks up to m points: the first is the smallest
+``point_id``; each next one is the point farthest from those already picked
+(ties to the smaller id). Every point of the part is
 then counted towards its nearest pick (ties to the earlier pick); the picks
 with these counts as weights form the part's coreset.
 
@@ -14,8 +15,8 @@ over the Arrow buffers, a running-minimum update per pick, O(n_part * m * d)
 work and O(n_part * d) memory. L is the knob that bounds a part; choose it so
 that n / L points fit in a task (``parts_for``). Parts are counted first, and
 a part over the memory bound is traversed by DataFrame jobs instead
-(``farthest_first_distributed``: one pass per pick, same result), so no task
-ever holds an unbounded part. The output has at most m * L rows, whatever the
+(``farthest_first_distributed``: rounds of several picks that read only the cells
+a pick can change, same result), so no task ever holds an unbounded part. The output has at most m * L rows, whatever the
 input size.
 
 When a part runs out of distinct points (every remaining point coincides with
@@ -35,10 +36,13 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from robustagg.functions.distance import euclidean, nearest_with_id
+from robustagg.operators.balls import CENTER_BYTES, nearest_of
+from robustagg.operators.cells import matrix
+from robustagg.operators.ranks import with_rank
+from robustagg.operators.traversal import traverse
 from robustagg.params import check_parts
 from robustagg.sources.points import checked_features, dimension
-from robustagg.session import ensure_checkpoint_dir
+from robustagg.sources.store import PointStats, features_column, stored
 
 # The per-part function travels to the Python workers by value, so executors
 # do not need this package installed.
@@ -62,9 +66,32 @@ def part_column(parts: int, by: str = "mod") -> Column:
     return F.pmod(key, F.lit(int(parts))).cast("int")
 
 
+def id_stats(points: DataFrame, dim: int = 0) -> PointStats:
+    """Count, range and sum of the ids (one job over the id column)."""
+    r = points.agg(F.count(F.lit(1)), F.min("point_id"), F.max("point_id"),
+                   F.sum(F.col("point_id").cast("decimal(38,0)"))).first()
+    return PointStats(r[0], dim, r[1], r[2], None if r[3] is None else int(r[3]))
+
+
+def with_parts(points: DataFrame, parts: int, by: str = "rank",
+               stats: PointStats | None = None) -> DataFrame:
+    """``points`` plus ``part``. By ``rank``: the position of the point in id order
+    modulo L, so that the largest and the smallest part differ by at most one
+    point whatever the ids are. Ids that fill their range need no sort: the rank
+    is the id less the first one."""
+    if by != "rank":
+        return points.withColumn("part", part_column(parts, by))
+    check_parts(parts)
+    stats = stats or id_stats(points)
+    if stats.dense:
+        return points.withColumn("part", F.pmod(F.col("point_id") - F.lit(stats.id_low), F.lit(int(parts))).cast("int"))
+    ids = with_rank(points.select("point_id"), ["point_id"], name="part")
+    ids = ids.select("point_id", F.pmod("part", F.lit(int(parts))).cast("int").alias("part"))
+    return points.drop("part").join(ids, "point_id")
+
+
 PART_BYTES = 256 * 1024 * 1024
 BROADCAST_PART_IDS = 1_000_000     # part ids (ints) broadcast to split parts
-BROADCAST_BYTES = 64 * 1024 * 1024  # per-part pick rows broadcast when below
 
 
 def rows_per_part(dim: int, part_bytes: int = PART_BYTES) -> int:
@@ -121,7 +148,7 @@ def _coreset_of_part(m: int, weighted: bool, dim: int):
         n = table.num_rows
         part = table.column("part")[0].as_py()
         ids = table.column("point_id").to_numpy()
-        feats = table.column("features").combine_chunks()
+        feats = table.column("features").combine_chunks().cast(pa.list_(pa.float64()))
         if feats.null_count:
             raise ValueError(f"part {part}: a point has no features")
         lengths = np.diff(feats.offsets.to_numpy())
@@ -153,14 +180,15 @@ def _coreset_of_part(m: int, weighted: bool, dim: int):
     return run
 
 
-def coreset(points: DataFrame, m: int, parts: int, by: str = "mod",
+def coreset(points: DataFrame, m: int, parts: int, by: str = "rank",
             part_col: str | None = None, weight_col: str | None = None,
-            max_part_rows: int | str | None = "auto") -> DataFrame:
+            max_part_rows: int | str | None = "auto", stats: PointStats | None = None) -> DataFrame:
     """Weighted coreset ``(part, pick, point_id, features, weight)``: per part,
     ``m`` farthest-first picks and the number of the part's points nearest to
     each. Weights sum to the number of points. ``part_col`` names an existing
-    part column to use instead of ``part_column(parts, by)``; with
+    part column to use instead of ``with_parts(points, parts, by)``; with
     ``weight_col`` the input is itself weighted and weights are summed.
+    ``stats`` of stored points saves the jobs that would learn them.
 
     With ``max_part_rows`` (default "auto": what ``PART_BYTES`` holds at the
     data's dimension) the parts are counted first (a scan of the ids only);
@@ -169,20 +197,24 @@ def coreset(points: DataFrame, m: int, parts: int, by: str = "mod",
     without ever holding a part in one task. ``None`` skips the count."""
     if m < 1:
         raise ValueError(f"the number of picks must be >= 1, got {m}")
-    part = F.col(part_col).cast("int") if part_col else part_column(parts, by)
-    cols = [part.alias("part"), "point_id", "features"]
+    check_parts(parts)
+    # One dimension for every part and either traversal; both reject bad points.
+    dim = dimension(points) if stats is None else stats.dim
+    if stats is None and (max_part_rows is not None or (by == "rank" and not part_col)):
+        stats = id_stats(points, dim)
+    keyed = points.withColumn("part", F.col(part_col).cast("int")) if part_col else with_parts(points, parts, by, stats)
+    cols = ["part", "point_id", features_column()]
     if weight_col:
         cols.append(F.col(weight_col).cast("long").alias("weight"))
-    keyed = points.select(*cols)
-    # One dimension for every part and either traversal; both reject bad points.
-    dim = dimension(points)
+    keyed = keyed.select(*cols)
     in_memory = _coreset_of_part(int(m), bool(weight_col), dim)
     if max_part_rows is None:
         return keyed.groupBy("part").applyInArrow(in_memory, CORESET_SCHEMA)
     if max_part_rows == "auto":
         max_part_rows = rows_per_part(dim)
-    if keyed.count() <= max_part_rows:
-        # No part can exceed the bound (a row count reads no column data).
+    # By rank no part exceeds n / L; else a part may hold everything.
+    largest = -(-stats.n // parts) if by == "rank" and not part_col else stats.n
+    if largest <= max_part_rows:
         return keyed.groupBy("part").applyInArrow(in_memory, CORESET_SCHEMA)
     # Parts over the bound (their ids only; the id column is all this reads).
     big = (keyed.groupBy("part").count()
@@ -194,65 +226,21 @@ def coreset(points: DataFrame, m: int, parts: int, by: str = "mod",
     marks = F.broadcast(big) if n_big <= BROADCAST_PART_IDS else big
     small = keyed.join(marks, "part", "left_anti").groupBy("part").applyInArrow(
         in_memory, CORESET_SCHEMA)
-    large = farthest_first_distributed(keyed.join(marks, "part", "left_semi"), int(m),
-                                       bool(weight_col), n_parts=n_big, dim=dim)
+    large = farthest_first_distributed(keyed.join(marks, "part", "left_semi"), int(m), bool(weight_col), dim=dim)
     return small.unionByName(large)
 
 
 def farthest_first_distributed(keyed: DataFrame, m: int, weighted: bool = False,
-                               n_parts: int | None = None, dim: int | None = None) -> DataFrame:
-    """The per-part traversal and weights as DataFrame jobs, for parts too
-    large for one task: each pick is one pass that updates every point's
-    distance to its nearest pick so far (checkpointed state) and one ``max_by``
-    per part for the next pick (ties to the smaller id). Same results as the
-    in-memory traversal, O(m) passes over the parts."""
-    ensure_checkpoint_dir(keyed.sparkSession)
-    w = F.col("weight") if weighted else F.lit(1).cast("long")
+                               dim: int | None = None, **kw) -> DataFrame:
+    """The per-part traversal and weights for parts too large for one task
+    (``operators.traversal``); same results as the in-memory traversal."""
     dim = dimension(keyed) if dim is None else dim
-    state = keyed.select("part", "point_id", checked_features(dim), w.alias("weight"),
-                         F.lit(float("inf")).alias("mind"),
-                         F.lit(0).alias("assign")).checkpoint()
-    first = state.groupBy("part").agg(F.min_by(F.struct("point_id", "features"), "point_id")
-                                       .alias("c"))
-    last = first.select("part", F.lit(0).alias("pick"), F.col("c.point_id").alias("point_id"),
-                        F.col("c.features").alias("features")).checkpoint()
-    picks = [last]
-    # One pick row per part: broadcast when that many coordinates are small.
-    small_side = n_parts is not None and n_parts * (dim + 3) * 8 <= BROADCAST_BYTES
-    for t in range(m):
-        cur = last.select("part", F.col("pick").alias("lp"), F.col("features").alias("cf"))
-        upd = state.join(F.broadcast(cur) if small_side else cur, "part", "left")
-        d = euclidean(F.col("features"), F.col("cf"))
-        closer = F.col("cf").isNotNull() & (d < F.col("mind"))
-        state = upd.select("part", "point_id", "features", "weight",
-                           F.when(closer, d).otherwise(F.col("mind")).alias("mind"),
-                           F.when(closer, F.col("lp")).otherwise(F.col("assign")).alias("assign")
-                           ).checkpoint()
-        if t == m - 1:
-            break
-        nxt = (state.groupBy("part")
-                    .agg(F.max_by(F.struct("point_id", "features"),
-                                  F.struct(F.col("mind"), -F.col("point_id"))).alias("c"),
-                         F.max("mind").alias("md"))
-                    .where(F.col("md") > 0)
-                    .select("part", F.lit(t + 1).alias("pick"),
-                            F.col("c.point_id").alias("point_id"),
-                            F.col("c.features").alias("features"))).checkpoint()
-        if nxt.isEmpty():
-            break
-        last = nxt
-        picks.append(nxt)
-    chosen = picks[0]
-    for more in picks[1:]:
-        chosen = chosen.unionByName(more)
-    weights = state.groupBy("part", F.col("assign").alias("pick")).agg(
-        F.sum("weight").cast("long").alias("weight"))
-    return (chosen.join(weights, ["part", "pick"], "left")
-                  .select("part", F.col("pick").cast("int").alias("pick"), "point_id", "features",
-                          F.coalesce("weight", F.lit(0)).cast("long").alias("weight")))
+    w = F.col("weight") if weighted else F.lit(1).cast("long")
+    checked = keyed.select("part", "point_id", checked_features(dim), w.alias("weight"))
+    return traverse(checked, m, [0.0] * dim, **kw)
 
 
-def compress(core: DataFrame, m: int, parts: int, levels: int = 1, by: str = "hash",
+def compress(core: DataFrame, m: int, parts: int, levels: int = 1, by: str = "rank",
              max_part_rows: int | str | None = "auto") -> tuple[DataFrame, list[int]]:
     """``levels`` more farthest-first levels over a weighted coreset of ``parts``
     parts (weights summed): each level has a quarter of the parts before it, at
@@ -262,12 +250,13 @@ def compress(core: DataFrame, m: int, parts: int, levels: int = 1, by: str = "ha
     for _ in range(levels):
         parts = max(2, -(-parts // 4))
         core = coreset(core.select("point_id", "features", "weight"), m, parts, by, weight_col="weight",
-                       max_part_rows=max_part_rows).checkpoint()
+                       max_part_rows=max_part_rows)
+        core = stored(core)
         used.append(parts)
     return core, used
 
 
-def farthest_first_centers(points: DataFrame, m: int, parts: int = 1, by: str = "mod") -> DataFrame:
+def farthest_first_centers(points: DataFrame, m: int, parts: int = 1, by: str = "rank") -> DataFrame:
     """``(part, pick, point_id)`` of the farthest-first picks of every part."""
     return coreset(points, m, parts, by).select("part", "pick", "point_id")
 
@@ -281,25 +270,66 @@ def total_weight(core: DataFrame) -> DataFrame:
     return core.agg(F.sum("weight").cast("long").alias("total_weight"))
 
 
-def nearest_pick(points: DataFrame, core: DataFrame, parts: int, by: str = "mod",
-                 m: int | None = None, dim: int | None = None) -> DataFrame:
+def _near_rows(ids: pa.Array, part: int, x: np.ndarray, centers: np.ndarray, c_ids: np.ndarray) -> pa.RecordBatch:
+    pos, dist = nearest_of(x, centers)
+    return pa.RecordBatch.from_arrays(
+        [ids, pa.array(np.full(len(x), part, np.int32)), pa.array(c_ids[pos]), pa.array(dist)],
+        ["point_id", "part", "center_id", "distance"])
+
+
+def _nearest_in_closure(picks: dict[int, tuple[np.ndarray, np.ndarray]]):
+    def run(batches):
+        for b in batches:
+            parts = b.column("part").to_numpy()
+            for part in np.unique(parts).tolist():
+                if part in picks:
+                    mine = b.filter(pa.array(parts == part))
+                    yield _near_rows(mine.column("point_id"), part, matrix(mine.column("features"), mine.num_rows), *picks[part])
+    return run
+
+
+def _nearest_in_stream(batches):
+    """Rows sorted by (part, pick, point_id), nulls last: a part's picks come before its points."""
+    part, centers, c_ids = None, [], []
+    for b in batches:
+        parts, picks = b.column("part").to_numpy(), b.column("pick")
+        bounds = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), b.num_rows]
+        for lo, hi in zip(bounds, bounds[1:], strict=False):
+            if lo == hi:
+                continue
+            rows = b.slice(lo, hi - lo)
+            if parts[lo] != part:
+                part, centers, c_ids = int(parts[lo]), [], []
+            is_pick = rows.column("pick").is_valid().to_numpy(zero_copy_only=False)
+            mine = rows.filter(pa.array(is_pick))
+            centers += list(matrix(mine.column("features"), mine.num_rows))
+            c_ids += mine.column("point_id").to_pylist()
+            rest = rows.filter(pa.array(~is_pick))
+            if rest.num_rows and centers:
+                yield _near_rows(rest.column("point_id"), part, matrix(rest.column("features"), rest.num_rows),
+                                 np.array(centers), np.array(c_ids))
+
+
+def nearest_pick(points: DataFrame, core: DataFrame, parts: int, by: str = "rank",
+                 stats: PointStats | None = None, closure_bytes: int = CENTER_BYTES) -> DataFrame:
     """Every point with its nearest pick of its own part (ties to the earlier
-    pick) and the distance: ``(point_id, part, center_id, distance)``.
-
-    The picks of a part (at most m rows) are gathered into one array row per
-    part and joined on ``part``. With ``m`` and ``dim`` given, that side
-    (at most m * L picks) is broadcast when it fits ``BROADCAST_BYTES``, so the
-    points are not shuffled; otherwise (or when its size is unknown) it is an
-    ordinary shuffle join on ``part``, one small row per part."""
-    per_part = (core.groupBy("part")
-                    .agg(F.sort_array(F.collect_list(F.struct("pick", "point_id", "features")))
-                         .alias("picks"))
-                    .select("part",
-                            F.col("picks.features").alias("c_features"),
-                            F.col("picks.point_id").alias("c_ids")))
-    keyed = points.select(part_column(parts, by).alias("part"), "point_id", "features")
-    small = m is not None and dim is not None and m * parts * (dim + 2) * 8 <= BROADCAST_BYTES
-    joined = keyed.join(F.broadcast(per_part) if small else per_part, "part")
-    near = nearest_with_id(F.col("features"), F.col("c_features"), F.col("c_ids"))
-    return joined.select("point_id", "part", near["center_id"].alias("center_id"),
-                         near["distance"].alias("distance"))
+    pick) and the distance: ``(point_id, part, center_id, distance)``. Points of a
+    part without picks have no row.
+
+    Picks of at most ``closure_bytes`` of coordinates travel in the task closure
+    and the points are not shuffled; else points and picks are brought together
+    by part, sorted, and streamed through the same kernel."""
+    shape = "point_id long, part int, center_id long, distance double"
+    keyed = with_parts(points, parts, by, stats).select("part", "point_id", features_column())
+    core = core.select("part", "pick", "point_id", features_column())
+    limit = max(1, closure_bytes // (8 * max(1, dimension(core)) + 16))
+    few = core.limit(limit + 1).collect()
+    if len(few) <= limit:
+        found: dict[int, list] = {}
+        for r in sorted(few, key=lambda r: (r["part"], r["pick"])):
+            found.setdefault(r["part"], []).append(r)
+        return keyed.mapInArrow(_nearest_in_closure(
+            {p: (np.array([r["features"] for r in rs]), np.array([r["point_id"] for r in rs])) for p, rs in found.items()}), shape)
+    both = keyed.withColumn("pick", F.lit(None).cast("int")).unionByName(core)
+    return (both.repartition("part").sortWithinPartitions("part", F.col("pick").asc_nulls_last(), "point_id")
+            .mapInArrow(_nearest_in_stream, shape))

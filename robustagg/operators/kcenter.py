@@ -13,25 +13,24 @@ half the smallest distance among the first k+z+1 points.
 Spark design:
 
 * All radius guesses are independent, so they run side by side as a
-  ``guess`` column: one job per greedy step for every guess, instead of one
-  job per step per guess. The number of guesses comes from an upper bound on
-  the diameter (the diagonal of the bounding box): once (3+4a)r reaches it
-  one ball covers everything.
-* The state (T points x G guesses) is cut from its lineage each step with
-  ``checkpoint()`` (reliable storage, ``spark.checkpoint.dir``) so the plan
-  does not grow with k. The stop test, the per-guess uncovered weight and
-  the number of centers are observed metrics of that same job.
+  ``guess`` column. The number of guesses comes from an upper bound on the
+  diameter (the diagonal of the bounding box): once (3+4a)r reaches it one
+  ball covers everything.
+* While a guess's points fit one block, all its steps run in that block's
+  task: one job for all guesses and steps. Beyond a block there is one round
+  per step for every guess.
 * Ball weights need, for each uncovered candidate, the uncovered weight
-  within a radius: a range self-join. It is evaluated on bounded blocks
-  (``robustagg.operators.balls``): a numpy kernel per (guess, candidate
-  block, member block) cogroup, partial sums added by a ``groupBy``. No
-  pair rows are materialised and no task holds more than two blocks.
-* Picking the heaviest ball (``max_by`` per guess, or inside the kernel when
-  a guess's uncovered points form one block) and removing the covered points
-  (a join with the new centers, broadcast: one row per guess) are plain
+  within a radius: a range self-join (``balls.ball_weights_cells``). It runs
+  once; each step then subtracts the balls around the points that the step
+  newly covered, so a pair of points is compared at most twice in all steps.
+* The state (T points x G guesses, with the ball weights) is cut from its
+  lineage each step with ``checkpoint()`` (reliable storage,
+  ``spark.checkpoint.dir``). The stop test, the per-guess uncovered weight and
+  the number of centers are observed metrics of that same job.
+* Picking the heaviest ball (``max_by`` per guess) and removing the covered
+  points (a join with the new centers, broadcast: one row per guess) are plain
   DataFrame operators.
-* The solver is quadratic in the number of weighted points: run it on a
-  coreset (``robustagg.operators.coreset``), whose size m * L does not grow
+* The solver compares pairs of weighted points: run it on a coreset (``robustagg.operators.coreset``), whose size m * L does not grow
   with the data. ``kcenter_exact`` on raw points is the reference's
   sequential algorithm and is only meant for inputs of bounded size.
 """
@@ -46,10 +45,12 @@ from pyspark.sql import functions as F
 
 from robustagg.functions.distance import euclidean, euclidean_sql
 from robustagg.operators.balls import (
-    DEFAULT_BLOCK_ROWS, ball_weights_blocked, best_ball_single_block, pair_distance_summary,
+    DEFAULT_BLOCK_ROWS, ball_weights_blocked, ball_weights_cells, cover_single_blocks,
 )
+from robustagg.operators.closest import closest_pair
 from robustagg.params import check_alpha, check_k_z
 from robustagg.session import ensure_checkpoint_dir
+from robustagg.sources.store import features_column
 
 
 def selection_factor(alpha: float) -> float:
@@ -84,10 +85,9 @@ class KCenterResult:
 
 def window_radius_frame(wpoints: DataFrame, m: int) -> DataFrame:
     """One row: ``dmin`` / ``dpos`` (smallest and smallest positive distance
-    among the first m points in idx order) and ``initial_guess`` = dmin / 2. The
-    window is bounded by m = k+z+1 rows; its pairs are taken block by block."""
+    among the first m points in idx order) and ``initial_guess`` = dmin / 2."""
     head = wpoints.orderBy("idx").limit(m).select(F.col("idx").alias("point_id"), "features")
-    return pair_distance_summary(head, n_rows=m).select(
+    return closest_pair(head, m).select(
         F.col("min_distance").alias("dmin"), F.col("min_positive").alias("dpos"),
         F.expr("coalesce(min_distance / 2, 0D)").alias("initial_guess"))
 
@@ -211,7 +211,7 @@ def _double(x: float) -> str:
     return f"{float(x)!r}D"
 
 
-def cover_step(state: DataFrame, best: DataFrame, alpha: float) -> DataFrame:
+def cover_step(state: DataFrame, best: DataFrame, alpha: float, more: tuple[str, ...] = ()) -> DataFrame:
     """One greedy step: mark the new centers (``best``: guess, c_idx,
     c_features; one row per guess, broadcast) and remove their (3+4a) *
     radius balls from the uncovered set; guesses without a new center keep
@@ -226,7 +226,7 @@ def cover_step(state: DataFrame, best: DataFrame, alpha: float) -> DataFrame:
         f"uncovered AND (c_idx IS NULL OR {dist} > {reach}) AS uncovered",
         "CAST(CASE WHEN idx = c_idx THEN steps_done + 1 ELSE center_step END AS INT)"
         " AS center_step",
-        "CAST(steps_done + 1 AS INT) AS steps_done")
+        "CAST(steps_done + 1 AS INT) AS steps_done", *more)
 
 
 def greedy_cover(state: DataFrame, k: int, alpha: float, n_rows: int,
@@ -254,21 +254,42 @@ def greedy_cover_observed(state: DataFrame, k: int, alpha: float, n_rows: int,
     ``n_guesses`` guesses, its uncovered weight ``w<g>`` and number of centers
     ``c<g>`` (the radius search without another job). With ``z`` given, guesses
     above one that already leaves at most z are dropped: they cannot win."""
-    spark = state.sparkSession
-    ensure_checkpoint_dir(spark)
-    # The starting state is a cheap projection of its input (a checkpointed
-    # coreset, or one exchange Spark reuses within the step): the first step's
-    # checkpoint is the first cut.
+    ensure_checkpoint_dir(state.sparkSession)
     last = steps or k
+    seen = Observation("greedy_steps")
+    if n_rows <= block_rows:
+        # One block per guess: all its steps in one task, all guesses in one job.
+        state = cover_single_blocks(state, last, selection_factor(alpha), removal_factor(alpha))
+        return state.observe(seen, *_step_metrics(n_guesses)).checkpoint(), seen.get
+    return _cover_cells(state, last, alpha, block_rows, n_guesses, z)
+
+
+def _cover_cells(state: DataFrame, last: int, alpha: float, block_rows: int, n_guesses: int,
+                 z: int | None) -> tuple[DataFrame, dict]:
+    """Greedy steps beyond one block. The state carries the ball weights; a step
+    subtracts what the points it newly covers (``newly``) had added."""
+    first = state.select("features").first()
+    if first is None:
+        return state, {}
+    origin = list(first["features"])
+    as_rows = lambda df: df.select(F.col("guess").alias("grp"), F.col("idx").alias("id"), "features", "weight")
+    reach = state.groupBy(F.col("guess").alias("grp")).agg((F.max("radius") * selection_factor(alpha)).alias("r"))
+    keyed = lambda sums: sums.select(F.col("grp").alias("guess"), F.col("id").alias("idx"), "ball_weight")
+    unc = as_rows(state.where("uncovered"))
+    sums = keyed(ball_weights_cells(unc, None, reach, origin, block_rows))
+    state = (state.join(sums, ["guess", "idx"], "left")
+             .withColumn("ball", F.coalesce("ball_weight", F.lit(0))).drop("ball_weight")
+             .withColumn("newly", F.lit(False)).checkpoint())
     metrics: dict = {}
     for step in range(1, last + 1):
-        if n_rows <= block_rows:
-            # One block per guess: the kernel picks the heaviest ball itself.
-            best = best_ball_single_block(state.where("uncovered"), selection_factor(alpha))
-            best = best.select("guess", "c_idx", "c_features")
-        else:
-            best = best_ball(ball_weights(state, alpha, n_rows, block_rows), state)
-        nxt = cover_step(state, best, alpha)
+        if step > 1:
+            live, newly = state.where("uncovered"), state.where("newly")
+            lost = keyed(ball_weights_cells(as_rows(newly), as_rows(live), reach, origin, block_rows))
+            state = (state.join(lost, ["guess", "idx"], "left")
+                     .withColumn("ball", F.col("ball") - F.coalesce("ball_weight", F.lit(0))).drop("ball_weight").checkpoint())
+        best = best_ball(state.where("uncovered").select("guess", "idx", "features", F.col("ball").alias("ball_weight")))
+        nxt = cover_step(state.withColumn("was", F.col("uncovered")), best, alpha, ("ball", "was"))
+        nxt = nxt.withColumn("newly", F.col("was") & ~F.col("uncovered")).drop("was")
         seen = Observation(f"greedy_step_{step}")
         state = nxt.observe(seen, *_step_metrics(n_guesses)).checkpoint()
         metrics = seen.get
@@ -278,7 +299,7 @@ def greedy_cover_observed(state: DataFrame, k: int, alpha: float, n_rows: int,
             good = next((g for g in range(n_guesses) if (metrics.get(f"w{g}") or 0) <= z), n_guesses)
             if good < n_guesses - 1:
                 state, n_guesses = state.where(F.col("guess") <= F.lit(good)), good + 1
-    return state, metrics
+    return state.drop("ball", "newly"), metrics
 
 
 def radius_search(state: DataFrame, z: int) -> DataFrame:
@@ -318,14 +339,14 @@ def weighted_kcenter(wpoints: DataFrame, k: int, z: int, alpha: float,
 
 def unit_weighted(points: DataFrame) -> DataFrame:
     """Raw points in point-id order, weight 1 each (the sequential solver)."""
-    return points.select(F.col("point_id").alias("idx"), "point_id", "features",
+    return points.select(F.col("point_id").alias("idx"), "point_id", features_column(),
                          F.lit(1).cast("long").alias("weight"))
 
 
 def coreset_weighted(core: DataFrame, m: int) -> DataFrame:
     """Coreset rows in (part, pick) order: idx = part * m + pick."""
     return core.select((F.col("part").cast("long") * F.lit(int(m)) + F.col("pick")).alias("idx"),
-                       "point_id", "features", "weight")
+                       "point_id", features_column(), "weight")
 
 
 def kcenter_exact(points: DataFrame, k: int, z: int, alpha: float = 0.0, **kw) -> KCenterResult:

@@ -1,14 +1,17 @@
 """Two-round k-center with z outliers.
 
+The points are stored once in the checkpoint folder (a text is parsed once, bad
+points fail there); their count, dimension and id range come with that write.
+
 Round 1: one shuffle spreads the points over L parts; each part yields m =
 k+z+1 farthest-first picks weighted by the points nearest to them (the
-coreset, at most m * L rows). The coreset is checkpointed: it is read by the
+coreset, at most m * L rows). The coreset is stored: it is read by the
 solver several times and must not recompute the scan.
 
 Round 2: the weighted greedy cover with radius search on the coreset
-(``alpha`` = 2 by default), run as Spark jobs over the checkpointed coreset.
+(``alpha`` = 2 by default), run as Spark jobs over the stored coreset.
 
-Objective: a second, map-only pass over all points (Arrow kernel).
+Objective: a second, map-only pass over the stored points (Arrow kernel).
 Nothing but scalars and the k centers reaches the driver.
 """
 
@@ -25,8 +28,7 @@ from robustagg.operators.kcenter import (
 )
 from robustagg.operators.objective import objective
 from robustagg.params import check_k_z, check_parts
-from robustagg.session import ensure_checkpoint_dir
-from robustagg.sources.points import dimension
+from robustagg.sources.store import store_points, stored
 
 
 @dataclass
@@ -41,7 +43,7 @@ class TwoRoundResult:
 
 
 def two_round_kcenter(points: DataFrame, k: int, z: int, parts: int | None = None,
-                      alpha: float = 2.0, by: str = "mod",
+                      alpha: float = 2.0, by: str = "rank",
                       max_part_rows: int | None = None, levels: int = 1,
                       **solver_kw) -> TwoRoundResult:
     """Round 1 (coreset over ``parts`` parts; chosen from the point count when
@@ -54,15 +56,14 @@ def two_round_kcenter(points: DataFrame, k: int, z: int, parts: int | None = Non
     check_k_z(k, z)
     if levels < 1:
         raise ValueError(f"levels must be >= 1, got {levels}")
-    ensure_checkpoint_dir(points.sparkSession)
     m = k + z + 1
+    # The input is read (and text parsed) once; what follows reads columns back.
+    points, stats = store_points(points)
     if parts is None:
-        # A row count (no column read) and the dimension of one row: sizing
-        # never scans the coordinates.
-        max_part_rows = max_part_rows or rows_per_part(dimension(points))
-        parts = parts_for(points.count(), k, z, max_part_rows)
+        max_part_rows = max_part_rows or rows_per_part(stats.dim)
+        parts = parts_for(stats.n, k, z, max_part_rows)
     check_parts(parts)
-    core = coreset(points, m, parts, by, max_part_rows=max_part_rows or "auto").checkpoint()
+    core = stored(coreset(points, m, parts, by, max_part_rows=max_part_rows or "auto", stats=stats))
     if levels > 1:
         core, _ = compress(core, m, parts, levels - 1, max_part_rows=max_part_rows or "auto")
     solve = weighted_kcenter(coreset_weighted(core, m), k, z, alpha, **solver_kw)

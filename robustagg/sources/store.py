@@ -27,10 +27,16 @@ def free_name(df: DataFrame, base: str) -> str:
     return name
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as a Parquet table in the checkpoint folder, read back."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4()}"
-    df.write.parquet(path)
+def new_path(df: DataFrame) -> str:
+    return f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4()}"
+
+
+def stored(df: DataFrame, folders: str | None = None) -> DataFrame:
+    """``df`` written as a Parquet table in the checkpoint folder, read back.
+    With ``folders`` (a column of few values) each value has a folder of its own,
+    so a filter on it leaves the other files unread."""
+    path = new_path(df)
+    (df.write.partitionBy(folders) if folders else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -45,11 +51,13 @@ class PointStats:
     dim: int
     id_low: int | None
     id_high: int | None
+    id_sum: int | None
 
     @property
     def dense(self) -> bool:
         """Ids that fill their range: the rank of a point is its id less the first."""
-        return self.n > 0 and self.id_high - self.id_low + 1 == self.n
+        return (self.n > 0 and self.id_high - self.id_low + 1 == self.n
+                and 2 * self.id_sum == self.n * (self.id_low + self.id_high))
 
 
 def point_metrics() -> list[Column]:
@@ -57,7 +65,8 @@ def point_metrics() -> list[Column]:
     bad = x.isNull() | F.exists(x, lambda v: v.isNull() | F.isnan(v))
     return [F.count(F.lit(1)).alias("n"), F.min(F.size("features")).alias("dim_low"),
             F.max(F.size("features")).alias("dim_high"), F.min("point_id").alias("id_low"),
-            F.max("point_id").alias("id_high"), F.count(F.when(F.col("point_id").isNull(), 1)).alias("no_id"),
+            F.max("point_id").alias("id_high"), F.sum(F.col("point_id").cast("decimal(38,0)")).alias("id_sum"),
+            F.count(F.when(F.col("point_id").isNull(), 1)).alias("no_id"),
             F.count(F.when(bad, 1)).alias("bad")]
 
 
@@ -68,7 +77,8 @@ def check_points(seen: dict) -> PointStats:
                          f"{seen['no_id']} without an id")
     if seen["n"] and seen["dim_low"] != seen["dim_high"]:
         raise ValueError(f"points of unequal dimension ({seen['dim_low']} and {seen['dim_high']})")
-    return PointStats(seen["n"], seen["dim_high"] or 0, seen["id_low"], seen["id_high"])
+    return PointStats(seen["n"], seen["dim_high"] or 0, seen["id_low"], seen["id_high"],
+                      None if seen["id_sum"] is None else int(seen["id_sum"]))
 
 
 def store_points(points: DataFrame) -> tuple[DataFrame, PointStats]:

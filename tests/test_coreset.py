@@ -53,7 +53,7 @@ def test_small_parts_and_copies(spark):
     assert [r.point_id for r in part0] == [0, 2, 4]
     assert sum(r.weight for r in core) == 12
     one = cs.coreset(point_frame(spark, [(5, [1.0, 1.0])]), 4, 3).collect()
-    assert [(r.part, r.pick, r.point_id, r.weight) for r in one] == [(2, 0, 5, 1)]
+    assert [(r.part, r.pick, r.point_id, r.weight) for r in one] == [(0, 0, 5, 1)]
 
 
 def test_unequal_dimension_fails(spark):

@@ -232,7 +232,7 @@ def test_solver_step_plan_has_no_pair_join(spark):
         step = kc.cover_step(st, kc.best_ball(bw, st), 0.0)
         plan = _plan(step)
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-        assert "FlatMapGroupsInArrow" in plan or "FlatMapCoGroupsInArrow" in plan
+        assert "FlatMapGroupsInArrow" in plan or "MapInArrow" in plan
 
 
 def test_objective_plan_is_map_only_before_top(spark):
@@ -243,20 +243,14 @@ def test_objective_plan_is_map_only_before_top(spark):
     assert "Join" not in plan
 
 
-def test_nearest_pick_broadcast_only_when_sized(spark):
+def test_nearest_pick_in_closure_and_as_a_stream(spark):
     from robustagg.operators import coreset as cs
     e = pts.embedding_points(spark, SF01)
-    picks = cs.coreset(e, 6, 2)
-    sized = _plan(cs.nearest_pick(e, picks, 2, m=6, dim=64))
-    assert "BroadcastExchange" in sized
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        unsized = _plan(cs.nearest_pick(e, picks, 2))
-        assert "BroadcastExchange" not in unsized and "SortMergeJoin" in unsized
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    picks = cs.coreset(e, 6, 2).cache()
+    small, large = cs.nearest_pick(e, picks, 2), cs.nearest_pick(e, picks, 2, closure_bytes=1)
+    assert "Exchange" not in _plan(small) and "hashpartitioning(part" in _plan(large)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+    picks.unpersist()
 
 
 def test_results_do_not_depend_on_shuffle_partitions(spark):
