@@ -1,27 +1,29 @@
 """Fuzzy line dedup by MinHash (DataFrame functions only).
 
 Lines are what ``\\n`` separates; lines without a word are left alone. Equal
-lines are one from the start (128 bits of hash). A line's shingles are its
-character runs of ``K``, running on to the end of the next word at most: from
-every ``STEP``-th character of a word of up to ``LONG`` characters (anchored at
-words, so that an insertion only touches the shingles around it), and from every
-character of a longer one (a line without blanks is one word). Similarity is the
-exact Jaccard of these sets.
-
-Signature: one hash per shingle, the smallest per bin (one-permutation
-MinHash), bins joined into bands. In a band bucket of up to ``SMALL`` lines all pairs are verified. In a larger one each line
-is verified against the one before it (sorted by a further bin) and the first,
-and all its lines then take an exact way together: each is listed under its
-rarest shingles (prefix filter, so that every linked pair shares a list), and all
-pairs of a list that sizes and places allow, and that are not united already, are
-verified. Linked lines are united (connected components). One line
-of each component stays: the first by (doc_id, line number).
+lines are one from the start (128 bits of hash). A line's shingles are all its
+character runs of ``K`` (a shorter line is one shingle); similarity is the exact
+Jaccard of these sets.
+
+Signature: shingles chosen by content, not by place, so that an insertion only
+touches those around it. The line is cut before every byte of its UTF-8 form of
+the residue ``ANCHOR`` (a line that has few of them before all others), and every ``PIECES`` pieces in a row are hashed; the
+smallest hash per bin is kept (one-permutation MinHash of ``BINS`` bins). Bands are
+``ROWS`` neighbouring bins. Lines of a band bucket of up to ``SMALL`` lines are all
+paired, those of a larger one with the ``SMALL`` lines before them (in the order of
+a further bin) that agree in most bins and with the first; pairs that agree in
+fewer than ``AGREE`` bins (half of them, in lines that fill few) are left out. Pairs are verified over their whole sets. Lines of larger buckets then
+take an exact way together: each is listed under its rarest shingles (prefix
+filter, so that every linked pair shares a list), and all pairs of a list that
+sizes and places allow, and that are not united already, are verified. Linked
+lines are united (connected components). One line of each component stays: the
+first by (doc_id, line number).
 
 Defined cases: null text has no lines and stays null; an empty text or a blank
 line is kept; rows with the same doc_id are one document here (equal lines at
-equal places share their fate); rows with a null doc_id lose nothing; an empty
-table gives no rows; other columns stay (names with a leading underscore are
-reserved).
+equal places share their fate); rows with a null doc_id lose nothing; texts and
+lines of any length are read whole; an empty table gives no rows; other columns
+stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,13 +31,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from robustagg.sources.store import free_name
+
 from .common import components, cut
 
-K, STEP, LONG = 8, 3, 16
-SMALL = 16  # lines of a bucket that are compared in full
+K = 8
+ANCHOR, RESIDUES, PIECES = 1, 3, 3  # cut before bytes b with b % RESIDUES = ANCHOR
+BINS, ROWS = 10, 3  # bands are ROWS neighbouring bins
+AGREE = 3
+SPARSE = 16  # bytes per anchor, beyond which a line is cut before all other bytes instead
+SMALL, CLOSE = 16, 4  # lines of a bucket compared in full; of a larger one, those before each that are
 COMMON = 8  # lines with a shingle, from which on it is put back in the lists' order
-BANDS, ROWS = 6, 3
-BINS = BANDS * ROWS
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -44,70 +50,76 @@ def _lines(docs: DataFrame) -> DataFrame:
             .where(F.col("line").rlike(HAS_WORD)))
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, id) of all lines with a word; ``id``: the first (doc_id, line_no) of the equal lines."""
-    table = _lines(docs).select("doc_id", "line_no", F.xxhash64(F.lit(1), "line").alias("h1"),
-                                F.xxhash64(F.lit(2), "line").alias("h2"))
-    first = table.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("id"))
-    # Rows that share doc_id, line number and text are dropped where the join left them.
-    return table.join(first, ["h1", "h2"]).dropDuplicates(["h1", "h2", "doc_id", "line_no"]).select(
-        "doc_id", "line_no", "id")
+def line_table(signed: DataFrame) -> DataFrame:
+    """(doc_id, line_no, id, bins) of ``signatures``; ``id``: the first (doc_id, line_no) of the equal lines."""
+    first = signed.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("id"))
+    return signed.join(first, ["h1", "h2"]).select("doc_id", "line_no", "id", "bins")
+
+
+def _anchors(other: bool = False) -> str:
+    """Pattern of the places before an anchor byte (as a Latin-1 character), or before any other."""
+    return "(?=[" + "".join(f"\\x{b:02X}" for b in range(256) if (b % RESIDUES == ANCHOR) != other) + "])"
 
 
-def _starts(word: Column) -> Column:
-    """Characters of a word (from 1) at which shingles start."""
-    return F.sequence(F.lit(1), F.char_length(word), F.when(F.char_length(word) > LONG, 1).otherwise(STEP))
+def signatures(docs: DataFrame) -> DataFrame:
+    """(doc_id, line_no, h1, h2, bins) of all lines with a word: 128 bits of hash and
+    the smallest hash of each bin. Rows that share doc_id, line number and text are one."""
+    at_bytes = F.decode(F.encode("line", "UTF-8"), "ISO-8859-1")
+    key = ["doc_id", "line_no", "h1", "h2"]
+    pieces = _lines(docs).select("doc_id", "line_no", F.xxhash64(F.lit(1), "line").alias("h1"),
+                                 F.xxhash64(F.lit(2), "line").alias("h2"), at_bytes.alias("b"))
+    pieces = pieces.withColumn("p", F.split("b", _anchors())).withColumn("p", F.when(
+        F.size("p") * SPARSE >= F.char_length("b"), F.col("p")).otherwise(F.split("b", _anchors(True))))
+    rows = pieces.select(*key, "p", F.explode(F.sequence(F.lit(0), F.greatest(F.size("p") - PIECES, F.lit(0)))).alias("i"))
+    rows = rows.select(*key, F.xxhash64(*(F.get("p", F.col("i") + j) for j in range(PIECES))).alias("h"))
+    # Two parts of the hash: the bin (of 4096 slots dealt over the bins), and what is compared.
+    rows = rows.select(*key, F.shiftright(F.col("h").bitwiseAND(4095) * BINS, 12).cast("int").alias("bin"),
+                       F.shiftright("h", 32).cast("int").alias("m"))
+    bins = [F.min(F.when(F.col("bin") == i, F.col("m"))).alias(f"m{i}") for i in range(BINS)]
+    return rows.groupBy(*key).agg(*bins).select(*key, F.array(*(f"m{i}" for i in range(BINS))).alias("bins"))
 
 
 def _chosen_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc_id, line_no, w): the words (cut at blanks) of the ``wanted`` (doc_id,
-    line_no). Both uses in one job share the exchange of the texts by doc_id."""
+    """(doc_id, line_no, line) of the ``wanted`` (doc_id, line_no)."""
     per_doc = wanted.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))
-    return (docs.select("doc_id", "text").join(per_doc.hint("shuffle_hash"), "doc_id", "left")
-            .select("doc_id", F.split("text", "\n").alias("lines"), "wanted")
-            .select("doc_id", "lines", F.explode("wanted").alias("line_no"))
-            .select("doc_id", "line_no", F.split(F.get("lines", F.col("line_no")), " ").alias("w")))
-
-
-def _shingle_rows(lines: DataFrame) -> DataFrame:
-    """(doc_id, line_no, h): one row per shingle."""
-    return (lines.select("doc_id", "line_no", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("i"))
-            .select("doc_id", "line_no", F.get("w", F.col("i")).alias("a"), F.get("w", F.col("i") + 1).alias("b"))
-            .where("a <> ''")
-            .select("doc_id", "line_no", F.when(F.col("b").isNull(), F.col("a"))
-                    .otherwise(F.concat("a", F.lit(" "), "b")).alias("p"),
-                    F.explode(_starts(F.col("a"))).alias("o"))
-            .select("doc_id", "line_no", F.xxhash64(F.substr("p", F.col("o"), F.lit(K))).alias("h")))
-
-
-def _shingle_set(w: Column) -> Column:
-    """The same shingles as one set of 32-bit hashes, for the lines that are compared."""
-    pair = F.zip_with(w, F.slice(w, 2, F.size(w)), lambda a, b: F.struct(
-        a.alias("a"), F.when(b.isNull(), a).otherwise(F.concat(a, F.lit(" "), b)).alias("p")))
-    runs = F.transform(F.filter(pair, lambda x: x["a"] != ""), lambda x: F.transform(
-        _starts(x["a"]), lambda o: F.hash(F.substr(x["p"], o, F.lit(K)))))
-    return F.array_distinct(F.flatten(runs))
-
-
-def _candidates(signed: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of line ids from band buckets, and (a, null) for each
-    line of a bucket that is too large to be compared in full."""
-    bins = [f"m{i}" for i in range(BINS)]
-    band = lambda k: bins[k * ROWS:(k + 1) * ROWS]
-    keyed = F.array(*(F.struct(
-        F.when(F.coalesce(*band(k)).isNotNull(), F.xxhash64(F.lit(k), *band(k))).alias("key"),
-        F.shiftright(F.coalesce(F.col(bins[(k + 1) * ROWS % BINS]), F.lit(0)), 48).alias("next")) for k in range(BANDS)))
-    rows = signed.select("doc_id", "line_no", F.inline(keyed)).where("key is not null")
-    bucket, line = Window.partitionBy("key").orderBy("next", "doc_id", "line_no"), F.struct("doc_id", "line_no")
-    near = F.collect_list(line).over(bucket.rowsBetween(1 - SMALL, -1))
-    none = F.lit(None).cast("struct<doc_id:long,line_no:int>")
-    large = F.array(F.get("near", F.size("near") - 1), F.when(F.col("head") != F.col("id"), F.col("head")), none)
-    pairs = (rows.select(line.alias("id"), near.alias("near"), F.first(line).over(bucket).alias("head"),
-                         F.count(F.lit(1)).over(Window.partitionBy("key")).alias("n"))
-             .where("n > 1")
-             .select("id", F.explode(F.array_distinct(F.when(F.col("n") <= SMALL, F.col("near")).otherwise(large))).alias("to")))
-    return pairs.select(F.when(F.col("to").isNull(), F.col("id")).otherwise(F.least("id", "to")).alias("a"),
-                        F.when(F.col("to").isNotNull(), F.greatest("id", "to")).alias("b")).distinct()
+    return (docs.select("doc_id", "text").join(per_doc.hint("shuffle_hash"), "doc_id")
+            .select("doc_id", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("line_no"))
+            .select("doc_id", "line_no", F.get("lines", F.col("line_no")).alias("line")).where("line is not null"))
+
+
+def _shingle_set(line: Column) -> Column:
+    """All character runs of ``K`` as a set of 32-bit hashes."""
+    runs = F.when(F.char_length(line) < K, F.array(line)).otherwise(
+        F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{K}}}))"), F.lit(1)))
+    return F.array_distinct(F.transform(runs, lambda g: F.hash(g)))
+
+
+def _candidates(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (v, w) of line numbers from band buckets, v the one to compare with,
+    and the lines (v) of buckets that are too large to be compared in full.
+    ``signed``: v, bins."""
+    bin_of = lambda i: F.get("bins", F.lit(i % BINS))
+    keyed = F.array(*(F.struct(F.when(F.coalesce(*(bin_of(k + j) for j in range(ROWS))).isNotNull(), F.xxhash64(
+        F.lit(k), *(bin_of(k + j) for j in range(ROWS)))).alias("key"), bin_of(k + ROWS).alias("next")) for k in range(BINS)))
+    rows = signed.select("v", F.inline(keyed)).where("key is not null")
+    # Most keys have one line: they are counted away before anything is sorted.
+    often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    filled = F.size(F.filter("bins", lambda x: x.isNotNull()))
+    rows = cut(rows.join(often, "key").join(signed.withColumn("filled", filled).hint("merge"), "v"))
+    large = rows.where(F.col("n") > SMALL).select("v").distinct()
+    bucket, line = Window.partitionBy("key").orderBy("next", "v"), F.struct("v", "filled", "bins")
+    rows = rows.select(*rows.columns, F.collect_list(line).over(bucket.rowsBetween(-SMALL, -1)).alias("near"),
+                       F.first(line).over(bucket).alias("head"))
+    agreed = lambda x: F.aggregate(F.zip_with("bins", x["bins"], lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))),
+                                   F.lit(0), lambda t, y: t + y)
+    fits = lambda x: agreed(x) >= F.least(F.lit(AGREE), F.ceil(F.greatest("filled", x["filled"]) / 2))
+    others = F.transform(F.filter("near", fits), lambda x: F.struct((-agreed(x)).alias("by"), x["v"].alias("w")))
+    best = F.slice(F.sort_array(others), 1, F.when(F.col("n") <= SMALL, SMALL).otherwise(CLOSE))
+    head = F.when((F.col("head")["v"] != F.col("v")) & fits(F.col("head")), F.array(F.col("head")["v"]))
+    pairs = rows.select("v", F.explode(F.array_distinct(F.concat(
+        F.transform(best, lambda x: x["w"]), F.coalesce(head, F.array().cast("array<long>"))))).alias("w"))
+    pairs = pairs.select(F.greatest("v", "w").alias("w"), F.least("v", "w").alias("v")).distinct()
+    return pairs, large
 
 
 def _similar(threshold: float) -> Column:
@@ -116,8 +128,7 @@ def _similar(threshold: float) -> Column:
 
 
 def _hot_links(hot: DataFrame, united: DataFrame, threshold: float) -> DataFrame:
-    """All links (a, b) between the ``hot`` lines (id, s) that ``united`` (id, class) leaves apart."""
-    hot = hot.withColumn("v", F.xxhash64("id", "s"))
+    """All links (a, b) between the ``hot`` lines (v, s) that ``united`` (v, class) leaves apart."""
     shingles = hot.select("v", F.explode("s").alias("h"))
     common = shingles.groupBy("h").agg(F.count(F.lit(1)).alias("often")).where(F.col("often") >= COMMON)
     # Any one order of the shingles is right; with the rare ones first the lists are short.
@@ -126,7 +137,7 @@ def _hot_links(hot: DataFrame, united: DataFrame, threshold: float) -> DataFrame
     lists = (shingles.join(common, "h", "left").groupBy("v")
              .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "h"))).alias("all"))
              .select("v", size.alias("n"), F.posexplode(F.transform(prefix, lambda x: x["h"])).alias("at", "h")))
-    classes = hot.select("v", "id").join(united, "id", "left").select("v", F.xxhash64(F.coalesce("class", "id")).alias("c"))
+    classes = hot.select("v").join(united, "v", "left").select("v", F.coalesce("class", "v").alias("c"))
     lists = cut(lists.join(classes, "v"))
     mixed = lists.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
     lists = lists.join(mixed, "h", "left_semi")
@@ -136,46 +147,57 @@ def _hot_links(hot: DataFrame, united: DataFrame, threshold: float) -> DataFrame
     most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
     fits = (small >= threshold * large - 1e-9) & ((1 + threshold) * most >= threshold * (F.col("n_a") + F.col("n_b")) - 1e-6)
     pairs = a.join(b, (a["h"] == b["h"]) & (F.col("c_a") < F.col("c_b")) & fits).select("v_a", "v_b").distinct()
-    end = lambda side: hot.select(F.col("v").alias(f"v_{side}"), F.col("id").alias(side), F.col("s").alias(f"s{side}"))
-    return pairs.join(end("a"), "v_a").join(end("b"), "v_b").where(_similar(threshold)).select("a", "b")
+    end = lambda side: hot.select(F.col("v").alias(f"v_{side}"), F.col("s").alias(f"s{side}"))
+    return pairs.join(end("a"), "v_a").join(end("b"), "v_b").where(_similar(threshold)).select(
+        F.col("v_a").alias("a"), F.col("v_b").alias("b"))
 
 
 def line_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(doc_id, line_no, class_doc_id, class_line_no) of all lines with a word:
     the class of a line is named by its first line, the one that is kept."""
-    table = cut(line_table(docs))
-    distinct = table.where((F.col("doc_id") == F.col("id.doc_id")) & (F.col("line_no") == F.col("id.line_no")))
+    table = cut(line_table(cut(signatures(docs))))
     texts = docs.select("doc_id", "text")
-    smallest = [F.min(F.when(F.pmod("h", F.lit(BINS)) == i, F.col("h"))).alias(f"m{i}") for i in range(BINS)]
-    signed = _shingle_rows(_chosen_lines(texts, distinct)).groupBy("doc_id", "line_no").agg(*smallest)
-    # One job from here to the links: signatures and verification read one exchange of the texts.
-    found = _candidates(signed)
-    ends = found.select(F.explode(F.array("a", "b")).alias("id")).where("id is not null").distinct().select("id.*")
-    sets = _chosen_lines(texts, ends).select(F.struct("doc_id", "line_no").alias("id"), _shingle_set(F.col("w")).alias("s"))
-    both = (found.where("b is not null").join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"))
-    large = found.where("b is null").join(sets.select(F.col("id").alias("a"), "s"), "a").select("a", "b", "s")
-    found = cut(both.where(_similar(threshold)).select("a", "b").unionByName(large, allowMissingColumns=True))
-    united = components(found.where("b is not null")).withColumnRenamed("component", "class")
-    hot = found.where("b is null").select(F.col("a").alias("id"), "s")
-    if not hot.isEmpty():
-        more = _hot_links(hot, united, threshold)
-        united = components(united.select(F.col("id").alias("a"), F.col("class").alias("b")).unionByName(more)) \
-            .withColumnRenamed("component", "class")
-    return table.join(united, "id", "left").withColumn("class", F.coalesce("class", "id")).select(
+    # Distinct lines get 64-bit numbers; only numbers travel from here to the links.
+    signed = table.where((F.col("doc_id") == F.col("id.doc_id")) & (F.col("line_no") == F.col("id.line_no")))
+    signed = cut(signed.select("doc_id", "line_no", F.monotonically_increasing_id().alias("v"), "bins"))
+    distinct, signed = signed.drop("bins"), signed.select("v", "bins")
+    table = table.drop("bins")
+    pairs, large = _candidates(signed)
+    pairs, large = cut(pairs), cut(large)
+    ends = pairs.select(F.col("v")).unionByName(pairs.select(F.col("w").alias("v"))).distinct()
+    lines = _chosen_lines(texts, ends.unionByName(large).distinct().join(distinct, "v").select("doc_id", "line_no"))
+    lines = cut(lines.join(distinct, ["doc_id", "line_no"]).select("v", "line"))
+    # The first line of each pair brings its set once, the others their text.
+    firsts = lines.join(pairs.select("v").distinct(), "v", "left_semi").select("v", _shingle_set(F.col("line")).alias("sa"))
+    others = pairs.join(lines.withColumnRenamed("v", "w"), "w")
+    links = cut(others.join(firsts, "v").withColumn("sb", _shingle_set(F.col("line"))).where(_similar(threshold)).select(
+        F.col("v").alias("a"), F.col("w").alias("b")))
+    united = components(links)
+    if not large.isEmpty():
+        hot = cut(lines.join(large, "v", "left_semi").select("v", _shingle_set(F.col("line")).alias("s")))
+        more = _hot_links(hot, united.select(F.col("id").alias("v"), F.col("component").alias("class")), threshold)
+        more = cut(more)
+        if not more.isEmpty():
+            united = components(united.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
+    # Classes are named by their first line.
+    members = united.join(distinct.withColumnRenamed("v", "id"), "id").select(
+        "component", F.struct("doc_id", "line_no").alias("id"))
+    named = members.join(members.groupBy("component").agg(F.min("id").alias("class")), "component").select("id", "class")
+    return table.join(named, "id", "left").withColumn("class", F.coalesce("class", "id")).select(
         "doc_id", "line_no", F.col("class.doc_id").alias("class_doc_id"), F.col("class.line_no").alias("class_line_no"))
 
 
 def dedup_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """docs without the lines that a kept line stands for; a document that loses
     all its lines with a word goes."""
-    gone = (line_classes(docs, threshold).withColumn(
-                "_gone", (F.col("doc_id") != F.col("class_doc_id")) | (F.col("line_no") != F.col("class_line_no")))
+    lost, every = free_name(docs, "lost"), free_name(docs, "every")
+    gone = (F.col("doc_id") != F.col("class_doc_id")) | (F.col("line_no") != F.col("class_line_no"))
+    gone = (line_classes(docs, threshold).withColumn("gone", gone)
             .groupBy("doc_id").agg(
-                F.map_from_entries(F.collect_set(F.when(F.col("_gone"), F.struct("line_no", F.lit(True))))).alias("_lost"),
-                F.every("_gone").alias("_all")))
-    kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.coalesce(F.map_contains_key("_lost", i), F.lit(False)))
-    return (docs.join(gone, "doc_id", "left").where("_all is null or not _all")
-            .withColumn("text", F.when(F.coalesce(F.cardinality("_lost"), F.lit(0)) == 0, F.col("text"))
+                F.map_from_entries(F.collect_set(F.when(F.col("gone"), F.struct("line_no", F.lit(True))))).alias(lost),
+                F.every("gone").alias(every)))
+    kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.coalesce(F.map_contains_key(lost, i), F.lit(False)))
+    return (docs.join(gone, "doc_id", "left").where(F.col(every).isNull() | ~F.col(every))
+            .withColumn("text", F.when(F.coalesce(F.cardinality(lost), F.lit(0)) == 0, F.col("text"))
                         .otherwise(F.array_join(kept, "\n")))
             .select(*docs.columns))

@@ -112,13 +112,9 @@ def quality_counts(text):
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), sum(flag))
 
 
-def line_shingles(line, k=8, step=3):
-    w = line.split(" ")
-    out = set()
-    for i, a in enumerate(w):
-        p = a + " " + w[i + 1] if i + 1 < len(w) else a
-        out |= {p[o:o + k] for o in range(0, len(a), step)}
-    return out
+def line_shingles(line, k=8):
+    """Every character run of k."""
+    return {line[i:i + k] for i in range(max(1, len(line) - k + 1))}
 
 
 def line_classes(rows, threshold=0.8):

@@ -13,14 +13,6 @@ from robustagg.llm import lines, quality
 from robustagg.llm.queries import tokenizer_path
 
 
-def line_shingles(line, k=8, step=3, long=16):
-    w, out = line.split(" "), set()
-    for i, a in enumerate(w):
-        p = a + " " + w[i + 1] if i + 1 < len(w) else a
-        out |= {p[o:o + k] for o in range(0, len(a), 1 if len(a) > long else step)}
-    return out
-
-
 def spread(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
 
@@ -40,7 +32,7 @@ def test_near_copies_in_a_hot_bucket(spark):
         second[r.randrange(23)] = word()
         rows += [(i, " ".join(first)), (5000 + i, " ".join(second))]
     texts = dict(rows)
-    sets = {d: line_shingles(x) for d, x in rows}
+    sets = {d: brute.line_shingles(x) for d, x in rows}
     similar = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
     pairs = [i for i in range(1500) if similar(i, 5000 + i)]
     got = classes(spread(spark, rows))
@@ -62,7 +54,7 @@ def test_hot_lines_against_all_pairs(spark):
             w[r.randrange(len(w))] = word()
     want = {}
     keys = [d for d, _ in rows]
-    u, sets = brute.Union(keys), {d: line_shingles(x) for d, x in rows}
+    u, sets = brute.Union(keys), {d: brute.line_shingles(x) for d, x in rows}
     for a in keys:
         for b in keys[:a]:
             if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
@@ -74,6 +66,41 @@ def test_hot_lines_against_all_pairs(spark):
     assert all(want[got[d]] == want[d] for d in keys)
 
 
+@pytest.mark.parametrize("kind", ["inserted", "deleted", "word", "long words"])
+def test_recall_of_edited_lines(spark, kind):
+    """True pairs (by every character run) that end in one class."""
+    r, rows = random.Random(kind), []
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    if kind == "long words":
+        base = [" ".join("".join(r.choice(letters) for _ in range(r.randint(8, 16))) for _ in range(8)) for _ in range(200)]
+    else:
+        docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(150).collect()
+        base = sorted({x for d in docs for x in (d.text or "").split("\n") if len(x) > 60})[:400]
+    for i, x in enumerate(base):
+        if kind == "inserted" or kind == "deleted":
+            y = list(x)
+            for _ in range(max(1, len(x) // 120)):
+                at = r.randrange(len(y))
+                y[at:at + (kind == "deleted")] = [] if kind == "deleted" else [r.choice(letters)]
+            y = "".join(y)
+        else:
+            w = x.split(" ")
+            at = r.randrange(len(w))
+            w[at] = r.choice(letters) + w[at] if kind == "long words" else "changed"
+            y = " ".join(w)
+        rows += [(i, x), (1000 + i, y)]
+    sets = {d: brute.line_shingles(x) for d, x in rows}
+    pairs = [i for i in range(len(base)) if len(sets[i] & sets[1000 + i]) >= 0.8 * len(sets[i] | sets[1000 + i])]
+    got = classes(spread(spark, rows))
+    found = sum(got[i] == got[1000 + i] for i in pairs)
+    assert len(pairs) > 50 and found >= 0.95 * len(pairs), (found, len(pairs))
+
+
+def test_repetitive_lines_of_unlike_length(spark):
+    rows = [(1, "ab" * 60), (2, "ab" * 400), (3, "the the " * 30), (4, "the the " * 90)]
+    assert classes(spread(spark, rows)) == {1: 1, 2: 1, 3: 3, 4: 3}
+
+
 @pytest.mark.parametrize("kind", ["chinese", "tabs", "url"])
 def test_lines_without_blanks(spark, kind):
     """One character put in near the start leaves the line a near copy."""
