@@ -37,7 +37,7 @@ from .common import components, cut
 
 K = 8
 ANCHOR, RESIDUES, PIECES = 1, 3, 3  # cut before bytes b with b % RESIDUES = ANCHOR
-BINS, ROWS = 10, 3  # bands are ROWS neighbouring bins
+BINS, ROWS = 12, 3  # bands are ROWS neighbouring bins
 AGREE = 3
 SPARSE = 16  # bytes per anchor, beyond which a line is cut before all other bytes instead
 SMALL, CLOSE = 16, 4  # lines of a bucket compared in full; of a larger one, those before each that are
