@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from robustagg.sources.store import free_name
+
 from .common import ascii_lower, components
 
 _LINK = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
@@ -74,7 +76,8 @@ def matched_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
 def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]], redirects: DataFrame | None = None) -> DataFrame:
     """pages + host, path, rule, verdict, url_class (null outside any class).
 
-    ``rules`` is a short list written into the plan. ``redirects``: (src, dst).
+    Other columns stay, whatever their names; those called like a result are
+    replaced. ``rules`` is a short list written into the plan. ``redirects``: (src, dst).
     """
     for r in rules:
         if r[2] not in ("allow", "block"):
@@ -83,18 +86,19 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]], redirects:
     if redirects is not None:
         edges = edges.unionByName(redirects.select(url_key(F.col("src")).alias("a"), url_key(F.col("dst")).alias("b")))
     classes = components(edges)
-    own = ["_host", "_path", "_key", "_m"]
-    judged = (pages.withColumn("_host", url_host(F.col("url"))).withColumn("_path", url_path(F.col("url")))
-              .withColumn("_key", url_key(F.col("url")))
-              .withColumn("_m", matched_rule(F.col("_host"), F.col("_path"), rules)))
+    own = host, path, key, m = [free_name(pages, x) for x in ("host", "path", "key", "match")]
+    found, verdict = (free_name(pages, x) for x in ("class", "class_verdict"))
+    judged = (pages.withColumn(host, url_host(F.col("url"))).withColumn(path, url_path(F.col("url")))
+              .withColumn(key, url_key(F.col("url")))
+              .withColumn(m, matched_rule(F.col(host), F.col(path), rules)))
     # A class member need not be a page: rules are matched on the class's urls themselves.
     key_host, key_path = F.substring_index("id", "/", 1), F.regexp_extract("id", r"(?s)^[^/]*([^?]*)", 1)
     ruled = (classes.withColumn("v", matched_rule(key_host, key_path, rules)["verdict"])
-             .groupBy("component").agg(F.min("v").alias("_class_verdict")))  # allow < block
+             .groupBy("component").agg(F.min("v").alias(verdict)))  # allow < block
     member = (classes.join(ruled, "component")
-              .select(F.col("id").alias("_key"), F.col("component").alias("_class"), "_class_verdict"))
+              .select(F.col("id").alias(key), F.col("component").alias(found), verdict))
     keep = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "url_class")]
-    return judged.select(*keep, *own).join(member, "_key", "left").select(
-        *keep, F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_m.rule").alias("rule"),
-        F.coalesce("_m.verdict", "_class_verdict", F.lit("allow")).alias("verdict"),
-        F.col("_class").alias("url_class"))
+    return judged.select(*keep, *own).join(member, key, "left").select(
+        *keep, F.col(host).alias("host"), F.col(path).alias("path"), F.col(m)["rule"].alias("rule"),
+        F.coalesce(F.col(m)["verdict"], F.col(verdict), F.lit("allow")).alias("verdict"),
+        F.col(found).alias("url_class"))
