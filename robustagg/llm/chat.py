@@ -109,12 +109,20 @@ def parse_turns(formatted: Column) -> Column:
     return F.transform(pieces, turn)
 
 
+def conversation_id(tree: Column) -> Column:
+    """The conversation that a tree of ``conversation_nodes`` stands for."""
+    return F.when(~tree["none"], tree["id"])
+
+
 def conversation_nodes(conversations: DataFrame) -> DataFrame:
     """Each conversation as a reply tree with one branch: a row answers the row
-    before it by (turn, role, text); repeated rows stay rows."""
+    before it by (turn, role, text); repeated rows stay rows. ``tree`` is a struct
+    that ``conversation_id`` turns back, so that a null id is a conversation too."""
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    return (conversations.select("conv_id", "turn", "role", "text")
-            .withColumn("node", F.row_number().over(order).cast("long"))
-            .select(F.col("conv_id").alias("tree"), "node",
+    rows = conversations.select("conv_id", "turn", "role", "text")
+    some = F.lit("0").cast(rows.schema["conv_id"].dataType)
+    tree = F.struct(F.col("conv_id").isNull().alias("none"), F.coalesce(F.col("conv_id"), some).alias("id"))
+    return (rows.withColumn("node", F.row_number().over(order).cast("long"))
+            .select(tree.alias("tree"), "node",
                     F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"),
                     "role", "text", F.lit(0.0).alias("score")))

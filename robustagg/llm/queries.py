@@ -67,7 +67,7 @@ def op7_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     loss = F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: chat.unescape(s["text"]))
     return (out.withColumn("turns", turns).withColumn("loss", F.array_join(loss, ""))
-            .select(F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+            .select(chat.conversation_id(F.col("tree")).alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
                     F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
                     F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
                     F.char_length("formatted").cast("long").alias("formatted_chars")))
