@@ -44,7 +44,7 @@ def test_point_types_on_both_sides_of_the_part_bound(kinds, kind, bound):
 
 @pytest.mark.parametrize("kind", ["double", "float", "int"])
 def test_point_types_in_solvers_and_assignment(kinds, kind):
-    for block_rows in (4096, 50):
+    for block_rows in (4096, 50) if kind == "double" else (4096,):
         got = kc.kcenter_exact(kinds[kind], 3, 4, block_rows=block_rows)
         assert got.centers == kc.kcenter_exact(kinds["nullable"], 3, 4).centers
     want = two_round_summary(two_round_kcenter(kinds["nullable"], 3, 4, 4)).collect()
@@ -100,11 +100,11 @@ def test_traversal_rounds_touch_few_cells(spark):
 def test_traversal_with_ties_copies_and_weights(spark):
     grid = [(i, [float(i % 9), float(i // 9 % 9)]) for i in range(400)]
     p = point_frame(spark, grid).withColumns({"part": (F.col("point_id") % 2).cast("int"), "weight": F.col("point_id") % 3})
-    got = traverse(p, 90, [0.0, 0.0], cell_rows=16, candidates=3, pool=5).collect()
+    got = traverse(p, 30, [0.0, 0.0], cell_rows=16, candidates=3, pool=8).collect()
     for part in (0, 1):
         mine = [g for g in grid if g[0] % 2 == part]
         x = np.array([g[1] for g in mine])
-        picks, assign = cs.farthest_first(x, 90)
+        picks, assign = cs.farthest_first(x, 30)
         weight = np.bincount(assign, [g[0] % 3 for g in mine], minlength=len(picks))
         want = [(mine[i][0], int(w)) for i, w in zip(picks, weight, strict=True)]
         assert [(r["point_id"], r["weight"]) for r in sorted(got, key=lambda r: r["pick"]) if r["part"] == part] == want
@@ -148,7 +148,7 @@ def test_greedy_cells_equal_one_block(spark):
     w = kc.unit_weighted(frame(spark, clusters(700, 12)))
     prep = kc.prepare(w, 5, 10, 0.0)
     state = kc.initial_state(w, prep.guesses, prep.n_rows)
-    rows = lambda b: sorted(map(tuple, kc.greedy_cover(state, 5, 0.0, prep.n_rows, b).select(
+    rows = lambda b: sorted(map(tuple, kc.greedy_cover(state, 3, 0.0, prep.n_rows, b).select(
         "guess", "idx", "uncovered", "center_step").collect()), key=str)
     assert rows(4096) == rows(60)
 
