@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, ship_package
-from .words import ALNUM, Words, find_words, slices, spans_of
+from .words import ALNUM, Words, find_words, releasing, slices, spans_of
 
 SHARD_BYTES = 3 << 20
 SAMPLE = 8
@@ -209,7 +209,7 @@ def _scan(phrases: Phrases, out: list[str]):
             own = {"_words": pa.array(w.counts, pa.int64()), "_spans": _runs(flags, w),
                    "_items": pa.array([sorted(set(x)) for x in old_items], pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays([own[c] if c in own else batch.column(c) for c in out], out)
-    return scan
+    return releasing(scan)
 
 
 def benchmark_blocks(benchmark: DataFrame, n: int, block_chars: int) -> Iterator[tuple[Phrases, bool]]:
@@ -219,7 +219,7 @@ def benchmark_blocks(benchmark: DataFrame, n: int, block_chars: int) -> Iterator
     blocks = max(1, -(-int(items.agg(F.sum(F.char_length("text") + 1)).first()[0] or 0) // block_chars))
     for b in range(blocks):
         yield Phrases([tuple(r) for r in items.where(
-            F.expr(f"pmod(xxhash64(item_id, text), {blocks})") == b).collect()], n), b == blocks - 1
+            F.expr(f"pmod(xxhash64(item_id, text), {blocks})") == b).distinct().collect()], n), b == blocks - 1
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_chars: int = 4 << 20,
@@ -242,8 +242,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_chars:
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """docs without the leaked passages: the text from the first to the last word
-    of each removal span goes; a document with no other word goes whole."""
+    of each removal span goes; a document with no other word goes whole. Other
+    columns stay, whatever their names."""
     columns = docs.columns
+    inner = ["text" if c == "text" else f"k{i}" for i, c in enumerate(columns)]
+    named = docs.select(*(F.col(c).alias(k) for c, k in zip(columns, inner, strict=True)))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SHARD_BYTES):
@@ -261,6 +264,8 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFram
                 texts[d] = b"".join(parts).decode("utf-8")
             k = batch.schema.get_field_index("text")
             out = batch.set_column(k, "text", pa.array(texts, pa.string())).filter(pa.array(keep))
-            yield out.select(columns)
+            yield out.select(inner)
 
-    return find_leaks(docs, benchmark, n, keep_text=True).mapInArrow(clean, docs.schema)
+    clean = releasing(clean)
+    out = find_leaks(named, benchmark, n, keep_text=True).mapInArrow(clean, named.schema)
+    return out.select(*(F.col(k).alias(c) for c, k in zip(columns, inner, strict=True)))

@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, ship_package
-from .pieces import byte_tokens
-from .words import ragged, slices
+from .pieces import byte_tokens, forget
+from .words import ragged, releasing, slices
 
 SLICE_BYTES = 2 << 20
 
@@ -61,7 +61,13 @@ def _tokenize(path: str, end_id: int, size: int, keep_ids: bool):
                 at = np.concatenate([[0], np.cumsum(n_pieces)]).astype(np.int32)
                 out["ids"] = pa.ListArray.from_arrays(pa.array(at), lists)
             yield pa.RecordBatch.from_pydict(out)
-    return tokenize
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from tokenize(batches)
+        finally:  # the model stays, the table of known words goes
+            forget(path)
+    return releasing(whole)
 
 
 def patterns(size: int, lengths: list[int], spread: int = 24) -> list[tuple[int, ...]]:

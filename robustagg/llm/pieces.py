@@ -82,11 +82,11 @@ def pretoken_starts(points: np.ndarray, texts: np.ndarray) -> np.ndarray:
 class Pieces:
     """Ids of distinct strings, kept from batch to batch."""
 
-    def __init__(self, encode: Callable[[str], list[int]], limit: int = 250_000):
+    def __init__(self, encode: Callable[[str], list[int]], limit: int = 150_000):
         self.encode, self.limit = encode, limit
-        self._reset()
+        self.reset()
 
-    def _reset(self) -> None:
+    def reset(self) -> None:
         self.slot: dict[int, int] = {}
         self.ids, self.at = np.zeros(1 << 16, np.uint32), np.zeros(2, np.int64)
         self.n = 0
@@ -108,7 +108,7 @@ class Pieces:
         keys = mix(keys)
         distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
         if self.n + len(distinct) > self.limit:
-            self._reset()
+            self.reset()
         get, slots = self.slot.get, []
         new: list[list[int]] = []
         for key, k in zip(distinct.tolist(), first.tolist(), strict=True):
@@ -183,3 +183,9 @@ def byte_tokens(path: str) -> ByteTokens:
     if path not in _TOKENS:
         _TOKENS[path] = ByteTokens(path)
     return _TOKENS[path]
+
+
+def forget(path: str) -> None:
+    """Empty the worker's table of a vocabulary (the model stays)."""
+    if path in _TOKENS:
+        _TOKENS[path].pieces.reset()

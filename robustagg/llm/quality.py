@@ -28,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from robustagg.sources.store import free_name
+
 from .common import cut, ship_package
-from .pieces import Pieces, byte_tokens, code_points
-from .words import PLAIN, find_words, mix, slices, windows
+from .pieces import Pieces, byte_tokens, code_points, forget
+from .words import PLAIN, find_words, mix, releasing, slices, windows
 
 SLICE_BYTES = 2 << 20
 SPACES = " \t\n\v\f\r"
@@ -125,7 +127,14 @@ def _measure(byte_path: str, fallback_path: str, keep: list[str]):
                 "chars_per_token": pa.array(np.diff(texts) / np.maximum(1, n_ids), pa.float64()),
                 "byte_share": pa.array(n_bytes / np.maximum(1, n_tokens), pa.float64()),
                 "token_entropy": pa.array(_entropy(ids.astype(np.int64), n_ids), pa.float64())})
-    return measure
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from measure(batches)
+        finally:  # the models stay, the tables of known words go
+            if fallback_path in _FALLBACK:
+                _FALLBACK[fallback_path].reset()
+            forget(byte_path)
+    return releasing(whole)
 
 
 def measure_quality(docs: DataFrame, byte_path: str, fallback_path: str, keep: list[str]) -> DataFrame:
@@ -165,10 +174,12 @@ def quality_rules(docs: DataFrame, byte_path: str, fallback_path: str, by: str =
 
 
 def keep_good(docs: DataFrame, byte_path: str, fallback_path: str, by: str = "lang") -> DataFrame:
-    """docs without the rejected rows. Decisions are joined by doc_id and a hash of the row's language and text."""
+    """docs without the rejected rows. Decisions are joined by doc_id and a hash of the row's
+    language and text. Other columns stay, whatever their names."""
     key = F.xxhash64(F.col(by), F.col("text"))
-    rows = docs.withColumn("_key", key)
-    good = (judge(cut(measure_quality(rows, byte_path, fallback_path, ["doc_id", by, "_key"])), by)
-            .where("kept").select(F.col("doc_id").alias("_id"), F.col("_key").alias("_good")).distinct())
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_good"))
-    return rows.join(good, same, "left_semi").select(*docs.columns)
+    rows = docs.select("doc_id", F.col(by).alias("by"), "text", key.alias("row_key"))
+    doc_id, good_key = free_name(docs, "id"), free_name(docs, "key")
+    good = (judge(cut(measure_quality(rows, byte_path, fallback_path, ["doc_id", "by", "row_key"])), "by")
+            .where("kept").select(F.col("doc_id").alias(doc_id), F.col("row_key").alias(good_key)).distinct())
+    same = F.col("doc_id").eqNullSafe(F.col(doc_id)) & (key == F.col(good_key))
+    return docs.join(good, same, "left_semi")

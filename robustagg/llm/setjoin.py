@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, cut, ship_package
-from .words import LOWERED, find_words, mix, range_hashes, slices, windows
+from .words import LOWERED, find_words, mix, range_hashes, releasing, slices, windows
 
 SLICE_BYTES = 6 << 20
 HOT_IN_SLICE = 2
@@ -368,9 +368,9 @@ def jaccard_join(docs: DataFrame, k: int = 3, threshold: int = 90, cell_shingles
     itself included) and n_links, one row per row of docs."""
     ship_package(docs.sparkSession)
     texts = docs.select("doc_id", "text")
-    hot = (texts.mapInArrow(_common(k), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    hot = (texts.mapInArrow(releasing(_common(k)), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "shingle").limit(HOT_KEPT).select("shingle").toArrow()["shingle"].to_numpy())
-    each = cut(texts.mapInArrow(_prefixes(k, threshold, np.ascontiguousarray(hot, np.int64).view(np.uint64)),
+    each = cut(texts.mapInArrow(releasing(_prefixes(k, threshold, np.ascontiguousarray(hot, np.int64).view(np.uint64))),
                                 "doc_id long, n long, c1 long, c2 long, tokens array<long>, bits binary"))
     classes = cut(each.where("n > 0").groupBy("c1", "c2").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"),
@@ -379,7 +379,7 @@ def jaccard_join(docs: DataFrame, k: int = 3, threshold: int = 90, cell_shingles
     shared = (lists.repartition("token").sortWithinPartitions("token")
               .mapInArrow(_several, lists.schema).join(classes.select("c1", "bits"), "c1"))
     near = (shared.repartition("token").sortWithinPartitions("token", "n", "c1")
-            .mapInArrow(_list_links(threshold), "a long, b long"))
+            .mapInArrow(releasing(_list_links(threshold)), "a long, b long"))
     cells = components(near)
     members = (classes.select("c1", "rep", "n", "copies").where("rep is not null")
                .join(cells.select(F.col("id").alias("c1"), F.col("component").alias("cell")), "c1"))
@@ -403,7 +403,7 @@ def jaccard_join(docs: DataFrame, k: int = 3, threshold: int = 90, cell_shingles
     part = F.concat_ws("/", "cell", "own", "i", "j").alias("part")
     found = cut(texts.join(members, "doc_id").select(part, "doc_id", "copies", "size_class", "block", "own", "i", "j", "text")
                 .repartition("part").sortWithinPartitions("part")
-                .mapInArrow(_cells(k, threshold), "doc_id long, component long, links long"))
+                .mapInArrow(releasing(_cells(k, threshold)), "doc_id long, component long, links long"))
     joined = components(found.select(F.col("doc_id").alias("a"), F.col("component").alias("b")))
     links = found.groupBy("doc_id").agg(F.sum("links").alias("links")).withColumnRenamed("doc_id", "rep")
     known = (classes.select("c1", "c2", "rep", "copies")

@@ -7,6 +7,8 @@ bytes, vectorised. A word's hash is a polynomial in its bytes modulo 2^64, mixed
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,6 +47,9 @@ class Powers:
 
     def __init__(self, r: int):
         self.r, self.inv = r, pow(r, -1, 1 << 64)
+        self.reset()
+
+    def reset(self) -> None:
         self.up = self.down = np.ones(1, np.uint64)
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,6 +129,27 @@ def windows(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix((total[k:] - total[:-k]) * down[:n - k + 1])
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker goes on to other stages."""
+    for table in (_BYTES, _WORDS):
+        table.reset()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run):
+    """``run`` (a function of batches), giving memory back at the end of the task."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped
+
+
 def spans_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of True."""
     step = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
