@@ -40,7 +40,7 @@ ANCHOR, RESIDUES, PIECES = 1, 3, 3  # cut before bytes b with b % RESIDUES = ANC
 BINS, ROWS = 12, 3  # bands are ROWS neighbouring bins
 AGREE = 3
 SPARSE = 16  # bytes per anchor, beyond which a line is cut before all other bytes instead
-SMALL, CLOSE = 16, 4  # lines of a bucket compared in full; of a larger one, those before each that are
+SMALL, CLOSE = 16, 12  # lines of a bucket compared in full; of a larger one, those before each that are
 COMMON = 8  # lines with a shingle, from which on it is put back in the lists' order
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
@@ -50,10 +50,10 @@ def _lines(docs: DataFrame) -> DataFrame:
             .where(F.col("line").rlike(HAS_WORD)))
 
 
-def line_table(signed: DataFrame) -> DataFrame:
-    """(doc_id, line_no, id, bins) of ``signatures``; ``id``: the first (doc_id, line_no) of the equal lines."""
-    first = signed.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("id"))
-    return signed.join(first, ["h1", "h2"]).select("doc_id", "line_no", "id", "bins")
+def distinct_lines(signed: DataFrame) -> DataFrame:
+    """(h1, h2, doc_id, line_no, bins): the first (doc_id, line_no) of each text of ``signatures``."""
+    return signed.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("id"), F.first("bins").alias("bins")).select(
+        "h1", "h2", "id.*", "bins")
 
 
 def _anchors(other: bool = False) -> str:
@@ -105,8 +105,9 @@ def _candidates(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Most keys have one line: they are counted away before anything is sorted.
     often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     filled = F.size(F.filter("bins", lambda x: x.isNotNull()))
-    rows = cut(rows.join(often, "key").join(signed.withColumn("filled", filled).hint("merge"), "v"))
+    rows = cut(rows.join(often, "key"))
     large = rows.where(F.col("n") > SMALL).select("v").distinct()
+    rows = rows.join(signed.withColumn("filled", filled).hint("merge"), "v")
     bucket, line = Window.partitionBy("key").orderBy("next", "v"), F.struct("v", "filled", "bins")
     rows = rows.select(*rows.columns, F.collect_list(line).over(bucket.rowsBetween(-SMALL, -1)).alias("near"),
                        F.first(line).over(bucket).alias("head"))
@@ -155,18 +156,16 @@ def _hot_links(hot: DataFrame, united: DataFrame, threshold: float) -> DataFrame
 def line_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(doc_id, line_no, class_doc_id, class_line_no) of all lines with a word:
     the class of a line is named by its first line, the one that is kept."""
-    table = cut(line_table(cut(signatures(docs))))
+    every = cut(signatures(docs))
     texts = docs.select("doc_id", "text")
     # Distinct lines get 64-bit numbers; only numbers travel from here to the links.
-    signed = table.where((F.col("doc_id") == F.col("id.doc_id")) & (F.col("line_no") == F.col("id.line_no")))
-    signed = cut(signed.select("doc_id", "line_no", F.monotonically_increasing_id().alias("v"), "bins"))
+    signed = cut(distinct_lines(every).withColumn("v", F.monotonically_increasing_id()))
     distinct, signed = signed.drop("bins"), signed.select("v", "bins")
-    table = table.drop("bins")
     pairs, large = _candidates(signed)
     pairs, large = cut(pairs), cut(large)
     ends = pairs.select(F.col("v")).unionByName(pairs.select(F.col("w").alias("v"))).distinct()
     lines = _chosen_lines(texts, ends.unionByName(large).distinct().join(distinct, "v").select("doc_id", "line_no"))
-    lines = cut(lines.join(distinct, ["doc_id", "line_no"]).select("v", "line"))
+    lines = cut(lines.join(distinct.drop("h1", "h2"), ["doc_id", "line_no"]).select("v", "line"))
     # The first line of each pair brings its set once, the others their text.
     firsts = lines.join(pairs.select("v").distinct(), "v", "left_semi").select("v", _shingle_set(F.col("line")).alias("sa"))
     others = pairs.join(lines.withColumnRenamed("v", "w"), "w")
@@ -180,10 +179,10 @@ def line_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         if not more.isEmpty():
             united = components(united.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
     # Classes are named by their first line.
-    members = united.join(distinct.withColumnRenamed("v", "id"), "id").select(
-        "component", F.struct("doc_id", "line_no").alias("id"))
-    named = members.join(members.groupBy("component").agg(F.min("id").alias("class")), "component").select("id", "class")
-    return table.join(named, "id", "left").withColumn("class", F.coalesce("class", "id")).select(
+    members = distinct.join(united.withColumnRenamed("id", "v"), "v", "left").select(
+        "h1", "h2", F.struct("doc_id", "line_no").alias("id"), F.coalesce("component", "v").alias("component"))
+    named = members.join(members.groupBy("component").agg(F.min("id").alias("class")), "component").select("h1", "h2", "class")
+    return every.select("doc_id", "line_no", "h1", "h2").join(named, ["h1", "h2"]).select(
         "doc_id", "line_no", F.col("class.doc_id").alias("class_doc_id"), F.col("class.line_no").alias("class_line_no"))
 
 
