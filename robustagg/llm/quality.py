@@ -3,20 +3,30 @@
 Base rules come from words and lines. The method measures how public
 vocabularies take a text: characters per token and token entropy under a
 byte-level vocabulary, and the share of byte-fallback tokens under one that
-falls back to bytes. Longer texts have more entropy, so it is taken against
-the logarithm of the number of tokens. Each language
-(or script) has its own rejection band per measure, from the corpus itself: the
-quartiles over all documents that pass the base rules, widened by ``width`` times
-their distance, or by the measure's least reach if that is more. A language's
-quartiles are blended with the whole corpus's, which weigh as ``least`` documents
-do (the distance of a few documents counts little), so every row that passes the base rules is judged, at every size.
-
-One pass computes all measures; the bands are one pre-aggregated row per
-language.
+falls back to bytes.
+
+Entropy depends on length, so it is taken as ``entropy_gap``: the bits that a
+text's tokens stay below the most they could have (the logarithm of their
+number), over the usual gap at that length (a curve through the upper quartiles
+of the corpus's length classes, which noise among them moves little, as it lies low). Noise whose tokens hardly ever come back has a
+small gap, at any length; a text that says one thing over and over a large one.
+
+Each language (or script) has its own rejection band per measure, from the
+corpus itself: the quartiles over all documents that pass the base rules,
+widened by ``width`` times their distance, or by the measure's least reach if
+that is more. A text outside the quartiles in several measures is rejected when the squares
+of its shares of the reaches exceed one together. A language's quartiles are blended with the whole corpus's, which
+weigh as ``least`` documents do (the distance of a few documents counts little),
+so every row that passes the base rules is judged, at every size.
+
+Quartiles are read from counts of fixed fine bins, which add up to
+the same in any order. One pass computes all measures; bands are one row per
+language and go to the rows (a broadcast of at most ``BROADCAST_ROWS`` counted
+rows, a salted join of more): no row moves to its language.
 
 Defined cases: null text has no words and fails the base rules, as does an
-empty one; a null language is a language of its own; equal rows are judged
-alike; an empty table gives no rows.
+empty one; a null language is the language ""; equal rows are judged alike;
+texts of any length are read whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from robustagg.sources.store import free_name
@@ -38,10 +48,13 @@ SLICE_BYTES = 2 << 20
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: measure and least reach of its band below and above the quartiles
-MEASURES = {"chars_per_token": (0.6, 0.6), "byte_share": (0.03, 0.03), "token_entropy": (1.0, 0.5)}
-#: bits of entropy that a text gains as its tokens double (0.11 to 0.21 in the given languages)
-DOUBLING = 0.15
+MEASURES = ("chars_per_token", "byte_share", "token_entropy")
+#: what is judged: bin width, bins, least reach below and above the quartiles, reach as a share of the quartile
+BANDS = {"chars_per_token": (0.01, 5000, 0.16, 0.25, True), "byte_share": (0.001, 1001, 0.03, 0.03, False),
+         "entropy_gap": (0.005, 4000, 0.28, 1.0, False)}
+CLASSES = 2  # length classes per doubling of the tokens
+GAP_BIN, GAP_BINS, LEAST_GAP = 0.01, 5000, 0.25
+BROADCAST_ROWS, SALTS = 10_000, 16
 
 _FALLBACK: dict[str, Pieces] = {}
 
@@ -146,26 +159,74 @@ def measure_quality(docs: DataFrame, byte_path: str, fallback_path: str, keep: l
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(_measure(byte_path, fallback_path, keep), schema)
 
 
-def judge(measured: DataFrame, by: str = "lang", width: float = 3.0, least: int = 20) -> DataFrame:
-    """measured plus base_failed and kept."""
+def _at_shares(counts: DataFrame, keys: list[str], shares: dict[str, float]) -> DataFrame:
+    """``keys``, n and the first bin up to which each share of the n of ``counts`` (keys, bin, n) lies."""
+    so_far = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    rows = counts.withColumn("upto", F.sum("n").over(so_far)).withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
+    return rows.groupBy(*keys).agg(F.max("total").alias("n"), *(
+        F.min(F.when(F.col("upto") >= share * F.col("total"), F.col("bin"))).alias(name) for name, share in shares.items()))
+
+
+def expected_gap(passed: DataFrame) -> list[float]:
+    """Coefficients (highest power first) of the gap by doublings: a parabola (of texts
+    that are nearly all as long as each other, a line or a constant) through
+    the upper quartiles of the length classes, which weigh as many documents as they have."""
+    kind = F.floor(F.col("_doublings") * CLASSES)
+    bins = F.least(F.floor(F.col("_gap") / GAP_BIN), F.lit(GAP_BINS))
+    counts = passed.groupBy(kind.alias("class"), bins.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # At most some hundred rows: one per length class.
+    found = sorted(_at_shares(counts, ["class"], {"upper": 0.75}).collect())
+    if not found:
+        return [1.0]
+    at, n, upper = (np.array([r[c] for r in found], float) for c in ("class", "n", "upper"))
+    spread = int(n.sum() ** 2 / (n ** 2).sum())  # as many classes of equal size
+    return np.polyfit((at + 0.5) / CLASSES, (upper + 0.5) * GAP_BIN, min(2, spread - 1), w=np.sqrt(n)).tolist()
+
+
+def _bands(passed: DataFrame, width: float, least: int) -> DataFrame:
+    """_by and, per measure, the quartiles and the reach below and above them."""
+    value = F.array(*(F.struct(F.lit(m).alias("measure"), F.least(F.floor(F.col(m) / step), F.lit(bins)).alias("bin"))
+                      for m, (step, bins, *_) in BANDS.items()))
+    counts = cut(passed.select("_by", F.inline(value)).groupBy("_by", "measure", "bin").agg(F.count(F.lit(1)).alias("n")))
+    shares = {"q1": 0.25, "q3": 0.75}
+    every = _at_shares(counts.groupBy("measure", "bin").agg(F.sum("n").alias("n")), ["measure"], shares)
+    own = _at_shares(counts, ["_by", "measure"], shares).join(
+        F.broadcast(every.select("measure", F.col("q1").alias("all1"), F.col("q3").alias("all3"))), "measure")  # a row per measure
+    few = F.col("n") / (F.col("n") + least)
+    limits = []
+    for m, (step, _, below, above, relative) in BANDS.items():
+        low, high = (step * (F.col(q) * few + F.col(a) * (1 - few) + 0.5) for q, a in (("q1", "all1"), ("q3", "all3")))
+        reach = width * step * (F.col("q3") - F.col("q1")) * few * few  # few say little on spread
+        below, above = (x * q if relative else F.lit(x) for x, q in ((below, low), (above, high)))
+        for name, limit in (("low", low), ("high", high), ("below", F.greatest(reach, below)), ("above", F.greatest(reach, above))):
+            limits.append(F.max(F.when(F.col("measure") == m, limit)).alias(f"_{name}_{m}"))
+    return own.groupBy("_by").agg(*limits)
+
+
+def judge(measured: DataFrame, by: str = "lang", width: float = 3.0, least: int = 20,
+          broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """measured plus entropy_gap, base_failed and kept."""
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    tokens = (F.col("word_chars") + F.col("n_words")) / F.col("chars_per_token")
+    tokens = F.when(F.col("chars_per_token") > 0, (F.col("word_chars") + F.col("n_words")) / F.col("chars_per_token"))
     rows = (measured.withColumn("base_failed", base).withColumn("_by", F.coalesce(F.col(by).cast("string"), F.lit("")))
-            .withColumn("_doublings", F.when(F.col("chars_per_token") > 0, F.log2(F.greatest(tokens, F.lit(1.0)))).otherwise(0.0)))
-    value = {m: F.col(m) for m in MEASURES}
-    value["token_entropy"] = F.col("token_entropy") - DOUBLING * F.col("_doublings")
-    passed = rows.where("not base_failed")
-    quartiles = lambda name: [F.percentile_approx(value[m], [0.25, 0.75], 1000).alias(f"_{name}_{m}") for m in MEASURES]
-    bands = passed.groupBy("_by").agg(F.count(F.lit(1)).alias("_n"), *quartiles("q")).crossJoin(
-        F.broadcast(passed.agg(*quartiles("all"))))
-    inside = F.lit(True)
-    for m, (below, above) in MEASURES.items():
-        low, high = ((F.col("_n") * F.col(f"_q_{m}")[i] + least * F.col(f"_all_{m}")[i]) / (F.col("_n") + least) for i in (0, 1))
-        own = F.col(f"_q_{m}")
-        reach = width * (own[1] - own[0]) * F.pow(F.col("_n") / (F.col("_n") + least), F.lit(2))  # few say little on spread
-        inside = inside & value[m].between(low - F.greatest(reach, F.lit(below)), high + F.greatest(reach, F.lit(above)))
-    return (rows.join(bands, "_by", "left").withColumn("kept", ~F.col("base_failed") & inside)
-            .select(*measured.columns, "base_failed", "kept"))
+            .withColumn("_doublings", F.log2(F.greatest(F.coalesce(tokens, F.lit(1.0)), F.lit(1.0))))
+            .withColumn("_gap", F.greatest(F.col("_doublings") - F.col("token_entropy"), F.lit(0.0))))
+    usual = F.lit(0.0)
+    for c in expected_gap(rows.where("not base_failed")):
+        usual = usual * F.col("_doublings") + F.lit(c)
+    rows = rows.withColumn("entropy_gap", F.col("_gap") / F.greatest(usual, F.lit(LEAST_GAP)))
+    bands = cut(_bands(rows.where("not base_failed"), width, least))
+    if bands.count() <= broadcast_rows:
+        joined = rows.join(F.broadcast(bands), "_by", "left")
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        salt = F.pmod(F.xxhash64(*measured.columns), F.lit(SALTS)).cast("int")
+        joined = rows.withColumn("_salt", salt).join(bands.withColumn("_salt", salts), ["_by", "_salt"], "left")
+    out = F.lit(0.0)
+    for m in BANDS:
+        value, low, high, below, above = (F.col(x) for x in (m, f"_low_{m}", f"_high_{m}", f"_below_{m}", f"_above_{m}"))
+        out = out + F.pow(F.greatest((low - value) / below, (value - high) / above, F.lit(0.0)), F.lit(2.0))
+    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(out <= 1, F.lit(False))).select(*measured.columns, "entropy_gap", "base_failed", "kept")
 
 
 def quality_rules(docs: DataFrame, byte_path: str, fallback_path: str, by: str = "lang") -> DataFrame:
