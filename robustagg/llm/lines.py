@@ -1,18 +1,16 @@
-"""Fuzzy line dedup by MinHash (DataFrame functions only).
+"""Fuzzy line dedup by MinHash.
 
 Lines are what ``\\n`` separates; lines without a word are left alone. Equal
 lines are one from the start (128 bits of hash). A line's shingles are all its
 character runs of ``K`` (a shorter line is one shingle); similarity is the exact
 Jaccard of these sets.
 
-Signature: shingles chosen by content, not by place, so that an insertion only
-touches those around it. The line is cut before every byte of its UTF-8 form of
-the residue ``ANCHOR`` (a line that has few of them before all others), and every ``PIECES`` pieces in a row are hashed; the
-smallest hash per bin is kept (one-permutation MinHash of ``BINS`` bins). Bands are
-``ROWS`` neighbouring bins. Lines of a band bucket of up to ``SMALL`` lines are all
+Signature (in Arrow batches): ``HASHES`` MinHash values of 16 bits over all runs of ``RUN`` bytes
+of the line's UTF-8 form (in ASCII the shingles themselves). Bands are
+``ROWS`` values. Lines of a band bucket of up to ``SMALL`` lines are all
 paired, those of a larger one with the ``SMALL`` lines before them (in the order of
-a further bin) that agree in most bins and with the first; pairs that agree in
-fewer than ``AGREE`` bins (half of them, in lines that fill few) are left out. Pairs are verified over their whole sets. Lines of larger buckets then
+a further value) that agree in most values and with the first; pairs that agree in
+fewer than ``AGREE`` values are left out. Pairs are verified over their whole sets. Lines of larger buckets then
 take an exact way together: each is listed under its rarest shingles (prefix
 filter, so that every linked pair shares a list), and all pairs of a list that
 sizes and places allow, and that are not united already, are verified. Linked
@@ -28,26 +26,29 @@ stay, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import blake2b
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from robustagg.sources.store import free_name
 
-from .common import components, cut
+from .common import components, cut, ship_package
+from .words import PLAIN, R, mix, releasing, slices, text_bytes
 
 K = 8
-ANCHOR, RESIDUES, PIECES = 1, 3, 3  # cut before bytes b with b % RESIDUES = ANCHOR
-BINS, ROWS = 12, 3  # bands are ROWS neighbouring bins
-AGREE = 3
-SPARSE = 16  # bytes per anchor, beyond which a line is cut before all other bytes instead
+RUN = 8  # bytes
+BANDS, ROWS = 6, 3
+HASHES = BANDS * ROWS
+AGREE = 8
 SMALL, CLOSE = 16, 12  # lines of a bucket compared in full; of a larger one, those before each that are
 COMMON = 8  # lines with a shingle, from which on it is put back in the lists' order
-HAS_WORD = r"[^\x20\x09-\x0D]"
-
-
-def _lines(docs: DataFrame) -> DataFrame:
-    return (docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-            .where(F.col("line").rlike(HAS_WORD)))
+SLICE, CHUNK, VERIFIED = 4 << 20, 1 << 17, 1 << 19  # bytes of text, runs, bytes of lines at a time
+_FACTORS = (mix(np.arange(1, HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def distinct_lines(signed: DataFrame) -> DataFrame:
@@ -56,27 +57,77 @@ def distinct_lines(signed: DataFrame) -> DataFrame:
         "h1", "h2", "id.*", "bins")
 
 
-def _anchors(other: bool = False) -> str:
-    """Pattern of the places before an anchor byte (as a Latin-1 character), or before any other."""
-    return "(?=[" + "".join(f"\\x{b:02X}" for b in range(256) if (b % RESIDUES == ANCHOR) != other) + "])"
+def _run_hashes(data: np.ndarray) -> np.ndarray:
+    """32-bit hash of the ``RUN`` bytes from each place on that has so many."""
+    wide = data.astype(np.uint64)
+    value = wide[:len(wide) - RUN + 1].copy()
+    for j in range(1, RUN):
+        value |= wide[j:len(wide) - RUN + 1 + j] << np.uint64(8 * j)
+    return (mix(value) >> np.uint64(32)).astype(np.uint32)
+
+
+def _min_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Per line (bytes ``starts`` to ``ends``) the least value of each hash over its
+    runs; a line shorter than a run is one run with zeros behind it."""
+    least = np.full((len(starts), HASHES), 0xFFFFFFFF, np.uint32)
+    for i in np.flatnonzero(ends - starts < RUN):
+        value = int.from_bytes(data[starts[i]:ends[i]].tobytes(), "little")
+        least[i] = (mix(np.array([value], np.uint64)) >> np.uint64(32)).astype(np.uint32) * _FACTORS
+    whole = np.flatnonzero(ends - starts >= RUN)
+    begin, stop = starts[whole], ends[whole] - RUN + 1
+    at = int(begin[0]) if len(whole) else 0
+    while len(whole) and at < stop[-1]:
+        to = min(at + CHUNK, int(stop[-1]))
+        i, j = np.searchsorted(stop, at, "right"), np.searchsorted(begin, to)
+        if i < j:
+            hashes = np.append(_run_hashes(data[at:to + RUN - 1]), np.uint32(0xFFFFFFFF))
+            edges = np.empty(2 * (j - i), np.int64)
+            edges[::2], edges[1::2] = np.maximum(begin[i:j], at) - at, np.minimum(stop[i:j], to) - at
+            rows = whole[i:j]
+            for h, factor in enumerate(_FACTORS):
+                least[rows, h] = np.minimum(least[rows, h], np.minimum.reduceat(hashes * factor, edges)[::2])
+        at = to
+    return least
+
+
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text", SLICE):
+        data, texts = text_bytes(batch.column("text"))
+        # A text ends before the next one's first byte, a line before its line feed.
+        feeds = np.flatnonzero(data == 0x0A)
+        starts = np.concatenate([texts[:-1], feeds + 1])
+        ends = np.concatenate([texts[1:], feeds])
+        owner = np.concatenate([np.arange(batch.num_rows), np.searchsorted(texts, feeds, "right") - 1])
+        order = np.lexsort((starts, owner))
+        starts, owner = starts[order], owner[order]
+        ends = np.sort(np.concatenate([feeds, texts[1:]]), kind="stable")
+        first = np.searchsorted(owner, np.arange(batch.num_rows))
+        line_no = np.arange(len(starts)) - first[owner]
+        edges = np.empty(2 * len(starts), np.int64)
+        edges[::2], edges[1::2] = starts, ends
+        worded = np.logical_or.reduceat(np.append((PLAIN != 0)[data], False), edges)[::2] & (starts < ends)
+        starts, ends, owner, line_no = starts[worded], ends[worded], owner[worded], line_no[worded]
+        raw = data.tobytes()
+        names = np.frombuffer(b"".join(blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(
+            starts.tolist(), ends.tolist(), strict=True)), np.int64).reshape(-1, 2)
+        # The upper bits of a least value are near zero: it is mixed before 16 bits are kept.
+        bins = (_min_hashes(data, starts, ends) * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.uint16).view(np.int16)
+        offsets = pa.array(np.arange(len(starts) + 1, dtype=np.int32) * HASHES)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(pa.array(owner)), pa.array(line_no.astype(np.int32)),
+             pa.array(names[:, 0].copy()), pa.array(names[:, 1].copy()),
+             pa.ListArray.from_arrays(offsets, pa.array(bins.reshape(-1)))],
+            names=["doc_id", "line_no", "h1", "h2", "bins"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, h1, h2, bins) of all lines with a word: 128 bits of hash and
-    the smallest hash of each bin. Rows that share doc_id, line number and text are one."""
-    at_bytes = F.decode(F.encode("line", "UTF-8"), "ISO-8859-1")
-    key = ["doc_id", "line_no", "h1", "h2"]
-    pieces = _lines(docs).select("doc_id", "line_no", F.xxhash64(F.lit(1), "line").alias("h1"),
-                                 F.xxhash64(F.lit(2), "line").alias("h2"), at_bytes.alias("b"))
-    pieces = pieces.withColumn("p", F.split("b", _anchors())).withColumn("p", F.when(
-        F.size("p") * SPARSE >= F.char_length("b"), F.col("p")).otherwise(F.split("b", _anchors(True))))
-    rows = pieces.select(*key, "p", F.explode(F.sequence(F.lit(0), F.greatest(F.size("p") - PIECES, F.lit(0)))).alias("i"))
-    rows = rows.select(*key, F.xxhash64(*(F.get("p", F.col("i") + j) for j in range(PIECES))).alias("h"))
-    # Two parts of the hash: the bin (of 4096 slots dealt over the bins), and what is compared.
-    rows = rows.select(*key, F.shiftright(F.col("h").bitwiseAND(4095) * BINS, 12).cast("int").alias("bin"),
-                       F.shiftright("h", 32).cast("int").alias("m"))
-    bins = [F.min(F.when(F.col("bin") == i, F.col("m"))).alias(f"m{i}") for i in range(BINS)]
-    return rows.groupBy(*key).agg(*bins).select(*key, F.array(*(f"m{i}" for i in range(BINS))).alias("bins"))
+    the ``HASHES`` MinHash values."""
+    ship_package(docs.sparkSession)
+    rows = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
+    schema = rows.select("doc_id", F.lit(0).alias("line_no"), F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"),
+                         F.array().cast("array<short>").alias("bins")).schema
+    return rows.mapInArrow(releasing(_sign), schema)
 
 
 def _chosen_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -98,22 +149,21 @@ def _candidates(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs (v, w) of line numbers from band buckets, v the one to compare with,
     and the lines (v) of buckets that are too large to be compared in full.
     ``signed``: v, bins."""
-    bin_of = lambda i: F.get("bins", F.lit(i % BINS))
-    keyed = F.array(*(F.struct(F.when(F.coalesce(*(bin_of(k + j) for j in range(ROWS))).isNotNull(), F.xxhash64(
-        F.lit(k), *(bin_of(k + j) for j in range(ROWS)))).alias("key"), bin_of(k + ROWS).alias("next")) for k in range(BINS)))
-    rows = signed.select("v", F.inline(keyed)).where("key is not null")
+    bin_of = lambda i: F.get("bins", F.lit(i % HASHES))
+    keyed = F.array(*(F.struct(F.xxhash64(F.lit(k), *(bin_of(k + j) for j in range(ROWS))).alias("key"),
+                               bin_of(k + ROWS).alias("next")) for k in range(0, HASHES, ROWS)))
+    rows = signed.select("v", F.inline(keyed))
     # Most keys have one line: they are counted away before anything is sorted.
     often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    filled = F.size(F.filter("bins", lambda x: x.isNotNull()))
     rows = cut(rows.join(often, "key"))
     large = rows.where(F.col("n") > SMALL).select("v").distinct()
-    rows = rows.join(signed.withColumn("filled", filled).hint("merge"), "v")
-    bucket, line = Window.partitionBy("key").orderBy("next", "v"), F.struct("v", "filled", "bins")
+    rows = rows.join(signed.hint("merge"), "v")
+    bucket, line = Window.partitionBy("key").orderBy("next", "v"), F.struct("v", "bins")
     rows = rows.select(*rows.columns, F.collect_list(line).over(bucket.rowsBetween(-SMALL, -1)).alias("near"),
                        F.first(line).over(bucket).alias("head"))
-    agreed = lambda x: F.aggregate(F.zip_with("bins", x["bins"], lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))),
+    agreed = lambda x: F.aggregate(F.zip_with("bins", x["bins"], lambda a, b: (a == b).cast("int")),
                                    F.lit(0), lambda t, y: t + y)
-    fits = lambda x: agreed(x) >= F.least(F.lit(AGREE), F.ceil(F.greatest("filled", x["filled"]) / 2))
+    fits = lambda x: agreed(x) >= AGREE
     others = F.transform(F.filter("near", fits), lambda x: F.struct((-agreed(x)).alias("by"), x["v"].alias("w")))
     best = F.slice(F.sort_array(others), 1, F.when(F.col("n") <= SMALL, SMALL).otherwise(CLOSE))
     head = F.when((F.col("head")["v"] != F.col("v")) & fits(F.col("head")), F.array(F.col("head")["v"]))
@@ -123,9 +173,41 @@ def _candidates(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, large
 
 
-def _similar(threshold: float) -> Column:
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return shared >= threshold * (F.size("sa") + F.size("sb") - shared)
+def _similar(a: Column, b: Column, threshold: float) -> Column:
+    """Whether two sets are so similar. Bound as lambda variables, each set and the
+    intersection are computed once, wherever the optimizer moves the test."""
+    enough = lambda x, y: F.exists(F.array(F.size(F.array_intersect(x, y))),
+                                   lambda n: n >= threshold * (F.size(x) + F.size(y) - n))
+    return F.exists(F.array(b), lambda y: enough(a, y))
+
+
+def _run_keys(column: pa.Array) -> np.ndarray:
+    """The set of runs of each text, ordered: 20 bits of row, 44 of the run's hash. Texts shorter than ``K`` have none."""
+    data, _ = text_bytes(column)
+    chars = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32).astype(np.uint64)
+    size = pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    runs = np.maximum(size - K + 1, 0)
+    row = np.repeat(np.arange(len(size)), runs)
+    at = np.arange(len(row)) + (np.cumsum(size) - size - np.cumsum(runs) + runs)[row]
+    value = np.zeros(len(at), np.uint64)
+    for j in range(K):
+        value = value * np.uint64(R) + chars[at + j]
+    keys = np.sort(row.astype(np.uint64) << np.uint64(44) | mix(value) >> np.uint64(20))
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
+def _verify(threshold: float):
+    """The pairs (a, b) whose texts have sets of a Jaccard similarity of at least ``threshold``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(slices(batches, "text_a", VERIFIED), "text_b", VERIFIED):
+            a, b = _run_keys(batch.column("text_a")), _run_keys(batch.column("text_b"))
+            merged = np.sort(np.concatenate([a, b]), kind="stable")
+            per_row = lambda keys: np.bincount((keys >> np.uint64(44)).astype(np.int64), minlength=batch.num_rows)
+            shared = per_row(merged[1:][merged[1:] == merged[:-1]])
+            # A short text is one shingle, and equal texts are one line already.
+            either = np.maximum(per_row(a), 1) + np.maximum(per_row(b), 1) - shared
+            yield batch.select(["a", "b"]).filter(pa.array(shared >= threshold * either))
+    return run
 
 
 def _hot_links(hot: DataFrame, united: DataFrame, threshold: float) -> DataFrame:
@@ -149,7 +231,7 @@ def _hot_links(hot: DataFrame, united: DataFrame, threshold: float) -> DataFrame
     fits = (small >= threshold * large - 1e-9) & ((1 + threshold) * most >= threshold * (F.col("n_a") + F.col("n_b")) - 1e-6)
     pairs = a.join(b, (a["h"] == b["h"]) & (F.col("c_a") < F.col("c_b")) & fits).select("v_a", "v_b").distinct()
     end = lambda side: hot.select(F.col("v").alias(f"v_{side}"), F.col("s").alias(f"s{side}"))
-    return pairs.join(end("a"), "v_a").join(end("b"), "v_b").where(_similar(threshold)).select(
+    return pairs.join(end("a"), "v_a").join(end("b"), "v_b").where(_similar(F.col("sa"), F.col("sb"), threshold)).select(
         F.col("v_a").alias("a"), F.col("v_b").alias("b"))
 
 
@@ -166,11 +248,9 @@ def line_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     ends = pairs.select(F.col("v")).unionByName(pairs.select(F.col("w").alias("v"))).distinct()
     lines = _chosen_lines(texts, ends.unionByName(large).distinct().join(distinct, "v").select("doc_id", "line_no"))
     lines = cut(lines.join(distinct.drop("h1", "h2"), ["doc_id", "line_no"]).select("v", "line"))
-    # The first line of each pair brings its set once, the others their text.
-    firsts = lines.join(pairs.select("v").distinct(), "v", "left_semi").select("v", _shingle_set(F.col("line")).alias("sa"))
-    others = pairs.join(lines.withColumnRenamed("v", "w"), "w")
-    links = cut(others.join(firsts, "v").withColumn("sb", _shingle_set(F.col("line"))).where(_similar(threshold)).select(
-        F.col("v").alias("a"), F.col("w").alias("b")))
+    ends = [lines.select(F.col("v").alias(v), F.col("line").alias(text)) for v, text in (("v", "text_a"), ("w", "text_b"))]
+    both = pairs.join(ends[0], "v").join(ends[1], "w").select(F.col("v").alias("a"), F.col("w").alias("b"), "text_a", "text_b")
+    links = cut(both.mapInArrow(releasing(_verify(threshold)), both.select("a", "b").schema))
     united = components(links)
     if not large.isEmpty():
         hot = cut(lines.join(large, "v", "left_semi").select("v", _shingle_set(F.col("line")).alias("s")))
@@ -182,8 +262,10 @@ def line_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     members = distinct.join(united.withColumnRenamed("id", "v"), "v", "left").select(
         "h1", "h2", F.struct("doc_id", "line_no").alias("id"), F.coalesce("component", "v").alias("component"))
     named = members.join(members.groupBy("component").agg(F.min("id").alias("class")), "component").select("h1", "h2", "class")
+    # Equal rows fall together where the join left them, without another exchange.
     return every.select("doc_id", "line_no", "h1", "h2").join(named, ["h1", "h2"]).select(
-        "doc_id", "line_no", F.col("class.doc_id").alias("class_doc_id"), F.col("class.line_no").alias("class_line_no"))
+        "h1", "h2", "doc_id", "line_no", F.col("class.doc_id").alias("class_doc_id"),
+        F.col("class.line_no").alias("class_line_no")).distinct().drop("h1", "h2")
 
 
 def dedup_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:

