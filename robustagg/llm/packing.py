@@ -35,37 +35,36 @@ from .common import cut, ship_package
 from .pieces import byte_tokens, forget
 from .words import ragged, releasing, slices
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def _tokenize(path: str, end_id: int, size: int, keep_ids: bool):
-    def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE_BYTES):
-            ids, counts = byte_tokens(path).ids(batch.column("text"))
-            ends = np.cumsum(counts)
-            ids = np.insert(ids, ends, np.uint32(end_id)).astype("<u4")
-            counts = counts + 1
-            crcs, n_pieces, raw, at = [], [], memoryview(ids).cast("B"), 0
-            cuts = [0]
-            for n in counts.tolist():
-                first = n if n <= size else n % size or size
-                bounds = [0, *range(first, n + 1, size)]
-                crcs += [zlib.crc32(raw[4 * (at + a):4 * (at + b)]) for a, b in zip(bounds, bounds[1:], strict=False)]
-                cuts += [at + b for b in bounds[1:]]
-                n_pieces.append(len(bounds) - 1)
-                at += n
-            out = {"doc_id": batch.column("doc_id"), "n_ids": pa.array(counts, pa.int64()),
-                   "crcs": ragged(np.array(crcs, np.int64), np.array(n_pieces, np.int64), pa.int64())}
-            if keep_ids:
-                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids.astype(np.int32)))
-                at = np.concatenate([[0], np.cumsum(n_pieces)]).astype(np.int32)
-                out["ids"] = pa.ListArray.from_arrays(pa.array(at), lists)
-            yield pa.RecordBatch.from_pydict(out)
+    def tokenize(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, counts = byte_tokens(path).ids(batch.column("text"))
+        ends = np.cumsum(counts)
+        ids = np.insert(ids, ends, np.uint32(end_id)).astype("<u4")
+        counts = counts + 1
+        crcs, n_pieces, raw, at = [], [], memoryview(ids).cast("B"), 0
+        cuts = [0]
+        for n in counts.tolist():
+            first = n if n <= size else n % size or size
+            bounds = [0, *range(first, n + 1, size)]
+            crcs += [zlib.crc32(raw[4 * (at + a):4 * (at + b)]) for a, b in zip(bounds, bounds[1:], strict=False)]
+            cuts += [at + b for b in bounds[1:]]
+            n_pieces.append(len(bounds) - 1)
+            at += n
+        out = {"doc_id": batch.column("doc_id"), "n_ids": pa.array(counts, pa.int64()),
+               "crcs": ragged(np.array(crcs, np.int64), np.array(n_pieces, np.int64), pa.int64())}
+        if keep_ids:
+            lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids.astype(np.int32)))
+            at = np.concatenate([[0], np.cumsum(n_pieces)]).astype(np.int32)
+            out["ids"] = pa.ListArray.from_arrays(pa.array(at), lists)
+        return pa.RecordBatch.from_pydict(out)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            yield from tokenize(batches)
-        finally:  # the model stays, the table of known words goes
+        try:  # a slice's arrays go before the next slice's come
+            yield from map(tokenize, slices(batches, "text", SLICE_BYTES))
+        finally:  # the model and the table of known words go: the worker goes on to other stages
             forget(path)
     return releasing(whole)
 

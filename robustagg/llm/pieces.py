@@ -2,15 +2,16 @@
 
 A text is cut into pre-tokens on numpy arrays of code points by the vocabulary's
 own pattern (letters, digits, white space and the rest, a leading blank joined,
-English contractions apart); every distinct pre-token is encoded once per worker by the
+English contractions apart); every distinct pre-token is encoded once per task by the
 ``tokenizers`` model and its ids are gathered for all places. The table of
-known pre-tokens is emptied when it reaches ``limit`` entries.
+known pre-tokens (arrays) is emptied when it reaches ``limit`` entries.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,15 +81,16 @@ def pretoken_starts(points: np.ndarray, texts: np.ndarray) -> np.ndarray:
 
 
 class Pieces:
-    """Ids of distinct strings, kept from batch to batch."""
+    """Ids of distinct strings, kept from batch to batch. ``encode`` takes a list of
+    strings and gives all their ids and how many each has."""
 
-    def __init__(self, encode: Callable[[str], list[int]], limit: int = 150_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 1 << 18):
         self.encode, self.limit = encode, limit
         self.reset()
 
     def reset(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.ids, self.at = np.zeros(1 << 16, np.uint32), np.zeros(2, np.int64)
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # ordered by key
+        self.ids, self.at = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
         self.n = 0
 
     def lookup(self, joined: str, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -107,28 +109,34 @@ class Pieces:
             i = j
         keys = mix(keys)
         distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        if self.n + len(distinct) > self.limit:
+        at, new = self._find(distinct)
+        if self.n + np.count_nonzero(new) > self.limit:
             self.reset()
-        get, slots = self.slot.get, []
-        new: list[list[int]] = []
-        for key, k in zip(distinct.tolist(), first.tolist(), strict=True):
-            slot = get(key)
-            if slot is None:
-                slot = self.slot[key] = self.n + len(new)
-                new.append(self.encode(joined[starts[k]:ends[k]]))
-            slots.append(slot)
-        if new:
-            self._grow(new)
-        return np.array(slots, np.int64)[inverse]
-
-    def _grow(self, new: list[list[int]]) -> None:
-        used, more = int(self.at[self.n]), sum(map(len, new))
+            at, new = self._find(distinct)
+        slots = np.empty(len(distinct), np.int64)
+        slots[~new] = self.slots[at[~new]]
+        slots[new] = self.n + np.arange(np.count_nonzero(new))
+        if new.any():
+            self.keys = np.insert(self.keys, at[new], distinct[new])
+            self.slots = np.insert(self.slots, at[new], slots[new])
+            self._grow(*self.encode([joined[a:b] for a, b in zip(
+                starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]))
+        return slots[inverse]
+
+    def _find(self, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places among the known keys, and which are not known."""
+        at = np.searchsorted(self.keys, distinct)
+        new = at == self.n
+        new[~new] = self.keys[at[~new]] != distinct[~new]
+        return at, new
+
+    def _grow(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        used, more = int(self.at[-1]), len(ids)
         if used + more > len(self.ids):
-            self.ids = np.concatenate([self.ids[:used], np.zeros(max(used, more) + more, np.uint32)])
-        self.ids[used:used + more] = [i for ids in new for i in ids]
-        ends = used + np.cumsum([len(ids) for ids in new])
-        self.at = np.concatenate([self.at[:self.n + 1], ends])
-        self.n += len(new)
+            self.ids = np.concatenate([self.ids[:used], np.zeros(max(used // 4, more) + more, np.uint32)])
+        self.ids[used:used + more] = ids
+        self.at = np.concatenate([self.at, used + np.cumsum(counts)])
+        self.n += len(counts)
 
     def counts(self, slots: np.ndarray) -> np.ndarray:
         return self.at[slots + 1] - self.at[slots]
@@ -149,14 +157,22 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in printing} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-def byte_bpe(path: str) -> Callable[[str], list[int]]:
-    """Encoder of one pre-token by a byte-level vocabulary file of ``tokenizers``."""
+def flat_ids(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the lists, one after the other, and how many each list has."""
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(counts.sum())), counts
+
+
+def byte_bpe(path: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """Encoder of pre-tokens by a byte-level vocabulary file of ``tokenizers``."""
     from tokenizers import Tokenizer
 
     model, table = Tokenizer.from_file(path).model, byte_alphabet()
 
-    def encode(piece: str) -> list[int]:
-        return [t.id for t in model.tokenize(piece.encode("utf-8").decode("latin-1").translate(table))]
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # All pieces are mapped at once, between bytes 0xFF, which UTF-8 never has.
+        mapped = "\udcff".join(pieces).encode("utf-8", "surrogateescape").decode("latin-1").translate(table)
+        return flat_ids([[t.id for t in model.tokenize(piece)] for piece in mapped.split("\xff")])
     return encode
 
 
@@ -179,13 +195,13 @@ _TOKENS: dict[str, ByteTokens] = {}
 
 
 def byte_tokens(path: str) -> ByteTokens:
-    """One table per worker and vocabulary."""
+    """One table per worker and vocabulary, until it is given up."""
     if path not in _TOKENS:
         _TOKENS[path] = ByteTokens(path)
     return _TOKENS[path]
 
 
 def forget(path: str) -> None:
-    """Empty the worker's table of a vocabulary (the model stays)."""
-    if path in _TOKENS:
-        _TOKENS[path].pieces.reset()
+    """Give up the worker's table of a vocabulary and its model."""
+    _TOKENS.pop(path, None)
+    _POINTS.reset()

@@ -41,10 +41,10 @@ from pyspark.sql import functions as F
 from robustagg.sources.store import free_name
 
 from .common import cut, ship_package
-from .pieces import Pieces, byte_tokens, code_points, forget
+from .pieces import Pieces, byte_tokens, code_points, flat_ids, forget
 from .words import PLAIN, find_words, mix, releasing, slices, windows
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -65,11 +65,12 @@ def _fallback_pieces(path: str) -> Pieces:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        byte = {i for i in range(model.get_piece_size()) if model.is_byte(i)}
+        byte = np.array([model.is_byte(i) for i in range(model.get_piece_size())], np.int64)
 
-        def measure(word: str) -> list[int]:
-            ids = model.encode(word)
-            return [len(ids), sum(i in byte for i in ids)]
+        def measure(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            ids, counts = flat_ids(model.encode(words, num_threads=1))
+            by_byte = per_text(byte[ids], np.concatenate([[0], np.cumsum(counts)]))
+            return np.stack([counts, by_byte], axis=1).reshape(-1), np.full(len(words), 2)
         _FALLBACK[path] = Pieces(measure)
     return _FALLBACK[path]
 
@@ -110,42 +111,40 @@ def _measure(byte_path: str, fallback_path: str, keep: list[str]):
     ascii_space, ascii_symbol = np.zeros(128, bool), np.zeros(128, bool)
     ascii_space[spaces], ascii_symbol[symbols] = True, True
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fallback = _fallback_pieces(fallback_path)
-        for batch in slices(batches, "text", SLICE_BYTES):
-            column = batch.column("text")
-            w, (joined, points, texts) = find_words(column, PLAIN), code_points(column)
-            low = np.minimum(points, 127)
-            space = ascii_space[low] & (points < 128)
-            # Words as code points, for the vocabulary that works word by word.
-            edge = np.zeros(len(points) + 1, bool)
-            edge[texts] = True
-            begin = ~space & (edge[:-1] | np.concatenate([[True], space[:-1]])[:len(points)])
-            stop = ~space & (edge[1:] | np.concatenate([space[1:], [True]])[:len(points)])
-            slots = fallback.lookup(joined, points, np.flatnonzero(begin), np.flatnonzero(stop) + 1)
-            tokens, by_byte = (fallback.ids[fallback.at[slots] + i].astype(np.int64) for i in (0, 1))
-            n_tokens, n_bytes = per_text(tokens, w.first), per_text(by_byte, w.first)
-            ids, n_ids = byte_tokens(byte_path).ids(column)
-            dup_lines = []
-            for text in column.to_pylist():
-                lines = [x for x in (text or "").split("\n") if x.strip(SPACES)]
-                dup_lines.append(len(lines) - len(set(lines)))
-            yield pa.RecordBatch.from_pydict({
-                **{c: batch.column(c) for c in keep},
-                "n_words": pa.array(w.counts, pa.int64()),
-                "word_chars": pa.array(per_text(~space, texts), pa.int64()),
-                "n_symbols": pa.array(per_text(ascii_symbol[low] & (points < 128), texts), pa.int64()),
-                "n_dup_lines": pa.array(dup_lines, pa.int64()),
-                "n_repeat_words": pa.array(_repeat_words(w.hashes, w.first, w.owner()), pa.int64()),
-                "chars_per_token": pa.array(np.diff(texts) / np.maximum(1, n_ids), pa.float64()),
-                "byte_share": pa.array(n_bytes / np.maximum(1, n_tokens), pa.float64()),
-                "token_entropy": pa.array(_entropy(ids.astype(np.int64), n_ids), pa.float64())})
+    def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
+        fallback, column = _fallback_pieces(fallback_path), batch.column("text")
+        w, (joined, points, texts) = find_words(column, PLAIN), code_points(column)
+        low = np.minimum(points, 127)
+        space = ascii_space[low] & (points < 128)
+        # Words as code points, for the vocabulary that works word by word.
+        edge = np.zeros(len(points) + 1, bool)
+        edge[texts] = True
+        begin = ~space & (edge[:-1] | np.concatenate([[True], space[:-1]])[:len(points)])
+        stop = ~space & (edge[1:] | np.concatenate([space[1:], [True]])[:len(points)])
+        slots = fallback.lookup(joined, points, np.flatnonzero(begin), np.flatnonzero(stop) + 1)
+        tokens, by_byte = (fallback.ids[fallback.at[slots] + i].astype(np.int64) for i in (0, 1))
+        n_tokens, n_bytes = per_text(tokens, w.first), per_text(by_byte, w.first)
+        ids, n_ids = byte_tokens(byte_path).ids(column)
+        dup_lines = []
+        for text in column.to_pylist():
+            lines = [x for x in (text or "").split("\n") if x.strip(SPACES)]
+            dup_lines.append(len(lines) - len(set(lines)))
+        return pa.RecordBatch.from_pydict({
+            **{c: batch.column(c) for c in keep},
+            "n_words": pa.array(w.counts, pa.int64()),
+            "word_chars": pa.array(per_text(~space, texts), pa.int64()),
+            "n_symbols": pa.array(per_text(ascii_symbol[low] & (points < 128), texts), pa.int64()),
+            "n_dup_lines": pa.array(dup_lines, pa.int64()),
+            "n_repeat_words": pa.array(_repeat_words(w.hashes, w.first, w.owner()), pa.int64()),
+            "chars_per_token": pa.array(np.diff(texts) / np.maximum(1, n_ids), pa.float64()),
+            "byte_share": pa.array(n_bytes / np.maximum(1, n_tokens), pa.float64()),
+            "token_entropy": pa.array(_entropy(ids.astype(np.int64), n_ids), pa.float64())})
+
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            yield from measure(batches)
-        finally:  # the models stay, the tables of known words go
-            if fallback_path in _FALLBACK:
-                _FALLBACK[fallback_path].reset()
+        try:  # a slice's arrays go before the next slice's come
+            yield from map(measure, slices(batches, "text", SLICE_BYTES))
+        finally:  # models and tables of known words go: the worker goes on to other stages
+            _FALLBACK.pop(fallback_path, None)
             forget(byte_path)
     return releasing(whole)
 
