@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from .common import components, cut, ship_package
 from .words import LOWERED, find_words, mix, range_hashes, releasing, slices, windows
 
-SLICE_BYTES = 6 << 20
+SLICE_BYTES, COUNTED_BYTES = 2 << 20, 12 << 20  # texts read at a time, texts whose shingles are counted together
 HOT_IN_SLICE = 2
 SMALL_SET = 1500  # larger sets get the long bitmap
 SHORT, LONG = 512, 4096  # bits
@@ -67,13 +67,20 @@ def prefix_length(n: int, t: int) -> int:
 
 
 def _common(k: int):
+    def shingles(batch: pa.RecordBatch) -> np.ndarray:
+        return np.concatenate(shingle_sets(batch.column("text"), k))
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        every = np.concatenate([shingles(part) for part in slices([batch], "text", SLICE_BYTES)])
+        every.sort()
+        first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]) if len(every) else every)
+        counts = np.diff(first, append=len(every))
+        often = counts >= HOT_IN_SLICE
+        return pa.RecordBatch.from_arrays([pa.array(every[first[often]].view(np.int64)), pa.array(counts[often])],
+                                          ["shingle", "n"])
+
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 * SLICE_BYTES):
-            sets = shingle_sets(batch.column("text"), k)
-            values, counts = np.unique(np.concatenate(sets), return_counts=True)
-            often = counts >= HOT_IN_SLICE
-            yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])],
-                                             ["shingle", "n"])
+        yield from map(count, slices(batches, "text", COUNTED_BYTES))
     return common
 
 
