@@ -117,6 +117,38 @@ def test_lines_without_blanks(spark, kind):
     assert sum(got[i] == got[1000 + i] == i for i in range(60)) >= 59
 
 
+def test_line_dedup_runs_no_python(spark, monkeypatch):
+    """Every step of it, hot buckets too, is DataFrame operations."""
+    plans, cut = [], lines.cut
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+    monkeypatch.setattr(lines, "cut", seen)
+    r = random.Random(6)
+    template = [f"common{i}" for i in range(20)]
+    rows = [(i, " ".join([*template, *(f"w{r.randrange(40)}" for _ in range(4))]) + f"\nzeile für {i} größe") for i in range(60)]
+    out = lines.dedup_lines(spread(spark, rows))
+    assert out.count() > 0
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 8  # the exact way was taken
+    assert not [p for p in plans if any(x in p for x in ("Python", "Pandas", "Arrow"))]
+
+
+def test_lines_around_the_bound_of_chosen_runs(spark):
+    """Copies on both sides of the sizes where a line's signature goes from all its runs to the chosen ones."""
+    r, rows = random.Random(7), []
+    for i in range(300):
+        x = "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(150 + 2 * i))
+        at = r.randrange(len(x))
+        rows += [(i, x), (1000 + i, x[:at] + "aeae" * (1 + len(x) // 60) + x[at:])]
+    sets = {d: brute.line_shingles(x) for d, x in rows}
+    pairs = [i for i in range(300) if len(sets[i] & sets[1000 + i]) >= 0.8 * len(sets[i] | sets[1000 + i])]
+    got = classes(spread(spark, rows))
+    assert len(pairs) > 250 and sum(got[1000 + i] == i for i in pairs) >= 0.97 * len(pairs)
+    assert all(got[i] == i for i in range(300))
+
+
 def noise(r):
     word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(3, 8)))
     return {"letters": " ".join(word("abcdefghijklmnopqrstuvwxyz") for _ in range(200)),
