@@ -35,7 +35,7 @@ from .common import cut, ship_package
 from .pieces import byte_tokens, forget
 from .words import ragged, releasing, slices
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def _tokenize(path: str, end_id: int, size: int, keep_ids: bool):

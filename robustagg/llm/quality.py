@@ -44,7 +44,7 @@ from .common import cut, ship_package
 from .pieces import Pieces, byte_tokens, code_points, flat_ids, forget
 from .words import PLAIN, find_words, mix, releasing, slices, windows
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

@@ -61,3 +61,19 @@ def test_counting_shingles_reads_texts_piece_by_piece():
     assert [(s, c) for b in out for s, c in zip(b["shingle"].to_pylist(), b["n"].to_pylist(), strict=True)] == [
         (s, c) for s, c in zip(values.view(np.int64).tolist(), n.tolist(), strict=True) if c > 1]
     assert peak < 60e6, peak
+
+
+def test_quality_reads_texts_piece_by_piece():
+    """The same measures as text by text, in less memory than a megabyte of text at a time takes."""
+    byte, back = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    r = random.Random(1)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(r.choice(words) for _ in range(700)) for _ in range(800)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(800)), "text": texts})
+    tracemalloc.start()
+    out = list(quality._measure(byte, back, ["doc_id"])(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    one = [x for i in range(0, 800, 40) for x in quality._measure(byte, back, ["doc_id"])(iter([batch.slice(i, 1)]))]
+    assert [x for b in out for x in b.to_pylist()][::40] == [x for b in one for x in b.to_pylist()]
+    assert peak < 45e6, peak
