@@ -67,3 +67,32 @@ def test_line_classes_keeps_one_table(spark):
     assert not new_shuffle_files(spark, files)
     want = brute.line_classes(ROWS)
     assert {(r.doc_id, r.line_no): (r.class_doc_id, r.class_line_no) for r in out.collect()} == want
+
+
+def test_dedup_lines_keeps_one_table(spark):
+    """Only the lost lines, one row per document that loses any, are joined to the documents."""
+    kept, files = tables(spark), shuffle_files(spark)
+    out = lines.dedup_lines(documents(spark))
+    (left,) = tables(spark) - kept
+    assert not new_shuffle_files(spark, files)
+    classes = brute.line_classes(ROWS)
+    lost = {d for (d, i), first in classes.items() if first != (d, i)}
+    table = spark.read.parquet(f"{ensure_checkpoint_dir(spark)}/{left}")
+    assert {r.doc_id for r in table.collect()} == lost and len(lost) < len(ROWS)
+    want = {d: "\n".join(x for i, x in enumerate(t.split("\n")) if classes[d, i] == (d, i)) for d, t in ROWS}
+    assert {r.doc_id: r.text for r in out.collect()} == want
+
+
+def test_settled_deletes_what_was_cut_on_the_way(spark):
+    kept = tables(spark)
+
+    def make():
+        first = common.cut(spark.range(10))
+        inner = common.settled(lambda: common.cut(first.where("id > 2")).where("id > 4"))
+        assert len(tables(spark) - kept) == 2
+        return inner.unionByName(first)
+    out = common.settled(make)
+    assert len(tables(spark) - kept) == 1 and out.count() == 15
+    with pytest.raises(ZeroDivisionError):
+        common.settled(lambda: common.cut(spark.range(1 // 0)))
+    assert not common._MADE.lists
